@@ -1,5 +1,6 @@
 """Token files and packing against encoding whole texts, and an exact round trip."""
 
+import functools
 import zlib
 from collections import defaultdict
 
@@ -21,8 +22,13 @@ def docs(spark, rows=TEXTS):
     return spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA).repartition(3)
 
 
+@functools.cache
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
 def plain(text):
-    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+    return tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 def test_encoder_equals_whole_texts(spark):
