@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.llm import common, packing, simhash, token_files
+from foliomill.llm import common, packing, quality, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,3 +43,11 @@ def op10_packing(spark, sf_dir):
 def op3_simhash(spark, sf_dir):
     rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op5_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rules = quality.fit(docs, table(spark, sf_dir, "labels"))
+    columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+    return quality.judge(docs, rules).select("doc_id", *[f"quality_.{c}" for c in columns])
