@@ -67,7 +67,7 @@ class Encoder:
     #: A run of letters that normalisation leaves alone and that is one pre-token, then other signs.
     PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
-    def __init__(self, path: str, cached_words: int = 300_000):
+    def __init__(self, path: str, cached_words: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         from tokenizers import Tokenizer
 
