@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.llm import common, packing, quality, simhash, token_files
+from foliomill.llm import common, packing, quality, sharding, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -51,3 +51,13 @@ def op5_quality_rules(spark, sf_dir):
     rules = quality.fit(docs, table(spark, sf_dir, "labels"))
     columns = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
     return quality.judge(docs, rules).select("doc_id", *[f"quality_.{c}" for c in columns])
+
+
+@query
+def op8_sharding(spark, sf_dir):
+    rows = sharding.shard(table(spark, sf_dir, "documents"), 16)
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    return rows.select(
+        "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
