@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.llm import common, packing, quality, sharding, simhash, token_files
+from foliomill.llm import common, mixing, packing, quality, sharding, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +61,9 @@ def op8_sharding(spark, sf_dir):
         "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op7_mixing(spark, sf_dir):
+    rows = mixing.mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "source", F.col("size_").alias("size"), F.col("block_").alias("block"), F.col("slot_").alias("slot"))
