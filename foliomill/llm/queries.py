@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.llm import common, mixing, packing, quality, sharding, simhash, token_files
+from foliomill.llm import common, licenses, mixing, packing, quality, sharding, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +67,15 @@ def op8_sharding(spark, sf_dir):
 def op7_mixing(spark, sf_dir):
     rows = mixing.mix(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "source", F.col("size_").alias("size"), F.col("block_").alias("block"), F.col("slot_").alias("slot"))
+
+
+@query
+def op2_license_scan(spark, sf_dir):
+    rows = licenses.scan(table(spark, sf_dir, "documents"))
+    base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
+    starts = F.transform("places", lambda p: p["word"])
+    return rows.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), F.array_join(base, ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"), "score",
+    )
