@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.llm import common, licenses, mixing, packing, quality, sharding, simhash, token_files
+from foliomill.llm import common, licenses, mixing, packing, quality, sharding, simhash, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,3 +79,8 @@ def op2_license_scan(spark, sf_dir):
         F.array_max(starts).alias("last_word"), F.array_join(base, ",").alias("base_labels"),
         F.array_join("labels", ",").alias("labels"), "score",
     )
+
+
+@query
+def op9_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"))
