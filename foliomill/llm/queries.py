@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.llm import common, licenses, mixing, packing, quality, sharding, simhash, token_files, url_filter
+from foliomill.llm import ann, common, licenses, mixing, packing, quality, sharding, simhash, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -84,3 +84,8 @@ def op2_license_scan(spark, sf_dir):
 @query
 def op9_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_additive_quantisation(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
