@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomill.llm import ann, common, licenses, mixing, packing, quality, sharding, simhash, token_files, url_filter
+from foliomill.llm import ann, chat, common, licenses, mixing, packing, quality, sharding, simhash, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -89,3 +89,11 @@ def op9_url_filter(spark, sf_dir):
 @query
 def op4_additive_quantisation(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_chat_format(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = [(-1, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))]
+    turns = turns.unionByName(spark.createDataFrame(added, turns.schema))
+    return chat.digests(chat.format_chats(turns, public_tokenizers.path("byte_bpe_50k.json")))
