@@ -66,7 +66,10 @@ def op8_sharding(spark, sf_dir):
 @query
 def op7_mixing(spark, sf_dir):
     rows = mixing.mix(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "source", F.col("size_").alias("size"), F.col("block_").alias("block"), F.col("slot_").alias("slot"))
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))  # whole texts go through the exchanges
+    return rows.select(
+        "doc_id", "source", F.col("size_").alias("size"), crc.alias("text_crc32"), F.col("block_").alias("block"), F.col("slot_").alias("slot")
+    )
 
 
 @query
