@@ -1,4 +1,4 @@
-"""Registered queries and the DuckDB SQL that each is compared with."""
+"""Registered queries, each one operator over whole tables, and the DuckDB SQL that each is compared with."""
 
 from __future__ import annotations
 
@@ -6,6 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from foliomill.functions import charsets
+from foliomill.functions import geometry as G
+from foliomill.functions import text as T
+from foliomill.operators import boxes, detection, errors, order, rollup
+from foliomill.sinks import exports
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -15,29 +22,442 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def query(name: str, sql: str | None = None):
-    """Register the decorated function under name, with its DuckDB equivalent where SQL can express it."""
+def query(sql: str | None = None):
+    """Register the decorated function under its name, with its DuckDB equivalent where SQL can express it."""
 
     def add(f):
-        QUERIES[name] = f
+        QUERIES[f.__name__] = f
         if sql:
-            SQL[name] = sql
+            SQL[f.__name__] = sql
         return f
 
     return add
 
 
-@query(
-    "doc_lines_profile",
-    r"""
-    SELECT d.doc_id, count(*) AS n_lines, CAST(sum(length(trim(l))) AS BIGINT) AS n_line_chars
-    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) d
-    WHERE trim(l) <> '' GROUP BY d.doc_id
-    """,
-)
+# Boxes on pages, as the tables have none: an order is a page, a line item a box.
+BOXES = """
+    SELECT l_orderkey AS page, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS INT) AS idx,
+      CAST(l_partkey % 2000 AS INT) AS x1, CAST(l_suppkey % 100 * 20 AS INT) AS y1, CAST(l_partkey % 2000 + CAST(l_quantity AS INT) * 10 AS INT) AS x2,
+      CAST(l_suppkey % 100 * 20 + 40 AS INT) AS y2, l_returnflag AS flag FROM lineitem
+"""
+IOU = """
+    CASE WHEN least(a.x2, b.x2) > greatest(a.x1, b.x1) AND least(a.y2, b.y2) > greatest(a.y1, b.y1)
+      THEN CAST((least(a.x2, b.x2) - greatest(a.x1, b.x1)) * (least(a.y2, b.y2) - greatest(a.y1, b.y1)) AS DOUBLE)
+        / ((a.x2 - a.x1) * (a.y2 - a.y1) + (b.x2 - b.x1) * (b.y2 - b.y1)
+           - (least(a.x2, b.x2) - greatest(a.x1, b.x1)) * (least(a.y2, b.y2) - greatest(a.y1, b.y1)))
+      ELSE 0 END
+"""
+
+
+def page_boxes(spark, sf_dir) -> DataFrame:
+    n = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    x1, y1 = (F.col("l_partkey") % 2000).cast("int"), (F.col("l_suppkey") % 100 * 20).cast("int")
+    box = G.box(x1, y1, x1 + F.col("l_quantity").cast("int") * 10, y1 + 40)
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), n.alias("idx"), box.alias("box"), F.col("l_returnflag").alias("flag"))
+
+
+def flat(rows: DataFrame) -> DataFrame:
+    return rows.select([c for c in rows.columns if c != "box"] + (["box.*"] if "box" in rows.columns else []))
+
+
+def document_lines(spark, sf_dir) -> DataFrame:
+    """(doc_id, idx, text) of all lines, blank ones included."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("idx", "text"))
+
+
+LINES = "SELECT doc_id, CAST(i AS INT) - 1 AS idx, l AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(ls) WITH ORDINALITY AS u(l, i)"
+
+
+@query(f"""
+    WITH lines AS ({LINES}), kept AS (
+      SELECT *, lag(text) OVER (PARTITION BY doc_id ORDER BY idx) AS before FROM lines),
+    clean AS (SELECT doc_id, trim(text, ' ') AS t FROM kept WHERE NOT (text <> '' AND text IS NOT DISTINCT FROM before))
+    SELECT doc_id, count(*) AS n_lines, CAST(sum(length(t)) AS BIGINT) AS n_chars,
+      CAST(sum(len(regexp_extract_all(t, '[^\\s]+'))) AS BIGINT) AS n_words
+    FROM clean WHERE t <> '' GROUP BY doc_id
+""")
 def doc_lines_profile(spark, sf_dir):
-    lines = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.withColumn("line", F.trim("line")).filter("line <> ''")
-    return lines.groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"), F.sum(F.length("line").cast("long")).alias("n_line_chars")
-    )
+    lines = order.without_repeats(document_lines(spark, sf_dir), ["doc_id"]).withColumn("t", F.trim("text")).filter("t <> ''")
+    count = lambda c: F.sum(c.cast("long"))
+    words = F.size(F.regexp_extract_all("t", F.lit(r"\S+"), F.lit(0)))
+    return lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), count(F.length("t")).alias("n_chars"), count(words).alias("n_words"))
+
+
+@query(f"""
+    WITH lines AS ({LINES}), b AS (SELECT *, lag(text) OVER (PARTITION BY doc_id ORDER BY idx) AS before FROM lines)
+    SELECT doc_id, idx, md5(text) AS digest FROM b WHERE NOT (text <> '' AND text IS NOT DISTINCT FROM before)
+""")
+def dedup_consecutive_lines(spark, sf_dir):
+    return order.without_repeats(document_lines(spark, sf_dir), ["doc_id"]).select("doc_id", "idx", F.md5("text").alias("digest"))
+
+
+def _quoted(text: str) -> str:
+    return text.replace("'", "''")
+
+
+_CLEAN = r"""regexp_replace(regexp_replace(regexp_replace({x}, '\[\.{2,}\]|\[…\]', '', 'g'), '<[^>]*>', '', 'g'), '\[([^\]]*)\]', '\1', 'g')"""
+
+
+@query(f"""
+    SELECT page_id, md5(t) AS digest, CAST(length(t) AS BIGINT) AS n
+    FROM (SELECT page_id, translate({_CLEAN.replace("{x}", "html")},
+      '{_quoted("".join(charsets.BASE_NORMS))}', '{_quoted("".join(charsets.BASE_NORMS.values()))}') AS t FROM pages)
+""")
+def clean_markup(spark, sf_dir):
+    text = F.regexp_replace("html", r"\[\.{2,}\]|\[…\]", "")
+    text = T.normalised(F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", ""), r"\[([^\]]*)\]", "$1"))
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(text).alias("digest"), F.length(text).cast("long").alias("n"))
+
+
+@query()
+def clean_text(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(T.cleaned(F.col("html"))).alias("digest"), F.length(T.cleaned(F.col("html"))).alias("n"))
+
+
+@query(r"""
+    SELECT doc_id, CAST(length(regexp_replace(text, '[^éèàùç]', '', 'g')) AS DOUBLE) / length(text) AS density FROM documents WHERE text <> ''
+""")
+def char_density(spark, sf_dir):
+    return table(spark, sf_dir, "documents").filter("text <> ''").select("doc_id", T.density(F.col("text"), "éèàùç").alias("density"))
+
+
+_PAIRS = """
+    SELECT a.conv_id, a.turn, regexp_replace(a.text, '[^ -~]', '?', 'g') AS truth, regexp_replace(b.text, '[^ -~]', '?', 'g') AS found
+    FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn + 1 = b.turn
+"""
+
+
+def turn_pairs(spark, sf_dir) -> DataFrame:
+    """Neighbouring turns as a truth and a reading, in ASCII: DuckDB's distance counts bytes."""
+    side = lambda name: F.regexp_replace("text", "[^ -~]", "?").alias(name)
+    turns = table(spark, sf_dir, "conversations")
+    return turns.select("conv_id", "turn", side("truth")).join(turns.select("conv_id", (F.col("turn") - 1).alias("turn"), side("found")), ["conv_id", "turn"])
+
+
+@query(f"SELECT conv_id, turn, CAST(levenshtein(truth, found) AS INT) AS char_edits, CAST(length(truth) AS INT) AS chars FROM ({_PAIRS})")
+def cer_pairs(spark, sf_dir):
+    return errors.with_edits(turn_pairs(spark, sf_dir)).select("conv_id", "turn", "char_edits", "chars")
+
+
+@query(f"""
+    SELECT round(sum(levenshtein(truth, found)) / sum(length(truth)), 9) AS cer, round(1 - sum(levenshtein(truth, found)) / sum(length(truth)), 9) AS char_accuracy,
+      CAST(sum(length(found)) AS BIGINT) AS total_chars, count(*) AS pairs FROM ({_PAIRS})
+""")
+def cer_corpus(spark, sf_dir):
+    rates = errors.rates(errors.with_edits(turn_pairs(spark, sf_dir)))
+    return rates.select(F.round("cer", 9).alias("cer"), F.round("char_accuracy", 9).alias("char_accuracy"), "total_chars", "pairs")
+
+
+@query()
+def wer_pairs(spark, sf_dir):
+    return errors.with_edits(turn_pairs(spark, sf_dir)).select("conv_id", "turn", "word_edits", "words", "found_words")
+
+
+@query()
+def error_operations(spark, sf_dir):
+    return errors.operations(turn_pairs(spark, sf_dir))
+
+
+@query(f"""
+    WITH s AS (SELECT CAST(conv_id AS VARCHAR) AS file, round(sum(levenshtein(truth, found)) / sum(length(truth)), 9) AS cer FROM ({_PAIRS}) GROUP BY conv_id)
+    SELECT rank, file, cer FROM (SELECT row_number() OVER (ORDER BY cer DESC NULLS LAST, file) AS rank, file, cer FROM s) WHERE rank <= 5
+""")
+def worst_pages_top5(spark, sf_dir):
+    scores = errors.page_scores(errors.with_edits(turn_pairs(spark, sf_dir)), ["conv_id"]).withColumn("cer", F.round("cer", 9))
+    return errors.worst(scores, name=F.col("conv_id").cast("string"))
+
+
+@query(f"""
+    WITH a AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(truth, '[^ ]+')) AS w FROM ({_PAIRS})) GROUP BY ALL),
+      b AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(found, '[^ ]+')) AS w FROM ({_PAIRS})) GROUP BY ALL)
+    SELECT p.conv_id, p.turn, CAST(coalesce(sum(CASE WHEN b.n IS NULL THEN 0 ELSE least(a.n, b.n) END), 0) AS BIGINT) AS common
+    FROM ({_PAIRS}) p LEFT JOIN a ON a.conv_id = p.conv_id AND a.turn = p.turn LEFT JOIN b ON b.conv_id = a.conv_id AND b.turn = a.turn AND b.w = a.w
+    GROUP BY p.conv_id, p.turn
+""")
+def word_bag_overlap(spark, sf_dir):
+    return errors.word_overlap(turn_pairs(spark, sf_dir), ["conv_id", "turn"])
+
+
+@query("""
+    SELECT round(sum(levenshtein(a, b)) / sum(length(a)), 9) AS cer, count(*) AS matched_lines
+    FROM (SELECT regexp_replace(t.text, '[^ -~]', '?', 'g') AS a, regexp_replace(f.text, '[^ -~]', '?', 'g') AS b
+      FROM conversations t JOIN conversations f ON t.conv_id = f.conv_id - 1 AND t.turn = f.turn)
+""")
+def competition_join(spark, sf_dir):
+    lines = table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace("text", "[^ -~]", "?"))
+    found = errors.matched_lines(lines, lines.withColumn("conv_id", F.col("conv_id") - 1), ["conv_id", "turn"])
+    return found.select(F.round("cer", 9).alias("cer"), "matched_lines")
+
+
+@query(f"""
+    WITH n AS (SELECT doc_id, count(*) AS n FROM ({LINES}) GROUP BY doc_id),
+      f AS (SELECT d.doc_id, n.n AS lines, len(list_filter(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g') <> '')) AS parts FROM documents d JOIN n USING (doc_id))
+    SELECT doc_id, CASE WHEN lines > 1 AND lines = parts THEN 'line' WHEN lines > 1 THEN 'joined' ELSE 'whole' END AS mode,
+      CASE WHEN lines > 1 AND lines = parts THEN parts ELSE 1 END AS pairs FROM f WHERE parts > 0
+""")
+def pairing_modes(spark, sf_dir):
+    found = table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("idx"), "text")
+    rows = errors.pairing_modes(document_lines(spark, sf_dir), found, ["doc_id"])
+    return rows.groupBy("doc_id", "mode").agg(F.count("*").alias("pairs"))
+
+
+@query(f"""
+    WITH b AS ({BOXES}), gone AS (
+      SELECT DISTINCT a.page, CASE WHEN (a.x2 - a.x1) * (a.y2 - a.y1) < (b.x2 - b.x1) * (b.y2 - b.y1) THEN a.idx ELSE b.idx END AS idx
+      FROM b a JOIN b ON a.page = b.page AND a.idx < b.idx WHERE {IOU} > 0.5)
+    SELECT page, idx, x1, y1, x2, y2 FROM b WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.page = b.page AND g.idx = b.idx)
+""")
+def nms(spark, sf_dir):
+    return flat(boxes.suppressed(page_boxes(spark, sf_dir), ["page"]).drop("flag"))
+
+
+@query(f"""
+    WITH b AS ({BOXES}), p AS (SELECT a.page, a.idx AS i, b.idx AS j, round({IOU}, 9) AS iou FROM b a JOIN b ON a.page = b.page AND a.idx < b.idx)
+    SELECT page, i, j, iou FROM p WHERE iou > 0
+""")
+def iou_pairs(spark, sf_dir):
+    rows = boxes._meetings(page_boxes(spark, sf_dir), page_boxes(spark, sf_dir), ["page"], None).filter("a.idx < b.idx")
+    iou = F.round(G.iou(F.col("a.box"), F.col("b.box")), 9)
+    return rows.select("page", F.col("a.idx").alias("i"), F.col("b.idx").alias("j"), iou.alias("iou")).filter("iou > 0")
+
+
+@query(f"""
+    WITH b AS ({BOXES}), m AS (SELECT a.page, a.idx, b.idx AS zone, {IOU} AS iou FROM b a JOIN b ON a.page = b.page WHERE a.idx > 2 AND b.idx <= 2),
+      best AS (SELECT page, idx, zone, iou FROM (SELECT *, row_number() OVER (PARTITION BY page, idx ORDER BY iou DESC, zone) AS n FROM m WHERE iou >= 0.001) WHERE n = 1)
+    SELECT b.page, b.idx, best.zone, round(best.iou, 9) AS iou FROM b LEFT JOIN best ON b.page = best.page AND b.idx = best.idx WHERE b.idx > 2
+""")
+def zone_assignment(spark, sf_dir):
+    rows = page_boxes(spark, sf_dir)
+    found = boxes.assigned(rows.filter("idx > 2"), rows.filter("idx <= 2"), ["page"])
+    return found.select("page", "idx", "zone", F.round("iou", 9).alias("iou"))
+
+
+@query(f"""
+    WITH b AS ({BOXES}), s AS (SELECT a.page, a.idx AS gt, b.idx AS dt,
+      greatest(least(a.x2, b.x2) - greatest(a.x1, b.x1), 0) * greatest(least(a.y2, b.y2) - greatest(a.y1, b.y1), 0) AS shared,
+      (a.x2 - a.x1) * (a.y2 - a.y1) AS aa, (b.x2 - b.x1) * (b.y2 - b.y1) AS bb
+      FROM b a JOIN b ON a.page = b.page WHERE a.flag = 'R' AND b.flag <> 'R')
+    SELECT page, gt, dt, round(pow(CAST(shared AS DOUBLE) / aa, 2) + pow(CAST(shared AS DOUBLE) / bb, 2), 9) AS strength FROM s WHERE shared > 0
+""")
+def link_table(spark, sf_dir):
+    rows = page_boxes(spark, sf_dir)
+    links = boxes.link_table(rows.filter("flag = 'R'"), rows.filter("flag <> 'R'"), ["page"])
+    return links.withColumn("strength", F.round("strength", 9))
+
+
+@query(f"SELECT page, idx, CAST(row_number() OVER (PARTITION BY page ORDER BY floor(y1 / 10), x1, idx) AS INT) AS position FROM ({BOXES})")
+def reading_order_rows(spark, sf_dir):
+    keys = boxes.in_rows(F.col("box.y1"), F.col("box.x1"))
+    return page_boxes(spark, sf_dir).select("page", "idx", boxes.position(keys, ["page"]).alias("position"))
+
+
+@query(f"""
+    WITH b AS (SELECT *, (x1 + x2) / 2.0 AS cx FROM ({BOXES})),
+      g AS (SELECT *, CASE WHEN cx - lag(cx) OVER (PARTITION BY page ORDER BY cx, idx) <= 300 THEN 0 ELSE 1 END AS fresh FROM b),
+      c AS (SELECT *, sum(fresh) OVER (PARTITION BY page ORDER BY cx, idx ROWS UNBOUNDED PRECEDING) AS col FROM g)
+    SELECT page, idx, CAST(row_number() OVER (PARTITION BY page ORDER BY col, y1, cx, idx) AS INT) AS position FROM c
+""")
+def reading_order_columns(spark, sf_dir):
+    zones = order.with_first_y(page_boxes(spark, sf_dir), None, ["page"])
+    return order.reading_order(zones, ["page"], "dbscan").select("page", "idx", "position")
+
+
+@query()
+def reading_order_heatmap(spark, sf_dir):
+    zones = order.with_first_y(page_boxes(spark, sf_dir), None, ["page"])
+    return order.reading_order(zones, ["page"], "heatmap").select("page", "idx", "position")
+
+
+@query()
+def reading_order_hybrid(spark, sf_dir):
+    zones = order.with_first_y(page_boxes(spark, sf_dir), None, ["page"])
+    return order.reading_order(zones, ["page"], "hybrid").select("page", "idx", "position")
+
+
+@query(f"SELECT page, idx, CAST(trunc(100 * x1 / 2500.0) AS INT) AS x1, CAST(trunc(100 * y1 / 2100.0) AS INT) AS y1, CAST(trunc(100 * x2 / 2500.0) AS INT) AS x2, CAST(trunc(100 * y2 / 2100.0) AS INT) AS y2 FROM ({BOXES})")
+def box_normalise(spark, sf_dir):
+    return flat(page_boxes(spark, sf_dir).select("page", "idx", G.on_grid(F.col("box"), F.lit(2500), F.lit(2100)).alias("box")))
+
+
+@query(f"""
+    SELECT page, idx, printf('%d %.6f %.6f %.6f %.6f', 1, least(1.0, (x1 + x2) / 2.0 / 2500), least(1.0, (y1 + y2) / 2.0 / 2100), least(1.0, (x2 - x1) / 2500.0), least(1.0, (y2 - y1) / 2100.0)) AS value
+    FROM ({BOXES})
+""")
+def yolo_format(spark, sf_dir):
+    row = G.detection_row(F.lit(1), F.col("box"), F.lit(2500), F.lit(2100))
+    return page_boxes(spark, sf_dir).select("page", "idx", row.alias("value"))
+
+
+def _lines_of(rows: DataFrame) -> DataFrame:
+    corners = G.polygon(F.col("box")).cast(G.POINTS)
+    text = F.concat_ws(" ", F.lit("w"), F.col("idx").cast("string"))
+    return rows.select("page", F.col("idx").cast("long").alias("idx"), corners.alias("boundary"), F.lit(None).cast(G.POINTS).alias("baseline"), text.alias("text"))
+
+
+@query()
+def zone_map_pages(spark, sf_dir):
+    rows = page_boxes(spark, sf_dir)
+    return detection.zone_map(_lines_of(rows.filter("flag = 'R'")), _lines_of(rows.filter("flag <> 'R'")), ["page"])
+
+
+@query(f"""
+    WITH b AS ({BOXES}), gt AS (SELECT * FROM b WHERE flag = 'R')
+    SELECT page, CAST(sum((x2 - x1) * (y2 - y1)) AS DOUBLE) AS gt_area FROM gt GROUP BY page
+""")
+def zone_map_truth_area(spark, sf_dir):
+    rows = page_boxes(spark, sf_dir)
+    stats = detection.zone_map(_lines_of(rows.filter("flag = 'R'")), _lines_of(rows.filter("flag <> 'R'")), ["page"])
+    return stats.filter("gt_area > 0").select("page", F.round("gt_area", 6).alias("gt_area"))
+
+
+@query()
+def zone_map_corpus(spark, sf_dir):
+    return detection.zone_map_scores(zone_map_pages(spark, sf_dir))
+
+
+@query()
+def map_eval(spark, sf_dir):
+    rows = page_boxes(spark, sf_dir)
+    truth = rows.filter("idx % 2 = 0").select("page", "idx", "box")
+    found = rows.filter("idx % 2 = 1").select("page", F.col("idx").cast("long").alias("idx"), "box", F.lit(1.0).alias("confidence"))
+    return detection.average_precision(detection.hits(truth, found, ["page"]), truth)
+
+
+@query("SELECT DISTINCT o_orderkey AS page FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
+def resume_antijoin(spark, sf_dir):
+    from foliomill.sources.files import remaining
+
+    done = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("page")).distinct()
+    return remaining(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page")), done, ["page"]).distinct()
+
+
+@query("""
+    WITH f AS (SELECT CASE WHEN doc_id % 3 = 0 THEN NULL ELSE source END AS folder FROM documents)
+    SELECT count(*) FILTER (WHERE folder IS NULL) AS n_root, count(DISTINCT folder) AS n_folders,
+      CASE WHEN count(*) FILTER (WHERE folder IS NULL) > 0 AND count(folder) > 0 THEN 'mixed' WHEN count(folder) > 0 THEN 'hierarchical'
+        WHEN count(*) > 0 THEN 'flat' ELSE 'empty' END AS kind FROM f
+""")
+def structure_kind(spark, sf_dir):
+    from foliomill.sources.files import structure
+
+    folder = F.when(F.col("doc_id") % 3 != 0, F.col("source"))
+    files = table(spark, sf_dir, "documents").select(folder.alias("folder")).withColumn("depth", F.col("folder").isNotNull().cast("int"))
+    return structure(files).select("n_root", "n_folders", "kind")
+
+
+@query("SELECT DISTINCT p_type, CAST(concat('0x', substr(sha1(p_type), 1, 6)) AS BIGINT) % 100000 AS tag, concat('BT', substr(sha1(p_type), 1, 6)) AS short FROM part")
+def tag_ids(spark, sf_dir):
+    types = table(spark, sf_dir, "part").select("p_type").distinct()
+    return types.select("p_type", G.tag_id(F.col("p_type")).alias("tag"), G.short_tag(F.col("p_type")).alias("short"))
+
+
+@query("""
+    WITH s AS (SELECT source AS document, avg(n_chars) AS score, sum(n_chars) AS total FROM documents GROUP BY source)
+    SELECT 'score/chars' AS key, round(avg(score), 6) AS value FROM s UNION ALL SELECT 'total/chars', CAST(sum(total) AS DOUBLE) FROM s
+""")
+def aggregate_metrics(spark, sf_dir):
+    by = table(spark, sf_dir, "documents").groupBy(F.col("source").alias("document"))
+    wide = by.agg(F.avg("n_chars").alias("score/chars"), F.sum("n_chars").cast("double").alias("total/chars"))
+    rows = rollup.over_documents(rollup.long_form(wide, ["document"], ["score/chars", "total/chars"]))
+    return rows.select("key", F.round("value", 6).alias("value"))
+
+
+def labelled(spark, sf_dir) -> DataFrame:
+    language = F.element_at(F.create_map(*[F.lit(x) for x in ("fr", "French", "es", "Castillan", "en", "English", "de", "German")]), F.col("lang"))
+    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    return rows.select("doc_id", language.alias("language"), "source", F.lit(1).cast("long").alias("pages"), F.col("quality").cast("double").alias("quality"), F.col("n_chars").cast("double").alias("chars"))
+
+
+_LABELLED = """
+    SELECT CASE lang WHEN 'fr' THEN 'French' WHEN 'es' THEN 'Castillan' WHEN 'en' THEN 'English' WHEN 'de' THEN 'German' END AS language,
+      source, CAST(quality AS DOUBLE) AS quality, CAST(n_chars AS DOUBLE) AS chars FROM documents JOIN labels USING (doc_id)
+"""
+_STATS = f"""
+    WITH l AS ({_LABELLED}), f AS (SELECT 'language' AS feature, language AS value, quality, chars FROM l UNION ALL SELECT 'source', source, quality, chars FROM l),
+      m AS (SELECT feature, value, 'quality' AS metric, quality AS score FROM f UNION ALL SELECT feature, value, 'chars', chars FROM f),
+      stats AS (SELECT feature, value, metric, avg(score) AS mean, stddev_samp(score) AS std, count(score) AS n, count(*) AS pages FROM m WHERE value IS NOT NULL GROUP BY ALL)
+"""
+
+
+@query(f"{_STATS} SELECT feature, value, metric, round(mean, 6) AS mean, round(std, 6) AS std, n, pages FROM stats")
+def metadata_stats(spark, sf_dir):
+    rows = rollup.by_feature(labelled(spark, sf_dir), ["language", "source"], ["quality", "chars"])
+    return rows.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
+
+
+@query(f"{_STATS} SELECT concat('score/avg_', feature, '_', metric) AS key, round(avg(mean), 6) AS value FROM stats GROUP BY feature, metric")
+def macro_avg(spark, sf_dir):
+    rows = rollup.by_feature(labelled(spark, sf_dir), ["language", "source"], ["quality", "chars"])
+    return rollup.macro_average(rows).withColumn("value", F.round("value", 6))
+
+
+@query(f"{_STATS} SELECT metric, round(avg(mean) FILTER (WHERE value IN ('French', 'Castillan')), 6) AS romance, round(avg(mean) FILTER (WHERE value NOT IN ('French', 'Castillan')), 6) AS other FROM stats WHERE feature = 'language' GROUP BY metric")
+def romance_split(spark, sf_dir):
+    rows = rollup.by_family(rollup.by_feature(labelled(spark, sf_dir), ["language", "source"], ["quality", "chars"]))
+    return rows.select("metric", F.round("romance", 6).alias("romance"), F.round("other", 6).alias("other"))
+
+
+@query("SELECT conv_id AS id, md5(text) AS digest FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS n FROM conversations) WHERE n = 1")
+def last_wins(spark, sf_dir):
+    texts = exports.last_texts(table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "id"), ["turn"])
+    return texts.select("id", F.md5("text").alias("digest"))
+
+
+@query("SELECT conv_id, md5(string_agg(text, chr(10) ORDER BY turn)) AS digest FROM conversations GROUP BY conv_id")
+def page_text_export(spark, sf_dir):
+    rows = exports.page_text_files(table(spark, sf_dir, "conversations").withColumnRenamed("turn", "idx"), ["conv_id"])
+    return rows.select("conv_id", F.md5("value").alias("digest"))
+
+
+@query("""
+    SELECT c_custkey, concat_ws(chr(10), CASE WHEN c_nationkey % 2 = 0 THEN 'Keep abbreviations as written, do not expand them.' END,
+      CASE c_mktsegment WHEN 'BUILDING' THEN 'Keep original u/v and i/j distinctions as written.' WHEN 'MACHINERY' THEN 'Modernize u/v and i/j usage.' END) AS prompt FROM customer
+""")
+def prompt_conventions(spark, sf_dir):
+    abbreviations = F.when(F.col("c_nationkey") % 2 == 0, "keep")
+    uv = F.when(F.col("c_mktsegment") == "BUILDING", "original").when(F.col("c_mktsegment") == "MACHINERY", "modern")
+    known = F.create_map(F.lit("abbreviations"), abbreviations, F.lit("uv_ij"), uv)
+    return table(spark, sf_dir, "customer").select("c_custkey", T.prompt_block(known).alias("prompt"))
+
+
+@query(f"SELECT doc_id, CAST(floor(idx / 40) AS BIGINT) AS chunk, count(*) AS n FROM ({LINES}) GROUP BY ALL")
+def chunk40(spark, sf_dir):
+    return order.chunks(document_lines(spark, sf_dir), ["doc_id"]).groupBy("doc_id", "chunk").agg(F.count("*").alias("n"))
+
+
+_DENSITY = "SELECT doc_id, source, n_chars, CASE WHEN text = '' THEN 0 ELSE CAST(length(regexp_replace(text, '[^éèàùç]', '', 'g')) AS DOUBLE) / length(text) END AS density FROM documents"
+
+
+@query(f"SELECT count(*) FILTER (WHERE density > 0) AS n_special, round(avg(1 + 2 * density), 9) AS mean, min(1 + 2 * density) AS least, max(1 + 2 * density) AS most FROM ({_DENSITY})")
+def weights_summary(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", T.density(F.col("text"), "éèàùç").alias("density"))
+    return rollup.weight_summary(rollup.sample_weights(rows, alpha=2)).withColumn("mean", F.round("mean", 9))
+
+
+@query()
+def weighted_resample(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", T.density(F.col("text"), "éèàùç").alias("density"))
+    return rollup.resampled(rollup.sample_weights(rows), "doc_id", 5000).select("doc_id", "copies")
+
+
+@query(f"SELECT round(regr_slope(n_chars, density), 4) AS slope, round(regr_r2(n_chars, density), 9) AS r2, count(*) AS n FROM ({_DENSITY})")
+def density_regression(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("n_chars", T.density(F.col("text"), "éèàùç").alias("density"))
+    return rollup.regression(rows, "density", "n_chars").select(F.round("slope", 4).alias("slope"), F.round("r2", 9).alias("r2"), "n")
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def metadata_json(spark, sf_dir):
+    parsed = F.from_json("props", "map<string, string>")
+    return table(spark, sf_dir, "events").select("event_id", F.try_element_at(parsed, F.lit("k")).alias("k"))
+
+
+@query()
+def wrap_1024(spark, sf_dir):
+    pieces = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(T.wrapped(F.col("text"))).alias("idx", "piece"))
+    return pieces.select("doc_id", "idx", F.length("piece").alias("n"), F.md5("piece").alias("digest"))
+
+
+@query("SELECT p_partkey, regexp_replace(p_name, '[^\\p{L}\\p{N}_-]', '_', 'g') AS file, regexp_replace(p_brand, '[ /-]', '_', 'g') AS metric FROM part")
+def safe_names(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", T.file_name(F.col("p_name")).alias("file"), T.metric_name(F.col("p_brand")).alias("metric"))
