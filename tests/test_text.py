@@ -1,0 +1,88 @@
+import random
+import unicodedata
+from textwrap import wrap
+
+from foliomill.functions import charsets
+from foliomill.functions import text as T
+from pyspark.sql import functions as F
+
+
+def one(spark, column, **values):
+    kinds = ", ".join(f"{k} {'array<string>' if isinstance(v, list) else 'map<string,string>' if isinstance(v, dict) else 'string'}" for k, v in values.items())
+    return spark.createDataFrame([tuple(values.values())], kinds).select(column.alias("x")).first().x
+
+
+def plain_clean(t):
+    import re
+
+    t = re.sub(r"\[\.{2,}\]", "", t)
+    t = re.sub(r"\[…\]", "", t)
+    t = re.sub(r"\[([^\]]*)\]", r"\1", re.sub(r"<[^>]*>", "", t))
+    for a, b in charsets.BASE_NORMS.items():
+        t = t.replace(a, b)
+    special = set("".join((*charsets.MEDIEVAL, *charsets.COMBINING, *charsets.SUPERSCRIPT)))
+    latin = {chr(c) for c in range(0x20, 0x250) if unicodedata.category(chr(c))[0] in "LNPZM"}
+    more = {chr(c) for c in range(0x1E00, 0x1F00) if unicodedata.category(chr(c))[0] in "LM"}
+    return "".join(c for c in t if c in special | latin | more | set(" \t\n\r"))
+
+
+def test_clean(spark):
+    cases = {"x[...]y": "xy", "[…]": "", "<i>z</i>": "z", "[ab]c": "abc", "Vivj?": "Uiui:", "a$b": "ab", "[x[y]z]": None, "": ""}
+    odd = ["".join(chr(c) for c in range(0x20, 0x600)), "".join(chr(c) for c in range(0x1D00, 0x2500)), "𐞥\ta\x00b"]
+    odd = [t.replace("<", "").replace("[", "") for t in odd]
+    texts = [*cases, *odd]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.cleaned(F.col("t")).alias("x")).collect()
+    for r in rows:
+        want = cases.get(r.t)
+        assert r.x == plain_clean(r.t) and (want is None or r.x == want)
+
+
+def test_word_distance(spark):
+    draw = random.Random(1)
+    words = [f"w{i}" for i in range(30)]
+    pairs = [([draw.choice(words) for _ in range(draw.randint(0, 40))], [draw.choice(words) for _ in range(draw.randint(0, 40))]) for _ in range(60)]
+    pairs += [([], []), (["a"], []), (["a b"], ["a", "b"]), ([f"x{i}" for i in range(25000)], [f"x{i}" for i in range(24990)])]
+
+    def plain(a, b):
+        last = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row = [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+            last = row
+        return last[-1]
+
+    rows = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a array<string>, b array<string>")
+    got = {r.i: r.d for r in rows.select("i", T.word_distance(F.col("a"), F.col("b")).alias("d")).collect()}
+    assert got[63] == 10
+    assert all(got[i] == plain(a, b) for i, (a, b) in enumerate(pairs[:63]))
+
+
+def test_words_lines_and_nfd(spark):
+    assert one(spark, T.words(F.col("t")), t=" a b\tc ") == ["a", "b", "c"]
+    assert one(spark, T.words(F.col("t")), t=None) == []
+    assert one(spark, T.lines(F.col("t")), t=" a \n\n\t\nb") == ["a", "b"]
+    assert one(spark, T.split_lines(F.col("t")), t="a\r\nb\n") == ["a", "b"]
+    assert one(spark, T.nfd(F.col("t")), t="é가") == unicodedata.normalize("NFD", "é가")
+    assert one(spark, T.graphemes(T.nfd(F.col("t"))), t="éa") == ["é", "a"]
+
+
+def test_density_names_and_models(spark):
+    assert one(spark, T.density(F.col("t"), "ab"), t="abcd") == 0.5
+    assert one(spark, T.density(F.col("t"), "ab"), t="") == 0.0 == one(spark, T.density(F.col("t"), "ab"), t=None)
+    assert one(spark, T.file_name(F.col("t")), t="MS é 1/2.b") == "MS_é_1_2_b"
+    assert one(spark, T.model_type(F.col("t")), t="qwen2_5_vl_text") == "qwen2.5-vl"
+
+
+def test_wrap(spark):
+    text = "word-with-hyphen " * 30 + "x" * 90 + "  tail\nline"
+    want = wrap(text, 40, break_long_words=False, break_on_hyphens=False, replace_whitespace=False)
+    assert one(spark, T.wrapped(F.col("t"), 40), t=text) == want
+    assert one(spark, T.wrapped(F.col("t")), t=None) == []
+
+
+def test_prompts(spark):
+    block = one(spark, T.prompt_block(F.col("c")), c={"uv_ij": "modern", "allographs": "true", "abbreviations": "other"})
+    assert block.split("\n") == ["Modernize u/v and i/j usage.", "Preserve allographic variants (e.g. long s 'ſ', special letter forms)."]
+    assert one(spark, T.prompt(F.col("t"), F.lit("B")), t="Read. {conventions}") == "Read. B"
+    assert one(spark, T.prompt(F.col("t"), F.lit("")), t="Read. {conventions}") == "Read."
