@@ -194,7 +194,7 @@ def nearest(
                 arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
-    met = index.join(blocks, "block").select("codes", "norms", "x", "counts", "ids", "query_ids", "queries")
+    met = index.join(blocks.hint("merge"), "block").select("codes", "norms", "x", "counts", "ids", "query_ids", "queries")
     met = met.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     found = met.mapInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
