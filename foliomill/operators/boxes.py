@@ -43,7 +43,8 @@ def assigned(lines: DataFrame, zones: DataFrame, page: list[str], *, least: floa
     met = _meetings(lines, zones, page, band).withColumn("iou", G.iou(F.col("a.box"), F.col("b.box")))
     best = F.max_by(F.struct(F.col("b.idx").alias("zone"), "iou"), F.struct("iou", -F.col("b.idx")))
     met = met.filter(F.col("iou") >= least).groupBy(*page, F.col("a.idx").alias("idx")).agg(best.alias("best"))
-    return lines.join(met, [*page, "idx"], "left").select(*[lines[c] for c in lines.columns], "best.zone", "best.iou")
+    lines = lines.drop("zone", "iou")
+    return lines.join(met, [*page, "idx"], "left").select(*lines.columns, "best.zone", "best.iou")
 
 
 def link_table(truth: DataFrame, found: DataFrame, page: list[str], *, band: int | None = None) -> DataFrame:

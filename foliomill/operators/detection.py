@@ -56,7 +56,7 @@ def hits(truth: DataFrame, found: DataFrame, page: Sequence[str], thresholds: Se
         return made(rows)
 
     truth = truth.select(*page, "idx", "box")
-    found = found.select(*page, F.col("idx").alias("found_idx"), F.col("box").alias("found_box"), "confidence")
+    found = found.select(*[F.col(c).alias(c) for c in page], F.col("idx").alias("found_idx"), F.col("box").alias("found_box"), "confidence")
     return truth.groupBy(*page).cogroup(found.groupBy(*page)).applyInArrow(run, kinds)
 
 
@@ -305,6 +305,7 @@ def zone_map(truth: DataFrame, found: DataFrame, page: Sequence[str], **options)
         stats = page_stats(zones(t), zones(f), **options)
         return made([(*key, *(stats[c] for c in STATS))])
 
+    found = found.select(*[F.col(c).alias(c) for c in (*page, "idx", "boundary", "baseline", "text")])  # may be truth itself
     return truth.groupBy(*page).cogroup(found.groupBy(*page)).applyInArrow(run, kinds)
 
 

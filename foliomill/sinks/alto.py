@@ -130,7 +130,7 @@ def rendered(pages: DataFrame, blocks: DataFrame, lines: DataFrame, page: Sequen
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", block.alias("xml")))), lambda x: x["xml"]), "").alias("blocks"),
         F.array_join(F.array_sort(F.collect_set(entry)), "").alias("entries"),
     )
-    rows = pages.join(rows, page, "left")
+    rows = pages.select(*page, "image", "width", "height").join(rows, page, "left")
     size = {"HEIGHT": F.col("height"), "WIDTH": F.col("width")}
     layout = element("Page", {"ID": F.lit("page1"), "PHYSICAL_IMG_NR": F.lit(1), **size}, element("PrintSpace", {**size, "VPOS": F.lit(0), "HPOS": F.lit(0)}, F.coalesce("blocks", F.lit(""))))
     head = F.concat(F.lit("<Description><MeasurementUnit>pixel</MeasurementUnit><sourceImageInformation><fileName>"), escaped(F.coalesce("image", F.lit(""))), F.lit("</fileName></sourceImageInformation></Description>"))

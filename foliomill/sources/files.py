@@ -12,7 +12,7 @@ SPLITS = {"train": ("train", "training"), "val": ("val", "valid", "validation",
 
 
 def listed(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """(path, folder, stem, ending, depth) of files in root (depth 0) and its folders that are not hidden (depth 1)."""
+    """(path, folder, stem, ending, depth) of files in root (depth 0) and its folders that are not hidden (depth 1). Spark lists no empty files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
     path = F.url_decode(F.col("_metadata.file_path"))
     rows = files.select(path.alias("path"))
@@ -46,7 +46,7 @@ def paired(pages: DataFrame, images: DataFrame) -> DataFrame:
     root = best.filter("folder is null").select(F.col("stem").alias("_stem2"), F.col("image").alias("_root"))
     rows = pages.join(own, F.col("folder").eqNullSafe(F.col("_folder")) & (F.col("stem") == F.col("_stem")), "left")
     rows = rows.join(root, F.col("stem") == F.col("_stem2"), "left")
-    return rows.select(*[pages[c] for c in pages.columns], F.coalesce("_own", "_root").alias("image"))
+    return rows.select(*pages.columns, F.coalesce("_own", "_root").alias("image"))
 
 
 def splits(files: DataFrame) -> DataFrame:
