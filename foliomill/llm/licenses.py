@@ -182,6 +182,18 @@ def verified(text_words: list, spans, templates: list[list], least: float) -> li
     return out
 
 
+def undisputed(found: list[tuple[int, int, int, float]], labels: list[str]) -> list[tuple[int, int, int, float]]:
+    """Spans without those that share words with a more similar (then longer) span of another label.
+
+    Licenses of a family differ in a word or two, so the text of one is also near to the others' templates.
+    """
+    kept: list[tuple[int, int, int, float]] = []
+    for x in sorted(found, key=lambda x: (-x[3], x[1] - x[2], x[0], x[1])):
+        if all(labels[x[0]] == labels[y[0]] or x[2] < y[1] or y[2] < x[1] for y in kept):
+            kept.append(x)
+    return sorted(kept)
+
+
 def base_places(joined: bytes, phrases: Mapping[bytes, str]) -> list[tuple[int, str]]:
     """(first word, label) of every place where a phrase's words stand one after the other."""
     out, padded = [], b" " + joined + b" "
@@ -199,7 +211,7 @@ def scan(
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """A row for each document: doc_id, n_words, places (first word and label of each base phrase), spans
-    (label, first, last, similarity: verified), labels (sorted, distinct, of both), score.
+    (label, first, last, similarity: verified and undisputed), labels (sorted, distinct, of both), score.
 
     score is 1 where a base phrase stands, else the largest similarity of a span, else 0. Null and empty texts
     have no words and no labels. Repeated rows each give a row; null ids are kept. An empty table gives
@@ -217,6 +229,7 @@ def scan(
                 own = words(text)
                 hits = base_places(b" ".join(own), base) if own else []
                 good = verified(own, [(c["template"], c["first"], c["last"]) for c in candidates or ()], wanted, least)
+                good = undisputed(good, names)
                 n_words.append(len(own))
                 places.append([{"word": at, "label": label} for at, label in hits])
                 spans.append([{"label": names[t], "first": a, "last": b, "similarity": s} for t, a, b, s in good])

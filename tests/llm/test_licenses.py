@@ -93,3 +93,9 @@ def test_real_documents(spark):
         known = bool(re.search("licen[sc]e|CC BY", texts[r.doc_id], re.I))
         assert bool(r.labels) == known
     assert np.isfinite([r.score for r in rows]).all()
+
+
+def test_licenses_of_a_family(spark):
+    texts = {i: f"{FILLER}\n{text}. {FILLER}" for i, (_, text) in enumerate(licenses.TEMPLATES)}
+    rows = licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.labels for r in rows} == {i: [label] for i, (label, _) in enumerate(licenses.TEMPLATES)}
