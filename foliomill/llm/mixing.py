@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ from pyspark.sql.window import Window
 
 from foliomill.llm import common
 
-#: The schedule is broadcast up to this many of its numbers (4 MB), and joined by source beyond.
+#: The schedule is broadcast up to this many of its numbers (8 MB), and joined by source and run of blocks beyond.
 BROADCAST_NUMBERS = 1_000_000
 
 
@@ -27,77 +28,97 @@ def quantised(weights: Mapping[str, float], units: int) -> dict[str, int]:
     return out
 
 
-def phases(blocks: Mapping[str, int], weights: Mapping[str, float], cycle: int = 1024) -> list[tuple[dict[str, int], int]]:
-    """(blocks of each source in a cycle, number of such cycles), one after the other.
+class Blocks(dict):
+    """Blocks of each source, with the whole-numbered weights they are dealt by."""
 
-    While a set of sources has blocks, cycles hold them by their weights. Where a source has fewer left than
-    its share, one shorter cycle ends it; the others go on by their weights among themselves. Sources
-    without a weight follow when all others have ended, by their sizes.
+    def __init__(self, blocks: Mapping[str, int], weights: Mapping[str, int]):
+        super().__init__(blocks)
+        self.weights = dict(weights)
+
+
+def phases(blocks: Mapping[str, int], weights: Mapping[str, float], cycle: int = 1024) -> list[tuple[Blocks, int]]:
+    """(blocks of each source, 1), one after the other: the sources with a weight, then those without.
+
+    Sources without a weight are dealt by their sizes.
     """
-    left, out = {s: n for s, n in blocks.items() if n > 0}, []
-    while left:
-        active = {s: weights[s] for s in left if weights.get(s, 0) > 0} or {s: float(blocks[s]) for s in left}
-        share = quantised(active, max(cycle, 4 * len(active)))
-        if whole := min(left[s] // share[s] for s in active):
-            out.append((share, whole))
-        last = {s: min(share[s], left[s] - whole * share[s]) for s in active}
-        last = {s: n for s, n in last.items() if n}
-        if last:
-            out.append((last, 1))
-        for s in active:
-            left[s] -= whole * share[s] + last.get(s, 0)
-        left = {s: n for s, n in left.items() if n}
-    return out
+    left = {s: n for s, n in blocks.items() if n > 0}
+    heavy = {s: weights[s] for s in left if weights.get(s, 0) > 0}
+    light = {s: n for s, n in left.items() if s not in heavy}
+    out = [(Blocks({s: left[s] for s in heavy}, quantised(heavy, max(cycle, 4 * len(heavy)))), 1)] if heavy else []
+    return out + ([(Blocks(light, light), 1)] if light else [])
 
 
-def schedule(share: Mapping[str, int]) -> dict[str, list[int]]:
-    """The slots of each source's blocks in one cycle.
+def _window_ends(blocks: Mapping[str, int], weights: Mapping[str, int], source: str) -> Iterator[tuple[int, int]]:
+    """(floor, ceiling) of the times at which a fluid mix has had 0, 1, 2, ... blocks of source.
 
-    Block k of a source with n blocks in a cycle of L slots is released at floor(k L / n) and due by
-    ceil((k + 1) L / n). Taking the earliest deadline among released blocks meets every deadline, so after
-    t slots a source has had more than t n / L - 1 and less than t n / L + 1 blocks.
+    The fluid mix takes one block a slot, of all sources that last, by their weights. It has had k blocks of a
+    source of weight w when it has had k / w * v of any other of weight v, or all of it.
     """
-    length = sum(share.values())
-    slots: dict[str, list[int]] = {s: [] for s in share}
-    waiting = [(0, s) for s in sorted(share)]  # (release, source) of each source's next block
+    own, active, ended = weights[source], sum(weights[s] for s in blocks), 0
+    ends = sorted((s for s in blocks if s != source), key=lambda s: Fraction(blocks[s], weights[s]))
+    i = 0
+    for k in range(blocks[source] + 1):
+        while i < len(ends) and k * weights[ends[i]] >= blocks[ends[i]] * own:
+            ended, active, i = ended + blocks[ends[i]], active - weights[ends[i]], i + 1
+        yield ended + k * active // own, ended - (-k * active // own)
+
+
+def dealt(blocks: Mapping[str, int], weights: Mapping[str, int]) -> Iterator[str]:
+    """The source of each slot.
+
+    A block is released at the slot in which the fluid mix starts it and due by the end of that in which it ends.
+    Taking the earliest deadline among released blocks meets every deadline, so after any number of slots
+    a source has had less than one block more or less than in the fluid mix, also where others have ended.
+    """
+    windows = {s: _window_ends(blocks, weights, s) for s in blocks}
+    release = {s: next(w)[0] for s, w in windows.items()}
+    waiting = [(release[s], s) for s in sorted(blocks)]  # (release, source) of each source's next block
     heapq.heapify(waiting)
     ready: list[tuple[int, str]] = []
-    for t in range(length):
+    left = dict(blocks)
+    for t in range(sum(blocks.values())):
         while waiting and waiting[0][0] <= t:
             s = heapq.heappop(waiting)[1]
-            heapq.heappush(ready, (-(-(len(slots[s]) + 1) * length // share[s]), s))
+            release[s], due = next(windows[s])
+            heapq.heappush(ready, (due, s))
         due, s = heapq.heappop(ready)
         assert t < due, "a deadline was missed"
+        yield s
+        left[s] -= 1
+        if left[s]:
+            heapq.heappush(waiting, (release[s], s))
+
+
+def schedule(share: Mapping[str, int]) -> dict[str, list[int]]:
+    """The slots of each source's blocks; without weights of their own, blocks are dealt by their numbers."""
+    slots: dict[str, list[int]] = {s: [] for s in share}
+    for t, s in enumerate(dealt(share, getattr(share, "weights", share))):
         slots[s].append(t)
-        if (k := len(slots[s])) < share[s]:
-            heapq.heappush(waiting, (k * length // share[s], s))
     return slots
 
 
-def _plan(spark, steps: list[tuple[dict[str, int], int]]) -> DataFrame:
-    """For each source an array of its phases: blocks first to last, per cycle n, slots from base, cycle
-    length, and the slots of the n blocks. Each phase's cycle is scheduled in a task of its own."""
-    rows, base, first = [], 0, {}
-    for share, cycles in steps:
-        length = sum(share.values())
-        names = sorted(share)
-        rows.append((names, [share[s] for s in names], [first.get(s, 0) for s in names], cycles, base, length))
-        for s in names:
-            first[s] = first.get(s, 0) + share[s] * cycles
-        base += length * cycles
+def _plan(spark, steps: list[tuple[Blocks, int]], cycle: int) -> DataFrame:
+    """(source, part, slots): the slots of cycle blocks of a source, the part-th such run of them. A task deals a step
+    slot by slot and keeps at most one run of each source."""
+    bases = [sum(sum(share.values()) for share, _ in steps[:i]) for i in range(len(steps))]
 
     def run(batches):
         for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                slots = schedule({s: int(n) for s, n in zip(r.names, r.n, strict=True)})
-                for s, n, a in zip(r.names, r.n, r.first, strict=True):
-                    p = {"first": a, "last": a + n * r.cycles, "n": n, "base": r.base, "length": r.length, "slots": slots[s]}
-                    yield pd.DataFrame([{"source": s, "phase": p}])
-
-    kinds = "names array<string>, n array<long>, first array<long>, cycles long, base long, length long"
-    phase = "phase struct<first: long, last: long, n: long, base: long, length: long, slots: array<int>>"
-    found = spark.createDataFrame(rows, kinds).repartition(max(1, len(rows))).mapInPandas(run, f"source string, {phase}")
-    return found.groupBy("source").agg(F.array_sort(F.collect_list("phase")).alias("phases"))
+            for i in pdf["id"]:
+                share, base = steps[i][0], bases[i]
+                slots, part, rows = {s: [] for s in share}, dict.fromkeys(share, 0), []
+                for t, s in enumerate(dealt(share, share.weights), base):
+                    slots[s].append(t)
+                    if len(slots[s]) == cycle:
+                        rows.append((s, part[s], slots[s]))
+                        slots[s], part[s] = [], part[s] + 1
+                    if len(rows) == 64:
+                        yield pd.DataFrame(rows, columns=["source", "part", "slots"])
+                        rows = []
+                rows += [(s, part[s], x) for s, x in slots.items() if x]
+                yield pd.DataFrame(rows, columns=["source", "part", "slots"])
+
+    return spark.range(0, len(steps), 1, max(1, len(steps))).mapInPandas(run, "source string, part long, slots array<long>")
 
 
 def mix(
@@ -108,13 +129,14 @@ def mix(
 
     A source's rows, in the order of a hash and then the id, are cut into blocks of block_bytes (UTF-8
     bytes of the text plus 1; a row belongs where it begins). Blocks are laid out by Pfair windows and
-    earliest deadlines, so at any point a source's share differs from its weight by less than one block,
-    as long as all sources last. A source that ends leaves the others their weights among themselves: every
-    row comes once, none is repeated or dropped. Weights are rounded to 1 / cycle.
+    earliest deadlines, so at any point a source's blocks differ from what its weight asks for by less than
+    one. A source that ends leaves the others their weights among themselves: every row comes once, none is
+    repeated or dropped. Weights are rounded to 1 / cycle.
 
     weights: by source; without them, each source's bytes to the power of temperature. A null source is a
-    source of its own. Only a row for each source and the cycle's slots are planned outside tasks: a
-    source is a small dimension here. Rows stay in Spark: running sums within (hash part, source), whose
+    source of its own. Sources without a weight come when all others have ended. The driver has a row for each
+    source, a small dimension here; a task deals the slots, which become a table with a row for each
+    cycle blocks of a source. Rows stay in Spark: running sums within (hash part, source), whose
     totals give each part's offset, so a source with most of the rows is spread over all parts.
 
     Adds block_, slot_ and size_ (input columns of these names are replaced). Null texts and null ids are
@@ -138,21 +160,18 @@ def mix(
     else:
         target = {"n" if s is None else f"s{s}": w for s, w in weights.items()}
     steps = phases(blocks, target, cycle)
-    plan = _plan(spark, steps).withColumnRenamed("source", "_source")
-    if sum(sum(share.values()) for share, _ in steps) <= BROADCAST_NUMBERS:
+    n_slots = sum(blocks.values())
+    plan = _plan(spark, steps, cycle).withColumnsRenamed({"source": "_source", "part": "_run"})
+    if n_slots <= BROADCAST_NUMBERS:
         plan = F.broadcast(plan)
 
     inside = Window.partitionBy("_part", "_source").orderBy("_hash", id_col).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_start", F.coalesce(F.sum("size_").over(inside), F.lit(0))).join(offsets, ["_part", "_source"])
     rows = rows.withColumn("_start", F.col("_start") + F.col("_offset"))
-    rows = rows.withColumn("block_", F.floor(F.col("_start") / block_bytes)).join(plan, "_source")
-    rows = rows.withColumn("_p", F.filter("phases", lambda p: (F.col("block_") >= p["first"]) & (F.col("block_") < p["last"]))[0])
-    k = F.col("block_") - F.col("_p.first")
-    cycle_at = F.floor(k / F.col("_p.n"))
-    slot = F.col("_p.base") + cycle_at * F.col("_p.length") + F.get(F.col("_p.slots"), (k - cycle_at * F.col("_p.n")).cast("int"))
-    rows = rows.withColumn("slot_", slot).drop("phases", "_p")
-    n_slots = max(1, sum(sum(share.values()) * cycles for share, cycles in steps))
+    rows = rows.withColumn("block_", F.floor(F.col("_start") / block_bytes)).withColumn("_run", F.floor(F.col("block_") / cycle))
+    rows = rows.join(plan, ["_source", "_run"])
+    rows = rows.withColumn("slot_", F.get("slots", (F.col("block_") % cycle).cast("int"))).drop("slots")
     n_out = max(parts, -(-sum(by_source.values()) // (64 << 20)))
-    at = F.floor(F.col("slot_") * n_out / n_slots).cast("int")
+    at = F.floor(F.col("slot_") * n_out / max(1, n_slots)).cast("int")
     rows = rows.repartitionById(n_out, at).sortWithinPartitions("slot_", "_start")
     return rows.select(*kept, *added)

@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 from foliomill.llm import mixing
 
@@ -88,3 +89,46 @@ def test_plain_join_beyond_the_broadcast_bound(spark, monkeypatch):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(docs).count() == 0
+
+
+def fluid_deviation(blocks, weights, order):
+    """The most blocks that any source is ahead of or behind a fluid mix by the weights, after any slot."""
+    w = {s: Fraction(weights[s]) for s in blocks}
+    ends = sorted(blocks, key=lambda s: blocks[s] / w[s])
+    left, had, time, at, worst = dict(blocks), Counter(), Fraction(0), Fraction(0), 0.0  # at: fluid blocks for each unit of weight
+    active = sum(w.values())
+    for t, s in enumerate(order, 1):
+        had[s] += 1
+        while ends and time + (blocks[ends[0]] / w[ends[0]] - at) * active <= t:
+            e = ends.pop(0)
+            time, at, active = time + (blocks[e] / w[e] - at) * active, blocks[e] / w[e], active - w[e]
+        now = float(at + (t - time) / active) if ends else float(at)
+        worst = max(worst, max(abs(had[x] - min(float(w[x]) * now, blocks[x])) for x in left))
+    return worst
+
+
+def whole_order(blocks, weights):
+    order = []
+    for share, cycles in mixing.phases(blocks, weights):
+        order += [s for _, s in sorted((t, s) for s, x in mixing.schedule(share).items() for t in x)] * cycles
+    return order
+
+
+def test_small_mixes_keep_the_weights():
+    for times in (1, 5, 20):
+        blocks = {"hot": 129 * times} | {f"s{i}": 13 * times for i in range(20)}
+        order = whole_order(blocks, {s: n**0.7 for s, n in blocks.items()})
+        target = blocks["hot"] ** 0.7 / sum(n**0.7 for n in blocks.values())
+        until = int(min(n / (n**0.7 / sum(m**0.7 for m in blocks.values())) for n in blocks.values()))
+        assert abs(order[:until].count("hot") - until * target) < 2
+    order = whole_order({"a": 600, "b": 200}, {"a": 1, "b": 1})
+    assert abs(order[:400].count("a") - 200) <= 1 and order[400:] == ["a"] * 400 and len(order) == 800
+
+
+def test_rows_keep_the_weights_at_several_sizes(spark):
+    for n in (40, 150):
+        rows = [(i, "x" * 999, "hot" if i % 3 == 0 else f"s{i % 4}") for i in range(12 * n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+        weights = {"hot": 1, "s0": 1, "s1": 1, "s2": 1, "s3": 1}
+        got = [r.source for r in mixing.mix(docs, weights, block_bytes=1000).collect()]
+        assert fluid_deviation(Counter(got), weights, got) < 2  # blocks here are a row; the weights are rounded or exact
