@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator, Mapping
 from fractions import Fraction
 
@@ -18,7 +19,7 @@ BROADCAST_NUMBERS = 1_000_000
 
 
 def quantised(weights: Mapping[str, float], units: int) -> dict[str, int]:
-    """Whole units for each weight, 1 at least, that sum to units (or one for each, if those are more)."""
+    """Whole units for each weight, 1 at least, that sum to units (or one for each, if those are more). mix does not round."""
     total, units = sum(weights.values()), max(units, len(weights))
     exact = {s: w / total * (units - len(weights)) for s, w in weights.items()}
     out = {s: 1 + int(x) for s, x in exact.items()}
@@ -36,15 +37,22 @@ class Blocks(dict):
         self.weights = dict(weights)
 
 
+def exact(weights: Mapping[str, float]) -> dict[str, int]:
+    """Whole numbers in the very proportions of the weights."""
+    as_fractions = {s: Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in as_fractions.values()))
+    return {s: int(x * scale) for s, x in as_fractions.items()}
+
+
 def phases(blocks: Mapping[str, int], weights: Mapping[str, float], cycle: int = 1024) -> list[tuple[Blocks, int]]:
     """(blocks of each source, 1), one after the other: the sources with a weight, then those without.
 
-    Sources without a weight are dealt by their sizes.
+    Sources without a weight are dealt by their sizes. Weights are not rounded, whatever the cycle.
     """
     left = {s: n for s, n in blocks.items() if n > 0}
     heavy = {s: weights[s] for s in left if weights.get(s, 0) > 0}
     light = {s: n for s, n in left.items() if s not in heavy}
-    out = [(Blocks({s: left[s] for s in heavy}, quantised(heavy, max(cycle, 4 * len(heavy)))), 1)] if heavy else []
+    out = [(Blocks({s: left[s] for s in heavy}, exact(heavy)), 1)] if heavy else []
     return out + ([(Blocks(light, light), 1)] if light else [])
 
 
@@ -131,7 +139,7 @@ def mix(
     bytes of the text plus 1; a row belongs where it begins). Blocks are laid out by Pfair windows and
     earliest deadlines, so at any point a source's blocks differ from what its weight asks for by less than
     one. A source that ends leaves the others their weights among themselves: every row comes once, none is
-    repeated or dropped. Weights are rounded to 1 / cycle.
+    repeated or dropped. Weights are taken as they are, not rounded.
 
     weights: by source; without them, each source's bytes to the power of temperature. A null source is a
     source of its own. Sources without a weight come when all others have ended. The driver has a row for each

@@ -131,4 +131,19 @@ def test_rows_keep_the_weights_at_several_sizes(spark):
         docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
         weights = {"hot": 1, "s0": 1, "s1": 1, "s2": 1, "s3": 1}
         got = [r.source for r in mixing.mix(docs, weights, block_bytes=1000).collect()]
-        assert fluid_deviation(Counter(got), weights, got) < 2  # blocks here are a row; the weights are rounded or exact
+        assert fluid_deviation(Counter(got), weights, got) < 1.001  # a block is a row here
+
+
+def test_rounding_does_not_add_up():
+    blocks = {"hot": 9500} | {f"s{i}": 960 + 7 * i for i in range(20)}
+    weights = {s: n**0.7 for s, n in blocks.items()}
+    assert fluid_deviation(blocks, weights, whole_order(blocks, weights)) < 1.001
+    blocks, weights = {"a": 20000, "b": 13000, "c": 90}, {"a": 0.6, "b": 0.39999, "c": 1e-5}
+    order = whole_order(blocks, weights)
+    assert fluid_deviation(blocks, weights, order) < 1.001
+    assert order[:30000].count("c") <= 1
+    draw = random.Random(11)
+    for _ in range(40):
+        blocks = {f"s{i}": draw.choice([1, 3, 50, 400]) for i in range(draw.randint(1, 15))}
+        weights = {s: draw.choice([1e-6, 0.3, 1, 2.5, 1e4]) * draw.random() for s in blocks}
+        assert fluid_deviation(blocks, weights, whole_order(blocks, weights)) < 1.001
