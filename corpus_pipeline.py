@@ -34,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences, with their ids."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    """Pieces of training sequences, with their ids. Sequences are numbered along the order in which docs were written."""
+    return packing.pack(common.in_written_order(docs.select("doc_id", "text")), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
 STAGES = [

@@ -7,6 +7,7 @@ import re
 import uuid
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,23 @@ def written(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)  # a table without rows may have no file
 
 
+def in_written_order(df: DataFrame) -> DataFrame:
+    """The rows of df, a table read from Parquet part files, in partitions and rows in the order they were written.
+
+    Spark's scan takes files by their lengths, so its partitions are in no order. Rows that are not read from files have
+    no place in one and stay as they are. This shuffles the rows once.
+    """
+    name, place = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    number = F.regexp_extract(name, r"^part-(\d+)", 1).cast("long")  # names are of five digits or more
+    try:
+        placed = df.withColumns({"_number": number, "_name": name, "_place": place})
+    except AnalysisException:
+        return df
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
+    placed = placed.repartitionByRange(n, "_number", "_name", "_place")
+    return placed.sortWithinPartitions("_number", "_name", "_place").drop("_number", "_name", "_place")
+
+
 def text_size(text: str = "text") -> Column:
     """UTF-8 bytes of the text (null: none) plus 1, so that empty documents count too."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1

@@ -5,7 +5,8 @@ from collections import defaultdict
 import corpus_pipeline as pipeline
 import numpy as np
 import public_tokenizers
-from foliomill.llm import quality
+from foliomill.llm import common, mixing, packing, quality
+from pyspark.sql import functions as F
 from test_quality import plain_counts
 from test_simhash import plain_print, roots
 from tokenizers import Tokenizer
@@ -73,3 +74,20 @@ def test_run_and_empty_documents(spark, tmp_path):
     spark.read.parquet(f"{SF}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([], spark.read.parquet(f"{SF}/documents.parquet").schema).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_sequences_follow_the_mixing_schedule(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").dropDuplicates(["doc_id"])
+    slots = {r.doc_id: r.slot_ for r in mixing.mix(docs).select("doc_id", "slot_").collect()}
+    mixed = pipeline.mix_sources(spark, docs, SF)
+    order = [r.doc_id for r in mixed.select("doc_id").collect()]
+    mixed.write.parquet(f"{tmp_path}/mixed")
+    again = spark.read.parquet(f"{tmp_path}/mixed")
+    assert [r.doc_id for r in common.in_written_order(again).collect()] == order
+    assert common.in_written_order(again).columns == docs.columns
+    spans = {}
+    for r in pipeline.pack_sequences(spark, again, SF).filter(F.col("sequence_id") < packing.MERGED).collect():
+        spans.setdefault(r.sequence_id >> 32, []).append(slots[r.doc_id])
+    assert len(spans) > 1 and len(set(slots.values())) > 4
+    spans = [spans[p] for p in sorted(spans)]
+    assert all(max(a) <= min(b) for a, b in zip(spans, spans[1:]))  # noqa: B905
