@@ -57,15 +57,40 @@ def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
 
+def plain_links(values, most):
+    return {
+        tuple(sorted((signed(a), signed(b))))
+        for i, a in enumerate(values) for b in values[:i] if (a ^ b).bit_count() <= most
+    }
+
+
 def test_links_equal_brute_force(spark):
-    for most, hot, n in ((3, 256, 300), (3, 2, 300), (1, 256, 100), (5, 4, 120)):
+    for most, hot, n in ((3, 256, 300), (3, 2, 300), (0, 256, 60), (1, 256, 100), (2, 256, 200), (2, 3, 200), (4, 5, 160), (5, 4, 120), (6, 256, 120)):
         values = near_values(n, most)
-        want = {
-            tuple(sorted((signed(a), signed(b))))
-            for i, a in enumerate(values) for b in values[:i] if (a ^ b).bit_count() <= most
-        }
+        want = plain_links(values, most)
         got = simhash.links(spark.createDataFrame([(signed(v),) for v in values], "fp long"), most, hot).collect()
-        assert len(got) == len(want) and {(r.u, r.v) for r in got} == want
+        assert len(got) == len(want) and {(r.u, r.v) for r in got} == want, most
+
+
+def test_links_across_every_split_of_the_bits(spark):
+    at = ((0, 1), (0, 63), (31, 32), (15, 16, 47, 48), (0, 1, 2, 3), (0, 21, 42, 63), (20, 21, 41, 42, 62, 63))
+    for most in (2, 4, 6):
+        values = sorted({0} | {sum(1 << b for b in bits) for bits in at})
+        got = simhash.links(spark.createDataFrame([(v,) for v in map(signed, values)], "fp long"), most).collect()
+        assert {(r.u, r.v) for r in got} == plain_links(values, most)
+
+
+def test_links_of_a_dense_group_in_small_batches(spark):
+    """Fingerprints that agree in their upper half: its variants are hot, and groups go on from batch to batch."""
+    draw = random.Random(9)
+    values = sorted({(7 << 40) | draw.getrandbits(11) for _ in range(900)} | {draw.getrandbits(64) for _ in range(50)})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = simhash.links(spark.createDataFrame([(signed(v),) for v in [*values, values[0]]] + [(None,)], "fp long"), 3, 16).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = plain_links(values, 3)
+    assert len(got) == len(want) and {(r.u, r.v) for r in got} == want
 
 
 def test_components_of_a_path_and_a_star(spark):
