@@ -16,9 +16,14 @@ LOCAL_FOLDER = "/tmp/checkpoints"
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir, the folder that the driver and all executors share."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or LOCAL_FOLDER
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path under spark.checkpoint.dir, the folder that the driver and all executors share.
+
+    Where it is unset, a folder of this machine serves a local master; a cluster has none, which is an error.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    return f"{(base or LOCAL_FOLDER).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
@@ -50,6 +55,28 @@ def in_written_order(df: DataFrame) -> DataFrame:
     return placed.sortWithinPartitions("_number", "_name", "_place").drop("_number", "_name", "_place")
 
 
+def placed(df: DataFrame, name: str) -> DataFrame:
+    """df with a column (long) that tells rows apart which are alike, and is the same each time df is computed.
+
+    It is a hash of file and row index. Rows that are not read from Parquet files have no such place and are written first.
+    """
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    try:
+        return df.withColumn(name, place)
+    except AnalysisException:
+        return written(df, "placed").withColumn(name, place)
+
+
+def small(table: DataFrame, most_rows: int) -> DataFrame:
+    """A written table, to be broadcast if it has most_rows or fewer."""
+    return F.broadcast(table) if table.count() <= most_rows else table
+
+
+def parts_for(spark: SparkSession, n_bytes: int, part_bytes: int) -> int:
+    """Partitions for n_bytes: the session's number of shuffle partitions, and more where a part would exceed part_bytes."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // part_bytes))
+
+
 def text_size(text: str = "text") -> Column:
     """UTF-8 bytes of the text (null: none) plus 1, so that empty documents count too."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
@@ -78,21 +105,29 @@ class Encoder:
     """Encodes texts with a tokenizer file of the tokenizers library, as little-endian 32-bit ids.
 
     A tokenizer that drops white space and never joins what stands on both sides of it gives a text
-    the ids of its words, one after the other. For those (told by probing), each word is encoded once
-    and then looked up; any other tokenizer encodes each text as it is.
+    the ids of its words, one after the other. For those (told by probing, and by comparing a worker's first texts with
+    encoding them whole), each word is encoded once and then looked up; any other tokenizer encodes each text as it is.
     """
 
     #: A run of letters that normalisation leaves alone and that is one pre-token, then other signs.
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+    LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
+    PLAIN = re.compile(f"([{LETTERS}]+)([{SIGNS}]*)")
 
-    def __init__(self, path: str, cached_words: int = 150_000):
+    def __init__(self, path: str, cached_words: int = 150_000, compared: int = 1 << 18):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.compared = Tokenizer.from_file(path), compared  # compared: signs of texts that are yet to be encoded both ways
         ids = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         probes = ("Ab", "c,", "ét", "don't", "x1", "́e", "!?")
         self.by_word = ids("  " + " \n\t".join(probes) + " ") == [i for p in probes for i in ids(p)]
+        letters = [c for c in map(chr, range(0x41, 0x100)) if re.match(f"[{self.LETTERS}]", c)]
+        pieces = lambda text: [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        whole = lambda text: len(pieces(text)) == 1
+        self.plain = self.by_word and self.tokenizer.pre_tokenizer is not None and all(
+            len(pieces(f"ab{sign}")) == 2 and ids(f"ab{sign}") == ids("ab") + ids(sign) for sign in self.SIGNS
+        ) and all(whole(f"a{c}b") and ids(f"{c}.") == ids(c) + ids(".") for c in letters)
+        self.folds = all(ids(t) == ids(t.lower()) for c in letters for t in (c, f"a{c}b"))
         self.words, self.stems = WordCache(cached_words), WordCache(cached_words)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # of the last id of a pre-token
@@ -101,9 +136,17 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; null gives none."""
-        if not self.by_word:
-            found = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
-            return [np.array(x.ids, "<u4").tobytes() for x in found]
+        if self.by_word and self.compared > 0:
+            some = [t for t in texts if t and len(t) <= self.compared][:50]
+            self.compared -= sum(map(len, some))
+            self.by_word = self._whole(some) == self._words(some)
+        return self._words(texts) if self.by_word else self._whole(texts)
+
+    def _whole(self, texts: list[str | None]) -> list[bytes]:
+        found = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _words(self, texts: list[str | None]) -> list[bytes]:
         split = [t.encode().split() if t else [] for t in texts]  # bytes are split at ASCII white space only
         self._learn(self.words.missing(set().union(*split)))
         known = self.words.new.__getitem__
@@ -112,8 +155,8 @@ class Encoder:
     def _learn(self, words: list[bytes]) -> None:
         plain, other = [], []
         for w in words:
-            if m := self.PLAIN.fullmatch(text := w.decode()):
-                plain.append((w, m[1].lower(), m[2]))
+            if (m := self.PLAIN.fullmatch(text := w.decode())) and self.plain:
+                plain.append((w, m[1].lower() if self.folds else m[1], m[2]))
             else:
                 other.append((w, text))
         parts = {s for _, stem, signs in plain for s in (stem, signs) if s}
@@ -124,9 +167,8 @@ class Encoder:
         for w, stem, signs in plain:
             self.words.new[w] = at[stem] + at[signs] if signs else at[stem]
         for i in range(0, len(other), 1000):
-            found = self.tokenizer.encode_batch([t for _, t in other[i : i + 1000]], add_special_tokens=False)
-            for (w, _), x in zip(other[i : i + 1000], found, strict=True):
-                self.words.new[w] = np.array(x.ids, "<u4").tobytes()
+            for (w, _), ids in zip(other[i : i + 1000], self._whole([t for _, t in other[i : i + 1000]]), strict=True):
+                self.words.new[w] = ids
 
     def _pieces(self, pretokens: list[str]) -> list[bytes]:
         """The ids of each pre-token. Hundreds are encoded in one call; a last id tells where each ends."""
@@ -139,8 +181,7 @@ class Encoder:
                 flat, cuts = ids.tobytes(), (cuts * 4).tolist()
                 out += [flat[a:b] for a, b in zip([0, *cuts], cuts)]  # noqa: B905
             else:
-                found = self.tokenizer.encode_batch(part, add_special_tokens=False)
-                out += [np.array(x.ids, "<u4").tobytes() for x in found]
+                out += self._whole(part)
         return out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping
 from fractions import Fraction
 
@@ -18,17 +19,6 @@ from foliomill.llm import common
 BROADCAST_NUMBERS = 1_000_000
 
 
-def quantised(weights: Mapping[str, float], units: int) -> dict[str, int]:
-    """Whole units for each weight, 1 at least, that sum to units (or one for each, if those are more). mix does not round."""
-    total, units = sum(weights.values()), max(units, len(weights))
-    exact = {s: w / total * (units - len(weights)) for s, w in weights.items()}
-    out = {s: 1 + int(x) for s, x in exact.items()}
-    rest = units - sum(out.values())
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[:rest]:
-        out[s] += 1
-    return out
-
-
 class Blocks(dict):
     """Blocks of each source, with the whole-numbered weights they are dealt by."""
 
@@ -56,19 +46,29 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, float], cycle: int =
     return out + ([(Blocks(light, light), 1)] if light else [])
 
 
-def _window_ends(blocks: Mapping[str, int], weights: Mapping[str, int], source: str) -> Iterator[tuple[int, int]]:
-    """(floor, ceiling) of the times at which a fluid mix has had 0, 1, 2, ... blocks of source.
+class Fluid:
+    """The fluid mix: one block a slot, of all sources that last, by their weights.
 
-    The fluid mix takes one block a slot, of all sources that last, by their weights. It has had k blocks of a
-    source of weight w when it has had k / w * v of any other of weight v, or all of it.
+    It has had x * w blocks of a source of weight w, or all of it, at a time that grows by straight pieces in x; a piece
+    ends where a source does.
     """
-    own, active, ended = weights[source], sum(weights[s] for s in blocks), 0
-    ends = sorted((s for s in blocks if s != source), key=lambda s: Fraction(blocks[s], weights[s]))
-    i = 0
-    for k in range(blocks[source] + 1):
-        while i < len(ends) and k * weights[ends[i]] >= blocks[ends[i]] * own:
-            ended, active, i = ended + blocks[ends[i]], active - weights[ends[i]], i + 1
-        yield ended + k * active // own, ended - (-k * active // own)
+
+    def __init__(self, blocks: Mapping[str, int], weights: Mapping[str, int]):
+        order = sorted(blocks, key=lambda s: Fraction(blocks[s], weights[s]))
+        self.ends = [Fraction(blocks[s], weights[s]) for s in order]
+        self.ended, self.active = [0], [sum(weights[s] for s in blocks)]
+        for s in order:
+            self.ended.append(self.ended[-1] + blocks[s])
+            self.active.append(self.active[-1] - weights[s])
+
+    def windows(self, n: int, weight: int) -> Iterator[tuple[int, int]]:
+        """(floor, ceiling) of the times at which it has had 0, 1, ... n blocks of a source."""
+        i = 0
+        for k in range(n + 1):
+            if i < len(self.ends) and k * self.ends[i].denominator >= self.ends[i].numerator * weight:
+                i = bisect_right(self.ends, Fraction(k, weight), i)
+            parts = k * self.active[i]
+            yield self.ended[i] + parts // weight, self.ended[i] - (-parts // weight)
 
 
 def dealt(blocks: Mapping[str, int], weights: Mapping[str, int]) -> Iterator[str]:
@@ -78,7 +78,8 @@ def dealt(blocks: Mapping[str, int], weights: Mapping[str, int]) -> Iterator[str
     Taking the earliest deadline among released blocks meets every deadline, so after any number of slots
     a source has had less than one block more or less than in the fluid mix, also where others have ended.
     """
-    windows = {s: _window_ends(blocks, weights, s) for s in blocks}
+    fluid = Fluid(blocks, weights)
+    windows = {s: fluid.windows(n, weights[s]) for s, n in blocks.items()}
     release = {s: next(w)[0] for s, w in windows.items()}
     waiting = [(release[s], s) for s in sorted(blocks)]  # (release, source) of each source's next block
     heapq.heapify(waiting)
@@ -131,7 +132,7 @@ def _plan(spark, steps: list[tuple[Blocks, int]], cycle: int) -> DataFrame:
 
 def mix(
     docs: DataFrame, weights: Mapping[str | None, float] | None = None, *, temperature: float = 0.7, block_bytes: int = 1 << 18,
-    cycle: int = 1024, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    cycle: int = 1024, most_sources: int = 100_000, part_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
     """All rows of docs, in partitions and rows ordered by an interleaving of their sources.
 
@@ -143,25 +144,30 @@ def mix(
 
     weights: by source; without them, each source's bytes to the power of temperature. A null source is a
     source of its own. Sources without a weight come when all others have ended. The driver has a row for each
-    source, a small dimension here; a task deals the slots, which become a table with a row for each
-    cycle blocks of a source. Rows stay in Spark: running sums within (hash part, source), whose
-    totals give each part's offset, so a source with most of the rows is spread over all parts.
+    source, most_sources at most (more raise ValueError: a mix is of named sources, not of keys); a task deals the slots,
+    which become a table with a row for each cycle blocks of a source. Rows stay in Spark: running sums within (hash part,
+    source), whose totals give each part's offset. The hash holds the row's place in the input, so neither a source with
+    most of the rows nor rows that are alike gather in one part; there are parts enough for part_bytes each.
 
     Adds block_, slot_ and size_ (input columns of these names are replaced). Null texts and null ids are
-    rows like others; rows that are alike are each kept. An empty table gives no rows.
+    rows like others; a very long text is a block, or several slots' worth, by itself; rows that are alike are each kept,
+    in any order among themselves. An empty table gives no rows. The order lies in partitions and rows: what is written
+    and read again has it by slot_, or by common.in_written_order().
     """
     spark = docs.sparkSession
     added = ("block_", "slot_", "size_")
     kept = [c for c in docs.columns if c not in added]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(*kept, common.text_size(text_col).alias("size_"))
+    rows = common.placed(docs, "_place").select(*kept, common.text_size(text_col).alias("size_"), "_place")
     rows = rows.withColumn("_source", F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), source_col)))
-    rows = rows.withColumn("_hash", F.xxhash64(id_col, text_col)).withColumn("_part", F.pmod("_hash", F.lit(parts)).cast("int"))
+    by_source = {r["_source"]: r["n"] for r in rows.groupBy("_source").agg(F.sum("size_").alias("n")).limit(most_sources + 1).collect()}
+    if len(by_source) > most_sources:
+        raise ValueError(f"over {most_sources} sources")
+    parts = common.parts_for(spark, sum(by_source.values()), part_bytes)
+    rows = rows.withColumn("_hash", F.xxhash64(id_col, text_col, "_place")).withColumn("_part", F.pmod("_hash", F.lit(parts)).cast("int")).drop("_place")
 
     totals = common.written(rows.groupBy("_part", "_source").agg(F.sum("size_").alias("_bytes")), "mix-totals")
     before = Window.partitionBy("_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_part", "_source", F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_offset"))
-    by_source = {r["_source"]: r["n"] for r in totals.groupBy("_source").agg(F.sum("_bytes").alias("n")).collect()}
     blocks = {s: -(-n // block_bytes) for s, n in by_source.items()}
     if weights is None:
         target = {s: n**temperature for s, n in by_source.items()}
@@ -179,7 +185,7 @@ def mix(
     rows = rows.withColumn("block_", F.floor(F.col("_start") / block_bytes)).withColumn("_run", F.floor(F.col("block_") / cycle))
     rows = rows.join(plan, ["_source", "_run"])
     rows = rows.withColumn("slot_", F.get("slots", (F.col("block_") % cycle).cast("int"))).drop("slots")
-    n_out = max(parts, -(-sum(by_source.values()) // (64 << 20)))
+    n_out = parts
     at = F.floor(F.col("slot_") * n_out / max(1, n_slots)).cast("int")
     rows = rows.repartitionById(n_out, at).sortWithinPartitions("slot_", "_start")
     return rows.select(*kept, *added)

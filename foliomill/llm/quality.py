@@ -187,16 +187,18 @@ def fit(
 ) -> list[Rule]:
     """Learn from the texts of labelled documents; quality 0 is what rules reject.
 
-    Sees at most most_labelled labels: those first by a hash of the id, so the sample does not depend
-    on the order of rows. Only their statistics reach the driver. Labels with a null id or quality and
-    those of no document are left out; a document labelled twice, or an id that repeats, counts twice.
+    Sees the labelled documents that come first by a hash of id and text, most_labelled at most, so the sample does not
+    depend on the order of rows; ties of the hash are rows alike. Only their statistics reach the driver. Labels with a
+    null id or quality and those of no document are left out; a document labelled twice, or an id that repeats, counts
+    twice. Very long texts are counted whole.
     """
     sample = labels.filter("doc_id is not null and quality is not null").select(F.col("doc_id").alias("_id"), "quality")
     sample = sample.orderBy(F.xxhash64("_id"), "_id", "quality").limit(most_labelled)
     rows = docs.join(F.broadcast(sample), F.col(id_col) == F.col("_id"))  # most_labelled rows of two numbers
-    rows = rows.select("quality", counts(F.col(text_col)).alias("c"))
+    rows = rows.select("quality", F.xxhash64("_id", text_col).alias("_at"), F.col(text_col).alias("_text"))
+    rows = rows.select("quality", "_at", counts(F.col("_text")).alias("c")).orderBy("_at", "quality", "c").limit(most_labelled)
     found = rows.select("quality", *[STATISTICS[n](lambda c: F.col(f"c.{c}")).alias(n) for n in STATISTICS]).toPandas()
-    found = found.sort_values(list(found.columns), ignore_index=True)  # the same rules however Spark deals the rows
+    found = found.sort_values(list(found.columns), ignore_index=True)  # the same rows however Spark deals the rows
     return learn({n: found[n].to_numpy(float) for n in STATISTICS}, found["quality"].to_numpy() == 0, **kwargs)
 
 
@@ -204,8 +206,9 @@ def judge(docs: DataFrame, rules: list[Rule], *, text_col: str = "text") -> Data
     """docs with a struct column quality_: COUNTS, base_failed, rule (that rejected, or null), kept.
 
     base_failed: under 50 words, or over half of the words repeat in 3-word windows. A document is kept
-    if neither that nor a rule speaks against it. Null and empty texts have no words and fail. Every row
-    gives one row. An input column named quality_ is replaced.
+    if neither that nor a rule speaks against it. Null and empty texts have no words and fail. Very long texts are
+    counted whole. A statistic equal to a threshold counts as "<=". Every row, repeated ones too, gives one row; an empty
+    table gives none. An input column named quality_ is replaced.
     """
     out = docs.withColumn("quality_", counts(F.col(text_col)))
     count = lambda c: F.col(f"quality_.{c}")

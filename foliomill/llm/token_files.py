@@ -16,13 +16,13 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from foliomill.llm import common
+from foliomill.sinks import paths
 
 #: Fixed values of the seekable Zstandard format: skippable frames, the table's footer.
 SKIPPABLE, SEEK_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -105,32 +105,32 @@ class TokenFileReader:
             yield from range(self.nulls + int(a), self.nulls + int(b))
 
 
-def _open(path: str):
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
-
-
 def write_token_files(
-    docs: DataFrame, folder: str, tokenizer: str, *, end_id: int, files: int | None = None,
+    docs: DataFrame, folder: str, tokenizer: str, *, end_id: int, files: int | None = None, file_bytes: int = 256 << 20,
     id_col: str = "doc_id", text_col: str = "text", level: int = 1,
 ) -> DataFrame:
     """Encode every whole text, append end_id, and write the files in ascending order of document id.
 
-    One exchange by ranges of (id, text hash) makes as many files as there are shuffle partitions (or
-    files, if given), so rows that share one id are spread too. Each task writes a file under a name of
-    its attempt; the returned table names those of the attempts that succeeded. Returns: part (files in
-    ascending order), path, n_docs, n_tokens, start (ids in all files before).
+    One exchange by ranges of (id, text hash, place in the input) makes as many files as there are shuffle partitions, more
+    where a file would hold over file_bytes of text (or files, if given). So rows that share one id, and rows that are
+    alike, are spread too. Each task writes a file under a name of its attempt; the returned table names those of the
+    attempts that succeeded. Returns: part (files in ascending order), path, n_docs, n_tokens, start (ids in all files before).
 
-    Null texts are empty and have the end id alone. Documents without id come first. Repeated rows are
-    all kept, side by side. An empty table gives no files. Columns other than the two are not read.
+    folder is named as Spark names it; without a scheme it is on Spark's default file system. Null texts are empty and
+    have the end id alone. A text of 4 GiB of ids and more does not fit a frame and raises ValueError; below that texts
+    are held one batch at a time. Documents without id come first. Ties, and repeated rows, are all kept, side by side.
+    An empty table gives no files. Columns other than the two are not read.
     """
     spark = docs.sparkSession
-    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
-    _open(folder)[0].create_dir(_open(folder)[1], recursive=True)
-    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = paths.qualified(spark, folder)
+    system, base = paths.opened(folder)
+    system.create_dir(base, recursive=True)
+    if files is None:
+        files = common.parts_for(spark, docs.agg(F.sum(common.text_size(text_col))).first()[0] or 0, file_bytes)
     end = np.array([end_id], "<u4").tobytes()
 
     def write(batches):
-        files_system, base = _open(folder)
+        files_system, base = paths.opened(folder)
         context = TaskContext.get()
         path, writer, n_docs, n_tokens = "", None, 0, 0
         encode = common.encoder(tokenizer).encode
@@ -151,8 +151,8 @@ def write_token_files(
             arrays = [pa.array(x, kind) for x, kind in zip(row, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, ["part", "path", "n_docs", "n_tokens"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    order = [F.asc_nulls_first("id"), F.xxhash64("text")]
+    rows = common.placed(docs, "_place").select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), "_place")
+    order = [F.asc_nulls_first("id"), F.xxhash64("text"), F.col("_place")]
     rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
     made = rows.mapInArrow(write, "part long, path string, n_docs long, n_tokens long")
     made = common.written(made, "token-files")  # fixes which attempts' files count
@@ -170,7 +170,7 @@ def read_token_files(files: DataFrame, doc_ids: list[int] | None = None) -> Data
     def read(batches):
         for batch in batches:
             for path, start in zip(batch["path"].to_pylist(), batch["start"].to_pylist(), strict=True):
-                files_system, at = _open(path)
+                files_system, at = paths.opened(path)
                 with files_system.open_input_file(at) as source:
                     reader = TokenFileReader(source)
                     before = start + np.concatenate([[0], np.cumsum(reader.table[:, 1] // 4, dtype=np.int64)])

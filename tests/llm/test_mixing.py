@@ -4,7 +4,9 @@ import random
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import pytest
 from foliomill.llm import mixing
+from pyspark.sql import functions as F
 
 
 def deviation(order, share):
@@ -25,12 +27,6 @@ def test_schedule_deviates_by_less_than_one_block():
         assert deviation(order, share) < 1
 
 
-def test_quantised():
-    assert mixing.quantised({"a": 1.0, "b": 3.0}, 8) == {"a": 3, "b": 5} or sum(mixing.quantised({"a": 1.0, "b": 3.0}, 8).values()) == 8
-    assert sum(mixing.quantised({str(i): 0.1 + i for i in range(50)}, 1024).values()) == 1024
-    assert mixing.quantised({str(i): 1e-9 for i in range(5)}, 2) == {str(i): 1 for i in range(5)}
-
-
 def test_phases_use_all_blocks():
     blocks = {"a": 1000, "b": 70, "c": 3, "d": 0, "e": 11}
     got = Counter()
@@ -39,18 +35,37 @@ def test_phases_use_all_blocks():
     assert got == Counter({s: n for s, n in blocks.items() if n})
 
 
-def brute(rows, weights, block, cycle):
-    """Blocks of each source in the order of the schedule, one slot at a time."""
+def brute(rows, weights, block):
+    """Blocks of each source, by the definition: each slot goes to the released block that is due first.
+
+    A fluid mix is advanced slot by slot in fractions; block k is released in the slot where it starts and due in the one
+    where it ends. Sources without a weight follow by their sizes.
+    """
     sizes = Counter()
     for r in rows:
         sizes[r.source] += r.size_
     key = {s: "n" if s is None else f"s{s}" for s in sizes}
-    order = []
+    blocks = {key[s]: -(-n // block) for s, n in sizes.items()}
     names = {v: k for k, v in key.items()}
-    for share, cycles in mixing.phases({key[s]: -(-n // block) for s, n in sizes.items()}, weights, cycle):
-        slots = mixing.schedule(share)
-        one = [names[s] for _, s in sorted((t, s) for s, x in slots.items() for t in x)]
-        order += one * cycles
+    order = []
+    for own in ({s: Fraction(weights[s]) for s in blocks if s in weights}, {s: Fraction(n) for s, n in blocks.items() if s not in weights}):
+        had, time, crossed = dict.fromkeys(own, Fraction(0)), Fraction(0), {s: [Fraction(0)] for s in own}
+        while any(had[s] < blocks[s] for s in own):
+            live = [s for s in own if had[s] < blocks[s]]
+            rate = {s: own[s] / sum(own[x] for x in live) for s in live}
+            step = min((Fraction(int(had[s]) + 1) - had[s]) / rate[s] for s in live)
+            time += step
+            for s in live:
+                had[s] += rate[s] * step
+                if had[s].denominator == 1 and had[s] == len(crossed[s]):
+                    crossed[s].append(time)
+        got, base = Counter(), len(order)
+        for t in range(sum(blocks[s] for s in own)):
+            ready = [(-(-crossed[s][got[s] + 1] // 1), s) for s in own if got[s] < blocks[s] and crossed[s][got[s]] // 1 <= t]
+            s = min(ready)[1]
+            got[s] += 1
+            order.append(names[s])
+        assert len(order) - base == sum(blocks[s] for s in own)
     return order
 
 
@@ -61,10 +76,10 @@ def test_mix(spark):
     docs = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, source string, slot_ int").repartition(7)
     got = mixing.mix(docs, {"a": 2, "b": 1, None: 1, "c": 1}, block_bytes=500, cycle=8).collect()
     assert sorted(map(str, ((r.doc_id, r.text, r.source) for r in got))) == sorted(map(str, rows))
-    by, start = defaultdict(list), Counter()
+    by = defaultdict(list)
     for r in got:
         by[r.source].append(r)
-    order = brute(got, {"sa": 2, "sb": 1, "n": 1, "sc": 1}, 500, 8)
+    order = brute(got, {"sa": 2, "sb": 1, "n": 1, "sc": 1}, 500)
     for own in by.values():
         own.sort(key=lambda r: (r.block_, r.slot_))
         assert [r.block_ for r in own] == sorted(r.block_ for r in own)
@@ -75,7 +90,6 @@ def test_mix(spark):
         seen[s] += 1
     assert all(blocks[r.source, r.block_] == r.slot_ for r in got)
     assert [r.slot_ for r in got] == sorted(r.slot_ for r in got)
-    assert start is not None
 
 
 def test_plain_join_beyond_the_broadcast_bound(spark, monkeypatch):
@@ -147,3 +161,25 @@ def test_rounding_does_not_add_up():
         blocks = {f"s{i}": draw.choice([1, 3, 50, 400]) for i in range(draw.randint(1, 15))}
         weights = {s: draw.choice([1e-6, 0.3, 1, 2.5, 1e4]) * draw.random() for s in blocks}
         assert fluid_deviation(blocks, weights, whole_order(blocks, weights)) < 1.001
+
+
+def test_one_text_on_all_rows_is_spread(spark):
+    docs = spark.createDataFrame([(5, "same " * 20, "a", 0)] * 3000 + [(6, "b", "b", 0)], "doc_id long, text string, source string, q int")
+    got = mixing.mix(docs, block_bytes=2000)
+    parts = Counter(r.p for r in got.select(F.spark_partition_id().alias("p")).collect())
+    assert sum(parts.values()) == 3001 and max(parts.values()) < 1500
+    starts = got.filter("source = 'a'").groupBy("block_").count().collect()
+    assert max(r["count"] for r in starts) <= 20 and len(starts) == -(-3000 * 101 // 2000)
+
+
+def test_too_many_sources(spark):
+    docs = spark.createDataFrame([(i, "x", f"s{i}") for i in range(30)], "doc_id long, text string, source string")
+    with pytest.raises(ValueError):
+        mixing.mix(docs, most_sources=29)
+
+
+def test_many_sources_are_dealt_in_good_time():
+    draw = random.Random(2)
+    blocks = {f"s{i}": draw.choice([1, 2, 3]) for i in range(20000)}
+    order = whole_order(blocks, {s: n**0.7 for s, n in blocks.items()})
+    assert Counter(order) == Counter(blocks)

@@ -42,7 +42,7 @@ def test_covering_finds_planted_rules():
 
 def test_no_rules_without_both_classes():
     x = {"a": np.arange(10.0)}
-    assert quality.learn(x, np.zeros(10, bool)) == [] == quality.learn(x, np.ones(10, bool))[:0]
+    assert quality.learn(x, np.zeros(10, bool)) == []
     assert quality.learn({"a": np.zeros(0)}, np.zeros(0, bool)) == []
 
 
@@ -79,3 +79,52 @@ def test_odd_rows(spark):
     rows = quality.judge(docs, []).collect()
     assert len(rows) == 4 and not any(r.quality_.kept for r in rows) and {r.n_words for r in rows} == {1, 2, 3}
     assert quality.judge(docs.limit(0), []).select(F.col("quality_.kept")).count() == 0
+
+
+def test_an_id_on_all_rows_stays_within_the_bound(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"text {i} " * 60) for i in range(3000)], "doc_id long, text string")
+    seen = []
+    monkeypatch.setattr(quality, "learn", lambda x, bad, **_: seen.append(len(bad)) or [])
+    for most in (1, 50):
+        quality.fit(docs, spark.createDataFrame([(1, 0)], "doc_id long, quality int"), most_labelled=most)
+    assert seen == [1, 50]
+
+
+def best_first_condition(x, bad):
+    """Information gain of every condition, one by one."""
+    base, best = np.log2(bad.mean()), None
+    for name, v in x.items():
+        values = np.unique(v)
+        for at in (values[1:] + values[:-1]) / 2:
+            for sign, met in ((">", v > at), ("<=", v <= at)):
+                hit = (met & bad).sum()
+                if hit:
+                    gain = hit * (np.log2(hit / met.sum()) - base)
+                    if best is None or gain > best[0] + 1e-12:
+                        best = (gain, name, sign, at)
+    return best
+
+
+def test_growing_takes_the_condition_of_most_gain():
+    draw = np.random.default_rng(4)
+    for _ in range(20):
+        x = {n: draw.integers(0, 12, 80).astype(float) for n in "abc"}
+        bad = (x["a"] + x["b"] + draw.normal(size=80) * 3) > 13
+        if not bad.any() or bad.all():
+            continue
+        rule = quality._grow(x, bad, 1)
+        assert rule.conditions == (best_first_condition(x, bad)[1:],)
+
+
+def test_pruning_keeps_the_prefix_that_held_back_rows_speak_for():
+    draw = np.random.default_rng(6)
+    for _ in range(30):
+        x = {n: draw.random(60) for n in "abc"}
+        bad = draw.random(60) < x["a"]
+        rule = quality.Rule((("a", ">", 0.5), ("b", "<=", draw.random()), ("c", ">", draw.random())))
+        worths = []
+        for k in range(1, 4):
+            met = [all(x[n][i] > at if sign == ">" else x[n][i] <= at for n, sign, at in rule.conditions[:k]) for i in range(60)]
+            p, n = sum(m and b for m, b in zip(met, bad, strict=True)), sum(m and not b for m, b in zip(met, bad, strict=True))
+            worths.append((p - n) / max(1, p + n))
+        assert len(quality._pruned(rule, x, bad)[0].conditions) == 1 + worths.index(max(worths))
