@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,31 +26,53 @@ class Bracket:
     def step(self, probes: int) -> int:
         return -(-(self.b - self.a + 1) // probes)
 
-    def column(self) -> Column:
-        return F.col("key" if self.key is None else "tie")
+    def first(self) -> tuple[int, int]:
+        """The first (key, tie) it holds."""
+        return (self.a, LOW) if self.key is None else (self.key, self.a)
 
-    def holds(self) -> Column:
-        inside = self.column().between(F.lit(self.a).cast("long"), F.lit(self.b).cast("long"))
-        return inside if self.key is None else (F.col("key") == F.lit(self.key).cast("long")) & inside
 
-    def bin(self, probes: int) -> Column:
-        name = "key" if self.key is None else "tie"
-        return F.expr(f"(cast({name} as decimal(20, 0)) - {self.a}BD) div {self.step(probes)}BD")
+def _below(points: list[tuple[int, int]]) -> Column:
+    """How many of the sorted points (key, tie) are at or before a row's (key, tie), by binary search in a literal array.
+
+    The expression grows with the logarithm of their number.
+    """
+    if not points:
+        return F.lit(0)
+    pairs = F.array(*[F.struct(F.lit(k).cast("long").alias("k"), F.lit(t).cast("long").alias("t")) for k, t in points])
+    own = F.struct(F.col("key").alias("k"), F.col("tie").alias("t"))
+    rounds = F.sequence(F.lit(1), F.lit(len(points).bit_length()))
+
+    def step(state: Column, _: Column) -> Column:  # low to high, both included, hold the number
+        middle = F.shiftright(state["low"] + state["high"] + 1, 1)
+        open_ = state["low"] < state["high"]
+        reached = F.get(pairs, middle - 1) <= own
+        low = F.when(open_ & reached, middle).otherwise(state["low"])
+        high = F.when(open_ & ~reached, middle - 1).otherwise(state["high"])
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(points)).alias("high"))
+    return F.aggregate(rounds, start, step, lambda state: state["low"])
 
 
 def _histograms(rows: DataFrame, brackets: list[Bracket], probes: int) -> list[dict[int, int]]:
     """Exact bytes by bin of every bracket, over all partitions. Brackets do not overlap.
 
-    The driver gets probes numbers for each bracket at most, whatever the number of rows.
+    A row meets its bracket in a join with the brackets, one row each; only sums go through an exchange. The driver gets
+    probes numbers for each bracket at most, whatever the number of rows.
     """
-    which = bin_ = F.lit(None)
-    for k, x in enumerate(brackets):
-        which = F.when(x.holds(), F.lit(k)).otherwise(which)
-        bin_ = F.when(x.holds(), x.bin(probes)).otherwise(bin_)
-    counted = rows.select(which.cast("int").alias("k"), bin_.cast("long").alias("bin"), "size").filter("k is not null")
+    spark = rows.sparkSession
+    ordered = sorted(range(len(brackets)), key=lambda k: brackets[k].first())
+    data = [(n, brackets[k].a, brackets[k].b, brackets[k].key, brackets[k].step(probes)) for n, k in enumerate(ordered)]
+    table = spark.createDataFrame([(n, a, b, key, Decimal(step)) for n, a, b, key, step in data], "n int, a long, b long, at long, step decimal(20,0)")
+    rows = rows.select("size", "key", "tie", (_below([brackets[k].first() for k in ordered]) - 1).alias("n"))
+    rows = rows.join(F.broadcast(table), "n")  # a row for each splitter
+    value = F.when(F.col("at").isNull(), F.col("key")).otherwise(F.col("tie"))
+    inside = value.between(F.col("a"), F.col("b")) & (F.col("at").isNull() | (F.col("key") == F.col("at")))
+    bin_ = F.expr("(cast(v as decimal(20, 0)) - cast(a as decimal(20, 0))) div step")
+    counted = rows.filter(inside).withColumn("v", value).select("n", bin_.alias("bin"), "size")
     found: list[dict[int, int]] = [{} for _ in brackets]
-    for r in counted.groupBy("k", "bin").agg(F.sum("size").alias("size")).collect():
-        found[r.k][r.bin] = r.size
+    for r in counted.groupBy("n", "bin").agg(F.sum("size").alias("size")).collect():
+        found[ordered[r.n]][r.bin] = r["size"]
     return found
 
 
@@ -100,35 +123,33 @@ def shard(
     """docs with columns size, shard and slot: shards of near equal bytes, each a range of keys.
 
     size is the UTF-8 bytes of the text (null: none) plus 1. Rows of one key, as with a null or repeated
-    one, are cut at a hash tie, so a key that holds many rows is spread over shards too. Once splitters are
-    known, one exchange sorts all rows into parts of about part_bytes; they are written to the shared
-    folder, a folder for each shard. slot numbers a shard's rows in the order of keys, gapless from 0: from
-    a row's place in its part and the number of rows in the shard's parts before.
+    one, are cut at a tie: a hash of the row's place in the input, the same for splitters and rows. So a key, or one row
+    repeated, that holds many rows is spread over shards too. Once splitters are known, one exchange sorts all rows into
+    parts of about part_bytes; they are written to the shared folder, a folder for each shard. slot numbers a shard's rows in
+    the order of keys, gapless from 0: from a row's place in its part and the number of rows in the shard's parts before.
 
-    Null keys sort first. Rows that are alike keep a slot each. An empty table gives no rows. Input
-    columns named size, shard or slot are replaced.
+    Null keys sort first. A very long text is one row: a shard can be larger than the mean by it. Rows that are alike
+    keep a slot each, in any order. An empty table gives no rows. Input columns named size, shard or slot are replaced.
     """
     kept = [c for c in docs.columns if c not in ("size", "shard", "slot")]
-    pair = {
-        "_key": F.coalesce(F.col(key_col).cast("long"), F.lit(LOW).cast("long")),
-        "_tie": F.xxhash64(key_col, text_col, F.monotonically_increasing_id()),
-    }
-    rows = docs.select(*kept, common.text_size(text_col).alias("size")).withColumns(pair)
+    rows = common.placed(docs, "_place").select(*kept, common.text_size(text_col).alias("size"), "_place")
+    pair = {"_key": F.coalesce(F.col(key_col).cast("long"), F.lit(LOW).cast("long")), "_tie": F.xxhash64(key_col, "_place")}
+    rows = rows.withColumns(pair).drop("_place")
     keys = rows.select(F.col("_key").alias("key"), F.col("_tie").alias("tie"), "size")
     keys = common.written(keys, "shard-keys")
     bounds = splitters(keys, shards, tolerance=tolerance)
     total = keys.agg(F.sum("size")).first()[0] or 0
-    number = F.lit(0)
-    for key, tie in bounds:
-        key, tie = F.lit(key).cast("long"), F.lit(tie).cast("long")
-        number += F.when((F.col("_key") > key) | (F.col("_key") == key) & (F.col("_tie") >= tie), 1).otherwise(0)
+    number = _below(bounds)
+    rows = rows.withColumnsRenamed({c: f"_in_{c}" for c in kept}).withColumnsRenamed({"_key": "key", "_tie": "tie"})
+    rows = rows.withColumn("shard", number.cast("int")).withColumnsRenamed({"key": "_key", "tie": "_tie"}).withColumnsRenamed({f"_in_{c}": c for c in kept})
     order = ("shard", "_key", "_tie")
     parts = max(shards, -(-total // part_bytes))
-    rows = rows.withColumn("shard", number).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    rows = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     rows = rows.withColumn("_at", F.monotonically_increasing_id()).drop("_key", "_tie")  # part, then place in it
     rows = common.written(rows, "shards", by="shard").withColumn("_part", F.shiftright("_at", 33))
     own = rows.groupBy("shard", "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # parts, not rows
-    own = own.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    own = common.written(own.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"), "shard-parts")
+    own = common.small(own, 500_000)
     rows = rows.join(own, ["shard", "_part"]).withColumn("slot", F.col("_base") + F.col("_at") - F.col("_first"))
     return rows.select(*kept, "size", "shard", "slot")

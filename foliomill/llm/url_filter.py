@@ -5,7 +5,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from functools import reduce
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,59 +61,68 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return links.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, rounds: int = 15, write_every: int = 5) -> DataFrame:
-    """(kind, host, score) by personalised PageRank of each kind of seeds (kind, host).
+def propagate(
+    edges: DataFrame, seeds: DataFrame, *, damping: float = 0.85, tolerance: float = 1e-6, write_every: int = 5, most_small: int = 200_000,
+) -> DataFrame:
+    """(kind, host, score) by personalised PageRank.
 
-    edges: (kind, a, b, n), along which a kind's score flows from a to b. All seeds of a kind restart with 1 - damping, so
-    a seed scores that at least; what flows into hosts without edges ends there. Every few rounds the
-    scores are written to the shared folder, which bounds the plan.
+    edges: (kind, a, b, share): host b gets share of a's score times damping. seeds: (kind, host, score): what a host has of
+    its own in every round. Rounds end when no score changed by over tolerance times (1 - damping), which leaves each within
+    tolerance of the limit, and at the latest when damping has faded below that. Every few rounds the scores are written to
+    the shared folder, which bounds the plan; tables of most_small rows and fewer are broadcast.
     """
-    out = edges.groupBy("kind", "a").agg(F.sum("n").alias("total"))
-    edges = edges.join(out, ["kind", "a"]).select("kind", "a", "b", (F.col("n") / F.col("total")).alias("share"))
-    edges = common.written(edges, "host-edges")
-    restart = common.written(seeds.select("kind", "host").distinct().withColumn("score", F.lit(1 - damping)), "host-seeds")
-    scores = restart
-    for k in range(1, rounds + 1):
+    edges, restart = common.small(edges, most_small), common.small(common.written(seeds, "host-seeds"), most_small)
+    scores, before = restart, restart
+    most = max(1, ceil(log(tolerance * (1 - damping)) / log(damping))) if 0 < damping < 1 else 1
+    for k in range(1, most + 1):
         flow = scores.withColumnRenamed("host", "a").join(edges, ["kind", "a"])
         flow = flow.groupBy("kind", F.col("b").alias("host")).agg(F.sum(F.col("score") * F.col("share") * damping).alias("score"))
-        scores = flow.unionByName(restart).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if k % write_every == 0 and k < rounds:
+        before, scores = scores, flow.unionByName(restart).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        if k % write_every == 0 or k == most:
             scores = common.written(scores, "host-scores")
+            both = scores.join(before.withColumnRenamed("score", "old"), ["kind", "host"], "left")
+            change = both.agg(F.max(F.col("score") - F.coalesce("old", F.lit(0.0)))).first()[0]
+            if (change or 0.0) <= tolerance * (1 - damping):
+                break
     return scores
 
 
 def judge(
-    pages: DataFrame, rules=RULES, *, threshold: float = 0.05, damping: float = 0.85, rounds: int = 15,
-    id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+    pages: DataFrame, rules=RULES, *, threshold: float = 0.25, damping: float = 0.85, tolerance: float = 1e-6,
+    id_col: str = "page_id", url_col: str = "url", html_col: str = "html", most_small: int = 200_000,
 ) -> DataFrame:
     """A row for each page: page_id, host, path, rule (or null), verdict, trust, distrust.
 
-    The longest rule that fits decides. Pages without one are judged by host: hosts with over half of their
-    pages allowed by rules are seeds of trust, those with over half blocked seeds of distrust. Trust flows
-    along links between hosts, distrust against them. A host whose distrust exceeds its trust by more than
-    threshold is blocked, all others are allowed.
+    The longest rule that fits decides. Pages without one are judged by host. A host's seed is the share of its pages that
+    rules allow (for trust) or block (for distrust). Trust is personalised PageRank along links: a host passes it on to
+    the hosts it links to, by numbers of links. Distrust is the same against links: a host takes over, of each host it links
+    to, that host's distrust by the share of its own links that lead there, so distrust says how much of what a reader
+    finds from a host on is blocked, however many other hosts link there too. It is 0 to 1: the chance that a walk from the
+    host, which stops with 1 - damping at each page and where no link leads on, stops at a blocked page.
+
+    A host whose distrust exceeds both threshold and its trust is blocked, all others are allowed; at equality too.
 
-    Edges are counted by pair of hosts before they are used, so a page or host with many links is some rows
-    only. Null urls have an empty host, which is no seed and is allowed; null html has no links. Repeated
-    rows each give a row. An empty table gives no rows. Columns other than the three are not read.
+    Edges are counted by pair of hosts before they are used, so a page or host with many links is some rows only. Links
+    without a host stay on theirs and make no edge: where pages have no others, the seeds alone decide. Null urls have an
+    empty host, which is no seed and is allowed; null html has no links. Very long urls and pages are read whole. Repeated
+    rows each give a row and count as pages. An empty table gives no rows. Columns other than the three are not read.
     """
     own = host_and_path(pages.select(F.col(id_col).alias("page_id"), url_col), url_col).withColumn("_rule", matched_rule(rules))
     share = lambda verdict: F.avg(F.coalesce((F.col("_rule.verdict") == verdict).cast("int"), F.lit(0)))
-    hosts = own.filter("host <> ''").groupBy("host").agg(share("allow").alias("allow"), share("block").alias("block"))
-    kind = F.when(F.col("allow") > 0.5, "trust").when(F.col("block") > 0.5, "distrust")
-    seeds = hosts.select(kind.alias("kind"), "host").filter("kind is not null")
+    hosts = own.filter("host <> ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
     links = common.written(host_edges(pages, url_col, html_col), "host-links")
-    both = reduce(
-        DataFrame.unionByName,
-        [
-            links.select(F.lit("trust").alias("kind"), "a", "b", "n"),
-            links.select(F.lit("distrust").alias("kind"), F.col("b").alias("a"), F.col("a").alias("b"), "n"),
-        ],
-    )
-    scores = propagate(both, seeds, damping=damping, rounds=rounds)
-    of = lambda kind: F.round(F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)), 9).alias(kind)
-    scores = common.written(scores.groupBy("host").agg(of("trust"), of("distrust")), "host-scores")
+    out = common.written(links.groupBy("a").agg(F.sum("n").alias("total")), "host-totals")
+    shares = links.join(common.small(out, most_small), "a").select("a", "b", (F.col("n") / F.col("total")).alias("share"))
+    against = shares.select(F.lit("distrust").alias("kind"), F.col("b").alias("a"), F.col("a").alias("b"), "share")
+    edges = common.written(shares.select(F.lit("trust").alias("kind"), "a", "b", "share").unionByName(against), "host-edges")
+    seeds = hosts.unpivot(["host"], ["trust", "distrust"], "kind", "seed").filter("seed > 0")
+    seeds = seeds.join(out.select(F.col("a").alias("host"), "total"), "host", "left")
+    ends = (F.col("kind") == "distrust") & F.col("total").isNull()  # a walk that no link leads on from stops
+    seeds = seeds.select("kind", "host", (F.col("seed") * F.when(ends, 1.0).otherwise(1 - damping)).alias("score"))
+    scores = propagate(edges, seeds, damping=damping, tolerance=tolerance, most_small=most_small)
+    of = lambda kind: F.round(F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)), 6).alias(kind)
+    scores = common.small(common.written(scores.groupBy("host").agg(of("trust"), of("distrust")), "host-scores"), most_small)
     rows = own.join(scores, "host", "left").fillna(0.0, ["trust", "distrust"])
-    by_host = F.when(F.col("distrust") - F.col("trust") > threshold, "block").otherwise("allow")
+    by_host = F.when((F.col("distrust") > threshold) & (F.col("distrust") > F.col("trust")), "block").otherwise("allow")
     verdict = F.coalesce("_rule.verdict", by_host)
     return rows.select("page_id", "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"), "trust", "distrust")

@@ -54,3 +54,12 @@ def test_splitters_are_exact(spark):
     for k, (key, _) in enumerate(sharding.splitters(keys, 10, tolerance=0, probes=4), 1):
         below = sum(1 + i % 7 for i in range(2000) if i * 10**15 < key)
         assert abs(below - total * k / 10) <= 7
+
+
+def test_many_points_are_searched(spark):
+    points = sorted((k // 3, (k % 3) * 10) for k in range(700))
+    rows = [(k, t) for k in (-1, 0, 5, 100, 233, 234) for t in (-1, 0, 5, 10, 20, 21)]
+    frame = spark.createDataFrame(rows, "key long, tie long")
+    got = {(r.key, r.tie): r.n for r in frame.withColumn("n", sharding._below(points)).collect()}
+    assert got == {r: sum(p <= r for p in points) for r in rows}
+    assert frame.select(sharding._below([])).first()[0] == 0

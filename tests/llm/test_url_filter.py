@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 from foliomill.llm import queries, url_filter
 
 URLS = [
@@ -25,38 +26,39 @@ def plain_rule(host, path):
     return max(fits)[1:] if fits else (None, None)
 
 
-def plain_scores(edges, seeds, rounds=15, d=0.85):
-    total = Counter()
-    for (a, _), n in edges.items():
-        total[a] += n
-    scores = dict.fromkeys(seeds, 1 - d)
-    for _ in range(rounds):
-        new = Counter(dict.fromkeys(seeds, 1 - d))
-        for (a, b), n in edges.items():
-            new[b] += d * scores.get(a, 0) * n / total[a]
-        scores = new
-    return scores
+def limit(flow, own, d=0.85):
+    """The scores x with x = own + d * flow x, by solving the equations."""
+    hosts = sorted({*own, *(h for e in flow for h in e)})
+    at = {h: k for k, h in enumerate(hosts)}
+    m = np.eye(len(hosts))
+    for (a, b), share in flow.items():
+        m[at[b], at[a]] -= d * share
+    x = np.linalg.solve(m, [own.get(h, 0.0) for h in hosts]) if hosts else []
+    return dict(zip(hosts, x, strict=True))
 
 
-def brute(pages):
+def brute(pages, threshold=0.25):
     rows = [(i, *plain(u), h) for i, u, h in pages]
     ruled = [plain_rule(h, p) for _, h, p, _ in rows]
     of = defaultdict(list)
     for (_, h, _, _), (_, v) in zip(rows, ruled, strict=True):
         if h:
             of[h].append(v)
-    good = {h for h, v in of.items() if 2 * v.count("allow") > len(v)}
-    bad = {h for h, v in of.items() if 2 * v.count("block") > len(v)}
-    edges = Counter()
+    edges, total = Counter(), Counter()
     for _, h, _, html in rows:
         for x in re.findall(r"""href\s*=\s*["']?\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#"'\s<>]+)""", html or "", re.I):
             if h and x.lower() != h:
                 edges[h, x.lower()] += 1
-    trust = plain_scores(edges, good)
-    distrust = plain_scores({(b, a): n for (a, b), n in edges.items()}, bad)
+                total[h] += 1
+    part = lambda h, v: of[h].count(v) / len(of[h])
+    trust = limit({(a, b): n / total[a] for (a, b), n in edges.items()}, {h: 0.15 * part(h, "allow") for h in of})
+    distrust = limit(
+        {(b, a): n / total[a] for (a, b), n in edges.items()}, {h: (0.15 if total[h] else 1.0) * part(h, "block") for h in of}
+    )
     out = []
     for (i, h, p, _), (rule, v) in zip(rows, ruled, strict=True):
-        own = "block" if round(distrust.get(h, 0), 9) - round(trust.get(h, 0), 9) > 0.05 else "allow"
+        bad = distrust.get(h, 0.0)
+        own = "block" if bad > threshold and bad > trust.get(h, 0.0) else "allow"
         out.append((i, h, p, rule, v or own))
     return out
 
@@ -70,12 +72,21 @@ def test_graph(spark):
         (None, "http://lone.org/", '<a href="/local">'), (4, "http://links-to-bad.org/", to("bad.example.com")), (9, "http://far.org/p", "x" * 200000),
     ]
     pages += [(100 + k, u, "") for k, u in enumerate(URLS)]
+    pages += [(200 + k, f"http://linker{k}.org/", to("bad.example.com", "bad.example.com", "else.org")) for k in range(30)]
+    pages += [(300, "http://portal.org/", to("bad.example.com", *[f"site{k}.org" for k in range(40)]))]
+    pages += [(400, "http://ring-a.org/", to("ring-b.org")), (401, "http://ring-b.org/", to("ring-a.org", "bad.example.com"))]
+    pages += [(500 + k, f"http://part.net/{p}/{k}", "") for k, p in enumerate(("fr", "en", "en"))]
     frame = spark.createDataFrame([(*p, "w", 2) for p in pages], "page_id long, url string, html string, host string, verdict int").repartition(3)
-    rows = url_filter.judge(frame).collect()
-    got = sorted(str((r.page_id, r.host, r.path, r.rule, r.verdict)) for r in rows)
-    assert got == sorted(map(str, brute(pages)))
-    assert next(r.verdict for r in rows if r.page_id == 4) == "block" and next(r.verdict for r in rows if r.page_id == 5) == "allow"
-    assert next(r.verdict for r in rows if r.page_id == 7) == "block"
+    for most_small in (200_000, 0):
+        rows = url_filter.judge(frame, most_small=most_small).collect()
+        got = sorted(str((r.page_id, r.host, r.path, r.rule, r.verdict)) for r in rows)
+        assert got == sorted(map(str, brute(pages)))
+        verdict = {r.page_id: r.verdict for r in rows}
+        assert [verdict[i] for i in (4, 7, 400, 401)] == ["block"] * 4  # two links away, and round a ring
+        assert {verdict[200 + k] for k in range(30)} == {"block"}  # however many link to it
+        assert verdict[300] == "allow" and verdict[5] == "allow"  # one link of many
+        assert (verdict[500], verdict[501], verdict[502]) == ("block", "block", "block")  # a third of its pages
+        assert all(0 <= r.distrust <= 1 for r in rows)
     assert url_filter.judge(frame.limit(0)).count() == 0
 
 
@@ -84,3 +95,4 @@ def test_pages(spark):
     pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
     rows = queries.QUERIES["op9_url_filter"](spark, sf).collect()
     assert sorted(str((r.page_id, r.host, r.path, r.rule, r.verdict)) for r in rows) == sorted(map(str, brute(pages)))
+    assert {r.verdict for r in rows if r.rule is None} == {"allow", "block"}
