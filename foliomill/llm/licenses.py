@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -103,11 +102,28 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _table[0], _table[1]
 
 
-def template_positions(spark, templates, k: int) -> DataFrame:
-    """(hash, template, at) of every run of k words of the templates: a table as small as their texts."""
+def changes(n: int, least: float) -> int:
+    """How many words of a template of n words can be changed, put in or left out at a similarity of least."""
+    return int(n * (1 - least) + 1e-9)
+
+
+def gram_size(n: int, least: float, k: int) -> int:
+    """The most words up to k of grams of which one at least is left, whatever the changes; 1 at least."""
+    return max((g for g in range(1, k + 1) if n - g + 1 - g * changes(n, least) >= 1), default=1)
+
+
+def votes_needed(n: int, least: float, k: int) -> int:
+    """A change takes away gram_size grams of a template at most: so many are left."""
+    g = gram_size(n, least, k)
+    return max(1, n - g + 1 - g * changes(n, least))
+
+
+def template_positions(spark, templates, k: int, least: float) -> DataFrame:
+    """(hash, template, at) of every gram of the templates: a table as small as their texts."""
     rows = []
     for t, (_, text) in enumerate(templates):
-        rows += [(int(h), t, at) for at, h in enumerate(rolling_hashes(words(text), k))]
+        own = words(text)
+        rows += [(int(h), t, at) for at, h in enumerate(rolling_hashes(own, gram_size(len(own), least, k)))] if own else []
     return spark.createDataFrame(rows, "hash long, template int, at int")
 
 
@@ -116,79 +132,101 @@ def _keys(text: Column) -> dict[str, Column]:
     return {"_text_a": F.xxhash64(F.lit(1), text), "_text_b": F.xxhash64(F.lit(2), text)}
 
 
-def candidate_spans(docs: DataFrame, templates, *, k: int = 3, shift: int = 4, least_share: float = 0.5, text_col: str = "text") -> DataFrame:
-    """Spans where diagonals vote for a template: (_text_a, _text_b, spans: array of template, first, last).
+def candidate_spans(docs: DataFrame, templates, *, k: int = 3, least: float = 0.8, shift: int = 4, text_col: str = "text") -> DataFrame:
+    """Where diagonals vote for a template: (_text_a, _text_b, spans: array of template, low, high), a written table.
 
-    All rolling k-gram hashes of all texts are joined with the template positions. Matches are counted for
-    each diagonal (place in the text minus place in the template); diagonals at most shift apart, as a few
-    words put in or left out make them, are merged. A merged diagonal is a span if its matches cover
-    least_share of the template's k-grams. first and last are words of the text.
+    All rolling hashes of grams of all texts are joined with the template positions: grams of k words, of fewer for templates
+    so short that changes could leave no gram whole. Matches are counted for each diagonal (place in the text minus place in
+    the template); diagonals at most shift apart, or as far as the changes that the template allows can move it, are merged.
+    A merged group is a candidate if it has as many votes as any span that is least similar has. low and high are its first
+    and last diagonal: a template without changes would begin there.
     """
+    sizes = [len(words(text)) for _, text in templates]
+    grams_used = sorted({gram_size(n, least, k) for n in sizes if n})
 
     def run(batches):
         for batch in common.small_batches(batches):
-            hashes = [rolling_hashes(words(t), k) for t in batch.column(2).to_pylist()]
-            ends = np.cumsum([0, *map(len, hashes)])
-            flat = pa.array(np.concatenate(hashes) if hashes else np.zeros(0, np.int64))
-            lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), flat).cast(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["_text_a", "_text_b", "hashes"])
+            own = [words(t) for t in batch.column(2).to_pylist()]
+            for g in grams_used:
+                hashes = [rolling_hashes(w, g) for w in own]
+                ends = np.cumsum([0, *map(len, hashes)])
+                flat = pa.array(np.concatenate(hashes) if hashes else np.zeros(0, np.int64))
+                lists = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), flat).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["_text_a", "_text_b", "hashes"])
 
     keys = _keys(F.col(text_col))
-    texts = docs.filter(F.col(text_col).isNotNull()).select(*[v.alias(n) for n, v in keys.items()], F.col(text_col).alias("text"))
+    texts = docs.filter(F.col(text_col) != "").select(*[v.alias(n) for n, v in keys.items()], F.col(text_col).alias("text"))
     grams = texts.mapInArrow(run, "_text_a long, _text_b long, hashes array<long>")
     grams = grams.select(*keys, F.posexplode("hashes").alias("place", "hash"))
-    positions = template_positions(docs.sparkSession, templates, k)
-    found = grams.join(F.broadcast(positions), "hash")  # the templates' words, not the corpus's
+    spark = docs.sparkSession
+    positions = template_positions(spark, templates, k, least)
+    bounds = [(t, votes_needed(n, least, k), max(shift, changes(n, least))) for t, n in enumerate(sizes)]
+    bounds = spark.createDataFrame(bounds, "template int, needed int, reach int")
+    small = len(templates) * max([1, *sizes]) <= 1_000_000  # the templates' words, not the corpus's; larger lists are shuffled
+    hinted = F.broadcast if small else (lambda x: x)
+    found = grams.join(hinted(positions), "hash")
     by = [*keys, "template"]
     found = found.select(*by, (F.col("place") - F.col("at")).alias("diagonal"), "at").distinct()  # copies meet here
-    votes = found.groupBy(*by, "diagonal").agg(F.count("*").alias("votes"), F.min("at").alias("low"), F.max("at").alias("high"))
+    votes = found.groupBy(*by, "diagonal").agg(F.count("*").alias("votes")).join(hinted(bounds), "template")
     along = Window.partitionBy(*by).orderBy("diagonal")
-    fresh = F.col("diagonal") - F.lag("diagonal").over(along) > shift
+    fresh = F.col("diagonal") - F.lag("diagonal").over(along) > F.col("reach")
     votes = votes.withColumn("group", F.sum(F.coalesce(fresh, F.lit(True)).cast("int")).over(along))
     merged = votes.groupBy(*by, "group").agg(
-        F.sum("votes").alias("votes"),
-        F.min(F.col("diagonal") + F.col("low")).alias("first"),
-        F.max(F.col("diagonal") + F.col("high") + k - 1).alias("last"),
+        F.sum("votes").alias("votes"), F.first("needed").alias("needed"), F.min("diagonal").alias("low"), F.max("diagonal").alias("high")
     )
-    sizes = F.create_map(*[F.lit(x) for t, (_, text) in enumerate(templates) for x in (t, max(1, len(words(text)) - k + 1))])
-    merged = merged.filter(F.col("votes") >= least_share * sizes[F.col("template")])
-    span = F.struct("template", "first", "last")
-    return merged.groupBy(*keys).agg(F.array_sort(F.collect_list(span)).alias("spans"))
-
-
-def similarity(a: list, b: list) -> float:
-    """Twice the words that match in order, over the words of both."""
-    return SequenceMatcher(None, a, b, autojunk=False).ratio() if a or b else 0.0
+    merged = merged.filter("votes >= needed")
+    spans = merged.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("template", "low", "high"))).alias("spans"))
+    return common.written(spans, "license-candidates")
 
 
-def verified(text_words: list, spans, templates: list[list], least: float) -> list[tuple[int, int, int, float]]:
-    """(template, first, last, similarity) of spans at least least similar to their template.
+def nearest_span(text_words: list[bytes], want: list[bytes]) -> tuple[int, int, int]:
+    """(edits, first, last) of the run of words that is nearest to want, by words changed, put in and left out.
 
-    A span is compared as it is and, since merging can make it too wide, in windows of the template's length.
+    The first such run to end, and of those that end there the shortest. A row of the alignment is kept for each word.
+    """
+    codes = {w: i for i, w in enumerate(dict.fromkeys(want))}
+    wanted = np.array([codes[w] for w in want])
+    edit, steps = 1 << 32, np.arange(len(want) + 1, dtype=np.int64) << 32
+    row = steps.copy()  # edits << 32, less the place where the run begins
+    best = (int(row[-1]) + edit, 0)
+    for j, w in enumerate(text_words):
+        code = codes.get(w, -1)
+        new = np.empty_like(row)
+        new[0] = -(j + 1)
+        new[1:] = np.minimum(row[:-1] + np.where(wanted == code, 0, edit), row[1:] + edit)
+        row = np.minimum.accumulate(new - steps) + steps
+        if -(-int(row[-1]) >> 32) < -(-best[0] >> 32):
+            best = (int(row[-1]), j)
+    edits = -(-best[0] >> 32)
+    return edits, (edits << 32) - best[0], best[1]
+
+
+def verified(text_words: list, spans, templates: list[list], names: list[str], least: float) -> list[tuple[int, int, int, float]]:
+    """(template, first, last, similarity) of candidates where some run of words is least similar to the template.
+
+    similarity: 1 less the share of the template's words that have to be changed, put in or left out. Words of the template
+    that its label names (mit; apache and 2) have to be there: without them it is another license.
     """
     out = []
-    for template, first, last in spans:
+    for template, low, high in spans:
         want = templates[template]
-        best = (0.0, first, last)
-        n = len(want)
-        if last - first + 1 <= 2 * n:
-            best = (similarity(text_words[first : last + 1], want), first, last)
-        if best[0] < least and last - first + 1 > n:
-            for a in range(first, last - n + 2, max(1, n // 8)):
-                if (s := similarity(text_words[a : a + n], want)) > best[0]:
-                    best = (s, a, a + n - 1)
-        if best[0] >= least:
-            out.append((template, best[1], best[2], best[0]))
+        e = changes(len(want), least)
+        start = max(0, low - e)
+        own = text_words[start : high + len(want) + e]
+        edits, first, last = nearest_span(own, want)
+        key = {w.encode() for w in names[template].split("-")} & set(want)
+        if edits <= e and key <= set(own[first : last + 1]):
+            out.append((template, start + first, start + last, 1 - edits / len(want)))
     return out
 
 
 def undisputed(found: list[tuple[int, int, int, float]], labels: list[str]) -> list[tuple[int, int, int, float]]:
-    """Spans without those that share words with a more similar (then longer) span of another label.
+    """Spans without those that share words with a more similar (then longer, then earlier template's) span of another label.
 
     Licenses of a family differ in a word or two, so the text of one is also near to the others' templates.
     """
     kept: list[tuple[int, int, int, float]] = []
-    for x in sorted(found, key=lambda x: (-x[3], x[1] - x[2], x[0], x[1])):
+    for x in sorted(set(found), key=lambda x: (-x[3], x[1] - x[2], x[0], x[1])):
         if all(labels[x[0]] == labels[y[0]] or x[2] < y[1] or y[2] < x[1] for y in kept):
             kept.append(x)
     return sorted(kept)
@@ -208,14 +246,20 @@ def base_places(joined: bytes, phrases: Mapping[bytes, str]) -> list[tuple[int,
 
 def scan(
     docs: DataFrame, *, templates=TEMPLATES, phrases: Mapping[str, str] = PHRASES, least: float = 0.8, k: int = 3, shift: int = 4,
-    id_col: str = "doc_id", text_col: str = "text",
+    most_small: int = 100_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """A row for each document: doc_id, n_words, places (first word and label of each base phrase), spans
     (label, first, last, similarity: verified and undisputed), labels (sorted, distinct, of both), score.
 
-    score is 1 where a base phrase stands, else the largest similarity of a span, else 0. Null and empty texts
-    have no words and no labels. Repeated rows each give a row; null ids are kept. An empty table gives
-    no rows. Columns other than the two are not read.
+    A span is found wherever a run of words takes least changes (least of its words, at 0.8 a fifth) to become a template;
+    it is the nearest run around its diagonals. score is 1 where a base phrase stands, else the largest similarity of a
+    span, else 0. Ties: of runs as near the first and shortest; of spans of two labels on the same words the longer, then
+    the earlier template's. Null and empty texts have no words and no labels. Very long texts are hashed piece by piece,
+    whole. Repeated rows each give a row; null ids are kept. An empty table gives no rows. Columns other than the two are
+    not read.
+
+    Texts are not moved: candidates (few texts have any) are broadcast up to most_small of them. Beyond, texts meet them by
+    a 128-bit hash, dealt to 16 salts, so that copies of one text do not gather.
     """
     names, wanted = [label for label, _ in templates], [words(t) for _, t in templates]
     base = {b" ".join(words(p)): label for p, label in phrases.items()}
@@ -228,7 +272,7 @@ def scan(
             for text, candidates in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 own = words(text)
                 hits = base_places(b" ".join(own), base) if own else []
-                good = verified(own, [(c["template"], c["first"], c["last"]) for c in candidates or ()], wanted, least)
+                good = verified(own, [(c["template"], c["low"], c["high"]) for c in candidates or ()], wanted, names, least)
                 good = undisputed(good, names)
                 n_words.append(len(own))
                 places.append([{"word": at, "label": label} for at, label in hits])
@@ -240,8 +284,14 @@ def scan(
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "n_words", "places", "spans", "labels", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    candidates = candidate_spans(rows, templates, k=k, shift=shift)
-    rows = rows.withColumns(_keys(F.col("text"))).join(candidates, ["_text_a", "_text_b"], "left").select("doc_id", "text", "spans")
+    candidates = candidate_spans(rows, templates, k=k, least=least, shift=shift)
+    on = ["_text_a", "_text_b"]
+    if candidates.count() <= most_small:
+        candidates = F.broadcast(candidates)
+    else:
+        rows = common.placed(docs, "_place").select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.pmod("_place", F.lit(16)).alias("_salt"))
+        candidates, on = candidates.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long")))), [*on, "_salt"]
+    rows = rows.withColumns(_keys(F.col("text"))).join(candidates, on, "left").select("doc_id", "text", "spans")
     kinds = (
         "doc_id long, n_words long, places array<struct<word: long, label: string>>, "
         "spans array<struct<label: string, first: long, last: long, similarity: double>>, labels array<string>, score double"

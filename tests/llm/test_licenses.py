@@ -1,6 +1,8 @@
 """Scans against brute force over places, and planted notices with words changed."""
 
+import random
 import re
+from collections import Counter
 
 import numpy as np
 from foliomill.llm import licenses
@@ -99,3 +101,70 @@ def test_licenses_of_a_family(spark):
     texts = {i: f"{FILLER}\n{text}. {FILLER}" for i, (_, text) in enumerate(licenses.TEMPLATES)}
     rows = licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
     assert {r.doc_id: r.labels for r in rows} == {i: [label] for i, (label, _) in enumerate(licenses.TEMPLATES)}
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j - 1] + (x != y), last[j] + 1, row[j - 1] + 1))
+    return row[-1]
+
+
+def plain_nearest(text, want, within=None):
+    """By trying every run of words (of lengths that so many changes can make)."""
+    spread = len(want) if within is None else within
+    runs = ((a, b) for a in range(len(text)) for b in range(a + max(1, len(want) - spread), min(len(text), a + len(want) + spread) + 1))
+    e, last, first = min(((edits(text[a:b], want), b - 1, -a) for a, b in runs), default=(len(want), 0, 0))
+    return e, -first, last
+
+
+def test_nearest_span_equals_all_runs():
+    draw = random.Random(1)
+    for _ in range(300):
+        want = [draw.choice([b"a", b"b", b"c", b"d"]) for _ in range(draw.randint(1, 6))]
+        text = [draw.choice([b"a", b"b", b"c", b"d", b"e"]) for _ in range(draw.randint(0, 12))]
+        found, got = plain_nearest(text, want), licenses.nearest_span(text, want)
+        assert got == found if found[0] < len(want) else got[0] >= len(want), (text, want)
+
+
+def changed(own, n, draw):
+    own = list(own)
+    for i in range(n):
+        at, how = draw.randrange(len(own)), draw.choice(["change", "change", "put", "leave"])
+        own[at : at + (how != "put")] = [] if how == "leave" else [f"zz{i}"]
+    return own
+
+
+def test_changed_notices_equal_brute_force(spark):
+    """Every template with 0 to 2 more changes than it allows: a span is found if, and where, brute force finds one."""
+    draw, rows = random.Random(8), []
+    wanted = [[w.decode() for w in licenses.words(t)] for _, t in licenses.TEMPLATES]
+    for own in wanted:
+        for n in sorted({0, 1, 2, *range(max(0, len(own) // 5 - 1), len(own) // 5 + 3)}):
+            for _ in range(3 if len(own) < 15 else 1):
+                rows.append((len(rows), " ".join(["f1", "f2", "f3", *changed(own, n, draw), "g1", "g2", "g3"])))
+    for i in range(5):  # each single word of the shortest
+        rows.append((len(rows), " ".join(["f", *wanted[0][:i], "other", *wanted[0][i + 1 :], "g"])))
+    names, expected = [x for x, _ in licenses.TEMPLATES], {}
+    for i, text in rows:
+        own, good = text.split(), []
+        for t, want in enumerate(wanted):
+            if sum((Counter(own) & Counter(want)).values()) < len(want) - len(want) // 5:
+                continue  # each change leaves all other words
+            e, a, b = plain_nearest(own, want, len(want) // 5)
+            if e <= len(want) // 5 and set(names[t].split("-")) & set(want) <= set(own[a : b + 1]):
+                good.append((t, a, b, 1 - e / len(want)))
+        expected[i] = sorted((names[t], a, b, s) for t, a, b, s in licenses.undisputed(good, names))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for most_small in (100_000, 0):
+        found = {r.doc_id: sorted(map(tuple, r.spans)) for r in licenses.scan(frame, most_small=most_small).collect()}
+        assert found == expected
+    assert sum(bool(x) for x in found.values()) > 60
+
+
+def test_another_license_is_not_the_mit_license(spark):
+    texts = [f"{FILLER} Released under the {x} License {FILLER}" for x in ("Apache", "Zlib", "")]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.labels for r in rows] == [[], [], []]
