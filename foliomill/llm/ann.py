@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,147 +57,180 @@ def decode(codes: np.ndarray, books: np.ndarray) -> np.ndarray:
     return sum(book[codes[:, m]] for m, book in enumerate(books))
 
 
-def train(x: np.ndarray, n_books: int = 8, n_words: int = 256, *, rounds: int = 6, refits: int = 2, seed: int = 11) -> np.ndarray:
-    """Codebooks (books, words, dimension). Each starts as k-means of what the books before leave; then all are
-    refitted together, by least squares over the codes that beam search gives."""
+def train(x: np.ndarray, n_books: int = 32, n_words: int = 128, *, rounds: int = 6, refits: int = 2, beam: int = 4, seed: int = 11) -> np.ndarray:
+    """Codebooks (books, words, dimension). Each starts as k-means of what the books before leave. Then all are refitted
+    to the codes that beam search gives: book by book, a word becomes the mean of what the other books leave of its rows."""
     draw = np.random.default_rng(seed)
     n_words = max(1, min(n_words, len(x)))
-    rest, books = x.astype(np.float64), []
+    rest, books = x.astype(np.float32), []
     for _ in range(n_books):
         books.append(_kmeans(rest, n_words, rounds, draw))
         rest = rest - books[-1][_nearest_words(rest, books[-1]).argmin(1)]
     out = np.stack(books)
     for _ in range(refits):
-        codes = encode(x, out) + np.arange(n_books) * n_words
-        size = n_books * n_words
-        gram, right = np.zeros((size, size)), np.zeros((size, x.shape[1]))
-        for a in range(n_books):
-            np.add.at(right, codes[:, a], x)
-            for b in range(n_books):
-                np.add.at(gram, (codes[:, a], codes[:, b]), 1.0)
-        gram[np.diag_indices(size)] += 1e-3
-        flat = out.reshape(size, -1)
-        out = (flat + np.linalg.solve(gram, right - gram @ flat + 1e-3 * flat)).reshape(out.shape)
+        codes = encode(x, out, beam)
+        rest = x.astype(np.float32) - decode(codes, out)
+        for _ in range(3):
+            for m, own in enumerate(codes.T):
+                rest += out[m][own]
+                counts = np.bincount(own, minlength=n_words)
+                sums = np.zeros_like(out[m])
+                np.add.at(sums, own, rest)
+                out[m] = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], out[m])
+                rest -= out[m][own]
     return out
 
 
-def usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """Distinct (id, x: array of double) that take part, and their dimension."""
+def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """Distinct (id, x: array of double) that take part."""
     x = F.col(vector_col).cast("array<double>")
     fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(x, lambda v: v != 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), x.alias("x")).filter(F.col("id").isNotNull() & fine)
-    common_size = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    d = common_size.d if common_size else 1
-    return rows.filter(F.size("x") == d).distinct(), d
+    return rows.distinct()
 
 
-def build_index(rows: DataFrame, d: int, k: int, *, n_books: int, n_words: int, sample: int, block: int) -> tuple[DataFrame, np.ndarray]:
-    """Blocks of coded distinct vectors, as a written table, and the codebooks.
+def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
+    """(e, x, ids): each vector once, with a number, as a written table.
 
-    Equal vectors are one entry with its k + 1 smallest ids: no more of them can be among a query's k
-    nearest, so a vector that many rows share costs no more than another. Blocks hold about block
-    entries: codes, stored squared norms of the coded sums, the original vectors, and the ids.
+    Equal vectors are one entry with its k + 1 smallest ids: no more of them can be among a query's k nearest, so a vector
+    that many rows share costs no more than another.
     """
     order = Window.partitionBy("x").orderBy("id")
     own = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)  # limited before the exchange, too
-    entries = common.written(own.groupBy("x").agg(F.array_sort(F.collect_list("id")).alias("ids")), "ann-vectors")
-    n_blocks = max(1, -(-entries.count() // block))
+    entries = own.groupBy("x").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    return common.written(entries.select(F.monotonically_increasing_id().alias("e"), "x", "ids"), "ann-vectors")
+
+
+def build_index(entries: DataFrame, d: int, *, n_books: int, n_words: int, sample: int, beam: int) -> tuple[DataFrame, np.ndarray]:
+    """The index, as a written table, and the codebooks. A row is a batch of entries: their numbers, codes (a byte for each
+    book) and stored squared norms of the coded sums, and no vectors."""
     drawn = entries.orderBy(F.xxhash64("x"), "x").limit(sample).select("x").collect()
     x = np.array([r.x for r in drawn], float).reshape(-1, d)
-    books = train(x, n_books, n_words) if len(x) else np.zeros((n_books, 1, d))
-    shared = rows.sparkSession.sparkContext.broadcast(books.astype(np.float32))  # of fixed size
-
-    def run(table: pa.Table) -> pa.Table:
-        x = np.array(table["x"].to_pylist(), float)
-        codes = encode(x, shared.value)
-        norms = (decode(codes, shared.value) ** 2).sum(1).astype("<f4")
-        ids = table["ids"].to_pylist()
-        columns = {
-            "block": pa.array([table["block"][0].as_py()], pa.int32()),
-            "codes": pa.array([codes.astype("<u2").tobytes()], pa.binary()),
-            "norms": pa.array([norms.tobytes()], pa.binary()),
-            "x": pa.array([x.astype("<f8").tobytes()], pa.binary()),
-            "counts": pa.array([[len(i) for i in ids]], pa.list_(pa.int32())),
-            "ids": pa.array([[v for i in ids for v in i]], pa.list_(pa.int64())),
-        }
-        return pa.table(columns)
-
-    dealt = entries.withColumn("block", F.pmod(F.xxhash64("x"), F.lit(n_blocks)).cast("int"))
-    kinds = "block int, codes binary, norms binary, x binary, counts array<int>, ids array<long>"
-    return common.written(dealt.groupBy("block").applyInArrow(run, kinds), "ann-index"), books
-
-
-def search_block(queries: np.ndarray, query_ids: np.ndarray, entry: dict, books: np.ndarray, k: int, rerank: int):
-    """(query id, id, distance) of each query's k nearest found in a block, by distance, then id.
-
-    Lookup tables of queries times words score all entries; the rerank best by that are measured exactly.
-    """
+    books = train(x, n_books, n_words, beam=beam) if len(x) else np.zeros((n_books, 1, d), np.float32)
+    shared = entries.sparkSession.sparkContext.broadcast(books)  # of fixed size
+
+    def run(batches):
+        for batch in common.small_batches(batches):
+            x = batch.column(1).flatten().to_numpy().reshape(-1, d)
+            if len(x):
+                codes = encode(x, shared.value, beam)
+                norms = (decode(codes, shared.value) ** 2).sum(1)
+                columns = (batch.column(0).to_numpy().astype("<i8"), codes.astype(np.uint8), norms.astype("<f4"))
+                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], ["entries", "codes", "norms"])
+
+    made = entries.select("e", "x").mapInArrow(run, "entries binary, codes binary, norms binary")
+    return common.written(made, "ann-index"), books
+
+
+def scores(queries: np.ndarray, codes: np.ndarray, norms: np.ndarray, books: np.ndarray) -> np.ndarray:
+    """Squared distances of queries from coded sums, less the queries' own squared norms, by lookup tables of queries times
+    words."""
     n_books, n_words, d = books.shape
-    codes = np.frombuffer(entry["codes"], "<u2").reshape(-1, n_books)
-    norms, x = np.frombuffer(entry["norms"], "<f4"), np.frombuffer(entry["x"], "<f8").reshape(-1, d)
-    ids, ends = np.array(entry["ids"], np.int64), np.concatenate([[0], np.cumsum(entry["counts"])])
-    table = (queries.astype(np.float32) @ books.reshape(-1, d).T.astype(np.float32)).reshape(len(queries), n_books, n_words)
-    score = np.broadcast_to(norms, (len(queries), len(norms))).copy()
+    table = (2 * queries.astype(np.float32) @ books.reshape(-1, d).T).reshape(len(queries), n_books, n_words)
+    out = np.broadcast_to(norms, (len(queries), len(norms))).copy()
     for m in range(n_books):
-        score -= 2 * table[:, m][:, codes[:, m]]
-    width = min(rerank, len(norms))
-    short = np.argpartition(score, width - 1, axis=1)[:, :width]
-    out = []
-    for q, own, near in zip(queries, query_ids, short, strict=True):
-        distance = np.sqrt(((x[near] - q) ** 2).sum(1))
-        bound = np.partition(distance, min(k, width - 1))[min(k, width - 1)]
-        hits = np.flatnonzero(distance <= bound)
-        found = [(distance[h], i) for h in hits for i in ids[ends[near[h]] : ends[near[h] + 1]] if i != own]
-        out += [(int(own), int(i), float(s)) for s, i in sorted(found)[:k]]
+        out -= np.take(table[:, m], codes[:, m], axis=1)
     return out
 
 
+def _smallest(values: np.ndarray, n: int) -> np.ndarray:
+    """Columns of the n smallest of each row."""
+    return np.argpartition(values, n - 1, axis=1)[:, :n] if n < values.shape[1] else np.broadcast_to(np.arange(values.shape[1]), values.shape)
+
+
+def shortlists(asked: DataFrame, index: DataFrame, books: np.ndarray, d: int, *, shortlist: int, queries_at_once: int) -> DataFrame:
+    """(query_id, e): the shortlist entries of the whole index that the codes say are nearest to each query.
+
+    Queries in blocks meet the index in parts of it; codes and norms are all that moves of the index. A task keeps a block's
+    best entries while it goes through a part, and the best of all parts are taken in Spark.
+    """
+    spark = asked.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts, shared = 2 * n, spark.sparkContext.broadcast(books)
+
+    def packed(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, queries_at_once):
+                own = batch.slice(i, queries_at_once)
+                columns = (own.column(0).to_numpy().astype("<i8"), own.column(1).flatten().to_numpy().astype("<f4"))
+                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in columns], ["ids", "queries"])
+
+    blocks = asked.select("id", "x").mapInArrow(packed, "ids binary, queries binary")
+    blocks = blocks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).repartition(n, "part")
+    dealt = index.withColumn("part", F.pmod(F.xxhash64("entries"), F.lit(parts)).cast("int")).repartition(n, "part")
+
+    def best(ids: np.ndarray, near: np.ndarray, entries: np.ndarray):
+        each = near.shape[1]
+        columns = (pa.array(np.repeat(ids, each)), pa.array(entries.ravel()), pa.array(near.ravel().astype(np.float32)))
+        return pa.RecordBatch.from_arrays(list(columns), ["query_id", "e", "near"])
+
+    def run(batches):
+        key, ids, near, entries = None, None, None, None
+        for batch in batches:
+            for r in ({name: batch.column(i)[k].as_py() for i, name in enumerate(batch.schema.names)} for k in range(batch.num_rows)):
+                if r["ids"] != key:
+                    if key is not None:
+                        yield best(ids, near, entries)
+                    key, ids = r["ids"], np.frombuffer(r["ids"], "<i8")
+                    near, entries = np.zeros((len(ids), 0), np.float32), np.zeros((len(ids), 0), np.int64)
+                queries = np.frombuffer(r["queries"], "<f4").reshape(len(ids), d)
+                codes, norms = np.frombuffer(r["codes"], np.uint8).reshape(-1, len(books)), np.frombuffer(r["norms"], "<f4")
+                own = np.frombuffer(r["entries"], "<i8")
+                found, numbers = [], []
+                for i in range(0, len(ids), 128):  # bounds the table of scores
+                    s = scores(queries[i : i + 128], codes, norms, shared.value)
+                    at = _smallest(s, shortlist)
+                    found.append(np.take_along_axis(s, at, 1))
+                    numbers.append(own[at])
+                near = np.concatenate([near, np.concatenate(found)], 1)
+                entries = np.concatenate([entries, np.concatenate(numbers)], 1)
+                at = _smallest(near, shortlist)
+                near, entries = np.take_along_axis(near, at, 1), np.take_along_axis(entries, at, 1)
+        if key is not None:
+            yield best(ids, near, entries)
+
+    met = blocks.join(dealt.hint("merge"), "part").select("ids", "queries", "entries", "codes", "norms")
+    found = met.mapInArrow(run, "query_id long, e long, near float")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("near", "e"))
+    return found.withColumn("n", rank).filter(F.col("n") <= shortlist).select("query_id", "e")
+
+
 def nearest(
-    vectors: DataFrame, *, k: int = 10, every: int = 100, n_books: int = 12, n_words: int = 256, sample: int = 8192,
-    block: int = 1024, rerank: int = 128, queries_at_once: int = 256, id_col: str = "vec_id", vector_col: str = "embedding",
+    vectors: DataFrame, *, k: int = 10, every: int = 100, n_books: int = 32, n_words: int = 128, sample: int = 8192, beam: int = 4,
+    shortlist: int = 256, queries_at_once: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """The k nearest rows found for each query: query_id, rank, vec_id, score.
 
     Queries are the rows whose id is divisible by every; candidates all rows but those with the query's
-    id. score is the Euclidean distance of the original vectors, in double precision; ties go to the smaller id.
-    Codebooks are trained on the driver from at most sample distinct vectors, first by a hash; every row
-    is coded. Queries are packed into blocks of queries_at_once, and each block of queries meets each block
-    of the index once.
-
-    Rows that are null, zero, hold a null or non-finite number, have no id, or whose length is not the most
-    frequent one, take no part. Rows alike in id and vector count once. A query id with several vectors
-    uses the smallest of them. No rows, or no other row, gives no rows. Other columns are not read.
+    id. Every distinct vector is coded as a sum of one word of each of n_books codebooks (at most 256 words each), which are
+    trained on the driver from at most sample distinct vectors, first by a hash. Lookup tables score all codes for all
+    queries, by blocks; the shortlist best of each query, of the whole index, are then fetched by number and measured. score
+    is the Euclidean distance of the original vectors, in double precision; ties go to the smaller id.
+
+    Vectors are compared with those of their own length only: each length is an index of its own. Rows that are null, zero,
+    hold a null or non-finite number, or have no id, take no part. Rows alike in id and vector count once. A query id with
+    several vectors of a length uses the smallest of them. No rows, or no other row, gives no rows. every and k are 1 at
+    least (less raises ValueError). Other columns are not read.
     """
+    if every < 1 or k < 1 or not 1 <= n_words <= 256:
+        raise ValueError("every and k are 1 at least, n_words 1 to 256")
     spark = vectors.sparkSession
-    rows, d = usable(vectors, id_col, vector_col)
-    index, books = build_index(rows, d, k, n_books=n_books, n_words=n_words, sample=sample, block=block)
-    shared = spark.sparkContext.broadcast(books.astype(np.float32))
-    n_blocks = (index.agg(F.max("block")).first()[0] or 0) + 1
-    asked = rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("x").alias("x"))
-    asked = common.written(asked, "ann-queries")
-    n_groups = max(1, -(-asked.count() // queries_at_once))
-    asked = asked.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(n_groups)))
-
-    def packed(table: pa.Table) -> pa.Table:
-        x = np.array(table["x"].to_pylist(), "<f8")
-        return pa.table({"query_ids": pa.array([table["id"].to_pylist()], pa.list_(pa.int64())), "queries": pa.array([x.tobytes()], pa.binary())})
-
-    blocks = asked.groupBy("group").applyInArrow(packed, "query_ids array<long>, queries binary")
-    blocks = blocks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                r = {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
-                queries = np.frombuffer(r["queries"], "<f8").reshape(-1, d)
-                found = search_block(queries, np.array(r["query_ids"]), r, shared.value, k, rerank)
-                columns = zip(*found, strict=True) if found else ((), (), ())
-                kinds = (pa.int64(), pa.int64(), pa.float64())
-                arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
-
-    met = index.join(blocks.hint("merge"), "block").select("codes", "norms", "x", "counts", "ids", "query_ids", "queries")
-    met = met.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    found = met.mapInArrow(run, "query_id long, vec_id long, score double")
+    rows = common.written(usable(vectors, id_col, vector_col).withColumn("d", F.size("x")), "ann-rows")
+    found = []
+    for d in sorted(r.d for r in rows.select("d").distinct().collect()):  # a few lengths
+        found.append(_nearest(rows.filter(F.col("d") == d).drop("d"), d, k, every, n_books, n_words, sample, beam, max(shortlist, 2 * k + 2), queries_at_once))
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest(rows: DataFrame, d: int, k: int, every: int, n_books: int, n_words: int, sample: int, beam: int, shortlist: int, at_once: int) -> DataFrame:
+    entries = distinct_vectors(rows, k)
+    index, books = build_index(entries, d, n_books=n_books, n_words=n_words, sample=sample, beam=beam)
+    asked = common.written(rows.filter(F.col("id") % every == 0).groupBy("id").agg(F.min("x").alias("x")), "ann-queries")
+    short = shortlists(asked, index, books, d, shortlist=shortlist, queries_at_once=at_once)
+    met = short.join(entries, "e").join(asked.select(F.col("id").alias("query_id"), F.col("x").alias("q")), "query_id")
+    square = F.aggregate(F.zip_with("x", "q", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda sum_, v: sum_ + v)
+    met = met.select("query_id", F.sqrt(square).alias("score"), F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return met.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
