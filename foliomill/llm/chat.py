@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,15 +34,16 @@ class Template:
     def marks(self) -> tuple[str, ...]:
         return (self.turn, self.body, self.end)
 
-    def _pattern(self, slashes: str) -> re.Pattern:
-        each = (f"{re.escape(c[0])}{slashes}{re.escape(c[1:])}" for c in (*self.marks, *self.reserved))
-        return re.compile("|".join(each))
-
     def escape(self, text: str) -> str:
-        return self._pattern(r"\\*").sub(lambda m: f"{m[0][0]}\\{m[0][1:]}", text)
+        pattern = _pattern(self, r"\\*")
+        return pattern.sub(lambda m: f"{m[0][0]}\\{m[0][1:]}", text) if self._may_hold(text) else text
 
     def unescape(self, text: str) -> str:
-        return self._pattern(r"\\+").sub(lambda m: f"{m[0][0]}{m[0][2:]}", text)
+        pattern = _pattern(self, r"\\+")
+        return pattern.sub(lambda m: f"{m[0][0]}{m[0][2:]}", text) if self._may_hold(text) else text
+
+    def _may_hold(self, text: str) -> bool:
+        return any(sign in text for sign in {c[0] for c in (*self.marks, *self.reserved)})
 
     def render(self, turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, int]]]:
         """The formatted conversation, and where each turn's text stands in it."""
@@ -62,6 +65,13 @@ class Template:
         return out
 
 
+@functools.cache
+def _pattern(template: Template, slashes: str) -> re.Pattern:
+    """The control strings of a template, with backslashes after the first sign."""
+    each = (f"{re.escape(c[0])}{slashes}{re.escape(c[1:])}" for c in (*template.marks, *template.reserved))
+    return re.compile("|".join(each))
+
+
 def loss_mask(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
     """Which tokens (from starts to ends, in order) lie in one of the sorted spans, by binary search."""
     if not spans:
@@ -73,12 +83,14 @@ def loss_mask(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]
 
 def masked_text(formatted: str, starts, ends, mask) -> str:
     """The text under a mask. Tokens that share a sign, as parts of its bytes, give it once."""
-    out, at = [], 0
-    for a, b, on in zip(starts, ends, mask, strict=True):
-        if on and b > at:
-            out.append(formatted[max(a, at) : b])
-            at = b
-    return "".join(out)
+    mask = np.asarray(mask, bool)
+    a, b = np.asarray(starts)[mask], np.asarray(ends)[mask]
+    if not len(a):
+        return ""
+    reached = np.maximum.accumulate(b)
+    cuts = np.flatnonzero(a[1:] > reached[:-1]) + 1  # where tokens do not touch those before
+    runs = zip(a[np.append(0, cuts)].tolist(), reached[np.append(cuts, len(a)) - 1].tolist(), strict=True)
+    return "".join(formatted[x:y] for x, y in runs)
 
 
 _tokenizers: dict = {}
@@ -135,21 +147,31 @@ def format_chats(
     """
     template = template or Template()
 
+    def made(group: list[tuple]) -> pa.RecordBatch:
+        rendered = [template.render(own) for _, own in group]
+        found = _tokenizer(tokenizer, template).encode_batch([text for text, _ in rendered], add_special_tokens=False)
+        offsets, masks = [], []
+        for x, (_, spans), (_, own) in zip(found, rendered, group, strict=True):
+            offsets.append(np.fromiter(chain.from_iterable(x.offsets), np.int32, 2 * len(x)).reshape(-1, 2))
+            wanted = [span for span, (role, _) in zip(spans, own, strict=True) if role in loss_roles and span[0] < span[1]]
+            masks.append(loss_mask(offsets[-1][:, 0], offsets[-1][:, 1], wanted))
+        both, ends = np.concatenate(offsets), np.cumsum([0, *map(len, masks)]).astype(np.int32)
+        each = lambda values: pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+        ids = np.concatenate([np.array(x.ids, np.int32) for x in found])
+        columns = [pa.array([i for i, _ in group], pa.int64()), pa.array([len(own) for _, own in group], pa.int64()), pa.array([text for text, _ in rendered])]
+        columns += [each(ids), each(np.ascontiguousarray(both[:, 0])), each(np.ascontiguousarray(both[:, 1])), each(np.concatenate(masks))]
+        return pa.RecordBatch.from_arrays(columns, list(_FORMATTED))
+
     def run(batches):
-        encode = _tokenizer(tokenizer, template)
-        rows, size = [], 0
+        group, size = [], 0
         for conv_id, own in _conversations(batches, ["key", "conv_id", "role", "text"]):
-            formatted, spans = template.render(own)
-            found = encode.encode(formatted, add_special_tokens=False)
-            starts, ends = np.array(found.offsets, np.int32).reshape(-1, 2).T
-            wanted = [span for span, (role, _) in zip(spans, own, strict=True) if role in loss_roles and span[0] < span[1]]
-            rows.append((conv_id, len(own), formatted, found.ids, starts, ends, loss_mask(starts, ends, wanted)))
-            size += len(formatted)
-            if size > 1 << 20:
-                yield _batch(rows)
-                rows, size = [], 0
-        if rows:
-            yield _batch(rows)
+            group.append((conv_id, own))
+            size += sum(len(text) for _, text in own)
+            if size > 1 << 19:
+                yield made(group)
+                group, size = [], 0
+        if group:
+            yield made(group)
 
     rows = turns.select(
         F.col(id_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text")
@@ -161,25 +183,23 @@ def format_chats(
     return rows.mapInArrow(run, kinds)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = zip(zip(*rows, strict=True), _FORMATTED.values(), strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in columns], list(_FORMATTED))
-
-
 def digests(chats: DataFrame, template: Template | None = None) -> DataFrame:
     """What format_chats() made, read back: turns from the formatted text, the loss text from mask and offsets."""
     template = template or Template()
 
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+
     def run(batches):
         for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                r = {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
-                turns = template.parse(r["formatted"])
+            out, column = [], {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            cuts = column["ids"].offsets.to_numpy()
+            starts, ends, loss = (column[c].values.to_numpy(zero_copy_only=False) for c in ("starts", "ends", "loss"))
+            for i, (conv_id, formatted) in enumerate(zip(column["conv_id"].to_pylist(), column["formatted"].to_pylist(), strict=True)):
+                a, b = cuts[i], cuts[i + 1]
+                turns = template.parse(formatted)
                 whole = "".join(f"{role}\n{text}\n" for role, text in turns)
-                loss = template.unescape(masked_text(r["formatted"], r["starts"], r["ends"], r["loss"]))
-                sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
-                out.append((r["conv_id"], len(turns), sha(whole), len(loss), sha(loss), len(r["formatted"]), len(r["ids"])))
+                text = template.unescape(masked_text(formatted, starts[a:b], ends[a:b], loss[a:b]))
+                out.append((conv_id, len(turns), sha(whole), len(text), sha(text), len(formatted), int(b - a)))
             names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens"]
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
             columns = zip(*out, strict=True) if out else [()] * len(names)
