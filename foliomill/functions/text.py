@@ -64,11 +64,14 @@ def normalised(text: Column, extended: bool = False) -> Column:
     return F.translate(text, "".join([*one, *gone]), "".join(one.values()))
 
 
+# What is taken out of a transcription, in this order: lacunae, tags, brackets around text.
+MARKUP = ((r"\[\.{2,}\]|\[…\]", ""), (r"<[^>]*>", ""), (r"\[([^\]]*)\]", "$1"))
+
+
 def cleaned(text: Column, extended: bool = False) -> Column:
     """A transcription without lacunae, tags and brackets, with normalised and allowed characters only."""
-    text = F.regexp_replace(text, r"\[\.{2,}\]|\[…\]", "")
-    text = F.regexp_replace(text, r"<[^>]*>", "")
-    text = F.regexp_replace(text, r"\[([^\]]*)\]", "$1")
+    for pattern, by in MARKUP:
+        text = F.regexp_replace(text, pattern, by)
     return only_allowed(normalised(text, extended))
 
 
@@ -107,7 +110,8 @@ def wrapped(text: Column, width: int = 1024) -> Column:
 def word_distance(a: Column, b: Column) -> Column:
     """Edit distance of two arrays of words: each distinct word becomes a character, then levenshtein().
 
-    Characters start at U+4E00 and skip the surrogates, so a pair may hold over 20,000 distinct words.
+    Characters start at U+4E00, skip the surrogates and go on beyond U+FFFF, so a pair may hold a million distinct words;
+    more raise an error.
     """
     both = F.array_distinct(F.concat(a, b))
     codes = F.map_from_arrays(both, F.transform(F.sequence(F.lit(1), F.greatest(F.size(both), F.lit(1))), _character))
@@ -119,8 +123,10 @@ def word_distance(a: Column, b: Column) -> Column:
 
 def _character(i: Column) -> Column:
     point = F.lit(0x4E00) + i + F.when(i + 0x4E00 >= 0xD800, F.lit(0x800)).otherwise(F.lit(0))
-    # UTF-16BE of the code point; pairs beyond U+FFFF are not needed below 40,000 distinct words
-    return F.decode(F.unhex(F.lpad(F.hex(point), 4, "0")), "UTF-16BE")
+    above = point - 0x10000
+    pair = F.concat(F.hex(F.lit(0xD800) + F.shiftright(above, 10)), F.hex(F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))))
+    units = F.when(point <= 0xFFFF, F.hex(point)).when(point <= 0x10FFFF, pair).otherwise(F.raise_error(F.lit("too many distinct words in a pair")))
+    return F.decode(F.unhex(units), "UTF-16BE")
 
 
 def character_distance(a: Column, b: Column) -> Column:

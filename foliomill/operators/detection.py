@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from foliomill.functions import geometry as G
+from foliomill.functions import text as T
+from foliomill.operators import errors
+from foliomill.sinks.paths import written
+
 THRESHOLDS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
 CONFIGS = ("match", "miss", "false_alarm", "split", "merge", "multiple")
 SIDES = ("x1", "y1", "x2", "y2")
@@ -139,174 +143,189 @@ def cells(polygons: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(areas), np.concatenate(inside)
 
 
-def distance(a: str, b: str) -> int:
-    """Edit distance of two texts, a row of the table at a time."""
-    if a == b:
-        return 0
-    last = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y)))
-        last = row
-    return last[-1]
-
-
-def zone_polygon(boundary, baseline, pad: int = 10) -> list[tuple[float, float]]:
-    """A boundary of three points and more, else a box around the baseline with pad above and below."""
-    if boundary is not None and len(boundary) >= 3:
-        return [(p["x"], p["y"]) for p in boundary]
-    if baseline is None or len(baseline) < 2:
-        return []
-    xs, ys = [p["x"] for p in baseline], [p["y"] for p in baseline]
-    return [(min(xs), min(ys) - pad), (max(xs), min(ys) - pad), (max(xs), max(ys) + pad), (min(xs), max(ys) + pad)]
-
-
-def _config(gt: int, dt: int) -> str:
-    if not dt:
-        return "miss"
-    if not gt:
-        return "false_alarm"
-    return "match" if gt == dt == 1 else "split" if gt == 1 else "merge" if dt == 1 else "multiple"
-
-
-class _Page:
-    """Groups of linked zones of one page; links are taken by falling strength."""
-
-    def __init__(self, truth: list, found: list, beta: float):
-        self.n = len(truth)
-        areas, inside = cells([*truth, *found])
-        self.areas, self.inside = areas, inside
-        size = inside.T.astype(float) @ areas
-        shared = (inside[:, : self.n].T * areas) @ inside[:, self.n :].astype(float)
-        share = lambda x: np.divide(shared, x, out=np.zeros_like(shared), where=x > 0) ** 2
-        strength = share(size[: self.n, None] + 0 * shared) + share(size[None, self.n :] + 0 * shared)
-        links = sorted(((-strength[g, d], g, d) for g, d in zip(*np.nonzero(shared > 0), strict=True)))
-        self.size = size
-        self.of_gt: list[list[int]] = [[] for _ in truth]
-        self.of_dt: list[list[int]] = [[] for _ in found]
-        self.groups = []  # (gt zones, dt zones, gt cardinality, dt cardinality, area, linked)
-        for _, g, d in links:
-            used = self._any([*self.of_dt[d]]) | self._any([self.n + x for x in self.of_gt[g]])
-            left_g = inside[:, g] & ~used
-            left = left_g & inside[:, self.n + d]
-            area, whole = areas[left].sum(), areas[left_g].sum()
-            if area > 0 and area / whole > beta:
-                self.of_gt[g].append(d)
-                self.of_dt[d].append(g)
-                self.groups.append((g, d, len(self.of_dt[d]), len(self.of_gt[g]), area))
-
-    def _any(self, zones: list[int]) -> np.ndarray:
-        return self.inside[:, zones].any(axis=1) if zones else np.zeros(len(self.areas), bool)
-
-    def rest(self, g: int | None, d: int | None) -> float:
-        """What no linked zone covers of a zone."""
-        own = g if d is None else self.n + d
-        others = [self.n + x for x in self.of_gt[g]] if d is None else self.of_dt[d]
-        return float(self.areas[self.inside[:, own] & ~self._any(others)].sum())
-
-
-def _bag(a: str, b: str) -> int:
-    left, n = b.split(), 0
-    for w in a.split():
-        if w in left:
-            left.remove(w)
-            n += 1
-    return n
-
-
-@dataclass
-class Zones:
-    """Zones of one side of a page, in order."""
-
-    polygons: list
-    texts: list[str]
-
-
-def page_stats(gt: Zones, dt: Zones, *, with_text: bool = True, beta: float = 0.2, weight: float = 0.5, need_text: bool = True) -> dict:
-    """Areas and counts by configuration, and recognition counts, of one page.
-
-    A group's configuration is that of the links made so far when it is made. Groups count their
-    shared area; splits, merges and multiples count weight times the zones on the divided side. What a zone with text (or
-    any, without need_text) keeps uncovered is missed or a false alarm.
+def zone_polygon(boundary: Column, baseline: Column, pad: int = 10) -> Column:
+    """A boundary of three points and more, else a box around the baseline with pad above and below; null without either."""
+    around = G.polygon(G.padded(G.bounds(baseline), pad)).cast(G.POINTS)
+    return F.when(F.size(boundary) >= 3, boundary).when(F.size(baseline) >= 2, around)
+
+
+def _zones(truth: DataFrame, found: DataFrame, page: Sequence[str]) -> DataFrame:
+    """(page columns, side, z, corner, points, text) of zones with a place: side 0 is the truth; z numbers a side's zones of
+    a page by idx, corner by their tops and left edges."""
+    sides = [x.select(*page, "idx", "boundary", "baseline", "text", F.lit(k).alias("side")) for k, x in enumerate((truth, found))]
+    rows = sides[0].unionByName(sides[1]).withColumn("points", zone_polygon(F.col("boundary"), F.col("baseline"))).filter("points is not null")
+    top = [G.corner(F.col("points"), a, True) for a in "yx"]
+    along = Window.partitionBy(*page, "side")
+    number = lambda *by: F.row_number().over(along.orderBy(*by)) - 1
+    return rows.select(*page, "side", number("idx").alias("z"), number(*top, "idx").alias("corner"), "points", F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _by_page(rows: DataFrame, page: Sequence[str], kinds: str, each, other: DataFrame | None = None) -> DataFrame:
+    """each(rows of a page[, those of other]) -> tuples, with the page's columns before them. A page is small, and one group."""
+    head = ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in page)
+    made = _arrow(rows.select(*page), f"{head}, {kinds}")
+
+    def rows_of(*tables: pa.Table) -> pa.Table:
+        key = next(t for t in tables if t.num_rows).select(list(page)).slice(0, 1).to_pylist()[0]
+        return made([(*(key[c] for c in page), *x) for x in each(*tables)])
+
+    def one(table: pa.Table) -> pa.Table:
+        return rows_of(table)
+
+    def two(table: pa.Table, more: pa.Table) -> pa.Table:
+        return rows_of(table, more)
+
+    own, kinds = rows.groupBy(*page), f"{head}, {kinds}"
+    if other is None:
+        return own.applyInArrow(one, kinds)
+    return own.cogroup(other.select([F.col(c).alias(c) for c in other.columns]).groupBy(*page)).applyInArrow(two, kinds)
+
+
+def page_cells(zones: DataFrame, page: Sequence[str]) -> DataFrame:
+    """(page columns, area, truth, found): the areas that zones cut each other into, and the zones z that hold each."""
+
+    def each(table: pa.Table):
+        rows = table.sort_by([("side", "ascending"), ("z", "ascending")]).select(["side", "points"]).to_pylist()
+        n = sum(r["side"] == 0 for r in rows)
+        areas, inside = cells([np.array([(p["x"], p["y"]) for p in r["points"]], float) for r in rows])
+        for area, row in zip(areas.tolist(), inside, strict=True):
+            at = np.flatnonzero(row)
+            if len(at):
+                yield area, at[at < n].tolist(), (at[at >= n] - n).tolist()
+
+    return _by_page(zones, page, "area double, truth array<int>, found array<int>", each)
+
+
+def _groups(links: DataFrame, cut: DataFrame, page: Sequence[str], beta: float) -> DataFrame:
+    """(page columns, n, g, d, n_gt, n_dt, area): links that hold, in the order of falling strength.
+
+    Of a link's shared area that counts which no zone covers that is already linked to either; the link holds if this is over
+    beta of what is so left of the true zone. n_gt and n_dt: links of the found and of the true zone so far.
     """
-    out = {f"area_{c}": 0.0 for c in CONFIGS} | {f"n_{c}": 0 for c in CONFIGS} | dict.fromkeys(("gt_area", "edits", "gt_chars", "dt_chars", "gt_words", "dt_words", "word_hits"), 0)
-    if not gt.polygons:
-        return out
-    texts = [gt.texts, dt.texts]
-    page = _Page(gt.polygons, dt.polygons, beta)
-    out["gt_area"] = float(page.size[: page.n].sum())
-    if not dt.polygons:
-        return out | {"area_miss": out["gt_area"], "n_miss": len(gt.polygons)}
-    groups = [(_config(n_gt, n_dt), [g], [d], n_gt, n_dt, area, False) for g, d, n_gt, n_dt, area in page.groups]
-    for k, (own, linked) in enumerate(((0, page.of_gt), (1, page.of_dt))):
-        for i, text in enumerate(texts[own]):
-            if (text.strip() or not need_text) and (area := page.rest(i, None) if k == 0 else page.rest(None, i)) > 0:
-                side = ([i], []) if k == 0 else ([], [i])
-                groups.append(("miss" if k == 0 else "false_alarm", *side, 0, 0, area, bool(linked[i])))
-    for config, _, _, n_gt, n_dt, area, linked in groups:
-        factor = {"split": weight * n_dt, "merge": weight * n_gt, "multiple": weight * (n_gt + n_dt)}.get(config, 1.0)
-        out[f"area_{config}"] += factor * area
-        out[f"n_{config}"] += not linked
-    return out | (_recognition(page, groups, gt, dt, texts) if with_text else {})
-
-
-def _recognition(page: _Page, groups, gt: Zones, dt: Zones, texts) -> dict:
-    """Edits, lengths and common words; every zone's text counts in one group only."""
-    out = dict.fromkeys(("edits", "gt_chars", "dt_chars", "gt_words", "dt_words", "word_hits"), 0)
-    used: tuple[set, set] = (set(), set())
-    corner = lambda side, i: (lambda p: min(y for _, y in p) * 1e6 + min(x for x, _ in p))(side.polygons[i])
-    for wanted in ("multiple", "split", "merge", "match", "miss", "false_alarm"):
-        for config, g, d, *_ in groups:
-            if config != wanted:
-                continue
-            if config == "multiple":
-                g, d = [x for x in page.of_dt[d[0]] if x not in used[0]], [x for x in page.of_gt[g[0]] if x not in used[1]]
-            elif config == "split":
-                if g[0] in used[0]:
-                    continue
-                d = [x for x in page.of_gt[g[0]] if x not in used[1]]
-            elif config == "merge":
-                if d[0] in used[1]:
-                    continue
-                g = [x for x in page.of_dt[d[0]] if x not in used[0]]
-            elif any(x in used[0] for x in g) or any(x in used[1] for x in d):
+
+    def each(links: pa.Table, cut: pa.Table):
+        areas = np.array(cut["area"].to_pylist(), float)
+        holds = [[set(x) for x in cut[side].to_pylist()] for side in ("truth", "found")]
+        of: tuple[dict, dict] = ({}, {})
+        order = sorted(links.select(["strength", "g", "d"]).to_pylist(), key=lambda r: (-r["strength"], r["g"], r["d"]))
+        n = 0
+        for r in order:
+            g, d = r["g"], r["d"]
+            mine, theirs = of[0].setdefault(g, set()), of[1].setdefault(d, set())
+            free = [i for i, (t, f) in enumerate(zip(*holds, strict=True)) if g in t and not t & theirs and not f & mine]
+            shared = areas[[i for i in free if d in holds[1][i]]].sum()
+            if shared > 0 and shared / areas[free].sum() > beta:
+                mine.add(d)
+                theirs.add(g)
+                yield n, g, d, len(theirs), len(mine), float(shared)
+                n += 1
+
+    return _by_page(links, page, "n int, g int, d int, n_gt int, n_dt int, area double", each, cut)
+
+
+def _text_groups(groups: DataFrame, page: Sequence[str]) -> DataFrame:
+    """(page columns, t, side, z): which zones' texts are compared together; each counts in one group t at most.
+
+    groups (n, config, g, d) are taken by configuration in a fixed order, then by n. Multiple groups take all zones linked to
+    either side that are still free, splits and merges those of their divided side; others need both zones free.
+    """
+    # The order in which configurations take texts.
+    turns = ("multiple", "split", "merge", "match", "miss", "false_alarm")
+
+    def each(table: pa.Table):
+        rows = sorted(table.select(["config", "n", "g", "d"]).to_pylist(), key=lambda r: (turns.index(r["config"]), r["n"]))
+        of: tuple[dict, dict] = ({}, {})
+        for r in rows:
+            if r["g"] is not None and r["d"] is not None:
+                of[0].setdefault(r["g"], []).append(r["d"])
+                of[1].setdefault(r["d"], []).append(r["g"])
+        taken: tuple[set, set] = (set(), set())
+        for t, r in enumerate(rows):
+            own = [{r["g"]} - {None}, {r["d"]} - {None}]
+            fixed = {"multiple": (), "split": (0,), "merge": (1,)}.get(r["config"], (0, 1))
+            if any(own[k] & taken[k] for k in fixed):
                 continue
-            g, d = sorted(g, key=lambda i: corner(gt, i)), sorted(d, key=lambda i: corner(dt, i))
-            used[0].update(g)
-            used[1].update(d)
-            a, b = "".join(texts[0][i] for i in g), "".join(texts[1][i] for i in d)
-            out["edits"] += distance(a, b)
-            out["gt_chars"] += len(a)
-            out["dt_chars"] += len(b)
-            out["gt_words"] += len(a.split())
-            out["dt_words"] += len(b.split())
-            out["word_hits"] += _bag(a, b)
-    return out
+            wide = [set(of[1].get(r["d"], ())), set(of[0].get(r["g"], ()))]
+            for k in (0, 1):
+                got = (own[k] if k in fixed else wide[k]) - taken[k]
+                taken[k].update(got)
+                yield from ((t, k, z) for z in got)
 
+    return _by_page(groups, page, "t int, side int, z int", each)
 
-STATS = [*(f"area_{c}" for c in CONFIGS), "gt_area", *(f"n_{c}" for c in CONFIGS), "edits", "gt_chars", "dt_chars", "gt_words", "dt_words", "word_hits"]
 
+STATS = [*(f"area_{c}" for c in CONFIGS), "gt_area", *(f"n_{c}" for c in CONFIGS), "edits", "gt_chars", "dt_chars", "gt_words", "dt_words", "word_hits"]
 
-def zone_map(truth: DataFrame, found: DataFrame, page: Sequence[str], **options) -> DataFrame:
-    """page_stats() of every page of truth and found (page columns, idx, boundary, baseline, text), a row for each."""
-    kind = ", ".join(f"{c} {dict(truth.dtypes)[c]}" for c in page)
-    kinds = f"{kind}, " + ", ".join(f"{c} {'double' if 'area' in c else 'long'}" for c in STATS)
-    made = _arrow(truth.select(*page), kinds)
 
-    def zones(x: pa.Table) -> Zones:
-        rows = sorted(x.select(["idx", "boundary", "baseline", "text"]).to_pylist(), key=lambda r: r["idx"])
-        shapes = [zone_polygon(r["boundary"], r["baseline"]) for r in rows]
-        kept = [(p, r["text"] or "") for p, r in zip(shapes, rows, strict=True) if p]
-        return Zones([p for p, _ in kept], [t for _, t in kept])
+def zone_map(
+    truth: DataFrame, found: DataFrame, page: Sequence[str], *, with_text: bool = True, beta: float = 0.2, weight: float = 0.5, need_text: bool = True
+) -> DataFrame:
+    """(page columns, STATS): areas and counts by configuration, and recognition counts, a row for each page of truth and
+    found (page columns, idx, boundary, baseline, text).
 
-    def run(t: pa.Table, f: pa.Table) -> pa.Table:
-        key = [(t if t.num_rows else f)[c][0].as_py() for c in page]
-        stats = page_stats(zones(t), zones(f), **options)
-        return made([(*key, *(stats[c] for c in STATS))])
+    Zones that share some area are linked, by falling strength; a link's configuration is that of the links made so far.
+    Links count their shared area; splits, merges and multiples count weight times the zones on the divided side. What a zone
+    with text (or any, without need_text) keeps uncovered by the zones it is linked to is missed or a false alarm. On pages
+    without found zones all true zones are missed. Pages without true zones count nothing.
 
-    found = found.select(*[F.col(c).alias(c) for c in (*page, "idx", "boundary", "baseline", "text")])  # may be truth itself
-    return truth.groupBy(*page).cogroup(found.groupBy(*page)).applyInArrow(run, kinds)
+    Areas, links, sums and texts are rows that Spark joins and adds up; Arrow functions cut a page's polygons and take its
+    links one by one. What is used more than once is written to the shared folder.
+    """
+    page = list(page)
+    pages = truth.select(*page).unionByName(found.select(*page)).distinct()
+    zones = written(_zones(truth, found, page), "zones")
+    cut = written(page_cells(zones, page), "zone-cells")
+    inside = lambda side, name: cut.select(*page, "area", F.explode(side).alias(name), "truth", "found")
+    sizes = [inside(side, name).groupBy(*page, name).agg(F.sum("area").alias(f"{name}_size")) for side, name in (("truth", "g"), ("found", "d"))]
+    shared = inside("truth", "g").select(*page, "area", "g", F.explode("found").alias("d")).groupBy(*page, "g", "d").agg(F.sum("area").alias("shared"))
+    share = lambda c: F.pow(F.col("shared") / F.col(c), 2)
+    links = shared.filter("shared > 0").join(sizes[0], [*page, "g"]).join(sizes[1], [*page, "d"])
+    links = links.select(*page, "g", "d", (share("g_size") + share("d_size")).alias("strength"))
+    linked = written(_groups(links, cut, page, beta), "zone-groups")
+
+    config = (
+        F.when((F.col("n_gt") == 1) & (F.col("n_dt") == 1), "match").when(F.col("n_gt") == 1, "split")
+        .when(F.col("n_dt") == 1, "merge").otherwise("multiple")
+    )
+    divided = F.when(config == "match", 1.0).otherwise(weight * (F.when(config == "merge", 0).otherwise(F.col("n_dt")) + F.when(config == "split", 0).otherwise(F.col("n_gt"))))
+    counted = linked.select(*page, "n", config.alias("config"), "g", "d", (divided * F.col("area")).alias("area"), F.lit(1).alias("counts"))
+
+    on = zones.groupBy(*page).agg(F.count_if(F.col("side") == 0).alias("n_truth"), F.count_if(F.col("side") == 1).alias("n_found")).filter("n_truth > 0")
+    partners = {0: linked.groupBy(*page, F.col("g").alias("z")).agg(F.collect_set("d").alias("own")), 1: linked.groupBy(*page, F.col("d").alias("z")).agg(F.collect_set("g").alias("own"))}
+    rests = []
+    for side, (own, other, kind) in enumerate((("truth", "found", "miss"), ("found", "truth", "false_alarm"))):
+        parts = inside(own, "z").select(*page, "z", "area", F.col(other).alias("others")).join(partners[side], [*page, "z"], "left")
+        left = parts.filter(~F.coalesce(F.arrays_overlap("others", "own"), F.lit(False))).groupBy(*page, "z").agg(F.sum("area").alias("area"))
+        rows = zones.filter(F.col("side") == side).select(*page, "z", (T.stripped(F.col("text")) != "").alias("filled"))
+        rows = rows.join(on, page).join(left, [*page, "z"], "left").join(partners[side], [*page, "z"], "left")
+        area = F.coalesce("area", F.lit(0.0))
+        wanted = ((area > 0) & (F.col("filled") | F.lit(not need_text))) | (F.col("n_found") == 0)
+        at = (F.lit(None).cast("int"), F.col("z"))
+        rests.append(rows.filter(wanted).select(
+            *page, (F.lit(1_000_000_000 * (side + 1)) + F.col("z")).cast("long").alias("n"), F.lit(kind).alias("config"), at[1 - side].alias("g"), at[side].alias("d"),
+            area.alias("area"), F.col("own").isNull().cast("int").alias("counts"),
+        ))
+    counted = written(counted.withColumn("n", F.col("n").cast("long")).unionByName(rests[0]).unionByName(rests[1]), "zone-counts")
+    of = lambda c, value: F.sum(F.when(F.col("config") == c, F.col(value)))
+    sums = counted.groupBy(*page).agg(*[of(c, "area").alias(f"area_{c}") for c in CONFIGS], *[of(c, "counts").cast("long").alias(f"n_{c}") for c in CONFIGS])
+    total = sizes[0].groupBy(*page).agg(F.sum("g_size").alias("gt_area"))
+    out = pages.join(sums, page, "left").join(total, page, "left")
+    if with_text:
+        out = out.join(_recognition(counted.join(on.filter("n_found > 0").select(*page), page), zones, page), page, "left")
+    filled = [F.coalesce(F.col(c) if c in out.columns else F.lit(None), F.lit(0)).cast("double" if "area" in c else "long").alias(c) for c in STATS]
+    return out.select(*page, *filled)
+
+
+def _recognition(groups: DataFrame, zones: DataFrame, page: list[str]) -> DataFrame:
+    """(page columns, edits, gt_chars, dt_chars, gt_words, dt_words, word_hits) over the texts of the groups."""
+    members = _text_groups(groups.select(*page, "n", "config", "g", "d"), page).join(zones.select(*page, "side", "z", "corner", "text"), [*page, "side", "z"])
+    texts = lambda side: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("corner", "text")))), lambda x: x["text"]), "")
+    pairs = written(members.groupBy(*page, "t").agg(texts(0).alias("truth"), texts(1).alias("found")), "zone-texts")
+    edited = errors.with_edits(pairs).join(errors.word_overlap(pairs, [*page, "t"]), [*page, "t"])
+    return edited.groupBy(*page).agg(
+        F.sum("char_edits").alias("edits"), F.sum("chars").alias("gt_chars"), F.sum("found_chars").alias("dt_chars"), F.sum("words").alias("gt_words"),
+        F.sum("found_words").alias("dt_words"), F.sum("common").alias("word_hits"),
+    )
 
 
 def zone_map_scores(stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:

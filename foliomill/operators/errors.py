@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,26 +59,45 @@ def matched_lines(truth: DataFrame, found: DataFrame, key: Sequence[str], *, nor
     return rates(with_edits(pairs)).select("cer", "wer", F.col("pairs").alias("matched_lines"))
 
 
+def _rows(first: np.ndarray, own: np.ndarray, b: np.ndarray):
+    """Rows of the distance table after first, one for each symbol of own."""
+    steps, last = np.arange(len(b) + 1), first
+    for x in own:
+        row = np.empty_like(last)
+        row[0] = last[0] + 1
+        row[1:] = np.minimum(last[:-1] + (b != x), last[1:] + 1)
+        last = np.minimum.accumulate(row - steps) + steps  # what insertions along the row make of it
+        yield last
+
+
 def alignment(a: Sequence[str], b: Sequence[str]) -> list[tuple[str, str, str]]:
     """(operation, symbol of a, symbol of b) of the differences in a cheapest alignment.
 
-    From the ends, a symbol that is equal is matched first, then substitution, deletion, insertion are tried. Rows of
-    the distance table are kept for the way back: its size is the product of the lengths.
+    From the ends, a symbol that is equal is matched first, then substitution, deletion, insertion are tried. Every so many
+    rows of the distance table are kept for the way back and those between are made again, so a text of n symbols needs room
+    for about 2 * sqrt(n) rows; time is the product of the lengths.
     """
-    rows = [list(range(len(b) + 1))]
-    for i, x in enumerate(a, 1):
-        last, row = rows[-1], [i]
-        for j, y in enumerate(b, 1):
-            row.append(last[j - 1] if x == y else 1 + min(last[j - 1], last[j], row[j - 1]))
-        rows.append(row)
+    codes = {x: i for i, x in enumerate(dict.fromkeys([*a, *b]))}
+    x, y = (np.array([codes[s] for s in t], np.int32) for t in (a, b))
+    every = max(1, int(len(a) ** 0.5))
+    kept = [np.arange(len(b) + 1, dtype=np.int32)]
+    for i, row in enumerate(_rows(kept[0], x, y), 1):
+        if i % every == 0:
+            kept.append(row)
     out, i, j = [], len(a), len(b)
+    block, rows = None, []
     while i or j:
-        if i and j and a[i - 1] == b[j - 1] and rows[i][j] == rows[i - 1][j - 1]:
+        k = max(0, i - 1) // every
+        if k != block:
+            block, rows = k, [kept[k], *_rows(kept[k], x[k * every : (k + 1) * every], y)]
+        here = rows[i - k * every]
+        above = rows[i - k * every - 1] if i else None
+        if i and j and x[i - 1] == y[j - 1] and here[j] == above[j - 1]:
             i, j = i - 1, j - 1
-        elif i and j and rows[i][j] == rows[i - 1][j - 1] + 1:
+        elif i and j and here[j] == above[j - 1] + 1:
             i, j = i - 1, j - 1
             out.append(("substitution", a[i], b[j]))
-        elif i and rows[i][j] == rows[i - 1][j] + 1:
+        elif i and here[j] == above[j] + 1:
             i -= 1
             out.append(("deletion", a[i], ""))
         else:
@@ -90,7 +109,8 @@ def alignment(a: Sequence[str], b: Sequence[str]) -> list[tuple[str, str, str]]:
 def operations(pairs: DataFrame, *, level: str = "word", truth: str = "truth", found: str = "found") -> DataFrame:
     """(operation, truth, found, n) over all pairs, of words or of user-perceived characters of decomposed texts.
 
-    Only the number of all operations of a pair is canonical; which symbols they name depends on how ties are taken.
+    Only the number of all operations of a pair is canonical; which symbols they name depends on how ties are taken. Null
+    texts are empty. Time grows with the product of a pair's lengths, room with the longer text (see alignment()).
     """
     if level == "word":
         split = T.words
@@ -146,8 +166,3 @@ def word_overlap(pairs: DataFrame, key: Sequence[str], truth: str = "truth", fou
     both = bag(truth, "n_a").join(bag(found, "n_b"), [*key, "word"])
     common = both.groupBy(*key).agg(F.sum(F.least("n_a", "n_b")).alias("common"))
     return pairs.select(*key).distinct().join(common, list(key), "left").fillna(0, ["common"])
-
-
-def decomposed(text: str) -> list[str]:
-    """Code points of the canonical decomposition."""
-    return list(unicodedata.normalize("NFD", text))

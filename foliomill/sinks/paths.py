@@ -1,8 +1,11 @@
-"""Paths that Python tasks write to, named as Spark names them."""
+"""Paths that tasks write to: the shared folder of intermediate tables, and files of Python tasks named as Spark names them."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Schemes of Hadoop's connectors and the names that pyarrow has for them.
 SCHEMES = {"s3a": "s3", "s3n": "s3"}
@@ -24,3 +27,30 @@ def opened(uri: str):
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/")
     return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
+
+
+#: Used only where the session names no shared folder and all runs on one machine, as in tests.
+LOCAL_FOLDER = "/tmp/checkpoints"
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path under spark.checkpoint.dir, the folder that the driver and all executors share.
+
+    Where it is unset, a folder of this machine serves a local master; a cluster has none, which is an error.
+    """
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    return f"{(base or LOCAL_FOLDER).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder, read back.
+
+    This cuts the lineage with files that survive lost executors, and fixes the rows of steps whose
+    results are used more than once. by: a column to lay the files out by.
+    """
+    path = shared_folder(df.sparkSession, name)
+    out = df.write.option("compression", "zstd")
+    (out.partitionBy(by) if by else out).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # a table without rows may have no file

@@ -2,6 +2,7 @@
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -21,11 +22,42 @@ def test_rates_and_worst(spark):
     assert (none.cer, none.matched_lines) == (None, 0)
 
 
+def plain_table(a, b):
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(rows[-1][j - 1] + (x != y), rows[-1][j] + 1, row[-1] + 1))
+        rows.append(row)
+    return rows
+
+
+def plain_distance(a, b):
+    return plain_table(a, b)[-1][-1]
+
+
+def plain_alignment(a, b):
+    """From the ends: equal symbols, else the first of substitution, deletion and insertion that is on a cheapest way."""
+    rows, out, i, j = plain_table(a, b), [], len(a), len(b)
+    while (i, j) != (0, 0):
+        ways = [((i - 1, j - 1), None, i and j and a[i - 1] == b[j - 1], 0), ((i - 1, j - 1), "substitution", i and j, 1)]
+        ways += [((i - 1, j), "deletion", i, 1), ((i, j - 1), "insertion", j, 1)]
+        (k, m), name, _, _ = next(w for w in ways if w[2] and rows[w[0][0]][w[0][1]] + w[3] == rows[i][j])
+        if name:
+            out.append((name, a[i - 1] if k < i else "", b[j - 1] if m < j else ""))
+        i, j = k, m
+    return out[::-1]
+
+
 def test_alignment_is_cheapest():
     draw = random.Random(0)
     for _ in range(200):
         a, b = ("".join(draw.choice("abc") for _ in range(draw.randint(0, 8))) for _ in range(2))
-        assert len(errors.alignment(a, b)) == detection.distance(a, b)
+        got = errors.alignment(a, b)
+        assert len(got) == plain_distance(a, b) and got == plain_alignment(a, b)
+    a = [str(draw.randint(0, 30)) for _ in range(700)]
+    b = [x for x in a if draw.random() < 0.9] + ["end"]
+    assert errors.alignment(a, b) == plain_alignment(a, b)
 
 
 def test_operations(spark):
@@ -67,24 +99,108 @@ def box(x1, y1, x2, y2):
     return [(x1, y1), (x2, y1), (x2, y2), (x1, y2)]
 
 
-def stats(gt, dt, **options):
-    return detection.page_stats(detection.Zones([box(*b) for b, _ in gt], [t for _, t in gt]), detection.Zones([box(*b) for b, _ in dt], [t for _, t in dt]), **options)
-
-
-def test_zone_map_configurations():
-    one = stats([((0, 0, 10, 10), "ab c")], [((0, 0, 10, 10), "ab d")])
+def plain_stats(gt, dt, need_text=True):
+    """Zone scores of a page of rectangles, by sets of unit squares."""
+    squares = lambda b: {(x, y) for x in range(b[0], b[2]) for y in range(b[1], b[3])}
+    g, d = [squares(b) for b, _ in gt], [squares(b) for b, _ in dt]
+    out = dict.fromkeys(detection.STATS, 0)
+    if not gt:
+        return out
+    out["gt_area"] = sum(map(len, g))
+    if not dt:
+        return out | {"area_miss": out["gt_area"], "n_miss": len(gt)}
+    strength = {(i, j): (len(x & y) / len(x)) ** 2 + (len(x & y) / len(y)) ** 2 for i, x in enumerate(g) for j, y in enumerate(d) if x & y}
+    links, rows = [], []
+    for i, j in sorted(strength, key=lambda k: (-strength[k], k)):
+        gone = set().union(*(g[a] for a, b in links if b == j), *(d[b] for a, b in links if a == i))
+        left = g[i] - gone
+        if left & d[j] and len(left & d[j]) / len(left) > 0.2:
+            links.append((i, j))
+            n_gt, n_dt = sum(b == j for _, b in links), sum(a == i for a, _ in links)
+            kind = "match" if n_gt == n_dt == 1 else "split" if n_gt == 1 else "merge" if n_dt == 1 else "multiple"
+            factor = {"match": 1, "split": 0.5 * n_dt, "merge": 0.5 * n_gt, "multiple": 0.5 * (n_gt + n_dt)}[kind]
+            rows.append((kind, {i}, {j}, factor * len(left & d[j]), 1))
+    for i, x in enumerate(g):
+        rest = x - set().union(*(d[b] for a, b in links if a == i))
+        if rest and (gt[i][1].strip() or not need_text):
+            rows.append(("miss", {i}, set(), len(rest), i not in {a for a, _ in links}))
+    for j, y in enumerate(d):
+        rest = y - set().union(*(g[a] for a, b in links if b == j))
+        if rest and (dt[j][1].strip() or not need_text):
+            rows.append(("false_alarm", set(), {j}, len(rest), j not in {b for _, b in links}))
+    for kind, _, _, area, counts in rows:
+        out[f"area_{kind}"] += area
+        out[f"n_{kind}"] += counts
+    used = (set(), set())
+    for wanted in ("multiple", "split", "merge", "match", "miss", "false_alarm"):
+        for kind, a, b, *_ in rows:
+            if kind != wanted:
+                continue
+            more = ({x for x, y in links if y in b}, {y for x, y in links if x in a})
+            if wanted == "multiple":
+                a, b = more
+            elif (wanted != "merge" and a & used[0]) or (wanted != "split" and b & used[1]):
+                continue
+            elif wanted in ("split", "merge"):
+                a, b = (a, more[1]) if wanted == "split" else (more[0], b)
+            a, b = a - used[0], b - used[1]
+            used[0].update(a)
+            used[1].update(b)
+            text = lambda side, own: "".join(side[i][1] for i in sorted(own, key=lambda i: (side[i][0][1], side[i][0][0], i)))
+            x, y = text(gt, a), text(dt, b)
+            out["edits"] += plain_distance(x, y)
+            out["gt_chars"] += len(x)
+            out["dt_chars"] += len(y)
+            out["gt_words"] += len(x.split())
+            out["dt_words"] += len(y.split())
+            out["word_hits"] += sum((Counter(x.split()) & Counter(y.split())).values())
+    return out
+
+
+POINTS = "array<struct<x: int, y: int>>"
+ZONES = f"page int, idx int, boundary {POINTS}, baseline {POINTS}, text string"
+
+
+def stats(spark, pages, **options):
+    """zone_map() of (gt, dt) pages of (box, text), in the order given."""
+    sides = [spark.createDataFrame([(p, i, box(*b), None, t) for p, both in enumerate(pages) for i, (b, t) in enumerate(both[k])], ZONES) for k in (0, 1)]
+    rows = {r.page: r.asDict() for r in detection.zone_map(*sides, ["page"], **options).collect()}
+    return [rows[p] if p in rows else dict.fromkeys(detection.STATS, 0) for p in range(len(pages))]
+
+
+def test_zone_map_configurations(spark):
+    whole = ((0, 0, 10, 10), "ab c")
+    pages = [
+        ([whole], [((0, 0, 10, 10), "ab d")]), ([((0, 0, 10, 10), "ab")], [((20, 20, 30, 30), "xyz")]),
+        ([((0, 0, 10, 10), "ab")], [((0, 0, 10, 6), "a"), ((0, 6, 10, 10), "b")]),
+        ([((0, 0, 10, 6), "a"), ((0, 6, 10, 10), "b")], [((0, 0, 10, 10), "ab")]), ([((0, 0, 10, 10), "ab")], []),
+        ([], [((0, 0, 1, 1), "x")]), ([((0, 0, 10, 10), "")], [((20, 20, 30, 30), "")]),
+    ]
+    one, miss, split, merge, none, empty, silent = stats(spark, pages)
     assert (one["area_match"], one["n_match"], one["edits"], one["word_hits"], one["gt_chars"]) == (100, 1, 1, 1, 4)
-    miss = stats([((0, 0, 10, 10), "ab")], [((20, 20, 30, 30), "xyz")])
     assert (miss["n_miss"], miss["n_false_alarm"], miss["area_miss"], miss["area_false_alarm"], miss["edits"]) == (1, 1, 100, 100, 5)
-    split = stats([((0, 0, 10, 10), "ab")], [((0, 0, 10, 6), "a"), ((0, 6, 10, 10), "b")])
     assert (split["n_match"], split["n_split"], split["area_match"], split["area_split"]) == (1, 1, 60, 40)
-    merge = stats([((0, 0, 10, 6), "a"), ((0, 6, 10, 10), "b")], [((0, 0, 10, 10), "ab")])
     assert (merge["n_match"], merge["n_merge"]) == (1, 1)
-    none = stats([((0, 0, 10, 10), "ab")], [])
     assert (none["area_miss"], none["n_miss"], none["edits"]) == (100, 1, 0)
-    assert stats([], [((0, 0, 1, 1), "x")])["gt_area"] == 0
-    silent = stats([((0, 0, 10, 10), "")], [((20, 20, 30, 30), "")])
-    assert silent["n_miss"] == 0 and stats([((0, 0, 10, 10), "")], [((20, 20, 30, 30), "")], need_text=False)["n_miss"] == 1
+    assert empty["gt_area"] == 0 and silent["n_miss"] == 0
+    assert stats(spark, pages, need_text=False)[6]["n_miss"] == 1
+
+
+def test_zone_map_equals_unit_squares(spark):
+    draw = random.Random(3)
+
+    def zones(n):
+        out = []
+        for _ in range(n):
+            x, y = draw.randint(0, 14), draw.randint(0, 14)
+            out.append(((x, y, x + draw.randint(1, 9), y + draw.randint(1, 9)), draw.choice(["", "a b", "é c", "a", "b b a"])))
+        return out
+
+    pages = [(zones(draw.randint(1, 5)), zones(draw.randint(0, 5))) for _ in range(60)]
+    for need_text in (True, False):
+        for got, (gt, dt) in zip(stats(spark, pages, need_text=need_text), pages, strict=True):
+            want = plain_stats(gt, dt, need_text)
+            assert {k: got[k] for k in want} == pytest.approx(want), (gt, dt)
 
 
 def test_zone_map_on_pages(spark):

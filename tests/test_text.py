@@ -86,3 +86,13 @@ def test_prompts(spark):
     assert block.split("\n") == ["Modernize u/v and i/j usage.", "Preserve allographic variants (e.g. long s 'ſ', special letter forms)."]
     assert one(spark, T.prompt(F.col("t"), F.lit("B")), t="Read. {conventions}") == "Read. B"
     assert one(spark, T.prompt(F.col("t"), F.lit("")), t="Read. {conventions}") == "Read."
+
+
+def test_word_distance_of_many_distinct_words(spark):
+    words = [f"w{i}" for i in range(50_000)]
+    for n in (20_000, 45_000, 50_000):
+        a = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.concat(F.lit("w"), i.cast("string"))).alias("a"))
+        codes = a.select(F.transform(F.sequence(F.lit(1), F.lit(n)), T._character).alias("c")).first().c
+        assert len(set(codes)) == n and all(len(c) == 1 for c in codes)
+    few = spark.createDataFrame([(words[:45_000], words[44_000:44_020])], "a array<string>, b array<string>")
+    assert few.select(T.word_distance(F.col("a"), F.col("b"))).first()[0] == 45_000 - 20
