@@ -68,11 +68,15 @@ def normalised(text: Column, extended: bool = False) -> Column:
 MARKUP = ((r"\[\.{2,}\]|\[…\]", ""), (r"<[^>]*>", ""), (r"\[([^\]]*)\]", "$1"))
 
 
-def cleaned(text: Column, extended: bool = False) -> Column:
-    """A transcription without lacunae, tags and brackets, with normalised and allowed characters only."""
+def without_markup(text: Column) -> Column:
     for pattern, by in MARKUP:
         text = F.regexp_replace(text, pattern, by)
-    return only_allowed(normalised(text, extended))
+    return text
+
+
+def cleaned(text: Column, extended: bool = False) -> Column:
+    """A transcription without lacunae, tags and brackets, with normalised and allowed characters only."""
+    return only_allowed(normalised(without_markup(text), extended))
 
 
 def density(text: Column, characters) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,20 +99,35 @@ def _quoted(text: str) -> str:
 _CLEAN = r"""regexp_replace(regexp_replace(regexp_replace({x}, '\[\.{2,}\]|\[…\]', '', 'g'), '<[^>]*>', '', 'g'), '\[([^\]]*)\]', '\1', 'g')"""
 
 
-@query(f"""
-    SELECT page_id, md5(t) AS digest, CAST(length(t) AS BIGINT) AS n
-    FROM (SELECT page_id, translate({_CLEAN.replace("{x}", "html")},
-      '{_quoted("".join(charsets.BASE_NORMS))}', '{_quoted("".join(charsets.BASE_NORMS.values()))}') AS t FROM pages)
-""")
+_NORMS = f"translate({_CLEAN.replace('{x}', 'html')}, '{_quoted(''.join(charsets.BASE_NORMS))}', '{_quoted(''.join(charsets.BASE_NORMS.values()))}')"
+
+
+@query(f"SELECT page_id, md5(t) AS digest, CAST(length(t) AS BIGINT) AS n FROM (SELECT page_id, {_NORMS} AS t FROM pages)")
 def clean_markup(spark, sf_dir):
-    text = F.regexp_replace("html", r"\[\.{2,}\]|\[…\]", "")
-    text = T.normalised(F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", ""), r"\[([^\]]*)\]", "$1"))
+    text = T.normalised(T.without_markup(F.col("html")))
     return table(spark, sf_dir, "pages").select("page_id", F.md5(text).alias("digest"), F.length(text).cast("long").alias("n"))
 
 
-@query()
+def _allowed() -> str:
+    """The allowed characters as an explicit class: DuckDB's expressions have no intersection of classes."""
+    own = {ord(c) for x in (charsets.COMBINING, charsets.MEDIEVAL, charsets.SUPERSCRIPT) for s in x for c in s} | {9, 10, 13, 32}
+    own |= {c for c in range(0x20, 0x250) if unicodedata.category(chr(c))[0] in "LNPZM"}
+    own |= {c for c in range(0x1E00, 0x1F00) if unicodedata.category(chr(c))[0] in "LM"}
+    return "".join(f"\\x{{{c:X}}}" for c in sorted(own))
+
+
+_CLEANED = f"regexp_replace({_NORMS}, '[^{_allowed()}]', '', 'g')"
+
+
+@query(f"SELECT page_id, md5(t) AS digest, CAST(length(t) AS INT) AS n FROM (SELECT page_id, {_CLEANED} AS t FROM pages)")
 def clean_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", F.md5(T.cleaned(F.col("html"))).alias("digest"), F.length(T.cleaned(F.col("html"))).alias("n"))
+    rows = table(spark, sf_dir, "pages").select("page_id", T.cleaned(F.col("html")).alias("t"))
+    return rows.select("page_id", F.md5("t").alias("digest"), F.length("t").alias("n"))
+
+
+@query(f"SELECT doc_id, md5(t) AS digest FROM (SELECT doc_id, regexp_replace(text, '[^{_allowed()}]', '', 'g') AS t FROM documents)")
+def whitelist_filter(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.only_allowed(F.col("text"))).alias("digest"))
 
 
 @query(r"""
@@ -121,26 +137,35 @@ def char_density(spark, sf_dir):
     return table(spark, sf_dir, "documents").filter("text <> ''").select("doc_id", T.density(F.col("text"), "éèàùç").alias("density"))
 
 
-_PAIRS = """
-    SELECT a.conv_id, a.turn, regexp_replace(a.text, '[^ -~]', '?', 'g') AS truth, regexp_replace(b.text, '[^ -~]', '?', 'g') AS found
+# DuckDB's distance counts bytes, so its SQL gives each sign beyond ASCII a control character of its own, one to one.
+_CODES = f"concat({', '.join(f'chr({i})' for i in (*range(1, 9), *range(14, 32)))})"
+
+
+def _coded(text: str, of: str = "SELECT text FROM conversations") -> str:
+    signs = f"SELECT coalesce(string_agg(DISTINCT c, '' ORDER BY c), '') FROM (SELECT unnest(regexp_extract_all(text, '[^\\x00-\\x7F]')) AS c FROM ({of}))"
+    return f"translate({text}, ({signs}), {_CODES})"
+
+
+_PAIRS = f"""
+    SELECT a.conv_id, a.turn, a.text AS truth, b.text AS found, {_coded("a.text")} AS truth_code, {_coded("b.text")} AS found_code
     FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn + 1 = b.turn
 """
 
 
 def turn_pairs(spark, sf_dir) -> DataFrame:
-    """Neighbouring turns as a truth and a reading, in ASCII: DuckDB's distance counts bytes."""
-    side = lambda name: F.regexp_replace("text", "[^ -~]", "?").alias(name)
+    """Neighbouring turns as a truth and a reading."""
     turns = table(spark, sf_dir, "conversations")
-    return turns.select("conv_id", "turn", side("truth")).join(turns.select("conv_id", (F.col("turn") - 1).alias("turn"), side("found")), ["conv_id", "turn"])
+    truth = turns.select("conv_id", "turn", F.col("text").alias("truth"))
+    return truth.join(turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("found")), ["conv_id", "turn"])
 
 
-@query(f"SELECT conv_id, turn, CAST(levenshtein(truth, found) AS INT) AS char_edits, CAST(length(truth) AS INT) AS chars FROM ({_PAIRS})")
+@query(f"SELECT conv_id, turn, CAST(levenshtein(truth_code, found_code) AS INT) AS char_edits, CAST(length(truth) AS INT) AS chars FROM ({_PAIRS})")
 def cer_pairs(spark, sf_dir):
     return errors.with_edits(turn_pairs(spark, sf_dir)).select("conv_id", "turn", "char_edits", "chars")
 
 
 @query(f"""
-    SELECT round(sum(levenshtein(truth, found)) / sum(length(truth)), 9) AS cer, round(1 - sum(levenshtein(truth, found)) / sum(length(truth)), 9) AS char_accuracy,
+    SELECT round(sum(levenshtein(truth_code, found_code)) / sum(length(truth)), 9) AS cer, round(1 - sum(levenshtein(truth_code, found_code)) / sum(length(truth)), 9) AS char_accuracy,
       CAST(sum(length(found)) AS BIGINT) AS total_chars, count(*) AS pairs FROM ({_PAIRS})
 """)
 def cer_corpus(spark, sf_dir):
@@ -148,7 +173,15 @@ def cer_corpus(spark, sf_dir):
     return rates.select(F.round("cer", 9).alias("cer"), F.round("char_accuracy", 9).alias("char_accuracy"), "total_chars", "pairs")
 
 
-@query()
+# A row of the distance table for each word; insertions along a row are the least value before, less the steps from there.
+@query(f"""
+    WITH RECURSIVE p AS (SELECT conv_id, turn, regexp_extract_all(truth, '[^\\s]+') AS x, regexp_extract_all(found, '[^\\s]+') AS y FROM ({_PAIRS})),
+      d AS (SELECT conv_id, turn, 0 AS i, x, y, range(0, len(y) + 1) AS r FROM p UNION ALL
+        SELECT conv_id, turn, i + 1, x, y, list_transform(c, lambda v, j: list_min(c[1:j]) + j - 1) FROM (
+          SELECT conv_id, turn, i, x, y, list_transform(r, lambda v, j: (CASE WHEN j = 1 THEN i + 1
+            ELSE least(r[j - 1] + CASE WHEN x[i + 1] = y[j - 1] THEN 0 ELSE 1 END, v + 1) END) - j + 1) AS c FROM d WHERE i < len(x)))
+    SELECT conv_id, turn, CAST(r[len(y) + 1] AS INT) AS word_edits, CAST(len(x) AS INT) AS words, CAST(len(y) AS INT) AS found_words FROM d WHERE i = len(x)
+""")
 def wer_pairs(spark, sf_dir):
     return errors.with_edits(turn_pairs(spark, sf_dir)).select("conv_id", "turn", "word_edits", "words", "found_words")
 
@@ -159,7 +192,7 @@ def error_operations(spark, sf_dir):
 
 
 @query(f"""
-    WITH s AS (SELECT CAST(conv_id AS VARCHAR) AS file, round(sum(levenshtein(truth, found)) / sum(length(truth)), 9) AS cer FROM ({_PAIRS}) GROUP BY conv_id)
+    WITH s AS (SELECT CAST(conv_id AS VARCHAR) AS file, round(sum(levenshtein(truth_code, found_code)) / sum(length(truth)), 9) AS cer FROM ({_PAIRS}) GROUP BY conv_id)
     SELECT rank, file, cer FROM (SELECT row_number() OVER (ORDER BY cer DESC NULLS LAST, file) AS rank, file, cer FROM s) WHERE rank <= 5
 """)
 def worst_pages_top5(spark, sf_dir):
@@ -168,8 +201,8 @@ def worst_pages_top5(spark, sf_dir):
 
 
 @query(f"""
-    WITH a AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(truth, '[^ ]+')) AS w FROM ({_PAIRS})) GROUP BY ALL),
-      b AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(found, '[^ ]+')) AS w FROM ({_PAIRS})) GROUP BY ALL)
+    WITH a AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(truth, '[^\\s]+')) AS w FROM ({_PAIRS})) GROUP BY ALL),
+      b AS (SELECT conv_id, turn, w, count(*) AS n FROM (SELECT conv_id, turn, unnest(regexp_extract_all(found, '[^\\s]+')) AS w FROM ({_PAIRS})) GROUP BY ALL)
     SELECT p.conv_id, p.turn, CAST(coalesce(sum(CASE WHEN b.n IS NULL THEN 0 ELSE least(a.n, b.n) END), 0) AS BIGINT) AS common
     FROM ({_PAIRS}) p LEFT JOIN a ON a.conv_id = p.conv_id AND a.turn = p.turn LEFT JOIN b ON b.conv_id = a.conv_id AND b.turn = a.turn AND b.w = a.w
     GROUP BY p.conv_id, p.turn
@@ -178,13 +211,23 @@ def word_bag_overlap(spark, sf_dir):
     return errors.word_overlap(turn_pairs(spark, sf_dir), ["conv_id", "turn"])
 
 
-@query("""
-    SELECT round(sum(levenshtein(a, b)) / sum(length(a)), 9) AS cer, count(*) AS matched_lines
-    FROM (SELECT regexp_replace(t.text, '[^ -~]', '?', 'g') AS a, regexp_replace(f.text, '[^ -~]', '?', 'g') AS b
-      FROM conversations t JOIN conversations f ON t.conv_id = f.conv_id - 1 AND t.turn = f.turn)
+def _decomposed(text: str) -> str:
+    """DuckDB has no decomposition: the letters up to U+017F that have one are replaced by it."""
+    for c in map(chr, range(0xC0, 0x180)):
+        if (parts := unicodedata.normalize("NFD", c)) != c:
+            text = f"replace({text}, '{c}', '{parts}')"
+    return text
+
+
+_NFD = f"SELECT conv_id, turn, {_decomposed('text')} AS text FROM conversations"
+
+
+@query(f"""
+    WITH n AS ({_NFD}), t AS (SELECT conv_id, turn, length(text) AS size, {_coded("text", "SELECT text FROM n")} AS text FROM n)
+    SELECT round(sum(levenshtein(a.text, b.text)) / sum(a.size), 9) AS cer, count(*) AS matched_lines FROM t a JOIN t b ON a.conv_id = b.conv_id - 1 AND a.turn = b.turn
 """)
 def competition_join(spark, sf_dir):
-    lines = table(spark, sf_dir, "conversations").withColumn("text", F.regexp_replace("text", "[^ -~]", "?"))
+    lines = table(spark, sf_dir, "conversations")
     found = errors.matched_lines(lines, lines.withColumn("conv_id", F.col("conv_id") - 1), ["conv_id", "turn"])
     return found.select(F.round("cer", 9).alias("cer"), "matched_lines")
 
@@ -315,12 +358,23 @@ def zone_map_corpus(spark, sf_dir):
     return detection.zone_map_scores(zone_map_pages(spark, sf_dir))
 
 
-@query()
+# Found boxes of a page take, one after the other, the free true box of most IoU. All have one confidence: a curve of one point.
+@query(f"""
+    WITH RECURSIVE b AS ({BOXES}), f AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY idx) AS k FROM b WHERE idx % 2 = 1),
+      m AS (SELECT a.page, a.k, list({{'iou': {IOU}, 'idx': b.idx}} ORDER BY {IOU} DESC, b.idx) AS near FROM f a JOIN b ON a.page = b.page AND b.idx % 2 = 0 GROUP BY ALL),
+      th AS (SELECT round(0.5 + 0.05 * i, 2) AS threshold FROM range(10) t(i)),
+      s AS (SELECT DISTINCT m.page, th.threshold, 0 AS k, CAST([] AS INT[]) AS used, 0 AS hit FROM m, th UNION ALL
+        SELECT page, threshold, k, CASE WHEN best.iou >= threshold THEN list_append(used, best.idx) ELSE used END, CASE WHEN best.iou >= threshold THEN 1 ELSE 0 END FROM (
+          SELECT s.page, s.threshold, m.k, s.used, list_filter(m.near, lambda x: NOT list_contains(s.used, x.idx))[1] AS best FROM s JOIN m ON m.page = s.page AND m.k = s.k + 1)),
+      c AS (SELECT CAST(threshold AS DOUBLE) AS threshold, sum(hit) AS tp, count(*) AS n, (SELECT count(*) FROM b WHERE idx % 2 = 0) AS total FROM s WHERE k > 0 GROUP BY threshold)
+    SELECT threshold, round(tp / n * tp / total, 9) AS ap, round(tp / n, 9) AS precision, round(tp / total, 9) AS recall FROM c
+""")
 def map_eval(spark, sf_dir):
     rows = page_boxes(spark, sf_dir)
     truth = rows.filter("idx % 2 = 0").select("page", "idx", "box")
     found = rows.filter("idx % 2 = 1").select("page", F.col("idx").cast("long").alias("idx"), "box", F.lit(1.0).alias("confidence"))
-    return detection.average_precision(detection.hits(truth, found, ["page"]), truth)
+    curve = detection.average_precision(detection.hits(truth, found, ["page"]), truth)
+    return curve.select("threshold", *[F.round(c, 9).alias(c) for c in ("ap", "precision", "recall")])
 
 
 @query("SELECT DISTINCT o_orderkey AS page FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
@@ -448,8 +502,9 @@ def density_regression(spark, sf_dir):
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def metadata_json(spark, sf_dir):
-    parsed = F.from_json("props", "map<string, string>")
-    return table(spark, sf_dir, "events").select("event_id", F.try_element_at(parsed, F.lit("k")).alias("k"))
+    from foliomill.sources.files import parsed
+
+    return table(spark, sf_dir, "events").select("event_id", F.try_element_at(parsed(F.col("props")), F.lit("k")).alias("k"))
 
 
 @query()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -70,16 +70,21 @@ def remaining(inputs: DataFrame, outputs: DataFrame, key: list[str] | None = Non
     return inputs.join(outputs, key or ["document", "page"], "left_anti")
 
 
+def parsed(json: Column) -> Column:
+    """A JSON object's keys and values as text; null for what is none."""
+    return F.from_json(json, "map<string, string>")
+
+
 def metadata(spark: SparkSession, root: str) -> DataFrame:
     """(document, metadata: map<string, string>) of metadata.json files; what is no JSON object gives no row."""
     files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "metadata.json").text(root)
     document = F.url_decode(F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1))
-    return files.select(document.alias("document"), F.from_json("value", "map<string, string>").alias("metadata")).filter("metadata is not null")
+    return files.select(document.alias("document"), parsed(F.col("value")).alias("metadata")).filter("metadata is not null")
 
 
 def conventions(meta: DataFrame) -> DataFrame:
     """(document, conventions: map<string, string>); empty where the metadata has none."""
-    found = F.from_json(F.element_at("metadata", "conventions"), "map<string, string>")
+    found = parsed(F.element_at("metadata", "conventions"))
     return meta.select("document", F.coalesce(found, F.create_map().cast("map<string, string>")).alias("conventions"))
 
 

@@ -1,10 +1,14 @@
 """Every registered query that SQL can express, against DuckDB on the smallest tables; the others for stable rows."""
 
 import os
+import re
+import unicodedata
+from collections import Counter
 
 import duckdb
 import pytest
 from foliomill.plans import catalog
+from test_scores import plain_alignment
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,6 +42,19 @@ def test_runs_the_same_twice(spark, name):
     assert one == two and one
 
 
+@pytest.mark.parametrize("level", ["word", "character"])
+def test_operations_equal_brute_force(spark, level):
+    pairs = catalog.turn_pairs(spark, SF).limit(25 if level == "character" else 1000)
+    rows = [(r.truth, r.found) for r in pairs.collect()]
+    split = str.split if level == "word" else lambda t: re.findall(r"(?s).[\u0300-\u036f]*", unicodedata.normalize("NFD", t))
+    if level == "character":
+        rows = [(a[:150], b[:150]) for a, b in rows]
+        pairs = spark.createDataFrame(rows, "truth string, found string")
+    want = Counter(x for a, b in rows for x in plain_alignment(split(a), split(b)))
+    got = catalog.errors.operations(pairs, level=level).collect()
+    assert {(r.operation, r.truth, r.found): r.n for r in got} == want
+
+
 def test_entry(spark):
     import __spark_entry__
 
