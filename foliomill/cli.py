@@ -1,10 +1,11 @@
-"""Command line: python -m foliomill.cli score|predict|print|prepare-yolo-lines ..."""
+"""Command line: python -m foliomill.cli score|predict|print|study|lines-to-alto|prepare-yolo-lines ..."""
 
 from __future__ import annotations
 
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def parser() -> argparse.ArgumentParser:
@@ -15,6 +16,7 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("-d", "--truth", required=True)
     score.add_argument("-p", "--found", required=True)
     score.add_argument("-o", "--output", required=True)
+    score.add_argument("--metadata", action="store_true", help="score by what metadata.json says of documents")
     predict = commands.add_parser("predict", help="recognise the texts of pages that have none yet")
     predict.add_argument("-c", "--config", required=True)
     predict.add_argument("-d", "--data", required=True)
@@ -23,7 +25,14 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("-p", "--pages", required=True)
     out.add_argument("-o", "--output", required=True)
     out.add_argument("--json", action="store_true")
-    yolo = commands.add_parser("prepare-yolo-lines", help="lines as rows for a detector")
+    study = commands.add_parser("study", help="errors against the density of special characters")
+    study.add_argument("-s", "--scores", required=True)
+    study.add_argument("-p", "--pages", required=True)
+    study.add_argument("-o", "--output", required=True)
+    images = commands.add_parser("lines-to-alto", help="pages of one line from Parquet rows of line images")
+    images.add_argument("-i", "--input", required=True)
+    images.add_argument("-o", "--output", required=True)
+    yolo = commands.add_parser("prepare-yolo-lines", help="labels, images and data.yaml for a detector of lines")
     yolo.add_argument("-i", "--input", required=True)
     yolo.add_argument("-o", "--output", required=True)
     yolo.add_argument("--polygon", action="store_true")
@@ -32,35 +41,60 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> int:
     a = parser().parse_args(arguments)
-    from foliomill.plans import config, tasks
+    from foliomill.plans import config, reports, tasks
+    from foliomill.sinks import alto as out_alto
     from foliomill.sinks import exports
-    from foliomill.sources import alto
+    from foliomill.sources import alto, files
 
     spark = SparkSession.builder.appName("foliomill").getOrCreate()
     if a.command == "score":
         truth, found = alto.read_pages(spark, a.truth), alto.read_pages(spark, a.found)
-        has = scored(tasks.scoreable(truth), a.task)
-        for name in has:
-            for table, rows in tasks.SCORERS[name](truth, found).items():
-                exports.write_csv(rows, f"{a.output}/{name}/{table}")
+        listed = files.structure(files.listed(spark, a.truth, "*.xml")).first()
+        if not listed.ok:
+            raise SystemExit(f"no pages in {a.truth}")
+        for name in scored(tasks.scoreable(truth), a.task):
+            if name == "htr":
+                report = reports.text_report(truth, found, files.metadata(spark, a.truth) if a.metadata else None)
+                reports.shown(report["metrics"]).show(200, truncate=False)
+                reports.write(report, f"{a.output}/{name}", flat=listed.kind == "flat")
+            else:
+                for table, rows in tasks.SCORERS[name](truth, found).items():
+                    exports.write_csv(reports.zone_report(rows) if table == "zone_map" else rows, f"{a.output}/{name}/{table}")
     elif a.command == "predict":
         own = config.Config.read(a.config)
         if "htr" not in own.tasks:
             raise SystemExit("the configuration has no htr task")
         pages = alto.read_pages(spark, a.data)
-        none = pages.limit(0).select("document", "page")
-        lines = tasks.predict_texts(pages, none, own.tasks["htr"]["type"], own.tasks["htr"].get("config"))
-        lines.write.partitionBy("document").parquet(a.output)
+        done = alto.read_pages(spark, a.output) if files._present(spark, a.output) else pages.limit(0)
+        rows = tasks.predict_pages(pages, done.select(*tasks.PAGE), own.tasks["htr"]["type"], own.tasks["htr"].get("config"))
+        out_alto.write_pages(rows, a.output, files=True)
     elif a.command == "print":
         lines = alto.lines(alto.read_pages(spark, a.pages), ignored=())
         if a.json:
-            exports.as_json(exports.last_texts(lines, ["document", "page", "idx"])).write.text(a.output)
+            texts = exports.last_texts(lines, ["document", "page", "idx"], ["document"])
+            exports.as_json(texts, ["document"]).write.partitionBy("document").text(a.output)
         else:
             exports.page_text_files(lines).write.partitionBy("document").json(a.output)
+    elif a.command == "study":
+        scores, _ = files.scores(spark, a.scores)
+        pages = alto.read_pages(spark, a.pages)
+        own = files.listed(spark, a.pages, "*.xml").select(F.coalesce("folder", F.lit("")).alias("_folder"), F.col("stem").alias("page"))
+        texts = alto.page_texts_of(pages.select("document", "page"), alto.lines(pages, ignored=()))
+        rooted = own.filter("_folder = ''").select("page", F.lit(True).alias("_root"))
+        texts = texts.join(rooted, "page", "left").withColumn("document", F.when(F.col("_root").isNull(), F.col("document"))).drop("_root")
+        rows = reports.with_densities(reports.scored_texts(scores, texts))
+        exports.write_csv(rows, f"{a.output}/scores_with_density.csv")
+        exports.write_csv(reports.density_study(rows), f"{a.output}/correlation.csv")
+    elif a.command == "lines-to-alto":
+        rows = files.line_images(spark, a.input)
+        out_alto.write_pages(out_alto.from_line_images(rows, ["text"]), a.output, files=True)
     else:
         pages = alto.read_pages(spark, a.input)
+        listed = files.listed(spark, a.input)
+        split = files.splits(listed.filter("ending = '.xml'")).select(F.col("folder"), "stem", "split")
+        paired = files.paired(split, listed).withColumnsRenamed({"folder": "document", "stem": "page"})
         rows = exports.yolo_rows(alto.lines(pages), pages, polygons=a.polygon)
-        rows.select("document", "page", "value").write.partitionBy("document", "page").text(a.output)
+        exports.write_detector_set(exports.detector_set(rows, paired), a.output).show()
     return 0
 
 

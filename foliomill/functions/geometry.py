@@ -13,6 +13,18 @@ def whole(text: Column) -> Column:
     return text.try_cast("double").cast("int")
 
 
+FLOAT_POINTS = "array<struct<x: double, y: double>>"
+
+
+def float_points(text: Column) -> Column:
+    """Points with fractions, of "x,y x,y", "x y x y" or a mixture; an odd tail is dropped, and a pair with what is not a number."""
+    tokens = F.filter(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s,]+", " "), " "), lambda t: t != "")
+    at = F.filter(F.sequence(F.lit(0), F.greatest(F.size(tokens) - 2, F.lit(0))), lambda i: (i % 2 == 0) & (i + 1 < F.size(tokens)))
+    pair = lambda i: F.struct(F.get(tokens, i).try_cast("double").alias("x"), F.get(tokens, i + 1).try_cast("double").alias("y"))
+    found = F.filter(F.transform(at, pair), lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+    return F.when(F.size(tokens) >= 2, found).otherwise(F.array().cast(FLOAT_POINTS))
+
+
 def points(text: Column, *, strict: bool = False) -> Column:
     """Points of "x,y x,y" or "x y x y"; an odd tail is dropped, and a pair with what is not a number.
 
@@ -97,6 +109,20 @@ def midline(b: Column) -> Column:
     return F.array(F.struct(b["x1"].alias("x"), y.alias("y")), F.struct(b["x2"].alias("x"), y.alias("y")))
 
 
+def around(baseline: Column, pad: int = 10) -> Column:
+    """A boundary for a baseline of two points and more: its bounds with pad above and below."""
+    return F.when(F.size(baseline) >= 2, polygon(padded(bounds(baseline), pad)).cast(POINTS))
+
+
+def detected_line(b: Column, mask: Column) -> Column:
+    """struct(id, baseline, boundary) of a detection: the level middle of its box, and its mask, or its box where it has none.
+
+    The id is a hash of both, so the same detection has the same id in each run.
+    """
+    boundary = F.when(F.size(mask) >= 3, mask).otherwise(polygon(b).cast(POINTS))
+    return F.struct(F.concat(F.lit("line_"), F.lower(F.hex(F.xxhash64(b, mask)))).alias("id"), midline(b).alias("baseline"), boundary.alias("boundary"))
+
+
 def degenerate(points: Column) -> Column:
     """Whether two points in a row are the same."""
     i = F.sequence(F.lit(0), F.greatest(F.size(points) - 2, F.lit(0)))

@@ -146,6 +146,30 @@ def metric_name(text: Column) -> Column:
     return F.translate(text, " /-", "___")
 
 
+def display_name(document: Column, page: Column) -> Column:
+    """document/page, or the page alone where there is no document."""
+    return F.concat_ws("/", F.nullif(document, F.lit("")), page)
+
+
+def metric_parts(key: Column) -> Column:
+    """struct(kind, feature, value, metric) of keys score/avg_<feature>_<metric> and by_<feature>/<value>/<metric>; else null.
+
+    A feature may hold underscores: a metric is what follows the last.
+    """
+    part = lambda pattern, i: F.nullif(F.regexp_extract(key, pattern, i), F.lit(""))
+    average, by = r"^score/avg_(.+)_([^_]+)$", r"^by_([^/]+)/([^/]+)/([^/]+)$"
+    of = lambda kind, feature, value, metric: F.struct(F.lit(kind).alias("kind"), feature.alias("feature"), value.alias("value"), metric.alias("metric"))
+    none = F.lit(None).cast("string")
+    return F.when(key.rlike(average), of("average", part(average, 1), none, part(average, 2))).when(key.rlike(by), of("value", part(by, 1), part(by, 2), part(by, 3)))
+
+
+def supported(own: Column, known) -> Column:
+    """Whether a model's type is one of known, as it is or by model_type() of both; false for null."""
+    names = F.array(*[F.lit(k) for k in known])
+    both = F.array_contains(names, own) | F.exists(names, lambda k: model_type(k) == model_type(own))
+    return F.coalesce(both, F.lit(False))
+
+
 def model_type(text: Column) -> Column:
     """A model's type for comparison: digit_digit as a version dot, hyphens for underscores, no known ending.
 

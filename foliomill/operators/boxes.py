@@ -60,5 +60,22 @@ def in_rows(v: str | Column = "vpos", h: str | Column = "hpos", tie: str = "idx"
     return [F.floor(v / height), h, F.col(tie)]
 
 
+def in_place(v: Column, h: Column) -> Column:
+    """Sort key for zones by their tops, then left edges."""
+    return v * 1_000_000 + h
+
+
+def named(found: DataFrame, names: dict[int, str]) -> DataFrame:
+    """Detections with label: the name of their class_id; unknown classes keep their number as text."""
+    known = F.create_map(*[F.lit(x) for kv in names.items() for x in kv]) if names else F.lit(None).cast("map<int, string>")
+    return found.withColumn("label", F.coalesce(F.try_element_at(known, F.col("class_id")), F.col("class_id").cast("string")))
+
+
+def zones_only(found: DataFrame, page: list[str]) -> DataFrame:
+    """Detections whose label ends with Zone, numbered anew from 0 in their order."""
+    kept = found.filter(F.col("label").endswith("Zone"))
+    return kept.withColumn("idx", F.row_number().over(Window.partitionBy(*page).orderBy("idx")) - 1)
+
+
 def position(order: list[Column], page: list[str]) -> Column:
     return F.row_number().over(Window.partitionBy(*page).orderBy(*order))

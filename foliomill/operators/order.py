@@ -40,6 +40,11 @@ def with_first_y(zones: DataFrame, lines: DataFrame | None, page: list[str]) ->
     return zones.join(top, [*page, "idx"], "left").withColumn("first_y", F.coalesce("_top", "box.y1")).drop("_top")
 
 
+def median_height(zones: DataFrame, page: list[str]) -> DataFrame:
+    """(page columns, median_height) of the zones of each page."""
+    return zones.groupBy(*page).agg(F.median(F.col("box.y2") - F.col("box.y1")).alias("median_height"))
+
+
 @strategy("none")
 def as_given(zones: DataFrame, page: list[str], **_) -> DataFrame:
     return zones.withColumn("position", F.row_number().over(Window.partitionBy(*page).orderBy("idx")))

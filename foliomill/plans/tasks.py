@@ -9,8 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliomill.functions import geometry as G
 from foliomill.functions import text as T
-from foliomill.operators import boxes, detection, errors, order, rollup
+from foliomill.operators import detection, order
+from foliomill.plans import reports
+from foliomill.sinks import alto as out
+from foliomill.sinks import paths
 from foliomill.sources import alto, files
 
 PAGE = ["document", "page"]
@@ -64,11 +68,16 @@ class Stub:
             yield pa.RecordBatch.from_arrays([*columns, texts, pa.array([1.0] * len(ids))], ["document", "page", "id", "text", "confidence"])
 
 
-def recognise(lines: DataFrame, name: str, config: dict | None = None, *, batch: int | None = None) -> DataFrame:
-    """(document, page, id, text, confidence) of lines (with geometry). Lines of a page stay together, so its image is read once."""
+def recognise(lines: DataFrame, name: str, config: dict | None = None, *, batch: int | None = None, images: DataFrame | None = None) -> DataFrame:
+    """(document, page, id, text, confidence) of lines (with geometry). Lines of a page stay together, so its image is read once.
+
+    images (document, page, image): paths that the model gets beside the lines; lines of pages without one are left out.
+    """
     created(name, config)  # unknown names fail before any task
-    rows = lines.repartition("document", "page").sortWithinPartitions("document", "page", "idx")
-    rows = rows.select("document", "page", "id", "idx", "baseline", "boundary")
+    rows = lines.filter(~F.coalesce(G.degenerate(F.col("baseline")), F.lit(False)))
+    rows = rows.withColumn("image", F.lit(None).cast("string")) if images is None else rows.drop("image").join(images, PAGE)
+    rows = rows.repartition("document", "page").sortWithinPartitions("document", "page", "idx")
+    rows = rows.select("document", "page", "id", "idx", "baseline", "boundary", "image")
 
     def run(batches):
         cut = (b.slice(i, batch or b.num_rows or 1) for b in batches for i in range(0, b.num_rows, batch or b.num_rows or 1))
@@ -85,14 +94,32 @@ def cleaned_output(lines: DataFrame, extended: bool = False) -> DataFrame:
 
 def predict_texts(pages: DataFrame, done: DataFrame, name: str, config: dict | None = None, **options) -> DataFrame:
     """Lines with recognised, cleaned texts of the pages that done (document, page) does not have."""
-    from foliomill.sinks import alto as out
-
     left = files.remaining(pages, done, PAGE)
     lines = alto.with_baseline(alto.lines(left))
     results = recognise(lines, name, config, **options)
     return cleaned_output(out.recognised(out.without_text(lines), results))
 
 
+def predict_pages(pages: DataFrame, done: DataFrame, name: str, config: dict | None = None, **options) -> DataFrame:
+    """(document, page, xml): pages with recognised texts, of those that done does not have. Blocks and lines stay as they are;
+    files that could not be read are left out. done is fixed first, as the output may go to where it was read from."""
+    done = paths.written(done.select(*PAGE), "done-pages")
+    left = files.remaining(pages.filter("width is not null or blocks is not null"), done, PAGE)
+    lines = predict_texts(left, done, name, config, **options).withColumn("position", F.col("idx"))
+    return out.rendered(left, alto.zones(left).withColumn("position", F.col("idx")), lines)
+
+
+def cleaned_counts(lines: DataFrame, extended: bool = False) -> DataFrame:
+    """(document, page, modified): how many texts of a page cleaning changes."""
+    changed = F.coalesce(T.cleaned(F.col("text"), extended) != F.col("text"), F.lit(False))
+    return lines.groupBy(*PAGE).agg(F.count_if(changed).alias("modified"))
+
+
+def by_document(rows: DataFrame, each, schema: str) -> DataFrame:
+    """each(a document's rows as a pandas frame) of every document: for jobs that need a document whole; it has to fit a worker."""
+    return rows.groupBy("document").applyInPandas(each, schema)
+
+
 def _pairs(truth: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Lines, those of ignored zones too, of the pages that both sides have."""
     both = truth.select(*PAGE).distinct().join(found.select(*PAGE).distinct(), PAGE)
@@ -104,27 +131,6 @@ def _placed(lines: DataFrame) -> DataFrame:
     return alto.with_geometry(lines.filter(F.coalesce(~F.col("region").isin(*alto.IGNORED_ZONES), F.lit(True))))
 
 
-def score_texts(truth: DataFrame, found: DataFrame) -> dict[str, DataFrame]:
-    """Transcription scores of pages read by read_pages(): pages, documents, corpus, worst, lines, zone_map.
-
-    Pages that one side lacks are left out. Documents are scored over their pages together; corpus holds the mean of documents.
-    """
-    a, b = _pairs(truth, found)
-    edited = errors.with_edits(errors.pairing_modes(a, b, PAGE))
-    scores = errors.page_scores(edited, PAGE)
-    documents = errors.rates(edited, ["document"])
-    metrics = rollup.long_form(documents, ["document"], ["cer", "wer", "char_accuracy", "word_accuracy"], "score/").unionByName(
-        rollup.long_form(documents.select("document", F.col("total_chars").cast("double").alias("total_chars"), F.col("total_words").cast("double").alias("total_words")), ["document"], ["total_chars", "total_words"], "total/")
-    )
-    rank = lambda x: x.filter(~T.blank(F.col("text"))).withColumn("at", boxes.position(boxes.in_rows(), PAGE))
-    stats = detection.zone_map(_placed(a), _placed(b), PAGE)
-    return {
-        "pages": scores, "documents": documents, "corpus": rollup.over_documents(metrics),
-        "worst": errors.worst(scores, name=F.concat_ws("/", *PAGE)), "lines": errors.matched_lines(rank(a), rank(b), [*PAGE, "at"]),
-        "operations": errors.operations(edited), "zone_map": detection.zone_map_scores(stats),
-    }
-
-
 def score_lines(truth: DataFrame, found: DataFrame) -> dict[str, DataFrame]:
     """Segmentation scores: average precision over thresholds, and areas by configuration. True lines need a baseline."""
     a, b = _pairs(truth, found)
@@ -147,7 +153,7 @@ def score_layout(truth: DataFrame, found: DataFrame) -> dict[str, DataFrame]:
     return {"precision": detection.average_precision(detection.hits(a, b, PAGE), a.join(b.select(*PAGE).distinct(), PAGE, "left_semi"))}
 
 
-SCORERS = {"layout": score_layout, "line": score_lines, "htr": score_texts}
+SCORERS = {"layout": score_layout, "line": score_lines, "htr": reports.text_report}
 
 
 def scoreable(pages: DataFrame) -> DataFrame:
@@ -171,6 +177,12 @@ def training_blocks(lines: DataFrame, *, size: int = 40) -> DataFrame:
     return chunked.groupBy(*PAGE, "chunk").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("text"))
 
 
+def training_pages(lines: DataFrame, images: DataFrame) -> DataFrame:
+    """Samples (document, page, text, image) of whole pages with a text and an image: one page, one text."""
+    named = images.select(F.col("folder").alias("document"), F.col("stem").alias("page"), F.col("path").alias("image"))
+    return alto.page_texts(lines).filter(~T.blank(F.col("text"))).join(named, PAGE)
+
+
 def corpus_samples(spark: SparkSession, path: str, *, width: int = 1024) -> DataFrame:
     """(text): lines of a text corpus, blank ones left out, long ones wrapped."""
     rows = spark.read.text(path).filter("value <> ''")

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliomill.functions import geometry as G
 from foliomill.functions import text as T
 from foliomill.operators import boxes, order
+from foliomill.sinks import exports, paths
 from foliomill.sources.alto import IGNORED_ZONES
 
 NAMESPACE = "http://www.loc.gov/standards/alto/ns-v4#"
@@ -66,22 +68,25 @@ def without_text(lines: DataFrame) -> DataFrame:
 def with_split_text(pages: DataFrame, lines: DataFrame, zones: DataFrame, texts: DataFrame, page: Sequence[str] = PAGE) -> DataFrame:
     """Lines with the parts of each page's text (page columns, text), cut at line breaks.
 
-    As many parts as lines are given to them in the order of the document. Else new lines are laid evenly into the
-    page's first block, 10 narrower than the distance between them; a page without a block has none.
+    As many parts as lines are given to them in the order of the document. Else new lines are laid evenly down the page (its
+    height over their number, 10 off each side and the top) and belong to its first block, the only one that then holds lines;
+    a page without a block has none.
     """
     counted = lines.groupBy(*page).agg(F.count("*").alias("_lines"))
-    first = zones.groupBy(*page).agg(F.min_by(F.struct("id", "box", F.col("idx").alias("zone")), "idx").alias("_zone"))
+    first = zones.groupBy(*page).agg(F.min_by(F.struct("id", F.col("idx").alias("zone")), "idx").alias("_zone"))
     rows = texts.select(*page, T.lines(F.col("text")).alias("_parts")).join(counted, list(page), "left").join(first, list(page), "left")
+    rows = rows.join(pages.select(*page, F.col("width").alias("_width"), F.col("height").alias("_height")), list(page), "left")
     rows = rows.withColumn("_same", F.coalesce(F.col("_lines"), F.lit(0)) == F.size("_parts"))
     numbered = lines.withColumn("_n", boxes.position([F.col("idx")], list(page)))
     same = numbered.join(rows.filter("_same").select(*page, "_parts"), list(page))
     same = same.select(*page, "zone", "idx", "id", "box", "baseline", "boundary", F.get("_parts", F.col("_n") - 1).alias("text"))
-    new = rows.filter("not _same and _zone is not null").select(*page, "_zone", F.size("_parts").alias("_size"), F.posexplode("_parts").alias("_at", "text"))
-    b, step = F.col("_zone.box"), F.floor((F.col("_zone.box.y2") - F.col("_zone.box.y1")) / F.col("_size")).cast("int")
-    top = b["y1"] + F.col("_at") * step
-    box = G.box(b["x1"] + 10, top, b["x2"] - 10, top + step - 10)
+    new = rows.filter("not _same and _zone is not null")
+    new = new.select(*page, "_zone", "_width", "_height", F.size("_parts").alias("_size"), F.posexplode("_parts").alias("_at", "text"))
+    step, margin = F.floor(F.col("_height") / F.col("_size")).cast("int"), 10
+    top, right = F.col("_at") * step + margin, F.col("_width") - margin
+    box = G.box(F.lit(margin), top, right, top + step - margin)
     middle = (top + F.floor(step / 2)).cast("int")
-    baseline = F.array(F.struct((b["x1"] + 10).alias("x"), middle.alias("y")), F.struct((b["x2"] - 10).alias("x"), middle.alias("y")))
+    baseline = F.array(F.struct(F.lit(margin).alias("x"), middle.alias("y")), F.struct(right.alias("x"), middle.alias("y")))
     new = new.select(
         *page, F.col("_zone.zone").alias("zone"), F.col("_at").cast("long").alias("idx"), F.concat(F.lit("line_"), F.col("_at").cast("string")).alias("id"),
         box.alias("box"), baseline.alias("baseline"), G.polygon(box).cast(G.POINTS).alias("boundary"), "text",
@@ -139,9 +144,11 @@ def rendered(pages: DataFrame, blocks: DataFrame, lines: DataFrame, page: Sequen
 
 
 def minimal(images: DataFrame, page: Sequence[str] = PAGE, *, margin: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Blocks and lines of pages of one line: images (page columns, width, height, text); the line fills all but the margin."""
+    """Blocks and lines of pages of one line: images (page columns, width, height, text, maybe region); the line fills all but the
+    margin."""
     box = G.box(F.lit(margin), F.lit(margin), F.col("width") - margin, F.col("height") - margin)
-    blocks = images.select(*page, F.lit(0).alias("idx"), F.lit("block_0").alias("id"), F.lit("MainZone").alias("label"), box.alias("box"), F.lit(1).alias("position"))
+    label = F.coalesce("region", F.lit("MainZone")) if "region" in images.columns else F.lit("MainZone")
+    blocks = images.select(*page, F.lit(0).alias("idx"), F.lit("block_0").alias("id"), label.alias("label"), box.alias("box"), F.lit(1).alias("position"))
     lines = images.select(
         *page, F.lit(0).alias("zone"), F.lit(0).cast("long").alias("idx"), F.lit("line_0").alias("id"), box.alias("box"), G.midline(box).alias("baseline"),
         G.polygon(box).cast(G.POINTS).alias("boundary"), "text", F.lit(1.0).alias("confidence"), F.lit(1).alias("position"),
@@ -149,6 +156,14 @@ def minimal(images: DataFrame, page: Sequence[str] = PAGE, *, margin: int = 5) -
     return blocks, lines
 
 
+def from_line_images(rows: DataFrame, order: Sequence[str], *, margin: int = 2) -> DataFrame:
+    """(document, page, xml) of line images (shelfmark, region, text, width, height): a page for each, in the folder of its shelfmark and named by it and its
+    number there in the given order. A row's image is <page>.jpg; its pixels are not touched."""
+    named = exports.numbered_names(rows, F.col("shelfmark"), order)
+    images = named.select(T.file_name(F.col("shelfmark")).alias("document"), F.col("file").alias("page"), F.concat("file", F.lit(".jpg")).alias("image"), "width", "height", "text", "region")
+    return rendered(images, *minimal(images, margin=margin))
+
+
 def from_detections(found: DataFrame, page: Sequence[str] = PAGE, *, reading_order: str = "dbscan", **options) -> DataFrame:
     """Blocks (idx, id, label, box, position) of layout detections (idx, label, box): ignored labels and doubles go, the rest is
     put into reading order and named by it."""
@@ -161,22 +176,24 @@ def from_detections(found: DataFrame, page: Sequence[str] = PAGE, *, reading_ord
 def write_pages(rows: DataFrame, folder: str, *, files: bool = False) -> None:
     """(document, page, xml) as text, a folder for each document.
 
-    files: a file for each page, written by the tasks through pyarrow's file systems, instead of Spark's part files. A task
-    writes under a name of its own and renames it, so a second attempt leaves one file.
+    files: a file for each page, written by the tasks through pyarrow's file systems, instead of Spark's part files. Each
+    attempt writes under a name of its own and renames the whole file, so attempts that overlap leave one whole file. folder is
+    named as Spark names it.
     """
     if not files:
         rows.select("document", F.col("xml").alias("value")).write.partitionBy("document").text(folder)
         return
+    folder = paths.qualified(rows.sparkSession, folder)
 
     def run(batch):
-        from pyarrow import fs
-
-        system, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        system, base = paths.opened(folder)
+        attempt = TaskContext.get().taskAttemptId()
         for r in batch:
-            system.create_dir(f"{base}/{r.document}", recursive=True)
-            path = f"{base}/{r.document}/{r.page}.xml"
-            with system.open_output_stream(f"{path}.part", compression=None) as out:
+            where = f"{base}/{r.document}" if r.document else base
+            system.create_dir(where, recursive=True)
+            path = f"{where}/{r.page}.xml"
+            with system.open_output_stream(f"{path}.{attempt}.part", compression=None) as out:
                 out.write(r.xml.encode())
-            system.move(f"{path}.part", path)
+            system.move(f"{path}.{attempt}.part", path)
 
     rows.select("document", "page", "xml").foreachPartition(run)

@@ -72,15 +72,16 @@ def lines(pages: DataFrame, *, ignored: tuple[str, ...] = IGNORED_ZONES) -> Data
     """A row for each line outside ignored zones: document, page, zone, zone_id, region, idx, id, tags, hpos, vpos, box, baseline, boundary, text.
 
     idx numbers the lines of a page in the order of the document, ignored ones included. text: the contents of the line
-    joined by spaces; null without any.
+    joined by spaces; null without any. confidence: the mean of theirs; null without any.
     """
     blocks = pages.select("document", "page", "tags", F.posexplode("blocks").alias("zone", "b"))
     region = F.get(labels(F.col("b._TAGREFS"), F.col("tags")), 0)
     rows = blocks.select("document", "page", "tags", "zone", F.col("b._ID").alias("zone_id"), region.alias("region"), F.posexplode("b.TextLine").alias("_at", "l"))
     rows = rows.filter(F.coalesce(~F.col("region").isin(*ignored), F.lit(True)))
+    scores = F.filter(F.transform("l.String", lambda s: s["_WC"].try_cast("double")), lambda c: c.isNotNull())
     contents = F.filter(F.transform("l.String", lambda s: s["_CONTENT"]), lambda c: c.isNotNull() & (c != ""))
     return rows.select(
-        "document", "page", "zone", "zone_id", "region", (F.col("zone").cast("long") * 100_000 + F.col("_at")).alias("idx"), F.col("l._ID").alias("id"),
+        "document", "page", "zone", "zone_id", "region", F.aggregate(scores, F.lit(0.0), lambda a, x: a + x, lambda a: F.try_divide(a, F.size(scores))).alias("confidence"), (F.col("zone").cast("long") * 100_000 + F.col("_at")).alias("idx"), F.col("l._ID").alias("id"),
         F.array_distinct(labels(F.col("l._TAGREFS"), F.col("tags"))).alias("tags"), G.whole(F.col("l._HPOS")).alias("hpos"), G.whole(F.col("l._VPOS")).alias("vpos"),
         F.when(F.col("l._HPOS").isNotNull() & F.col("l._WIDTH").isNotNull(), _box("l")).alias("box"), G.points(F.col("l._BASELINE")).alias("baseline"),
         G.points(F.col("l.Shape.Polygon._POINTS")).alias("boundary"), F.when(F.size(contents) > 0, F.array_join(contents, " ")).alias("text"),
@@ -115,6 +116,29 @@ def score_boxes(lines: DataFrame, pages: DataFrame, *, pad: int = 5, scale: int
     return sized.select("document", "page", "idx", grid.alias("box"), F.lit(0).alias("class_id"), F.lit(1.0).alias("confidence"))
 
 
+def page_texts_of(names: DataFrame, lines: DataFrame) -> DataFrame:
+    """(document, page, text) of names (document, page): empty where a page has no text or its file could not be read."""
+    return names.join(page_texts(lines), ["document", "page"], "left").fillna("", ["text"])
+
+
+def texts_in_order(lines: DataFrame) -> DataFrame:
+    """(document, page, texts): the texts of a page's lines, read in rows of 10 pixels, from left to right in a row."""
+    order = F.struct(F.floor(F.coalesce("vpos", F.lit(0)) / 10), F.coalesce("hpos", F.lit(0)), F.col("idx"), F.col("text").alias("text"))
+    rows = lines.filter("text is not null").groupBy("document", "page").agg(F.array_sort(F.collect_list(order)).alias("t"))
+    return rows.select("document", "page", F.transform("t", lambda x: x["text"]).alias("texts"))
+
+
+def seen_zones(pages: DataFrame) -> DataFrame:
+    """zones() for a view of the page: a box of zeros only is that around the polygon."""
+    zero = (F.col("box.x1") == 0) & (F.col("box.y1") == 0) & (F.col("box.x2") == 0) & (F.col("box.y2") == 0)
+    return zones(pages).withColumn("box", F.when(zero & (F.size("boundary") > 0), G.bounds(F.col("boundary"))).otherwise(F.col("box")))
+
+
+def without_prefixes(xml: Column) -> Column:
+    """XML text with the prefixes of its elements' names taken off."""
+    return F.regexp_replace(xml, r"(</?)[A-Za-z_][\w.-]*:", "$1")
+
+
 def text_lines(lines: DataFrame) -> DataFrame:
     """Lines with a box of some width and height and a text that is not blank."""
     sized = (F.col("box.x2") > F.col("box.x1")) & (F.col("box.y2") > F.col("box.y1"))

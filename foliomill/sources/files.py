@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -49,12 +53,32 @@ def paired(pages: DataFrame, images: DataFrame) -> DataFrame:
     return rows.select(*pages.columns, F.coalesce("_own", "_root").alias("image"))
 
 
+def paired_xml(images: DataFrame, xml: DataFrame, apart: DataFrame | None = None) -> DataFrame:
+    """images (folder, stem, ...) with xml: the path of the page of the same folder and name, else of that folder among the pages
+    apart (a listing of another root), else of the root there; null without one."""
+    at = lambda rows, name: rows.select(F.col("folder").alias("_folder"), F.col("stem").alias("_stem"), F.col("path").alias(name))
+    one = lambda rows, name: rows.groupBy("_folder", "_stem").agg(F.min(name).alias(name))
+    kept, rows = images.columns, images
+    places = [("_near", xml)] + ([("_apart", apart)] if apart is not None else [])
+    for name, listed_ in places:
+        own = one(at(listed_, name), name)
+        rows = rows.join(own, F.col("folder").eqNullSafe(F.col("_folder")) & (F.col("stem") == F.col("_stem")), "left").drop("_folder", "_stem")
+    found = [F.col(name) for name, _ in places]
+    if apart is not None:
+        root = one(at(apart.filter("folder is null"), "_root"), "_root")
+        rows = rows.join(root.drop("_folder"), F.col("stem") == F.col("_stem"), "left").drop("_stem")
+        found.append(F.col("_root"))
+    return rows.select(*kept, F.coalesce(*found).alias("xml"))
+
+
 def splits(files: DataFrame) -> DataFrame:
-    """files with split: of each split the first of its names that has files."""
+    """files with split: of each split the first of its names that has files. A data set without a train folder raises ValueError."""
     names = [(split, name, k) for split, all_ in SPLITS.items() for k, name in enumerate(all_)]
     names = files.sparkSession.createDataFrame(names, "split string, name string, _rank int")
     found = files.join(F.broadcast(names), F.lower("folder") == F.col("name"))  # a dozen fixed rows
     first = F.min("_rank").over(Window.partitionBy("split"))
+    if found.filter("split = 'train'").isEmpty():
+        raise ValueError("no files in a train folder")
     return found.withColumn("_first", first).filter("_rank = _first").drop("name", "_rank", "_first")
 
 
@@ -88,8 +112,19 @@ def conventions(meta: DataFrame) -> DataFrame:
     return meta.select("document", F.coalesce(found, F.create_map().cast("map<string, string>")).alias("conventions"))
 
 
+def _present(spark: SparkSession, path: str) -> bool:
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(own)
+
+
 def charset(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(character): the code points of all characters of the JSON files."""
+    """(character): the code points of all characters of the JSON files. A file that is not there gives a warning."""
+    there = [p for p in paths if _present(spark, p)]
+    for p in sorted(set(paths) - set(there)):
+        warnings.warn(f"no character set {p}", stacklevel=2)
+    if not there:
+        return spark.createDataFrame([], "character string")
+    paths = there
     rows = spark.read.option("multiLine", "true").schema("characters array<struct<character: string>>").json(paths)
     points = F.explode(F.split(F.col("c.character"), ""))
     return rows.select(F.explode("characters").alias("c")).select(points.alias("character")).filter("character <> ''").distinct()
@@ -101,3 +136,27 @@ def scores(spark: SparkSession, path: str) -> tuple[DataFrame, bool]:
     if absent := {"page", "cer", "wer"} - set(rows.columns):
         raise ValueError(f"{path} has no column {', '.join(sorted(absent))}")
     return rows.withColumn("cer", F.col("cer").try_cast("double")).withColumn("wer", F.col("wer").try_cast("double")), "document" in rows.columns
+
+
+def named_charsets(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """(set, character) of named JSON files, and of all together as merged. A file that is not there raises FileNotFoundError."""
+    if absent := [n for n, p in paths.items() if not _present(spark, p)]:
+        raise FileNotFoundError(f"no character set {', '.join(sorted(absent))}")
+    rows = reduce(DataFrame.unionByName, [charset(spark, [p]).withColumn("set", F.lit(n)) for n, p in paths.items()])
+    return rows.unionByName(rows.select("character").distinct().withColumn("set", F.lit("merged"))).select("set", "character")
+
+
+def norms(spark: SparkSession, path: str, *, extended: bool = False) -> dict[str, str]:
+    """Replacements of a CSV file (source, target, set) with some dozens of rows: those of the base set, or all."""
+    rows = spark.read.option("header", "true").csv(path)
+    rows = rows if extended else rows.filter("set = 'base'")
+    return {r.source: r.target or "" for r in rows.filter("source is not null").limit(10_000).collect()}
+
+
+def line_images(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of Parquet rows (shelfmark, region, line_type, text, width, height, ...), with what is absent filled in."""
+    rows = spark.read.parquet(path)
+    given = lambda c, default: F.coalesce(F.col(c).cast("string"), F.lit(default)) if c in rows.columns else F.lit(default)
+    return rows.withColumns({
+        "shelfmark": given("shelfmark", "unknown"), "region": given("region", "MainZone"), "line_type": given("line_type", "DefaultLine"), "text": given("text", ""),
+    })

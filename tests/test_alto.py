@@ -4,7 +4,10 @@ import json
 
 import pytest
 from foliomill import cli
-from foliomill.plans import config, tasks
+from foliomill.functions import geometry as G
+from foliomill.functions import text as T
+from foliomill.operators import boxes
+from foliomill.plans import config, reports, tasks
 from foliomill.sinks import alto as out
 from foliomill.sinks import exports
 from foliomill.sources import alto, files
@@ -87,7 +90,9 @@ def test_split_text_minimal_and_detections(spark, folders):
     texts = spark.createDataFrame([("d1", "p1", "one\n\ntwo"), ("d2", "p1", "1\n2\n3\n4")], "document string, page string, text string")
     got = out.with_split_text(pages, alto.lines(pages), alto.zones(pages), texts).orderBy("document", "idx").collect()
     assert [(r.id, r.text) for r in got[:2]] == [("line_1", "one"), ("line_2", "two")] and [r.text for r in got[2:]] == ["1", "2", "3", "4"]
-    assert tuple(got[2].box) == (20, 10, 620, 50)
+    # 480 // 4 = 120 for each line, 10 off the sides and the top
+    assert [tuple(r.box) for r in got[2:]] == [(10, 10, 630, 120), (10, 130, 630, 240), (10, 250, 630, 360), (10, 370, 630, 480)]
+    assert [tuple(map(tuple, r.baseline)) for r in got[2:4]] == [((10, 70), (630, 70)), ((10, 190), (630, 190))]
     images = spark.createDataFrame([("d", "p", "i.jpg", 100, 50, "hello")], "document string, page string, image string, width int, height int, text string")
     blocks, lines = out.minimal(images)
     assert 'CONTENT="hello"' in out.rendered(images, blocks, lines).first().xml
@@ -116,16 +121,101 @@ def test_listing_and_side_files(spark, folders):
 
 def test_scores(spark, folders):
     truth, found = (alto.read_pages(spark, f"{folders}/{x}").filter("width is not null") for x in ("truth", "found"))
-    same = tasks.score_texts(truth, truth)
-    assert all(r.cer == 0 for r in same["pages"].collect()) and same["lines"].first().matched_lines == 6
-    got = tasks.score_texts(truth, found)
-    assert {r.key: r.value for r in got["corpus"].collect()}["score/cer"] == pytest.approx(1 / 12)
-    assert got["zone_map"].first().score == 0.0 and got["operations"].count() == 1
+    keys = lambda report: {r.key: r.value for r in report["metrics"].collect()}
+    same = tasks.SCORERS["htr"](truth, truth)
+    assert all(r.cer == 0 for r in same["scores_all_pages"].collect()) and keys(same)["competition/matched_lines"] == "6"
+    meta = spark.createDataFrame([("d1", {"language": "French", "conventions": "x"}), ("d2", {"language": "Old English"})], "document string, metadata map<string, string>")
+    got = reports.text_report(truth, found, meta)
+    k = keys(got)
+    assert float(k["score/cer"]) == pytest.approx(1 / 12) and k["zonemap/score"] == "0.0" and k["total/total_chars"] == "24.0"
+    assert (k["worst/top1_file"], k["worst/top3_file"]) == ("d1/p1", None) and float(k["worst/top1_cer"]) == pytest.approx(1 / 12)
+    assert float(k["by_language/Old_English/cer"]) == float(k["score/avg_language_cer"]) == float(k["score/avg_romances_wer"]) / 2 == pytest.approx(1 / 12)
+    row = got["results"].first().asDict()
+    assert row["score/cer"] == k["score/cer"] and not any(c.startswith("zonemap/") for c in row) and list(row) == sorted(row)
+    assert [(r.symbol, r["count"]) for r in got["wer_substitutions"].collect()] == [("b -> x", 2)] == [(r.symbol, r["count"]) for r in got["cer_substitutions"].collect()]
+    assert got["wer_deletions"].count() == got["cer_insertions"].count() == 0
+    zones = got["results_zonemap"].collect()
+    assert [r.metric for r in zones if r.metric.startswith("---")] == [t for t, _ in reports.ZONE_REPORT] and len(zones) == 3 + 7 + 6 + 6
+    assert {r.metric: r.value for r in zones}["zonemap/n_match"] == "4" and zones[1].description == "Error % (lower=better)"
+    documents = {r.document: r for r in got["scores_per_document"].collect()}
+    assert documents["d1"]["metadata/language"] == "French" and documents["d1"].pages == 1
+    assert got["scores_by_language"].count() == 4
+    shown = {r.key: r.value for r in reports.shown(got["metrics"]).collect()}
+    assert shown["score/cer"] == "0.0833" and shown["total/total_chars"] == "24.0"
     assert all(r.ap == 1.0 for r in tasks.score_lines(truth, found)["precision"].collect())
     # one of two blocks has no area: it is never found
     assert all(r.ap == 0.25 for r in tasks.score_layout(truth, found)["precision"].collect())
 
 
+def test_density_study(spark):
+    scores = spark.createDataFrame([("d", f"p{i}", i / 10, 0.5, "x") for i in range(6)] + [("d", "lost", 0.1, 0.1, "x")], "document string, page string, cer double, wer double, text_len string")
+    texts = [("d", f"p{i}", "⁊" * i + "a" * (10 - i)) for i in range(5)] + [("e", "p5", "no"), (None, "p5", "⁊" * 5 + "aaaaa"), (None, "p1", "other")]
+    rows = reports.with_densities(reports.scored_texts(scores.drop("text_len"), spark.createDataFrame(texts, "document string, page string, text string")))
+    got = {r.page: (r.density_medieval, r.text_len) for r in rows.collect()}
+    assert got == {f"p{i}": (i / 10, 10) for i in range(6)}
+    study = {(r.set, r.metric): r for r in reports.density_study(rows).collect()}
+    assert set(study) == {("medieval", "cer"), ("merged", "cer")} and study["medieval", "cer"].slope == pytest.approx(1) and study["merged", "cer"].n == 6
+
+
+def test_small_functions(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first().x
+    pair = lambda t: [tuple(p) for p in one(G.float_points(F.lit(t)))]
+    assert pair("1.5,2 3,4.25") == [(1.5, 2.0), (3.0, 4.25)] == pair("1.5 2 3 4.25") == pair("1.5,2 3 4.25 9") and pair("") == pair("7") == []
+    assert tuple(one(T.metric_parts(F.lit("score/avg_main_script_cer")))) == ("average", "main_script", None, "cer")
+    assert tuple(one(T.metric_parts(F.lit("by_language/Old_English/wer")))) == ("value", "language", "Old_English", "wer")
+    assert one(T.metric_parts(F.lit("score/cer"))) is None
+    assert one(T.display_name(F.lit("d"), F.lit("p"))) == "d/p" and one(T.display_name(F.lit(""), F.lit("p"))) == "p" == one(T.display_name(F.lit(None).cast("string"), F.lit("p")))
+    known = ("qwen2.5-vl", "llava-next", "blip")
+    assert [one(T.supported(F.lit(x).cast("string"), known)) for x in ("blip", "qwen2_5_vl", "llava_next_chat", "other", None)] == [True, True, True, False, False]
+    box, mask = G.box(*map(F.lit, (0, 0, 10, 4))), F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0, 0), (5, 0), (5, 4))])
+    line, bare = one(G.detected_line(box, mask)), one(G.detected_line(box, F.array().cast(G.POINTS)))
+    assert len(line.boundary) == 3 and len(bare.boundary) == 4 and [tuple(p) for p in line.baseline] == [(0, 2), (10, 2)] and line.id != bare.id == one(G.detected_line(box, F.array().cast(G.POINTS))).id
+    found = spark.createDataFrame([(1, 0, 2), (1, 1, 0), (1, 2, 7)], "page int, idx int, class_id int")
+    named = boxes.named(found, {0: "MarginTextZone", 2: "Line"})
+    assert [(r.idx, r.label) for r in named.orderBy("idx").collect()] == [(0, "Line"), (1, "MarginTextZone"), (2, "7")]
+    assert [(r.idx, r.label) for r in boxes.zones_only(named, ["page"]).collect()] == [(0, "MarginTextZone")]
+    assert one(alto.without_prefixes(F.lit("<a:b x='q:r'></a:b>"))) == "<b x='q:r'></b>"
+
+
+def test_pages_beside_images_and_sets(spark, folders):
+    kinds = "folder string, stem string, path string"
+    images = spark.createDataFrame([("d", "a", "i1"), ("d", "b", "i2"), ("e", "c", "i3"), ("e", "none", "i4")], kinds)
+    near = spark.createDataFrame([("d", "a", "near/a")], kinds)
+    apart = spark.createDataFrame([("d", "a", "apart/d/a"), ("d", "b", "apart/d/b"), (None, "c", "apart/c"), (None, "b", "apart/b")], kinds)
+    got = {r.stem: r.xml for r in files.paired_xml(images, near, apart).collect()}
+    assert got == {"a": "near/a", "b": "apart/d/b", "c": "apart/c", "none": None}
+    assert {r.xml for r in files.paired_xml(images, near).collect()} == {"near/a", None}
+    (folders / "one.json").write_text(json.dumps({"characters": [{"character": "a"}]}))
+    (folders / "two.json").write_text(json.dumps({"characters": [{"character": "b"}, {"character": "a"}]}))
+    sets = files.named_charsets(spark, {"x": f"{folders}/one.json", "y": f"{folders}/two.json"})
+    assert sorted(map(tuple, sets.collect())) == [("merged", "a"), ("merged", "b"), ("x", "a"), ("y", "a"), ("y", "b")]
+    with pytest.raises(FileNotFoundError, match="z"):
+        files.named_charsets(spark, {"z": f"{folders}/absent.json"})
+    with pytest.warns(UserWarning, match="absent"):
+        assert files.charset(spark, [f"{folders}/absent.json"]).count() == 0
+    (folders / "norms.csv").write_text("source,target,set\nſ,s,base\nž,z,extended\n\u0307,,extended\n")
+    assert files.norms(spark, f"{folders}/norms.csv") == {"ſ": "s"} and files.norms(spark, f"{folders}/norms.csv", extended=True)["\u0307"] == ""
+    with pytest.raises(ValueError, match="train"):
+        files.splits(spark.createDataFrame([("val", "b")], "folder string, stem string"))
+
+
+def test_texts_of_pages(spark, folders):
+    pages = alto.read_pages(spark, f"{folders}/truth")
+    lines = alto.lines(pages.filter("width is not null"), ignored=())
+    names = files.listed(spark, f"{folders}/truth", "*.xml").select(F.col("folder").alias("document"), F.col("stem").alias("page"))
+    assert {(r.document, r.page): r.text for r in alto.page_texts_of(names, lines).collect()} == {
+        ("d1", "p1"): "a b c & d 12", ("d2", "p1"): "a b c & d 12", ("d1", "p9"): ""}
+    assert alto.texts_in_order(lines).first().texts == ["12", "a b", "c & d"]
+    images = files.listed(spark, f"{folders}/truth").filter("ending = '.jpg'")
+    assert [(r.document, r.page, r.text) for r in tasks.training_pages(lines, images).collect()] == [("d1", "p1", "a b c & d 12")]
+    assert {r.modified for r in tasks.cleaned_counts(lines).collect()} == {0}
+    assert {r.modified for r in tasks.cleaned_counts(lines.withColumn("text", F.concat("text", F.lit("$")))).collect()} == {3}
+    counts = tasks.by_document(lines.select("document", "page"), lambda x: x.groupby("document", as_index=False).count(), "document string, page long")
+    assert sorted(map(tuple, counts.collect())) == [("d1", 3), ("d2", 3)]
+    square = pages.filter("width is not null").limit(1)
+    assert [tuple(z.box) for z in alto.seen_zones(square).orderBy("idx").collect()] == [(10, 10, 630, 210), (0, 0, 0, 0)]
+
+
 def test_predict(spark, folders):
     pages = alto.read_pages(spark, f"{folders}/truth").filter("width is not null")
     done = spark.createDataFrame([("d2", "p1")], "document string, page string")
@@ -150,13 +240,62 @@ def test_stream(spark, folders):
 
 
 def test_command_line(spark, folders):
-    assert cli.main(["score", "-t", "all", "-d", f"{folders}/found", "-p", f"{folders}/found", "-o", f"{folders}/scores"]) == 0
-    assert spark.read.option("header", "true").csv(f"{folders}/scores/htr/pages").count() == 2
+    assert cli.main(["score", "-t", "all", "-d", f"{folders}/truth", "-p", f"{folders}/found", "-o", f"{folders}/scores", "--metadata"]) == 0
+    read = lambda name: spark.read.option("header", "true").csv(f"{folders}/scores/{name}")
+    assert read("htr/scores_all_pages.csv").count() == read("htr/scores_per_page.csv").count() == 2
+    assert {r.document for r in read("htr/scores_per_page.csv").collect()} == {"d1", "d2"}
+    assert read("htr/scores_by_language.csv").count() == 2 and read("htr/results.csv").count() == 1
+    assert read("htr/results_zonemap.csv").first().metric.startswith("---") and read("htr/wer_substitutions.csv").count() == 1
     assert cli.main(["print", "-p", f"{folders}/found", "-o", f"{folders}/json", "--json"]) == 0
-    assert spark.read.text(f"{folders}/json").count() == 3
-    assert cli.main(["prepare-yolo-lines", "-i", f"{folders}/found", "-o", f"{folders}/yolo"]) == 0
+    objects = [json.loads(r.value) for r in spark.read.text(f"{folders}/json").collect()]
+    assert objects == [{"line_1": "a x", "line_2": "c & d", "x": "12"}] * 2
     with pytest.raises(SystemExit):
         cli.main(["predict"])
+    assert cli.main(["study", "-s", f"{folders}/scores/htr/scores_all_pages.csv", "-p", f"{folders}/truth", "-o", f"{folders}/study"]) == 0
+    assert spark.read.option("header", "true").csv(f"{folders}/study/scores_with_density.csv").first().text_len == "12"
+
+
+def test_predict_writes_pages_and_goes_on(spark, folders):
+    (folders / "run.yml").write_text("tasks:\n  htr:\n    type: StubHTR\n    config:\n      text: 'w {id}'\n")
+    command = ["predict", "-c", f"{folders}/run.yml", "-d", f"{folders}/truth", "-o", f"{folders}/pred"]
+    assert cli.main(command) == 0
+    made = sorted(str(p.relative_to(folders / "pred")) for p in (folders / "pred").rglob("*") if p.is_file() and p.suffix != ".crc")
+    assert made == ["d1/p1.xml", "d2/p1.xml"]
+    lines = alto.lines(alto.read_pages(spark, f"{folders}/pred")).orderBy("document", "idx").collect()
+    assert [(r.document, r.id, r.text, r.region, len(r.boundary)) for r in lines] == [(d, f"line_{i}", f"w line_{i}", "MainZone", 4) for d in ("d1", "d2") for i in (1, 2)]
+    kept = (folders / "pred" / "d1" / "p1.xml").stat().st_mtime_ns
+    (folders / "pred" / "d2" / "p1.xml").unlink()
+    assert cli.main(command) == 0
+    assert (folders / "pred" / "d1" / "p1.xml").stat().st_mtime_ns == kept and (folders / "pred" / "d2" / "p1.xml").exists()
+
+
+def test_detector_set(spark, folders):
+    for split in ("train", "valid"):
+        (folders / "set" / split).mkdir(parents=True)
+        for name in ("p1", "p2"):
+            (folders / "set" / split / f"{split}-{name}.xml").write_text(page(["a", "b"]))
+            if (split, name) != ("valid", "p2"):
+                (folders / "set" / split / f"{split}-{name}.jpg").write_text(f"image of {name}")
+    assert cli.main(["prepare-yolo-lines", "-i", f"{folders}/set", "-o", f"{folders}/yolo"]) == 0
+    made = sorted(str(p.relative_to(folders / "yolo")) for p in (folders / "yolo").rglob("*") if p.is_file())
+    names = [("train", "train-p1"), ("train", "train-p2"), ("val", "valid-p1")]
+    assert made == ["data.yaml", *[f"images/{s}/{n}.jpg" for s, n in names], *[f"labels/{s}/{n}.txt" for s, n in names]]
+    assert (folders / "yolo" / "labels" / "val" / "valid-p1.txt").read_text().splitlines()[0] == "1 0.500000 0.104167 0.937500 0.083333"
+    assert (folders / "yolo" / "images" / "train" / "train-p2.jpg").read_text() == "image of p2"
+    lines = (folders / "yolo" / "data.yaml").read_text().splitlines()
+    assert lines[1:4] == ["train: images/train", "val: images/val", "names:"] and lines[5] == "  1: DefaultLine"
+
+
+def test_line_images(spark, folders):
+    rows = [("MS 1/a", "one", 300, 40), ("MS 1/a", "two", 200, 50), (None, None, 100, 30)]
+    spark.createDataFrame(rows, "shelfmark string, text string, width int, height int").write.parquet(f"{folders}/lines")
+    assert cli.main(["lines-to-alto", "-i", f"{folders}/lines", "-o", f"{folders}/single"]) == 0
+    pages = alto.read_pages(spark, f"{folders}/single")
+    lines = {r.page: r for r in alto.lines(pages).collect()}
+    assert set(lines) == {"MS_1_a_line_00001", "MS_1_a_line_00002", "unknown_line_00001"}
+    two = lines["MS_1_a_line_00002"]
+    assert two.text == "two" and tuple(two.box) == (2, 2, 198, 48) and lines["unknown_line_00001"].text is None
+    assert {r.image for r in pages.collect()} == {f"{p}.jpg" for p in lines}
 
 
 def test_config():
