@@ -13,7 +13,10 @@ from foliomill.functions import charsets
 from foliomill.functions import geometry as G
 from foliomill.functions import text as T
 from foliomill.operators import boxes, detection, errors, order, rollup
+from foliomill.plans import reports
+from foliomill.sinks import alto as out_alto
 from foliomill.sinks import exports
+from foliomill.sources import alto, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -379,10 +382,8 @@ def map_eval(spark, sf_dir):
 
 @query("SELECT DISTINCT o_orderkey AS page FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
 def resume_antijoin(spark, sf_dir):
-    from foliomill.sources.files import remaining
-
     done = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("page")).distinct()
-    return remaining(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page")), done, ["page"]).distinct()
+    return files.remaining(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("page")), done, ["page"]).distinct()
 
 
 @query("""
@@ -392,11 +393,9 @@ def resume_antijoin(spark, sf_dir):
         WHEN count(*) > 0 THEN 'flat' ELSE 'empty' END AS kind FROM f
 """)
 def structure_kind(spark, sf_dir):
-    from foliomill.sources.files import structure
-
     folder = F.when(F.col("doc_id") % 3 != 0, F.col("source"))
-    files = table(spark, sf_dir, "documents").select(folder.alias("folder")).withColumn("depth", F.col("folder").isNotNull().cast("int"))
-    return structure(files).select("n_root", "n_folders", "kind")
+    listed = table(spark, sf_dir, "documents").select(folder.alias("folder")).withColumn("depth", F.col("folder").isNotNull().cast("int"))
+    return files.structure(listed).select("n_root", "n_folders", "kind")
 
 
 @query("SELECT DISTINCT p_type, CAST(concat('0x', substr(sha1(p_type), 1, 6)) AS BIGINT) % 100000 AS tag, concat('BT', substr(sha1(p_type), 1, 6)) AS short FROM part")
@@ -502,9 +501,7 @@ def density_regression(spark, sf_dir):
 
 @query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def metadata_json(spark, sf_dir):
-    from foliomill.sources.files import parsed
-
-    return table(spark, sf_dir, "events").select("event_id", F.try_element_at(parsed(F.col("props")), F.lit("k")).alias("k"))
+    return table(spark, sf_dir, "events").select("event_id", F.try_element_at(files.parsed(F.col("props")), F.lit("k")).alias("k"))
 
 
 @query()
@@ -516,3 +513,218 @@ def wrap_1024(spark, sf_dir):
 @query("SELECT p_partkey, regexp_replace(p_name, '[^\\p{L}\\p{N}_-]', '_', 'g') AS file, regexp_replace(p_brand, '[ /-]', '_', 'g') AS metric FROM part")
 def safe_names(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", T.file_name(F.col("p_name")).alias("file"), T.metric_name(F.col("p_brand")).alias("metric"))
+
+
+# Pages made of the tables: an order is a page with one block, a line item a line of it. They are rendered and read again.
+def alto_pages(spark, sf_dir) -> DataFrame:
+    rows = page_boxes(spark, sf_dir).select(F.concat(F.lit("d"), F.col("page") % 7).alias("document"), F.concat(F.lit("p"), "page").alias("page"), "idx", "box", "flag")
+    text = F.when(F.col("flag") != "N", F.concat(F.lit('é & "'), "idx", F.lit('" <b>')))
+    lines = rows.select(
+        "document", "page", F.lit(0).alias("zone"), F.col("idx").cast("long").alias("idx"), F.concat(F.lit("l"), "idx").alias("id"), "box", G.midline(F.col("box")).alias("baseline"),
+        G.polygon(F.col("box")).cast(G.POINTS).alias("boundary"), text.alias("text"), F.lit(0.25).alias("confidence"), F.col("idx").alias("position"),
+    )
+    pages = rows.groupBy("document", "page").agg(F.concat("page", F.lit(".jpg")).alias("image")).select("document", "page", "image", F.lit(2500).alias("width"), F.lit(2100).alias("height"))
+    blocks = rows.groupBy("document", "page").agg(F.max(F.when(F.col("flag") == "R", "NumberingZone").otherwise("MainZone")).alias("label"))
+    whole = G.box(*[F.lit(v) for v in (0, 0, 2500, 2100)])
+    blocks = blocks.select("document", "page", F.lit(0).alias("idx"), F.lit("b").alias("id"), "label", whole.alias("box"), F.lit(1).alias("position"))
+    return alto.parsed_pages(out_alto.rendered(pages, blocks, lines))
+
+
+_ALTO = f"""
+    SELECT 'd' || page % 7 AS document, 'p' || page AS page, idx, x1, y1, x2, y2, CASE WHEN flag <> 'N' THEN 'é & "' || idx || '" <b>' END AS text,
+      max(CASE WHEN flag = 'R' THEN 'NumberingZone' ELSE 'MainZone' END) OVER (PARTITION BY page) AS region, CAST(floor((y1 + y2) / 2) AS INT) AS m FROM ({BOXES})
+"""
+
+
+@query(f"""
+    SELECT document, page, 'l' || idx AS id, region, x1, y1, x2, y2, x1 || ',' || m || ' ' || x2 || ',' || m AS baseline,
+      x1 || ',' || y1 || ' ' || x2 || ',' || y1 || ' ' || x2 || ',' || y2 || ' ' || x1 || ',' || y2 AS boundary, text, 0.25 AS confidence FROM ({_ALTO}) WHERE region <> 'NumberingZone'
+""")
+def alto_lines(spark, sf_dir):
+    flat_ = lambda c: F.array_join(F.transform(c, lambda p: F.concat_ws(",", p["x"], p["y"])), " ").alias(c)
+    return alto.lines(alto_pages(spark, sf_dir)).select("document", "page", "id", "region", "box.*", flat_("baseline"), flat_("boundary"), "text", "confidence")
+
+
+@query(f"SELECT document, page, 'b' AS id, region AS label, 0 AS x1, 0 AS y1, 2500 AS x2, 2100 AS y2, CAST(count(*) AS INT) AS n_lines FROM ({_ALTO}) GROUP BY document, page, region")
+def alto_zones(spark, sf_dir):
+    return alto.seen_zones(alto_pages(spark, sf_dir)).select("document", "page", "id", "label", "box.*", "n_lines")
+
+
+@query(f"SELECT document, page, string_agg(text, ' ' ORDER BY idx) AS text FROM ({_ALTO}) WHERE text IS NOT NULL GROUP BY document, page")
+def alto_page_texts(spark, sf_dir):
+    return alto.page_texts(alto.lines(alto_pages(spark, sf_dir), ignored=()))
+
+
+@query(f"SELECT document, page, coalesce(string_agg(text, ' ' ORDER BY idx), '') AS text FROM ({_ALTO}) GROUP BY document, page")
+def alto_page_texts_or_none(spark, sf_dir):
+    pages = alto_pages(spark, sf_dir)
+    return alto.page_texts_of(pages.select("document", "page"), alto.lines(pages, ignored=()))
+
+
+@query(f"SELECT document, page, string_agg(text, '|' ORDER BY floor(y1 / 10), x1, idx) AS texts FROM ({_ALTO}) WHERE text IS NOT NULL GROUP BY document, page")
+def alto_texts_in_order(spark, sf_dir):
+    rows = alto.texts_in_order(alto.lines(alto_pages(spark, sf_dir), ignored=()))
+    return rows.select("document", "page", F.array_join("texts", "|").alias("texts"))
+
+
+@query(f"SELECT document, page, CAST(idx - 1 AS BIGINT) AS idx, CAST(trunc(100 * x1 / 2500.0) AS INT) AS x1, CAST(trunc(100 * y1 / 2100.0) AS INT) AS y1, CAST(trunc(100 * x2 / 2500.0) AS INT) AS x2, CAST(trunc(100 * y2 / 2100.0) AS INT) AS y2 FROM ({_ALTO})")
+def alto_score_boxes(spark, sf_dir):
+    pages = alto_pages(spark, sf_dir)
+    return flat(alto.score_boxes(alto.lines(pages, ignored=()), pages).select("document", "page", "idx", "box"))
+
+
+@query(f"SELECT document, page, '1 ' || string_agg(printf('%.6f %.6f', least(1.0, x / 2500.0), least(1.0, y / 2100.0)), ' ' ORDER BY k) AS value, idx - 1 AS idx FROM (SELECT document, page, idx, unnest([x1, x2, x2, x1]) AS x, unnest([y1, y1, y2, y2]) AS y, unnest([1, 2, 3, 4]) AS k FROM ({_ALTO})) GROUP BY document, page, idx")
+def detector_polygons(spark, sf_dir):
+    pages = alto_pages(spark, sf_dir)
+    return exports.yolo_rows(alto.lines(pages, ignored=()), pages, polygons=True).withColumn("idx", F.col("idx").cast("int"))
+
+
+@query(f"SELECT CASE hash WHEN 0 THEN 'val' ELSE 'train' END AS split, count(DISTINCT page) AS images, CAST(count(*) AS BIGINT) AS lines FROM (SELECT *, CASE WHEN document = 'd3' THEN 0 ELSE 1 END AS hash FROM ({_ALTO})) WHERE document <> 'd5' GROUP BY split")
+def detector_split_counts(spark, sf_dir):
+    pages = alto_pages(spark, sf_dir)
+    split = F.when(F.col("document") == "d3", "val").otherwise("train")
+    named = pages.select("document", "page", split.alias("split"), F.when(F.col("document") != "d5", F.col("image")).alias("image"))
+    rows = exports.yolo_rows(alto.lines(pages, ignored=()), pages)
+    return exports.detector_counts(exports.detector_set(rows, named))
+
+
+@query(f"""
+    WITH b AS (SELECT * FROM ({BOXES}) WHERE flag <> 'N'), gone AS (
+      SELECT DISTINCT a.page, CASE WHEN (a.x2 - a.x1) * (a.y2 - a.y1) < (b.x2 - b.x1) * (b.y2 - b.y1) THEN a.idx ELSE b.idx END AS idx
+      FROM b a JOIN b ON a.page = b.page AND a.idx < b.idx WHERE {IOU} > 0.5),
+    k AS (SELECT *, (x1 + x2) / 2.0 AS cx FROM b WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.page = b.page AND g.idx = b.idx)),
+    g AS (SELECT *, CASE WHEN cx - lag(cx) OVER (PARTITION BY page ORDER BY cx, idx) <= 300 THEN 0 ELSE 1 END AS fresh FROM k),
+    c AS (SELECT *, sum(fresh) OVER (PARTITION BY page ORDER BY cx, idx ROWS UNBOUNDED PRECEDING) AS col FROM g)
+    SELECT page, idx, 'block_' || (row_number() OVER (PARTITION BY page ORDER BY col, y1, cx, idx) - 1) AS id FROM c
+""")
+def blocks_of_detections(spark, sf_dir):
+    found = boxes.named(page_boxes(spark, sf_dir).withColumn("class_id", F.when(F.col("flag") == "N", 0).otherwise(1)), {0: "NumberingZone", 1: "MainZone"})
+    return out_alto.from_detections(found, ["page"]).select("page", "idx", "id")
+
+
+@query(f"SELECT page, CAST(row_number() OVER (PARTITION BY page ORDER BY idx) - 1 AS INT) AS idx, x1 FROM ({BOXES}) WHERE flag <> 'A'")
+def zones_only(spark, sf_dir):
+    found = page_boxes(spark, sf_dir).withColumn("label", F.when(F.col("flag") == "A", "ZoneLine").otherwise(F.concat("flag", F.lit("Zone"))))
+    return boxes.zones_only(found, ["page"]).select("page", "idx", F.col("box.x1").alias("x1"))
+
+
+@query(f"SELECT page, median(x2 - x1) AS median_height FROM ({BOXES}) GROUP BY page")
+def median_height(spark, sf_dir):
+    turned = G.box(F.col("box.y1"), F.col("box.x1"), F.col("box.y2"), F.col("box.x2"))
+    return order.median_height(page_boxes(spark, sf_dir).withColumn("box", turned), ["page"])
+
+
+@query(f"SELECT page, idx, x1 || ',' || m || ' ' || x2 || ',' || m AS baseline, CASE WHEN flag = 'R' THEN 3 ELSE 4 END AS corners FROM (SELECT *, CAST(floor((y1 + y2) / 2) AS INT) AS m FROM ({BOXES}))")
+def detected_lines(spark, sf_dir):
+    mask = F.when(F.col("flag") == "R", F.slice(G.polygon(F.col("box")).cast(G.POINTS), 1, 3))
+    rows = page_boxes(spark, sf_dir).select("page", "idx", G.detected_line(F.col("box"), mask).alias("l"))
+    baseline = F.array_join(F.transform("l.baseline", lambda p: F.concat_ws(",", p["x"], p["y"])), " ")
+    return rows.select("page", "idx", baseline.alias("baseline"), F.size("l.boundary").alias("corners"))
+
+
+@query(f"SELECT page, idx, x1 || ',' || (y1 - 10) || ' ' || x2 || ',' || (y1 - 10) || ' ' || x2 || ',' || (y1 + 10) || ' ' || x1 || ',' || (y1 + 10) AS boundary FROM ({BOXES})")
+def boundaries_of_baselines(spark, sf_dir):
+    baseline = F.array(*[F.struct(F.col(f"box.{x}").alias("x"), F.col("box.y1").alias("y")) for x in ("x1", "x2")])
+    rows = page_boxes(spark, sf_dir).withColumn("b", G.around(baseline.cast(G.POINTS)))
+    return rows.select("page", "idx", F.array_join(F.transform("b", lambda p: F.concat_ws(",", p["x"], p["y"])), " ").alias("boundary"))
+
+
+@query(f"SELECT page, idx, x1 || ',' || y1 || ' ' || x2 || ',' || y2 AS pairs, 2 AS strict, x1 + 0.5 AS first_x, CAST(4 AS INT) AS n, flag = 'R' AS degenerate FROM ({BOXES})")
+def points_of_texts(spark, sf_dir):
+    b, plain = F.col("box"), lambda *parts: F.concat_ws("", *parts)
+    comma = plain(b["x1"], F.lit(".9,"), b["y1"], F.lit("  x,y "), b["x2"], F.lit(","), b["y2"])
+    mixed = plain(b["x1"], F.lit(".5,"), b["y1"], F.lit(" "), b["x2"], F.lit(" "), b["y2"], F.lit(",7 8 9"))
+    twice = F.array(*[F.struct(F.when(F.col("flag") == "R", b["x1"]).otherwise(b["x1"] + i).alias("x"), b["y1"].alias("y")) for i in (0, 1)]).cast(G.POINTS)
+    rows = page_boxes(spark, sf_dir).select("page", "idx", G.points(comma).alias("p"), G.points(plain(b["x1"], F.lit(" "), b["y1"], F.lit(" "), b["x2"], F.lit(" "), b["y2"], F.lit(" 5")), strict=True).alias("s"), G.float_points(mixed).alias("f"), G.degenerate(twice).alias("degenerate"))
+    pairs = F.array_join(F.transform("p", lambda p: F.concat_ws(",", p["x"], p["y"])), " ")
+    return rows.select("page", "idx", pairs.alias("pairs"), F.size("s").alias("strict"), F.col("f")[0]["x"].alias("first_x"), (F.size("f") + 1).alias("n"), "degenerate")
+
+
+@query(f"SELECT conv_id, CAST(sum(CASE WHEN {_CLEANED.replace('html', 'text')} <> text THEN 1 ELSE 0 END) AS BIGINT) AS modified FROM conversations GROUP BY conv_id")
+def cleaned_counts(spark, sf_dir):
+    from foliomill.plans import tasks
+
+    lines = table(spark, sf_dir, "conversations").select(F.lit("d").alias("document"), F.col("conv_id").alias("page"), "text")
+    return tasks.cleaned_counts(lines).select(F.col("page").alias("conv_id"), "modified")
+
+
+@query("""
+    SELECT d.doc_id, coalesce(CASE WHEN d.doc_id % 3 = 0 THEN 'near/' || d.doc_id END, CASE WHEN d.doc_id % 2 = 0 THEN 'apart/' || d.doc_id END,
+      CASE WHEN d.doc_id % 5 = 0 THEN 'root/' || d.doc_id END) AS xml FROM documents d
+""")
+def pages_beside_images(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("folder"), F.col("doc_id").cast("string").alias("stem"))
+    at = lambda n, name, folder: docs.filter(F.col("doc_id") % n == 0).select(folder.alias("folder"), "stem", F.concat(F.lit(f"{name}/"), "stem").alias("path"))
+    near, apart = at(3, "near", F.col("folder")), at(2, "apart", F.col("folder")).unionByName(at(5, "root", F.lit(None).cast("string")))
+    return files.paired_xml(docs, near, apart).select("doc_id", "xml")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'own/' || doc_id || '.jpg' WHEN doc_id % 2 = 0 THEN 'own/' || doc_id || '.tif' WHEN doc_id % 5 = 0 THEN 'root/' || doc_id || '.png' END AS image FROM documents")
+def images_of_pages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("folder"), F.col("doc_id").cast("string").alias("stem"))
+    at = lambda n, name, ending, folder: docs.filter(F.col("doc_id") % n == 0).select(folder.alias("folder"), "stem", F.lit(ending).alias("ending"), F.concat(F.lit(f"{name}/"), "stem", F.lit(ending)).alias("path"))
+    images = at(3, "own", ".jpg", F.col("folder")).unionByName(at(2, "own", ".tif", F.col("folder"))).unionByName(at(5, "root", ".png", F.lit(None).cast("string"))).unionByName(at(7, "own", ".gif", F.col("folder")))
+    return files.paired(docs, images).select("doc_id", "image")
+
+
+@query("SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'train' WHEN 1 THEN 'val' WHEN 2 THEN 'test' END AS split FROM documents WHERE doc_id % 5 < 3")
+def named_splits(spark, sf_dir):
+    names = F.array(*[F.lit(x) for x in ("train", "Valid", "testing", "dev", "other")])
+    docs = table(spark, sf_dir, "documents").select("doc_id", names[(F.col("doc_id") % 5).cast("int")].alias("folder"))
+    return files.splits(docs).select("doc_id", "split")
+
+
+@query(r"""
+    SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'average' ELSE 'value' END AS kind, CASE WHEN p_size % 2 = 0 THEN 'a_' || p_size ELSE 'f' || p_size END AS feature,
+      CASE WHEN p_size % 2 = 1 THEN regexp_replace(p_type, '[ /-]', '_', 'g') END AS value, 'cer' AS metric, CASE WHEN p_size % 3 = 0 THEN p_name ELSE p_brand || '/' || p_name END AS name,
+      CASE WHEN p_size % 3 <> 1 THEN true ELSE false END AS supported FROM part
+""")
+def keys_and_names(spark, sf_dir):
+    size = F.col("p_size").cast("string")
+    key = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("score/avg_a_"), size, F.lit("_cer"))).otherwise(F.concat(F.lit("by_f"), size, F.lit("/"), T.metric_name(F.col("p_type")), F.lit("/cer")))
+    model = F.when(F.col("p_size") % 3 == 0, "qwen2_5_vl_chat").when(F.col("p_size") % 3 == 2, "blip").otherwise(F.concat(F.lit("x"), size))
+    name = T.display_name(F.when(F.col("p_size") % 3 != 0, F.col("p_brand")).otherwise(""), F.col("p_name"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", T.metric_parts(key).alias("k"), name.alias("name"), T.supported(model, ("qwen2.5-vl", "blip")).alias("supported"))
+    return rows.select("p_partkey", "k.*", "name", "supported")
+
+
+@query("SELECT p_partkey, regexp_replace(p_brand, '[^\\p{L}\\p{N}_-]', '_', 'g') || printf('_line_%05d', row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey)) AS file FROM part")
+def numbered_names(spark, sf_dir):
+    return exports.numbered_names(table(spark, sf_dir, "part"), F.col("p_brand"), ["p_partkey"]).select("p_partkey", "file")
+
+
+_SETS = {"accents": "éèàùç", "stops": ".,"}
+
+
+@query(" UNION ALL ".join(f"""
+    SELECT '{s}' AS "set", '{m}' AS metric, round(regr_slope({y}, x), 4) AS slope, round(regr_r2({y}, x), 9) AS r2, count(*) AS n
+    FROM (SELECT n_chars, doc_id, CASE WHEN text = '' THEN 0 ELSE CAST(length(regexp_replace(text, '[^{c}]', '', 'g')) AS DOUBLE) / length(text) END AS x FROM documents)
+""" for s, c in _SETS.items() for m, y in (("cer", "n_chars"), ("wer", "doc_id"))))
+def density_study(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("document"), F.col("doc_id").alias("page"), F.col("n_chars").alias("cer"), F.col("doc_id").alias("wer"), "text")
+    texts = docs.select(F.when(F.col("page") % 2 == 0, F.col("document")).alias("document"), "page", "text")  # others are found in the root
+    rows = reports.with_densities(reports.scored_texts(docs.drop("text"), texts), _SETS)
+    study = reports.density_study(rows, tuple(_SETS))
+    return study.select("set", "metric", F.round("slope", 4).alias("slope"), F.round("r2", 9).alias("r2"), "n")
+
+
+@query("SELECT " + ", ".join(f"CAST(max(n) FILTER (WHERE lang = '{x}') AS VARCHAR) AS \"total/{x}\"" for x in ("de", "en", "es", "fr")) + " FROM (SELECT lang, count(*) AS n FROM documents GROUP BY lang)")
+def results_row(spark, sf_dir):
+    counts = table(spark, sf_dir, "documents").filter("lang is not null").groupBy("lang").count()
+    rows = counts.select(F.concat(F.lit("total/"), "lang").alias("key"), F.col("count").cast("string").alias("value"))
+    return reports.results_row(rows.unionByName(rows.withColumn("key", F.concat(F.lit("zonemap/"), "key"))))
+
+
+@query("SELECT d.source AS document, d.n, CASE WHEN d.source <> (SELECT min(source) FROM documents) THEN 'Latin' END AS language FROM (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source) d")
+def metadata_of_documents(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").filter("source is not null").groupBy(F.col("source").alias("document")).agg(F.count("*").alias("n"))
+    first = documents.agg(F.min("document").alias("document"))
+    meta = documents.join(first, "document", "left_anti").select("document", F.create_map(F.lit("language"), F.lit("Latin"), F.lit("conventions"), F.lit("x")).alias("metadata"))
+    rows = reports.with_metadata(documents, meta)
+    return rows.select("document", "n", F.when(F.size("metadata") == 1, F.element_at("metadata", "language")).alias("language"))
+
+
+@query(f"SELECT round(sum(word_edits) / sum(words), 9) AS wer, CAST(sum(found_words) AS BIGINT) AS total_words FROM ({SQL['wer_pairs']})")
+def wer_corpus(spark, sf_dir):
+    rates = errors.rates(errors.with_edits(turn_pairs(spark, sf_dir)))
+    return rates.select(F.round("wer", 9).alias("wer"), "total_words")

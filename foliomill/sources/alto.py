@@ -36,12 +36,21 @@ def read_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """A row for each page: document, page, image, width, height, tags (map), other_tags (map), blocks."""
     reader = spark.read.format("xml").schema(SCHEMA).option("rowTag", "alto").option("ignoreNamespace", "true")
     rows = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml").load(paths)
+    return _pages(rows, place(F.col("_metadata.file_path")))
+
+
+def parsed_pages(rows: DataFrame) -> DataFrame:
+    """The same for rows (document, page, xml: text). What is no XML has nulls only."""
+    fields = rows.select("document", "page", F.from_xml("xml", SCHEMA, {"ignoreNamespace": "true"}).alias("x"))
+    return _pages(fields.select("document", "page", "x.*"), {"document": F.col("document"), "page": F.col("page")})
+
+
+def _pages(rows: DataFrame, names: dict[str, Column]) -> DataFrame:
     entries = lambda kind: F.transform(F.coalesce(F.col(f"Tags.{kind}"), F.array().cast(_TAG)), lambda t: F.struct(t["_ID"], t["_LABEL"]))
     as_map = lambda e: F.map_from_entries(F.array_distinct(F.filter(e, lambda t: t["_ID"].isNotNull() & t["_LABEL"].isNotNull())))
     every = F.concat(entries("OtherTag"), entries("LayoutTag"), entries("StructureTag"))
     return rows.select(
-        *[v.alias(k) for k, v in place(F.col("_metadata.file_path")).items()],
-        F.col("Description.sourceImageInformation.fileName").alias("image"),
+        *[v.alias(k) for k, v in names.items()], F.col("Description.sourceImageInformation.fileName").alias("image"),
         G.whole(F.col("Layout.Page._WIDTH")).alias("width"), G.whole(F.col("Layout.Page._HEIGHT")).alias("height"),
         as_map(every).alias("tags"), as_map(entries("OtherTag")).alias("other_tags"), F.col("Layout.Page.PrintSpace.TextBlock").alias("blocks"),
     )
