@@ -29,7 +29,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents in the order of the sources' schedule, by partition and by row."""
+    """The same documents in the order of the sources' schedule, by partition and by row; once written, files and their rows
+    keep it, and packing takes them in that order."""
     return mixing.mix(docs).select(docs.columns)
 
 

@@ -74,8 +74,9 @@ def pack(
 
     Returns a row for each piece: doc_id, start (ids of its document before it), length, doc_tokens (with
     the end id), sequence_id, offset (in the sequence, gapless from 0), ids (little-endian unsigned
-    32-bit). Null texts are empty: one piece with the end id. Null ids are kept. Repeated rows are packed
-    each for itself. An empty table gives no rows. Other columns are not read.
+    32-bit). Null texts are empty: one piece with the end id. Very long texts are cut into full sequences as they stream
+    by. Of windows that fit equally the oldest is taken. Null ids are kept. Repeated rows are packed each for itself. An empty
+    table gives no rows. Other columns are not read.
     """
     end = np.array([end_id], "<u4").tobytes()
 

@@ -228,8 +228,8 @@ def near_duplicates(
     component_id is the smallest doc_id that links of most_bits or fewer differing bits reach, the
     document itself included. Equal fingerprints are one node, so copies never become pairs. Null and
     empty texts have fingerprint 0 and are linked like any other. Null ids are kept; they are no
-    component's id unless it has no other. Repeated rows stay. An empty table gives no rows. Columns
-    other than the two are not read.
+    component's id unless it has no other. Repeated rows stay. Very long texts are hashed whole. A bit set in just half
+    of the hashes is 0. An empty table gives no rows. Columns other than the two are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprints(F.col(text_col), shingle_words).alias("fp"))
     rows, roots = _classes(rows, most_bits)
@@ -243,7 +243,8 @@ def one_of_each(
 ) -> DataFrame:
     """docs, all columns, with one row of each group of near duplicates: the one with the smallest id.
 
-    A null id comes last. Rows alike in id and text count as one row. Texts as in near_duplicates().
+    A null id comes last; of equal ids the one of the smallest hash of its text stays. Rows alike in id and text count as
+    one row. Texts as in near_duplicates().
     """
     key = {  # 128 bits of id and text
         "_key_a": F.xxhash64(F.lit(1), F.col(id_col).cast("long"), text_col),
