@@ -4,38 +4,15 @@ from __future__ import annotations
 
 import os
 import re
-import uuid
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder, as in local tests.
-LOCAL_FOLDER = "/tmp/checkpoints"
-
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir, the folder that the driver and all executors share.
-
-    Where it is unset, a folder of this machine serves a local master; a cluster has none, which is an error.
-    """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
-        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-    return f"{(base or LOCAL_FOLDER).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
-    """df as a Parquet table in the shared folder, read back.
-
-    This cuts the lineage with files that survive lost executors, and fixes the rows of steps whose
-    results are used more than once. by: a column to lay the files out by.
-    """
-    path = shared_folder(df.sparkSession, name)
-    out = df.write.option("compression", "zstd")
-    (out.partitionBy(by) if by else out).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)  # a table without rows may have no file
+from foliomill.sinks.paths import LOCAL_FOLDER, shared_folder, written  # noqa: F401  the other modules take them from here
 
 
 def in_written_order(df: DataFrame) -> DataFrame:
@@ -82,23 +59,23 @@ def text_size(text: str = "text") -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
-class WordCache:
-    """Ids of words, as bytes; words not used for a while are forgotten, so memory stays bounded."""
+class Remembered:
+    """Ids of words, as bytes. What comes once in a run of texts is not kept; all is forgotten when it grows beyond most."""
 
     def __init__(self, most: int):
-        self.most, self.new, self.old = most, {}, {}
+        self.most, self.known = most, {}
 
-    def missing(self, words: set) -> list:
-        """Those of words that have to be put; the others are at hand until the next call."""
-        if len(self.new) > self.most:
-            self.old, self.new = self.new, {}
-        absent = []
-        for w in words.difference(self.new):
-            if (ids := self.old.get(w)) is None:
-                absent.append(w)
-            else:
-                self.new[w] = ids
-        return absent
+    def ids(self, words: list[str], counts: np.ndarray, learn) -> list[bytes]:
+        """The ids of distinct words that come counts times; learn gives those of a list of words."""
+        found = list(map(self.known.get, words))
+        absent = [i for i, x in enumerate(found) if x is None]
+        for i, x in zip(absent, learn([words[i] for i in absent]), strict=True):
+            found[i] = x
+        if len(self.known) > self.most:
+            self.known, absent = {}, range(len(words))
+        often = (counts > 1).tolist()
+        self.known.update((words[i], found[i]) for i in absent if often[i])
+        return found
 
 
 class Encoder:
@@ -110,8 +87,7 @@ class Encoder:
     """
 
     #: A run of letters that normalisation leaves alone and that is one pre-token, then other signs.
-    LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
-    PLAIN = re.compile(f"([{LETTERS}]+)([{SIGNS}]*)")
+    LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?#$%&*"
 
     def __init__(self, path: str, cached_words: int = 150_000, compared: int = 1 << 18):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
@@ -122,13 +98,14 @@ class Encoder:
         probes = ("Ab", "c,", "ét", "don't", "x1", "́e", "!?")
         self.by_word = ids("  " + " \n\t".join(probes) + " ") == [i for p in probes for i in ids(p)]
         letters = [c for c in map(chr, range(0x41, 0x100)) if re.match(f"[{self.LETTERS}]", c)]
+        self.letters = "".join(letters)
         pieces = lambda text: [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
         whole = lambda text: len(pieces(text)) == 1
         self.plain = self.by_word and self.tokenizer.pre_tokenizer is not None and all(
             len(pieces(f"ab{sign}")) == 2 and ids(f"ab{sign}") == ids("ab") + ids(sign) for sign in self.SIGNS
         ) and all(whole(f"a{c}b") and ids(f"{c}.") == ids(c) + ids(".") for c in letters)
         self.folds = all(ids(t) == ids(t.lower()) for c in letters for t in (c, f"a{c}b"))
-        self.words, self.stems = WordCache(cached_words), WordCache(cached_words)
+        self.words, self.stems = Remembered(2 * cached_words), Remembered(cached_words)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # of the last id of a pre-token
         for token, i in vocabulary.items():
@@ -146,42 +123,65 @@ class Encoder:
         found = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _words(self, texts: list[str | None]) -> list[bytes]:
-        split = [t.encode().split() if t else [] for t in texts]  # bytes are split at ASCII white space only
-        self._learn(self.words.missing(set().union(*split)))
-        known = self.words.new.__getitem__
-        return [b"".join(map(known, words)) for words in split]
-
-    def _learn(self, words: list[bytes]) -> None:
-        plain, other = [], []
-        for w in words:
-            if (m := self.PLAIN.fullmatch(text := w.decode())) and self.plain:
-                plain.append((w, m[1].lower() if self.folds else m[1], m[2]))
-            else:
-                other.append((w, text))
-        parts = {s for _, stem, signs in plain for s in (stem, signs) if s}
-        new = self.stems.missing(parts)
-        for stem, ids in zip(new, self._pieces(new), strict=True):
-            self.stems.new[stem] = ids
-        at = self.stems.new
-        for w, stem, signs in plain:
-            self.words.new[w] = at[stem] + at[signs] if signs else at[stem]
-        for i in range(0, len(other), 1000):
-            for (w, _), ids in zip(other[i : i + 1000], self._whole([t for _, t in other[i : i + 1000]]), strict=True):
-                self.words.new[w] = ids
-
-    def _pieces(self, pretokens: list[str]) -> list[bytes]:
-        """The ids of each pre-token. Hundreds are encoded in one call; a last id tells where each ends."""
+    def _words(self, texts: list[str | None], at_once: int = 8 << 20) -> list[bytes]:
+        out, part, size = [], [], 0
+        for t in texts:
+            part.append(t)
+            size += len(t) if t else 0
+            if size >= at_once:
+                out += self._looked_up(part)
+                part, size = [], 0
+        return out + self._looked_up(part)
+
+    def _looked_up(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of the words of each text, one after the other. A word that comes often is looked up once."""
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words, at = self._distinct(lists.flatten())
+        found = self.words.ids(words, np.bincount(at, minlength=len(words)), self._learned)
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        n = sizes[at]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        small = np.int32 if max(ends[-1], len(flat)) < 1 << 31 else np.int64
+        shift = ((np.cumsum(sizes) - sizes)[at] - ends[:-1]).astype(small)
+        ids = flat[np.repeat(shift, n) + np.arange(ends[-1], dtype=small)].tobytes()
+        cuts = (4 * ends[lists.offsets.to_numpy()]).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]  # noqa: B905
+
+    @staticmethod
+    def _distinct(texts) -> tuple[list[str], np.ndarray]:
+        each = pc.dictionary_encode(texts)
+        return each.dictionary.to_pylist(), each.indices.to_numpy(zero_copy_only=False)
+
+    def _learned(self, words: list[str]) -> list[bytes]:
+        """The ids of words. Letters with signs behind them are two pre-tokens, and the letters are looked up once."""
+        rows = pa.array(words, pa.large_string())
+        plain = pc.match_substring_regex(rows, f"^[{self.LETTERS}]+[{self.SIGNS}]*$") if self.plain else pa.array([False] * len(words))
+        own, other = rows.filter(plain), rows.filter(pc.invert(plain)).to_pylist()
+        stems = pc.utf8_rtrim(own, self.SIGNS)
+        names, at = self._distinct(pc.utf8_lower(stems) if self.folds else stems)
+        ends, behind = self._distinct(pc.utf8_ltrim(own, self.letters))
+        stem = self.stems.ids(names, np.bincount(at, minlength=len(names)), self._pieces)
+        sign = dict(zip(filled := [x for x in ends if x], self._pieces(filled), strict=True)) | {"": b""}
+        sign = [sign[x] for x in ends]
+        found = iter([stem[i] + sign[j] for i, j in zip(at.tolist(), behind.tolist(), strict=True)])
+        rest = iter([x for i in range(0, len(other), 1000) for x in self._whole(other[i : i + 1000])])
+        return [next(found if x else rest) for x in plain.to_pylist()]
+
+    def _pieces(self, pretokens: list[str], at_once: int = 100) -> list[bytes]:
+        """The ids of each pre-token. Many are encoded as one text; a last id tells where each ends."""
         out = []
-        for i in range(0, len(pretokens), 500):
-            part = pretokens[i : i + 500]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(part):
-                flat, cuts = ids.tobytes(), (cuts * 4).tolist()
-                out += [flat[a:b] for a, b in zip([0, *cuts], cuts)]  # noqa: B905
-            else:
-                out += self._whole(part)
+        for i in range(0, len(pretokens), 20 * at_once):
+            parts = [pretokens[j : j + at_once] for j in range(i, min(i + 20 * at_once, len(pretokens)), at_once)]
+            found = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)  # without offsets
+            for part, x in zip(parts, found, strict=True):
+                ids = np.array(x.ids, "<u4")
+                cuts = np.flatnonzero(self.ends[ids]) + 1
+                if len(cuts) == len(part):
+                    flat, cuts = ids.tobytes(), (cuts * 4).tolist()
+                    out += [flat[a:b] for a, b in zip([0, *cuts], cuts)]  # noqa: B905
+                else:
+                    out += self._whole(part)
         return out
 
 
