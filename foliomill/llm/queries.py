@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from foliomill.llm import ann, chat, common, licenses, mixing, packing, quality, sharding, simhash, token_files, url_filter
 
@@ -100,3 +101,112 @@ def op6_chat_format(spark, sf_dir):
     added = [(-1, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))]
     turns = turns.unionByName(spark.createDataFrame(added, turns.schema))
     return chat.digests(chat.format_chats(turns, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+# What SQL can express of the operators' results, each taken from the operator's own query.
+def part(sql: str):
+    def add(f):
+        SQL[f.__name__] = sql
+        return query(f)
+
+    return add
+
+
+_HOSTS = """
+    SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)
+"""
+
+
+def _rule_case(value: int) -> str:
+    cases = [
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{(h + p, v)[value]}'"
+        for h, p, v in sorted(url_filter.RULES, key=lambda r: -len(r[0] + r[1]))
+    ]
+    return f"CASE {' '.join(cases)} END"
+
+
+@part(f"SELECT page_id, host, path, {_rule_case(0)} AS rule, {_rule_case(1)} AS ruled FROM ({_HOSTS})")
+def url_rules(spark, sf_dir):
+    rows = op9_url_filter(spark, sf_dir)
+    return rows.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled"))
+
+
+# Without links between hosts a seed alone decides: over a quarter of a host's pages blocked, and more than trusted ones count for.
+@part(f"""
+    WITH r AS (SELECT *, {_rule_case(1)} AS ruled FROM ({_HOSTS})),
+      h AS (SELECT host, avg(CASE WHEN ruled = 'block' THEN 1 ELSE 0 END) AS bad, avg(CASE WHEN ruled = 'allow' THEN 1 ELSE 0 END) AS good FROM r WHERE host <> '' GROUP BY host)
+    SELECT r.page_id, coalesce(ruled, CASE WHEN h.bad > 0.25 AND h.bad > 0.15 * h.good THEN 'block' ELSE 'allow' END) AS verdict FROM r LEFT JOIN h USING (host)
+""")
+def url_verdicts_without_links(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").withColumn("html", F.lit(None).cast("string"))
+    return url_filter.judge(pages).select("page_id", "verdict")
+
+
+_LICENSE_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _phrase_places(phrase: str) -> str:
+    own = phrase.split()
+    here = " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(own))
+    return f"list_filter(range(1, len(w) - {len(own) - 2}), lambda i: {here})"
+
+
+@part(f"""
+    WITH d AS (SELECT doc_id, {_LICENSE_WORDS} AS w FROM documents), p AS (SELECT doc_id, len(w) AS n_words, {", ".join(f"{_phrase_places(p)} AS p{k}" for k, p in enumerate(licenses.PHRASES))} FROM d),
+      a AS (SELECT *, list_concat({", ".join(f"p{k}" for k in range(len(licenses.PHRASES)))}) AS places FROM p)
+    SELECT doc_id, n_words, len(places) AS n_base, list_min(places) - 1 AS first_word, list_max(places) - 1 AS last_word,
+      coalesce(array_to_string(list_sort(list_filter([{", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{x}' END" for k, x in enumerate(licenses.PHRASES.values()))}], lambda x: x IS NOT NULL)), ','), '') AS base_labels FROM a
+""")
+def license_base_places(spark, sf_dir):
+    return op2_license_scan(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+@part(r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+      g AS (SELECT doc_id, i, w[i:i + 2] AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+      t AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g) WHERE n > 1),
+      c AS (SELECT doc_id, count(DISTINCT j) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM t) GROUP BY doc_id),
+      l AS (SELECT doc_id, w, text, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS filled FROM d),
+      a AS (SELECT l.doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(filled) - len(list_distinct(filled)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words FROM l LEFT JOIN c USING (doc_id))
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM a
+""")
+def quality_base_counts(spark, sf_dir):
+    return op5_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+@part("""
+    WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -1, k, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(k, r))
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+      CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256 FROM t GROUP BY conv_id
+""")
+def chat_turns(spark, sf_dir):
+    return op6_chat_format(spark, sf_dir).select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256")
+
+
+@part("SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, 'bytes' AS law FROM documents")
+def shard_sizes(spark, sf_dir):
+    return op8_sharding(spark, sf_dir).select("doc_id", "size", "law")
+
+
+@part("SELECT 16 AS shards, count(*) AS rows, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS bytes, true AS gapless, true AS near_equal FROM documents")
+def shard_balance(spark, sf_dir):
+    """One row: slots of each shard run from 0 without gaps, and no shard is off the mean by more than the longest text."""
+    rows = op8_sharding(spark, sf_dir)
+    each = rows.groupBy("shard").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.count_distinct("slot").alias("slots"), F.min("slot").alias("low"), F.max("slot").alias("high"), F.max("size").alias("longest"))
+    whole = (F.col("slots") == F.col("n")) & (F.col("low") == 0) & (F.col("high") == F.col("n") - 1)
+    near = F.greatest(F.max("bytes") - F.avg("bytes"), F.avg("bytes") - F.min("bytes")) <= F.max("longest") + 0.001 * F.avg("bytes")
+    return each.agg(F.count("*").cast("int").alias("shards"), F.sum("n").alias("rows"), F.sum("bytes").alias("bytes"), F.bool_and(whole).alias("gapless"), near.alias("near_equal"))
+
+
+@part("SELECT source, count(*) AS rows, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS bytes, CAST(0 AS BIGINT) AS first_block, true AS all_blocks_in_order FROM documents GROUP BY source")
+def mixing_by_source(spark, sf_dir):
+    """Every row of a source once, its blocks in the order of their slots, one slot each."""
+    rows = op7_mixing(spark, sf_dir)
+    blocks = rows.groupBy("source", "block").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.min("slot").alias("slot"), F.max("slot").alias("last"))
+    before = Window.partitionBy("source").orderBy("block")
+    ordered = (F.col("slot") == F.col("last")) & (F.coalesce(F.lag("slot").over(before), F.lit(-1)) < F.col("slot"))
+    blocks = blocks.withColumn("ordered", ordered)
+    return blocks.groupBy("source").agg(F.sum("n").alias("rows"), F.sum("bytes").alias("bytes"), F.min("block").alias("first_block"), F.bool_and("ordered").alias("all_blocks_in_order"))
