@@ -74,25 +74,35 @@ def _arrow(key: DataFrame, kinds: str):
     )
 
 
-def average_precision(hit: DataFrame, truth_boxes: DataFrame | int) -> DataFrame:
+def average_precision(hit: DataFrame, truth_boxes: DataFrame | int, *, stretches: int = 1000) -> DataFrame:
     """(threshold, ap, precision, recall): the area under the interpolated curve over levels of confidence.
 
     Boxes of one confidence count together, so their order has no effect; the curve has a point for each level.
-    precision and recall are those after the last.
+    precision and recall are those after the last. Confidence is cut into stretches of 1 / stretches: sums and best precisions
+    run along the levels of a stretch, and along stretches, so that no task holds all levels. No hits give no rows.
     """
     levels = hit.groupBy("threshold", "confidence").agg(F.sum(F.col("hit").cast("long")).alias("tp"), F.count("*").alias("n"))
-    down = Window.partitionBy("threshold").orderBy(F.desc("confidence")).rowsBetween(Window.unboundedPreceding, 0)
-    total = F.lit(truth_boxes) if isinstance(truth_boxes, int) else F.col("_total")
-    if not isinstance(truth_boxes, int):
-        levels = levels.join(truth_boxes.agg(F.count("*").alias("_total")), how="cross")  # one row
-    curve = levels.select("threshold", "confidence", F.sum("tp").over(down).alias("tp"), F.sum("n").over(down).alias("n"), total.alias("total"))
-    curve = curve.withColumn("p", F.col("tp") / F.col("n")).withColumn("r", F.try_divide(F.col("tp"), F.col("total")))
-    after = Window.partitionBy("threshold").orderBy(F.desc("confidence"))
-    curve = curve.withColumn("best", F.max("p").over(after.rowsBetween(0, Window.unboundedFollowing)))
-    curve = curve.withColumn("step", F.col("r") - F.coalesce(F.lag("r").over(after), F.lit(0.0)))
-    return curve.groupBy("threshold").agg(
-        F.sum(F.col("best") * F.col("step")).alias("ap"), F.min_by("p", "confidence").alias("precision"), F.max("r").alias("recall")
-    )
+    levels = levels.withColumn("part", F.floor(F.col("confidence") * stretches))
+    if isinstance(truth_boxes, int):
+        levels = levels.withColumn("total", F.lit(truth_boxes))
+    else:
+        levels = levels.join(F.broadcast(truth_boxes.agg(F.count("*").alias("total"))), how="cross")  # one row
+    parts = levels.groupBy("threshold", "part").agg(F.sum("tp").alias("tp"), F.sum("n").alias("n"))
+    above = Window.partitionBy("threshold").orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)  # stretches, not levels
+    before = lambda c: F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_before")
+    levels = levels.join(parts.select("threshold", "part", before("tp"), before("n")), ["threshold", "part"])
+    inside = Window.partitionBy("threshold", "part").orderBy(F.desc("confidence"))
+    down = inside.rowsBetween(Window.unboundedPreceding, 0)
+    tp, n = F.sum("tp").over(down) + F.col("tp_before"), F.sum("n").over(down) + F.col("n_before")
+    share = lambda x: F.coalesce(F.try_divide(x, F.col("total")), F.lit(0.0))
+    curve = levels.select("threshold", "part", "confidence", (tp / n).alias("p"), share(tp).alias("r"), share(F.col("tp_before")).alias("r_before"))
+    below = Window.partitionBy("threshold").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    after = curve.groupBy("threshold", "part").agg(F.max("p").alias("p_part"))
+    curve = curve.join(after.select("threshold", "part", F.max("p_part").over(below).alias("p_after")), ["threshold", "part"])
+    best = F.greatest(F.max("p").over(inside.rowsBetween(0, Window.unboundedFollowing)), F.coalesce("p_after", F.lit(0.0)))
+    step = F.col("r") - F.coalesce(F.lag("r").over(inside), "r_before")
+    curve = curve.select("threshold", "confidence", "p", "r", (best * step).alias("area"))
+    return curve.groupBy("threshold").agg(F.sum("area").alias("ap"), F.min_by("p", "confidence").alias("precision"), F.max("r").alias("recall"))
 
 
 def cells(polygons: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -128,3 +128,83 @@ def test_repeats_and_chunks(spark):
     rows = spark.createDataFrame([(1, i, t) for i, t in enumerate(["a", "a", "b", "", "", "b", "b"])], "page int, idx int, text string")
     assert [r.text for r in order.without_repeats(rows, ["page"]).orderBy("idx").collect()] == ["a", "b", "", "", "b"]
     assert [r.chunk for r in order.chunks(rows, ["page"], size=3).orderBy("idx").collect()] == [0, 0, 0, 1, 1, 1, 2]
+
+
+def raster_order(zones, strategy, eps=300, multiplier=5, window=15, divisor=4):
+    """Positions of zones (box, first_y) by drawing them: bands between white rows, then columns."""
+    boxes_ = [b for b, _ in zones]
+    if len(zones) == 1:
+        return [0]
+    height, width = max(b[3] for b in boxes_) + 1, max(b[2] for b in boxes_) + 1
+    page = np.zeros((height, width), bool)
+    for x1, y1, x2, y2 in boxes_:
+        page[y1:y2, x1:x2] = True
+    smooth = lambda v, w: [sum(v[k] for k in range(i - (w - 1) // 2 - (w % 2 == 0), i + (w - 1) // 2 + 1) if 0 <= k < len(v)) / w for i in range(len(v))]
+    median = float(np.median([b[3] - b[1] for b in boxes_]))
+    rows = [int(v) for v in smooth(page.sum(1).tolist(), max(1, int(median / 2)))]
+    gaps, run = [], []
+    for i, v in enumerate([*rows, 1]):
+        if v == 0:
+            run.append(i)
+        elif run:
+            gaps.append(run[len(run) // 2])
+            run = []
+    edges = [0, *gaps, height]
+    keys = [None] * len(zones)
+    for k, (top, end) in enumerate(zip(edges, edges[1:])):  # noqa: B905
+        own = [i for i, b in enumerate(boxes_) if top < (b[1] + b[3]) / 2 <= end]
+        thin = end - top < multiplier * median
+        x = {i: (boxes_[i][0] + boxes_[i][2]) / 2 for i in own}
+        if strategy == "hybrid":
+            column, last = 0, None
+            for i in sorted(own, key=lambda i: x[i]):
+                column += last is not None and x[i] - last > (width if thin else eps)
+                last = x[i]
+                keys[i] = (k, column, zones[i][1], x[i])
+        elif own:
+            cuts = [-np.inf, np.inf]
+            if not thin:
+                drawn = np.zeros((end - top, width), bool)  # zones that reach over an edge are cut there
+                for x1, y1, x2, y2 in boxes_:
+                    drawn[max(0, min(y1 - top, end - top)) : max(0, min(y2 - top, end - top)), x1:x2] = True
+                low = [-v for v in smooth(drawn.sum(0).tolist(), window)]
+                cuts = [0, *plain_peaks(low, (end - top) // divisor), width + 1]
+            for c, (a, b) in enumerate(zip(cuts, cuts[1:])):  # noqa: B905
+                for i in own:
+                    if a < x[i] <= b:
+                        keys[i] = (k, c, zones[i][1], boxes_[i][0])
+    return sorted((i for i, key in enumerate(keys) if key is not None), key=lambda i: (keys[i], i))
+
+
+def plain_peaks(v, prominence):
+    """Middles of flat tops that fall on both sides, and by prominence before a higher value on either."""
+    out, i = [], 1
+    while i < len(v) - 1:
+        j = i
+        while j + 1 < len(v) and v[j + 1] == v[i]:
+            j += 1
+        if v[i - 1] < v[i] and j + 1 < len(v) and v[j + 1] < v[i]:
+            left = next((k for k in range(i - 1, -1, -1) if v[k] > v[i]), -1)
+            right = next((k for k in range(j + 1, len(v)) if v[k] > v[i]), len(v))
+            if v[i] - max(min(v[left + 1 : i + 1]), min(v[i:right])) >= prominence:
+                out.append((i + j) // 2)
+        i = j + 1
+    return out
+
+
+@pytest.mark.parametrize("strategy", ["heatmap", "hybrid"])
+def test_raster_orders_equal_drawn_pages(spark, strategy):
+    draw, rows, pages = random.Random(12), [], []
+    for p in range(40):
+        zones = []
+        for _ in range(draw.randint(1, 9)):
+            x, y = draw.randint(0, 3) * 120 + draw.randint(0, 20), draw.randint(0, 4) * 70 + draw.randint(0, 10)
+            zones.append(((x, y, x + draw.randint(20, 110), y + draw.randint(5, 65)), y + draw.randint(0, 5)))
+        pages.append(zones)
+        rows += [(p, i, b, f) for i, (b, f) in enumerate(zones)]
+    for multiplier in (5, 1):
+        got = order.reading_order(spark.createDataFrame(rows, f"page int, idx int, box {BOX}, first_y int"), ["page"], strategy, eps=100, multiplier=multiplier)
+        by = {}
+        for r in got.orderBy("page", "position").collect():
+            by.setdefault(r.page, []).append(r.idx)
+        assert [by.get(p, []) for p in range(40)] == [raster_order(z, strategy, eps=100, multiplier=multiplier) for z in pages]

@@ -223,6 +223,21 @@ def test_average_precision(spark):
     assert rows[0.5].ap == pytest.approx(2 / 3 * 2 / 3) and rows[0.95].ap == pytest.approx(1 / 2 / 3)
 
 
+def test_average_precision_of_many_levels(spark):
+    draw = random.Random(4)
+    rows = [(0.5, draw.choice([0.1, 0.1004, 0.1009, 0.5, draw.random(), 1.0]), draw.random() < 0.6) for _ in range(300)]
+    hit = spark.createDataFrame(rows, "threshold double, confidence double, hit boolean")
+    points, tp, n = [], 0, 0
+    for c in sorted({c for _, c, _ in rows}, reverse=True):
+        tp += sum(h for _, x, h in rows if x == c)
+        n += sum(x == c for _, x, _ in rows)
+        points.append((tp / n, tp / 250))
+    want = sum(max(p for p, _ in points[i:]) * (r - (points[i - 1][1] if i else 0)) for i, (_, r) in enumerate(points))
+    for stretches in (1, 10, 1000):
+        got = detection.average_precision(hit, 250, stretches=stretches).first()
+        assert got.ap == pytest.approx(want) and (got.precision, got.recall) == pytest.approx(points[-1])
+
+
 def test_rollups(spark):
     wide = spark.createDataFrame([("a", 0.1, 10.0, "French", 1), ("b", 0.3, None, "English", 100), ("c", 0.5, 5.0, None, 2)], "document string, cer double, n double, language string, pages int")
     rows = rollup.over_documents(rollup.long_form(wide, ["document"], ["cer"], "score/").unionByName(rollup.long_form(wide, ["document"], ["n"], "total/")))
