@@ -132,11 +132,11 @@ def url_rules(spark, sf_dir):
     return rows.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled"))
 
 
-# Without links between hosts a seed alone decides: over a quarter of a host's pages blocked, and more than trusted ones count for.
+# Without links between hosts a seed alone decides: over a quarter of a host's pages blocked, and more than are allowed.
 @part(f"""
     WITH r AS (SELECT *, {_rule_case(1)} AS ruled FROM ({_HOSTS})),
       h AS (SELECT host, avg(CASE WHEN ruled = 'block' THEN 1 ELSE 0 END) AS bad, avg(CASE WHEN ruled = 'allow' THEN 1 ELSE 0 END) AS good FROM r WHERE host <> '' GROUP BY host)
-    SELECT r.page_id, coalesce(ruled, CASE WHEN h.bad > 0.25 AND h.bad > 0.15 * h.good THEN 'block' ELSE 'allow' END) AS verdict FROM r LEFT JOIN h USING (host)
+    SELECT r.page_id, coalesce(ruled, CASE WHEN h.bad > 0.25 AND h.bad > h.good THEN 'block' ELSE 'allow' END) AS verdict FROM r LEFT JOIN h USING (host)
 """)
 def url_verdicts_without_links(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").withColumn("html", F.lit(None).cast("string"))

@@ -95,7 +95,7 @@ def judge(
 
     The longest rule that fits decides. Pages without one are judged by host. A host's seed is the share of its pages that
     rules allow (for trust) or block (for distrust). Trust is personalised PageRank along links: a host passes it on to
-    the hosts it links to, by numbers of links. Distrust is the same against links: a host takes over, of each host it links
+    the hosts it links to, by numbers of links; a host whose pages are all allowed has 1 of its own. Distrust is the same against links: a host takes over, of each host it links
     to, that host's distrust by the share of its own links that lead there, so distrust says how much of what a reader
     finds from a host on is blocked, however many other hosts link there too. It is 0 to 1: the chance that a walk from the
     host, which stops with 1 - damping at each page and where no link leads on, stops at a blocked page.
@@ -117,7 +117,7 @@ def judge(
     edges = common.written(shares.select(F.lit("trust").alias("kind"), "a", "b", "share").unionByName(against), "host-edges")
     seeds = hosts.unpivot(["host"], ["trust", "distrust"], "kind", "seed").filter("seed > 0")
     seeds = seeds.join(out.select(F.col("a").alias("host"), "total"), "host", "left")
-    ends = (F.col("kind") == "distrust") & F.col("total").isNull()  # a walk that no link leads on from stops
+    ends = (F.col("kind") == "trust") | F.col("total").isNull()  # a walk that no link leads on from stops; trust is not a chance
     seeds = seeds.select("kind", "host", (F.col("seed") * F.when(ends, 1.0).otherwise(1 - damping)).alias("score"))
     scores = propagate(edges, seeds, damping=damping, tolerance=tolerance, most_small=most_small)
     of = lambda kind: F.round(F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)), 6).alias(kind)

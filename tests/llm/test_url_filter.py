@@ -51,7 +51,7 @@ def brute(pages, threshold=0.25):
                 edges[h, x.lower()] += 1
                 total[h] += 1
     part = lambda h, v: of[h].count(v) / len(of[h])
-    trust = limit({(a, b): n / total[a] for (a, b), n in edges.items()}, {h: 0.15 * part(h, "allow") for h in of})
+    trust = limit({(a, b): n / total[a] for (a, b), n in edges.items()}, {h: part(h, "allow") for h in of})
     distrust = limit(
         {(b, a): n / total[a] for (a, b), n in edges.items()}, {h: (0.15 if total[h] else 1.0) * part(h, "block") for h in of}
     )
