@@ -89,7 +89,7 @@ class Encoder:
     #: A run of letters that normalisation leaves alone and that is one pre-token, then other signs.
     LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?#$%&*"
 
-    def __init__(self, path: str, cached_words: int = 150_000, compared: int = 1 << 18):
+    def __init__(self, path: str, cached_words: int = 200_000, compared: int = 1 << 18):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         from tokenizers import Tokenizer
 
@@ -105,7 +105,7 @@ class Encoder:
             len(pieces(f"ab{sign}")) == 2 and ids(f"ab{sign}") == ids("ab") + ids(sign) for sign in self.SIGNS
         ) and all(whole(f"a{c}b") and ids(f"{c}.") == ids(c) + ids(".") for c in letters)
         self.folds = all(ids(t) == ids(t.lower()) for c in letters for t in (c, f"a{c}b"))
-        self.words, self.stems = Remembered(2 * cached_words), Remembered(cached_words)
+        self.words, self.stems = Remembered(cached_words), Remembered(cached_words // 2)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # of the last id of a pre-token
         for token, i in vocabulary.items():
@@ -123,7 +123,7 @@ class Encoder:
         found = self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _words(self, texts: list[str | None], at_once: int = 8 << 20) -> list[bytes]:
+    def _words(self, texts: list[str | None], at_once: int = 4 << 20) -> list[bytes]:
         out, part, size = [], [], 0
         for t in texts:
             part.append(t)
