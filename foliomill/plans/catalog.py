@@ -13,7 +13,7 @@ from foliomill.functions import charsets
 from foliomill.functions import geometry as G
 from foliomill.functions import text as T
 from foliomill.operators import boxes, detection, errors, order, rollup
-from foliomill.plans import reports
+from foliomill.plans import reports, tasks
 from foliomill.sinks import alto as out_alto
 from foliomill.sinks import exports
 from foliomill.sources import alto, files
@@ -538,7 +538,7 @@ _ALTO = f"""
 
 @query(f"""
     SELECT document, page, 'l' || idx AS id, region, x1, y1, x2, y2, x1 || ',' || m || ' ' || x2 || ',' || m AS baseline,
-      x1 || ',' || y1 || ' ' || x2 || ',' || y1 || ' ' || x2 || ',' || y2 || ' ' || x1 || ',' || y2 AS boundary, text, 0.25 AS confidence FROM ({_ALTO}) WHERE region <> 'NumberingZone'
+      x1 || ',' || y1 || ' ' || x2 || ',' || y1 || ' ' || x2 || ',' || y2 || ' ' || x1 || ',' || y2 AS boundary, text, CAST(0.25 AS DOUBLE) AS confidence FROM ({_ALTO}) WHERE region <> 'NumberingZone'
 """)
 def alto_lines(spark, sf_dir):
     flat_ = lambda c: F.array_join(F.transform(c, lambda p: F.concat_ws(",", p["x"], p["y"])), " ").alias(c)
@@ -629,7 +629,7 @@ def boundaries_of_baselines(spark, sf_dir):
     return rows.select("page", "idx", F.array_join(F.transform("b", lambda p: F.concat_ws(",", p["x"], p["y"])), " ").alias("boundary"))
 
 
-@query(f"SELECT page, idx, x1 || ',' || y1 || ' ' || x2 || ',' || y2 AS pairs, 2 AS strict, x1 + 0.5 AS first_x, CAST(4 AS INT) AS n, flag = 'R' AS degenerate FROM ({BOXES})")
+@query(f"SELECT page, idx, x1 || ',' || y1 || ' ' || x2 || ',' || y2 AS pairs, 2 AS strict, CAST(x1 + 0.5 AS DOUBLE) AS first_x, CAST(4 AS INT) AS n, flag = 'R' AS degenerate FROM ({BOXES})")
 def points_of_texts(spark, sf_dir):
     b, plain = F.col("box"), lambda *parts: F.concat_ws("", *parts)
     comma = plain(b["x1"], F.lit(".9,"), b["y1"], F.lit("  x,y "), b["x2"], F.lit(","), b["y2"])
@@ -642,8 +642,6 @@ def points_of_texts(spark, sf_dir):
 
 @query(f"SELECT conv_id, CAST(sum(CASE WHEN {_CLEANED.replace('html', 'text')} <> text THEN 1 ELSE 0 END) AS BIGINT) AS modified FROM conversations GROUP BY conv_id")
 def cleaned_counts(spark, sf_dir):
-    from foliomill.plans import tasks
-
     lines = table(spark, sf_dir, "conversations").select(F.lit("d").alias("document"), F.col("conv_id").alias("page"), "text")
     return tasks.cleaned_counts(lines).select(F.col("page").alias("conv_id"), "modified")
 
@@ -728,3 +726,34 @@ def metadata_of_documents(spark, sf_dir):
 def wer_corpus(spark, sf_dir):
     rates = errors.rates(errors.with_edits(turn_pairs(spark, sf_dir)))
     return rates.select(F.round("wer", 9).alias("wer"), "total_words")
+
+
+@query(f"SELECT z.page, z.idx, CAST(coalesce((SELECT min(l.y1) FROM ({BOXES}) l WHERE l.page = z.page AND l.idx > 2 AND l.idx % 2 + 1 = z.idx), z.y1) AS INT) AS first_y FROM ({BOXES}) z WHERE z.idx <= 2")
+def zone_first_lines(spark, sf_dir):
+    rows = page_boxes(spark, sf_dir)
+    lines = rows.filter("idx > 2").select("page", (F.col("idx") % 2 + 1).alias("zone"), F.col("box.y1").alias("y"))
+    return order.with_first_y(rows.filter("idx <= 2"), lines, ["page"]).select("page", "idx", "first_y")
+
+
+@query(f"SELECT page, 'l' || idx AS id, CASE WHEN flag = 'R' THEN 'r' || idx ELSE '' END AS text, CAST(CASE WHEN flag = 'R' THEN 0.5 ELSE 0 END AS DOUBLE) AS confidence FROM ({BOXES})")
+def recognised_lines(spark, sf_dir):
+    lines = page_boxes(spark, sf_dir).select("page", "idx", "flag", F.concat(F.lit("l"), "idx").alias("id"), F.lit("old").alias("text"))
+    results = lines.filter("flag <> 'N'").select("page", "id", F.when(F.col("flag") == "R", F.concat(F.lit("r"), "idx")).otherwise("").alias("text"), F.lit(0.5).alias("confidence"))
+    return out_alto.recognised(lines, results, ["page"]).select("page", "id", "text", F.col("confidence").cast("double").alias("confidence"))
+
+
+@query(f"SELECT page, 'l' || idx AS id, CASE WHEN idx <= 3 THEN 't' || idx ELSE '' END AS text FROM ({BOXES})")
+def recognised_in_order(spark, sf_dir):
+    lines = page_boxes(spark, sf_dir).select("page", F.col("idx").cast("long").alias("idx"), F.concat(F.lit("l"), "idx").alias("id"), F.lit("old").alias("text"))
+    places = F.explode(F.sequence(F.lit(1), F.lit(3))).alias("position")
+    texts = lines.select("page").distinct().select("page", places).withColumn("text", F.concat(F.lit("t"), "position")).withColumn("confidence", F.lit(1.0))
+    return out_alto.recognised_in_order(lines, texts, ["page"]).select("page", "id", "text")
+
+
+@query(f"""
+    WITH l AS (SELECT doc_id, idx, text FROM ({LINES}) WHERE regexp_matches(text, '\\S')), n AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY doc_id ORDER BY idx) - 1) / 40) AS BIGINT) AS chunk FROM l)
+    SELECT doc_id, chunk, md5(string_agg(text, chr(10) ORDER BY idx)) AS digest FROM n GROUP BY doc_id, chunk
+""")
+def training_blocks(spark, sf_dir):
+    lines = document_lines(spark, sf_dir).select(F.lit("d").alias("document"), F.col("doc_id").alias("page"), "idx", "text")
+    return tasks.training_blocks(lines).select(F.col("page").alias("doc_id"), "chunk", F.md5("text").alias("digest"))

@@ -166,7 +166,7 @@ def scoreable(pages: DataFrame) -> DataFrame:
 
 def training_lines(lines: DataFrame, images: DataFrame) -> DataFrame:
     """Samples (document, page, id, boundary, text, image) of lines with a text and an image."""
-    named = images.select(F.col("folder").alias("document"), F.col("stem").alias("page"), F.col("path").alias("image"))
+    named = files.best_images(images).withColumnsRenamed({"folder": "document", "stem": "page"})
     return lines.filter(~T.blank(F.col("text")) & (F.size("boundary") > 0)).join(named, PAGE).select(*PAGE, "id", "boundary", "text", "image")
 
 
@@ -179,7 +179,7 @@ def training_blocks(lines: DataFrame, *, size: int = 40) -> DataFrame:
 
 def training_pages(lines: DataFrame, images: DataFrame) -> DataFrame:
     """Samples (document, page, text, image) of whole pages with a text and an image: one page, one text."""
-    named = images.select(F.col("folder").alias("document"), F.col("stem").alias("page"), F.col("path").alias("image"))
+    named = files.best_images(images).withColumnsRenamed({"folder": "document", "stem": "page"})
     return alto.page_texts(lines).filter(~T.blank(F.col("text"))).join(named, PAGE)
 
 

@@ -42,10 +42,15 @@ def structure(files: DataFrame) -> DataFrame:
     return found.withColumn("message", F.when(F.col("ok"), F.concat(F.lit("a "), "kind", F.lit(" data set"))).otherwise("no files"))
 
 
+def best_images(images: DataFrame) -> DataFrame:
+    """(folder, stem, image): of the images of one name the path of the first ending."""
+    rank = F.array_position(F.array(*[F.lit(x) for x in IMAGES]), F.col("ending"))
+    return images.withColumn("_rank", rank).filter("_rank > 0").groupBy("folder", "stem").agg(F.min_by("path", F.struct("_rank", "path")).alias("image"))
+
+
 def paired(pages: DataFrame, images: DataFrame) -> DataFrame:
     """pages (folder, stem) with image: the path of the same folder, else of the root, first ending first; null without one."""
-    rank = F.array_position(F.array(*[F.lit(x) for x in IMAGES]), F.col("ending"))
-    best = images.withColumn("_rank", rank).filter("_rank > 0").groupBy("folder", "stem").agg(F.min_by("path", F.struct("_rank", "path")).alias("image"))
+    best = best_images(images)
     own = best.withColumnRenamed("folder", "_folder").withColumnRenamed("stem", "_stem").withColumnRenamed("image", "_own")
     root = best.filter("folder is null").select(F.col("stem").alias("_stem2"), F.col("image").alias("_root"))
     rows = pages.join(own, F.col("folder").eqNullSafe(F.col("_folder")) & (F.col("stem") == F.col("_stem")), "left")
