@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foliomill.llm import ann, chat, common, licenses, mixing, packing, quality, sharding, simhash, token_files, url_filter
+from foliomill.llm import ann, chat, common, licenses, mixing, packing, pivots, quality, sharding, simhash, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -103,6 +103,11 @@ def op6_chat_format(spark, sf_dir):
     return chat.digests(chat.format_chats(turns, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+@query
+def op13_pivot_near_dedup(spark, sf_dir):
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 # What SQL can express of the operators' results, each taken from the operator's own query.
 def part(sql: str):
     def add(f):
@@ -210,3 +215,13 @@ def mixing_by_source(spark, sf_dir):
     ordered = (F.col("slot") == F.col("last")) & (F.coalesce(F.lag("slot").over(before), F.lit(-1)) < F.col("slot"))
     blocks = blocks.withColumn("ordered", ordered)
     return blocks.groupBy("source").agg(F.sum("n").alias("rows"), F.sum("bytes").alias("bytes"), F.min("block").alias("first_block"), F.bool_and("ordered").alias("all_blocks_in_order"))
+
+
+SQL["op13_pivot_near_dedup"] = """
+    WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+      ok AS (SELECT * FROM v WHERE label IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda a: a IS NULL OR isnan(a) OR isinf(a))) = 0 AND len(list_filter(x, lambda a: a <> 0)) > 0),
+      p AS (SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.98),
+      r AS (SELECT vec_id AS u, vec_id AS v FROM v UNION SELECT r.u, p.v FROM r JOIN p ON r.v = p.u)
+    SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept FROM v
+      JOIN (SELECT u, min(v) AS component_id FROM r GROUP BY u) c ON v.vec_id = c.u LEFT JOIN (SELECT u, count(*) AS n FROM p GROUP BY u) k ON v.vec_id = k.u
+"""
