@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foliomill.llm import ann, chat, common, licenses, mixing, packing, pivots, quality, sharding, simhash, token_files, url_filter
+from foliomill.llm import ann, chat, common, licenses, mixing, packing, pivots, prefix_trie, quality, sharding, simhash, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -103,6 +103,11 @@ def op6_chat_format(spark, sf_dir):
     return chat.digests(chat.format_chats(turns, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_pivot_near_dedup(spark, sf_dir):
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
@@ -225,3 +230,20 @@ SQL["op13_pivot_near_dedup"] = """
     SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept FROM v
       JOIN (SELECT u, min(v) AS component_id FROM r GROUP BY u) c ON v.vec_id = c.u LEFT JOIN (SELECT u, count(*) AS n FROM p GROUP BY u) k ON v.vec_id = k.u
 """
+
+# CRC-32 of decimal numbers: byte by byte, eight steps each.
+_CRC = "list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)), lambda s, x: list_reduce(list_prepend(xor(s, x), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), lambda r, k: xor(r >> 1, 3988292384::UBIGINT * (r & 1))))"
+SQL["op12_prefix_trie"] = f"""
+    WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p FROM conversations WHERE conv_id IS NOT NULL),
+      c AS (SELECT c, c - c % 5 AS base, (xor({_CRC}, 4294967295::UBIGINT) % 9)::BIGINT AS h FROM (SELECT DISTINCT c FROM t)),
+      m AS (SELECT c.c, 0 AS own, t.p, {{'r': t.role, 't': t.text}} AS turn FROM c JOIN t ON t.c = c.base WHERE t.p <= c.h UNION ALL SELECT c.c, 1, t.p, {{'r': t.role, 't': t.text}} FROM c JOIN t USING (c) WHERE t.p > c.h),
+      l AS (SELECT c.c, coalesce(turns, []) AS turns FROM c LEFT JOIN (SELECT c, list(turn ORDER BY own, p) AS turns FROM m GROUP BY c) USING (c)),
+      d AS (SELECT c, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM l),
+      k AS (SELECT c, n, depth, turns[:depth] AS k FROM d),
+      nodes AS (SELECT k, depth, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CASE WHEN n = depth THEN c::VARCHAR END, ',' ORDER BY c), '') AS ends, CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * strlen(k[depth]['t']) END AS saved FROM k GROUP BY k, depth),
+      kids AS (SELECT k[:depth - 1] AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+      full_ AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (k)),
+      up AS (SELECT k[:j] AS k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM (SELECT *, unnest(range(0, depth + 1)) AS j FROM full_) GROUP BY 1)
+    SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, up.n_leaves, up.saved_tokens, sha256(f.ends) AS ends_sha256
+    FROM full_ f JOIN up USING (k) LEFT JOIN nodes p ON p.depth = f.depth - 1 AND p.k = f.k[:f.depth - 1]
+"""
