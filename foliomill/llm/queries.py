@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from foliomill.llm import ann, chat, common, licenses, mixing, packing, pivots, prefix_trie, quality, sharding, simhash, token_files, url_filter
+from foliomill.llm import ann, chat, common, impacts, licenses, mixing, packing, pivots, prefix_trie, quality, sharding, simhash, token_files, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -103,6 +103,11 @@ def op6_chat_format(spark, sf_dir):
     return chat.digests(chat.format_chats(turns, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+@query
+def op11_impact_search(spark, sf_dir):
+    return impacts.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op12_prefix_trie(spark, sf_dir):
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
@@ -247,3 +252,15 @@ SQL["op12_prefix_trie"] = f"""
     SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, up.n_leaves, up.saved_tokens, sha256(f.ends) AS ends_sha256
     FROM full_ f JOIN up USING (k) LEFT JOIN nodes p ON p.depth = f.depth - 1 AND p.k = f.k[:f.depth - 1]
 """
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+SQL["op11_impact_search"] = f"""
+    WITH d AS (SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, {_TERMS} AS w FROM documents) WHERE len(w) > 0),
+      s AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS l FROM d),
+      q AS (SELECT item_id, unnest(w) AS term FROM (SELECT item_id, {_TERMS} AS w FROM benchmark)),
+      t AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+      f AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, s GROUP BY term, n_docs),
+      r AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // l))))::BIGINT AS score FROM q JOIN t USING (term) JOIN f USING (term), s GROUP BY item_id, doc_id)
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM r WHERE score > 0
+    QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
