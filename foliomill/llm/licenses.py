@@ -15,9 +15,50 @@ from foliomill.llm import common
 #: Base phrases (words) and their labels: fixed values.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Well-known notices and license texts by label. A label can have several.
-TEMPLATES = (
-    ("mit", "Released under the MIT License"),
+# Licenses by label, with the names they go by.
+NAMES = {
+    "mit": ("MIT License",),
+    "apache-2": ("Apache License, Version 2.0",),
+    "apache-1.1": ("Apache Software License, Version 1.1",),
+    "bsd-2": ("BSD 2-Clause License", "Simplified BSD License"),
+    "bsd-3": ("BSD 3-Clause License", "New BSD License"),
+    "bsd-4": ("BSD 4-Clause License", "Original BSD License"),
+    "isc": ("ISC License",),
+    "bsl-1": ("Boost Software License, Version 1.0",),
+    "gpl-2": ("GNU General Public License, version 2",),
+    "gpl-3": ("GNU General Public License, version 3",),
+    "lgpl-2.1": ("GNU Lesser General Public License, version 2.1",),
+    "lgpl-3": ("GNU Lesser General Public License, version 3",),
+    "agpl-3": ("GNU Affero General Public License, version 3",),
+    "gfdl-1.3": ("GNU Free Documentation License, Version 1.3",),
+    "mpl-1.1": ("Mozilla Public License, version 1.1",),
+    "mpl-2": ("Mozilla Public License, version 2.0",),
+    "epl-1": ("Eclipse Public License, version 1.0",),
+    "epl-2": ("Eclipse Public License, version 2.0",),
+    "cddl-1": ("Common Development and Distribution License, Version 1.0",),
+    "cpl-1": ("Common Public License, version 1.0",),
+    "eupl-1.2": ("European Union Public Licence, version 1.2",),
+    "artistic-2": ("Artistic License, version 2.0",),
+    "afl-3": ("Academic Free License, version 3.0",),
+    "osl-3": ("Open Software License, version 3.0",),
+    "ofl-1.1": ("SIL Open Font License, Version 1.1",),
+    "odbl-1": ("Open Data Commons Open Database License, version 1.0",),
+    "ms-pl": ("Microsoft Public License",),
+    "ms-rl": ("Microsoft Reciprocal License",),
+    "php-3": ("PHP License, version 3.01",),
+    "python-2": ("Python Software Foundation License, version 2",),
+    "lppl-1.3": ("LaTeX Project Public License, version 1.3",),
+    "ecl-2": ("Educational Community License, Version 2.0",),
+    "ncsa": ("University of Illinois NCSA Open Source License",),
+    "postgresql": ("PostgreSQL License",),
+    "cc0": ("Creative Commons CC0 1.0 Universal Public Domain Dedication",),
+}
+#: Words of Creative Commons licenses, by the letters in their labels.
+COMMONS = {"by": "Attribution", "nc": "NonCommercial", "nd": "NoDerivatives", "sa": "ShareAlike"}
+FORMS = ("Licensed under the {}", "Released under the {}", "This work is licensed under the {}")
+
+#: Texts and notices that are not made of a name and a form, by label.
+TEXTS = (
     ("mit", "This project is licensed under the terms of the MIT license"),
     ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
      associated documentation files (the "Software"), to deal in the Software without restriction, including
@@ -25,27 +66,64 @@ TEMPLATES = (
      copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
      following conditions: The above copyright notice and this permission notice shall be included in all
      copies or substantial portions of the Software."""),
-    ("apache-2", "Licensed under the Apache License, Version 2.0"),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+     hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""),
     ("apache-2", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
      compliance with the License. You may obtain a copy of the License at
      http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing,
      software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS
      OF ANY KIND, either express or implied."""),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
-    ("gpl-3", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
-     General Public License as published by the Free Software Foundation, either version 3 of the License, or (at
-     your option) any later version."""),
-    ("bsd-3", """Redistribution and use in source and binary forms, with or without modification, are permitted provided
-     that the following conditions are met: Redistributions of source code must retain the above copyright
-     notice, this list of conditions and the following disclaimer."""),
+    *((f"{gnu}-{version}", f"""This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+     {name} Public License as published by the Free Software Foundation, either version {version} of the License, or (at
+     your option) any later version.""") for gnu, name, versions in (
+         ("gpl", "General", ("2", "3")), ("lgpl", "Lesser General", ("2.1", "3")), ("agpl", "Affero General", ("3",))) for version in versions),
+    *((f"bsd-{n}", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+     "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form "
+     "must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+     + more + "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+     "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.") for n, more in (
+         (2, ""), (3, "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+                      "software without specific prior written permission. "))),
     ("mpl-2", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL
      was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("unlicense", "This is free and unencumbered software released into the public domain."),
+)
+
+
+def commons(letters: str) -> list[str]:
+    """Notices of a Creative Commons license: of its letters, and of its words in full."""
+    words_ = "-".join(COMMONS[x] for x in letters.split("-"))
+    return [
+        f"Licensed under CC {letters.upper()} 4.0", f"This work is licensed under CC {letters.upper()} 4.0",
+        f"Licensed under a Creative Commons {words_} 4.0 International License", f"This work is licensed under a Creative Commons {words_} 4.0 International License",
+    ]
+
+
+#: Notices and license texts by label; a label has several. Any other list of (label, text) can be given to scan().
+TEMPLATES = (
+    *((label, form.format(name)) for label, names in NAMES.items() for name in names for form in FORMS), *TEXTS,
+    *((f"cc-{x}", text) for x in ("by", "by-nc", "by-nd", "by-sa", "by-nc-nd", "by-nc-sa") for text in commons(x)),
 )
 
+#: Words that make another license of one: where they stand within a template's span, or just behind it, that is not the one meant.
+OTHERS = {
+    "cc": ({"nc", "nd", "sa", "noncommercial", "noderivatives", "noderivs", "sharealike"}, 3),
+    "gpl": ({"lesser", "library", "affero"}, 0), "lgpl": ({"affero"}, 0), "agpl": ({"lesser", "library"}, 0),
+}
+#: Words that take a notice back, where they stand up to so many words before it, or within it and not in the template.
+DENIED, BEFORE = {"not", "no", "never", "neither", "nor", "cannot", "isn", "wasn", "aren"}, 3
+
+
+def keys(label: str) -> set[bytes]:
+    """Words that a template of a label may not lose, if it has them: those of the label (mit; apache and 2), words in full too."""
+    own = [w for part in label.split("-") for w in part.split(".")]
+    names = {w for name in NAMES.get(label, ()) for w in name.replace(",", " ").replace("-", " ").split()} - GENERAL
+    return {w.lower().encode() for w in (*own, *(COMMONS[w] for w in own if w in COMMONS), *names)}
+
+
+#: Words in names that do not tell licenses apart, and numbers that go without saying.
+GENERAL = {"License", "Licence", "Public", "Software", "Source", "General", "Version", "version", "and", "of", "Project", "0", "2.0", "1.0", "3.0", "3.01", "2.1", "1.1", "1.2", "1.3", "Creative", "Commons", "Union", "Foundation", "Universal", "Domain", "Dedication", "University"}
+
 #: Bytes of words stay (A-Z as a-z), all others become a space: words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+.
 _WORDS = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
@@ -201,21 +279,40 @@ def nearest_span(text_words: list[bytes], want: list[bytes]) -> tuple[int, int,
     return edits, (edits << 32) - best[0], best[1]
 
 
+def denied(text_words: list, first: int, last: int, want: list) -> bool:
+    """Whether words first to last, or those just before, say that the license is not meant."""
+    inside = [w for w in text_words[first : last + 1] if w.decode() in DENIED]
+    return any(w.decode() in DENIED for w in text_words[max(0, first - BEFORE) : first]) or len(inside) > sum(w.decode() in DENIED for w in want)
+
+
+def meant(text_words: list, first: int, last: int, want: list, label: str) -> bool:
+    """Whether words first to last can be the license of that label, and are not another of its family."""
+    own = set(text_words[first : last + 1])
+    if not keys(label) & set(want) <= own:
+        return False
+    others, behind = OTHERS.get(label.split("-")[0], (set(), 0))
+    around = own | set(text_words[last + 1 : last + 1 + behind])
+    return not ({w.encode() for w in others} - set(want)) & around and not denied(text_words, first, last, want)
+
+
 def verified(text_words: list, spans, templates: list[list], names: list[str], least: float) -> list[tuple[int, int, int, float]]:
     """(template, first, last, similarity) of candidates where some run of words is least similar to the template.
 
-    similarity: 1 less the share of the template's words that have to be changed, put in or left out. Words of the template
-    that its label names (mit; apache and 2) have to be there: without them it is another license.
+    similarity: 1 less the share of the template's words that have to be changed, put in or left out. Words that tell
+    licenses apart have to be as they are (see meant()): else it is another license, or none.
     """
-    out = []
+    out, needed = [], {}
     for template, low, high in spans:
         want = templates[template]
+        if template not in needed:
+            needed[template] = keys(names[template]) & set(want)
         e = changes(len(want), least)
         start = max(0, low - e)
         own = text_words[start : high + len(want) + e]
+        if not needed[template] <= set(own):
+            continue
         edits, first, last = nearest_span(own, want)
-        key = {w.encode() for w in names[template].split("-")} & set(want)
-        if edits <= e and key <= set(own[first : last + 1]):
+        if edits <= e and meant(text_words, start + first, start + last, want, names[template]):
             out.append((template, start + first, start + last, 1 - edits / len(want)))
     return out
 
@@ -252,8 +349,8 @@ def scan(
     (label, first, last, similarity: verified and undisputed), labels (sorted, distinct, of both), score.
 
     A span is found wherever a run of words takes least changes (least of its words, at 0.8 a fifth) to become a template;
-    it is the nearest run around its diagonals. score is 1 where a base phrase stands, else the largest similarity of a
-    span, else 0. Ties: of runs as near the first and shortest; of spans of two labels on the same words the longer, then
+    it is the nearest run around its diagonals, and holds the words that tell licenses apart. score is 1 where a base phrase
+    stands and words before it do not deny it (0.5 where they do), else the largest similarity of a span, else 0. Ties: of runs as near the first and shortest; of spans of two labels on the same words the longer, then
     the earlier template's. Null and empty texts have no words and no labels. Very long texts are hashed piece by piece,
     whole. Repeated rows each give a row; null ids are kept. An empty table gives no rows. Columns other than the two are
     not read.
@@ -278,7 +375,8 @@ def scan(
                 places.append([{"word": at, "label": label} for at, label in hits])
                 spans.append([{"label": names[t], "first": a, "last": b, "similarity": s} for t, a, b, s in good])
                 labels.append(sorted({label for _, label in hits} | {names[t] for t, *_ in good}))
-                scores.append(1.0 if hits else max([0.0, *(s for *_, s in good)]))
+                sure = any(not any(w.decode() in DENIED for w in own[max(0, at - BEFORE) : at]) for at, _ in hits)
+                scores.append(1.0 if sure else max([0.5 if hits else 0.0, *(s for *_, s in good)]))
             kinds = (pa.int64(), pa.list_(place), pa.list_(span), pa.list_(pa.string()), pa.float64())
             arrays = [pa.array(x, t) for x, t in zip((n_words, places, spans, labels, scores), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "n_words", "places", "spans", "labels", "score"])
