@@ -29,7 +29,7 @@ def separated(x: np.ndarray, most: int, least_cosines: tuple[float, ...] = (0.8,
     for limit in least_cosines:
         rest, own = x, []
         while len(rest) and len(own) < most:
-            own.append(rest[0])
+            own.append(rest[0].copy())  # a view would hold all of rest
             rest = rest[rest @ rest[0] < limit]
         if len(own) > len(taken):
             taken = np.array(own)
