@@ -53,13 +53,12 @@ def main(arguments: list[str] | None = None) -> int:
         if not listed.ok:
             raise SystemExit(f"no pages in {a.truth}")
         for name in scored(tasks.scoreable(truth), a.task):
-            if name == "htr":
-                report = reports.text_report(truth, found, files.metadata(spark, a.truth) if a.metadata else None)
-                reports.shown(report["metrics"]).show(200, truncate=False)
-                reports.write(report, f"{a.output}/{name}", flat=listed.kind == "flat")
-            else:
-                for table, rows in tasks.SCORERS[name](truth, found).items():
-                    exports.write_csv(reports.zone_report(rows) if table == "zone_map" else rows, f"{a.output}/{name}/{table}")
+            own = (files.metadata(spark, a.truth) if a.metadata else None,) if name == "htr" else ()
+            report = tasks.SCORERS[name](truth, found, *own)
+            reports.shown(report["metrics"]).show(200, truncate=False)
+            if name == "htr" and a.metadata:
+                reports.feature_tables(report["metrics"]).show(200, truncate=False)
+            reports.write(report, f"{a.output}/{name}", flat=listed.kind == "flat")
     elif a.command == "predict":
         own = config.Config.read(a.config)
         if "htr" not in own.tasks:

@@ -37,7 +37,7 @@ def hits(truth: DataFrame, found: DataFrame, page: Sequence[str], thresholds: Se
     """(page columns, idx, confidence, threshold, hit) of every found box on pages where both sides have boxes.
 
     On a page boxes are taken by falling confidence, then idx; each takes the free true box of most IoU, if that is
-    threshold or more. A page is one group: matching goes one by one.
+    threshold or more. A null confidence is 0. A page is one group: matching goes one by one.
     """
     kind = ", ".join(f"{c} {dict(found.dtypes)[c]}" for c in page)
     kinds = f"{kind}, idx long, confidence double, threshold double, hit boolean"
@@ -60,7 +60,7 @@ def hits(truth: DataFrame, found: DataFrame, page: Sequence[str], thresholds: Se
         return made(rows)
 
     truth = truth.select(*page, "idx", "box")
-    found = found.select(*[F.col(c).alias(c) for c in page], F.col("idx").alias("found_idx"), F.col("box").alias("found_box"), "confidence")
+    found = found.select(*[F.col(c).alias(c) for c in page], F.col("idx").alias("found_idx"), F.col("box").alias("found_box"), F.coalesce("confidence", F.lit(0.0)).cast("double").alias("confidence"))
     return truth.groupBy(*page).cogroup(found.groupBy(*page)).applyInArrow(run, kinds)
 
 
@@ -74,35 +74,75 @@ def _arrow(key: DataFrame, kinds: str):
     )
 
 
-def average_precision(hit: DataFrame, truth_boxes: DataFrame | int, *, stretches: int = 1000) -> DataFrame:
-    """(threshold, ap, precision, recall): the area under the interpolated curve over levels of confidence.
+def average_precision(hit: DataFrame, truth_boxes: DataFrame | int, *, by: Sequence[str] = (), stretches: int = 1000) -> DataFrame:
+    """(by, threshold, ap, precision, recall): the area under the interpolated curve over levels of confidence.
 
     Boxes of one confidence count together, so their order has no effect; the curve has a point for each level.
     precision and recall are those after the last. Confidence is cut into stretches of 1 / stretches: sums and best precisions
-    run along the levels of a stretch, and along stretches, so that no task holds all levels. No hits give no rows.
+    run along the levels of a stretch, and along stretches, so that no task holds all levels. by: columns (of the page's) whose
+    values are scored each by itself, in the same pass. No hits give no rows.
     """
-    levels = hit.groupBy("threshold", "confidence").agg(F.sum(F.col("hit").cast("long")).alias("tp"), F.count("*").alias("n"))
+    key = [*by, "threshold"]
+    levels = hit.groupBy(*key, "confidence").agg(F.sum(F.col("hit").cast("long")).alias("tp"), F.count("*").alias("n"))
     levels = levels.withColumn("part", F.floor(F.col("confidence") * stretches))
-    if isinstance(truth_boxes, int):
-        levels = levels.withColumn("total", F.lit(truth_boxes))
-    else:
-        levels = levels.join(F.broadcast(truth_boxes.agg(F.count("*").alias("total"))), how="cross")  # one row
-    parts = levels.groupBy("threshold", "part").agg(F.sum("tp").alias("tp"), F.sum("n").alias("n"))
-    above = Window.partitionBy("threshold").orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)  # stretches, not levels
+    levels = _with_total(levels, truth_boxes, by)
+    parts = levels.groupBy(*key, "part").agg(F.sum("tp").alias("tp"), F.sum("n").alias("n"))
+    above = Window.partitionBy(*key).orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)  # stretches, not levels
     before = lambda c: F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_before")
-    levels = levels.join(parts.select("threshold", "part", before("tp"), before("n")), ["threshold", "part"])
-    inside = Window.partitionBy("threshold", "part").orderBy(F.desc("confidence"))
+    levels = levels.join(parts.select(*key, "part", before("tp"), before("n")), [*key, "part"])
+    inside = Window.partitionBy(*key, "part").orderBy(F.desc("confidence"))
     down = inside.rowsBetween(Window.unboundedPreceding, 0)
     tp, n = F.sum("tp").over(down) + F.col("tp_before"), F.sum("n").over(down) + F.col("n_before")
     share = lambda x: F.coalesce(F.try_divide(x, F.col("total")), F.lit(0.0))
-    curve = levels.select("threshold", "part", "confidence", (tp / n).alias("p"), share(tp).alias("r"), share(F.col("tp_before")).alias("r_before"))
-    below = Window.partitionBy("threshold").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    after = curve.groupBy("threshold", "part").agg(F.max("p").alias("p_part"))
-    curve = curve.join(after.select("threshold", "part", F.max("p_part").over(below).alias("p_after")), ["threshold", "part"])
+    curve = levels.select(*key, "part", "confidence", (tp / n).alias("p"), share(tp).alias("r"), share(F.col("tp_before")).alias("r_before"))
+    below = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    after = curve.groupBy(*key, "part").agg(F.max("p").alias("p_part"))
+    curve = curve.join(after.select(*key, "part", F.max("p_part").over(below).alias("p_after")), [*key, "part"])
     best = F.greatest(F.max("p").over(inside.rowsBetween(0, Window.unboundedFollowing)), F.coalesce("p_after", F.lit(0.0)))
     step = F.col("r") - F.coalesce(F.lag("r").over(inside), "r_before")
-    curve = curve.select("threshold", "confidence", "p", "r", (best * step).alias("area"))
-    return curve.groupBy("threshold").agg(F.sum("area").alias("ap"), F.min_by("p", "confidence").alias("precision"), F.max("r").alias("recall"))
+    curve = curve.select(*key, "confidence", "p", "r", (best * step).alias("area"))
+    return curve.groupBy(*key).agg(F.sum("area").alias("ap"), F.min_by("p", "confidence").alias("precision"), F.max("r").alias("recall"))
+
+
+def _with_total(rows: DataFrame, truth_boxes: DataFrame | int, by: Sequence[str]) -> DataFrame:
+    """rows with total: the number of true boxes, of the row's own group."""
+    if isinstance(truth_boxes, int):
+        return rows.withColumn("total", F.lit(truth_boxes))
+    if by:
+        return rows.join(truth_boxes.groupBy(*by).agg(F.count("*").alias("total")), list(by))
+    return rows.join(F.broadcast(truth_boxes.agg(F.count("*").alias("total"))), how="cross")  # one row
+
+
+def curve_means(hit: DataFrame, truth_boxes: DataFrame | int, page: Sequence[str], *, by: Sequence[str] = (), stretches: int = 1000) -> DataFrame:
+    """(by, threshold, precision, recall): means over the curve that has a point for each found box.
+
+    Boxes come by falling confidence, then page, then idx. What comes before a box is summed level by level: stretches of
+    confidence, confidences of a stretch, pages of a confidence, boxes of a page; so no window holds more than one of these.
+    """
+    key = [*by, "threshold"]
+    rows = hit.withColumns({"part": F.floor(F.col("confidence") * stretches), "tp": F.col("hit").cast("long"), "n": F.lit(1).cast("long")})
+    levels = [["part"], ["confidence"], [c for c in page if c not in by] or list(page), ["idx"]]
+    order = [[F.desc("part")], [F.desc("confidence")], [F.asc(c) for c in levels[2]], [F.asc("idx")]]
+    sums = {"tp": F.col("tp"), "n": F.col("n")}
+    for i, (own, by_order) in enumerate(zip(levels, order, strict=True)):
+        outer = [*key, *[c for x in levels[:i] for c in x]]
+        counts = rows.groupBy(*outer, *own).agg(F.sum("tp").alias("_tp"), F.sum("n").alias("_n"))
+        before = Window.partitionBy(*outer).orderBy(*by_order).rowsBetween(Window.unboundedPreceding, -1)
+        counts = counts.select(*outer, *own, *[F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"{c}_{i}") for c in sums])
+        rows = rows.join(counts, [*outer, *own])
+        sums = {c: v + F.col(f"{c}_{i}") for c, v in sums.items()}
+    rows = _with_total(rows, truth_boxes, by)
+    recall = F.coalesce(F.try_divide(sums["tp"], F.col("total")), F.lit(0.0))
+    return rows.groupBy(*key).agg(F.avg(sums["tp"] / sums["n"]).alias("precision"), F.avg(recall).alias("recall"))
+
+
+def dataset_scores(hit: DataFrame, truth_boxes: DataFrame, page: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(by, key, value): dataset_test/map50-95, map50, map75, and precision and recall, means of the curve at 0.75."""
+    at = lambda x: F.max(F.when(F.col("threshold") == x, F.col("ap")))
+    ap = average_precision(hit, truth_boxes, by=by).groupBy(*by).agg(F.avg("ap").alias("map50-95"), at(0.5).alias("map50"), at(0.75).alias("map75"))
+    ap = ap.join(curve_means(hit.filter("threshold = 0.75"), truth_boxes, page, by=by).drop("threshold"), list(by))
+    rows = ap.unpivot(list(by), ["map50-95", "map50", "map75", "precision", "recall"], "key", "value")
+    return rows.withColumn("key", F.concat(F.lit("dataset_test/"), "key"))
 
 
 def cells(polygons: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:

@@ -51,12 +51,13 @@ def worst(scores: DataFrame, *, name: Column | str = "page", n: int = 5) -> Data
     return scores.sparkSession.range(1, n + 1).toDF("rank").join(top, "rank", "left")
 
 
-def matched_lines(truth: DataFrame, found: DataFrame, key: Sequence[str], *, normalise: bool = True) -> DataFrame:
-    """One row (cer, wer, matched_lines) over lines that both sides have, as decomposed code points. No lines: null rates."""
+def matched_lines(truth: DataFrame, found: DataFrame, key: Sequence[str], *, normalise: bool = True, by: Sequence[str] = ()) -> DataFrame:
+    """One row (cer, wer, matched_lines), or one for each value of by (columns of key), over lines that both sides have, as decomposed
+    code points. No lines: null rates, or no row."""
     pairs = truth.select(*key, F.col("text").alias("truth")).join(found.select(*key, F.col("text").alias("found")), list(key))
     if normalise:
         pairs = pairs.withColumn("truth", T.nfd(F.col("truth"))).withColumn("found", T.nfd(F.col("found")))
-    return rates(with_edits(pairs)).select("cer", "wer", F.col("pairs").alias("matched_lines"))
+    return rates(with_edits(pairs), by).select(*by, "cer", "wer", F.col("pairs").alias("matched_lines"))
 
 
 def _rows(first: np.ndarray, own: np.ndarray, b: np.ndarray):
@@ -106,8 +107,9 @@ def alignment(a: Sequence[str], b: Sequence[str]) -> list[tuple[str, str, str]]:
     return out[::-1]
 
 
-def operations(pairs: DataFrame, *, level: str = "word", truth: str = "truth", found: str = "found") -> DataFrame:
-    """(operation, truth, found, n) over all pairs, of words or of user-perceived characters of decomposed texts.
+def operations(pairs: DataFrame, *, level: str = "word", truth: str = "truth", found: str = "found", by: str | None = None) -> DataFrame:
+    """(operation, truth, found, n) over all pairs, of words or of user-perceived characters of decomposed texts. by: a column of text, whose
+    values are counted apart.
 
     Only the number of all operations of a pair is canonical; which symbols they name depends on how ties are taken. Null
     texts are empty. Time grows with the product of a pair's lengths, room with the longer text (see alignment()).
@@ -117,18 +119,20 @@ def operations(pairs: DataFrame, *, level: str = "word", truth: str = "truth", f
     else:
         split = lambda c: T.graphemes(T.nfd(F.coalesce(c, F.lit(""))))
     # equal texts have no operations and do not go to Python
-    rows = pairs.filter(~F.col(truth).eqNullSafe(F.col(found))).select(split(F.col(truth)).alias("a"), split(F.col(found)).alias("b"))
+    own = F.col(by) if by else F.lit(None).cast("string")
+    rows = pairs.filter(~F.col(truth).eqNullSafe(F.col(found))).select(split(F.col(truth)).alias("a"), split(F.col(found)).alias("b"), own.alias("by"))
 
     def run(batches):
         for pdf in batches:
-            counts: dict[tuple[str, str, str], int] = {}
-            for a, b in zip(pdf["a"], pdf["b"], strict=True):
+            counts: dict[tuple[str, str, str, str], int] = {}
+            for a, b, key in zip(pdf["a"], pdf["b"], pdf["by"], strict=True):
                 for x in alignment(list(a), list(b)):
-                    counts[x] = counts.get(x, 0) + 1
-            yield pd.DataFrame([(*x, n) for x, n in counts.items()], columns=["operation", "truth", "found", "n"])
+                    counts[key, *x] = counts.get((key, *x), 0) + 1
+            yield pd.DataFrame([(*x, n) for x, n in counts.items()], columns=["by", "operation", "truth", "found", "n"])
 
-    made = rows.mapInPandas(run, "operation string, truth string, found string, n long")
-    return made.groupBy("operation", "truth", "found").agg(F.sum("n").alias("n"))
+    made = rows.mapInPandas(run, "by string, operation string, truth string, found string, n long")
+    made = made.withColumnRenamed("by", by) if by else made.drop("by")
+    return made.groupBy(*([by] if by else []), "operation", "truth", "found").agg(F.sum("n").alias("n"))
 
 
 def pairing_modes(truth_lines: DataFrame, found_lines: DataFrame, page: Sequence[str]) -> DataFrame:

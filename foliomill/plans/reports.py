@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from foliomill.functions import charsets
 from foliomill.functions import text as T
 from foliomill.operators import boxes, detection, errors, rollup
-from foliomill.sinks import exports
+from foliomill.sinks import exports, paths
 from foliomill.sources import alto
 
 PAGE = ["document", "page"]
@@ -56,10 +56,13 @@ def metadata_keys(stats: DataFrame) -> DataFrame:
     return rows.select("key", F.col("value").cast("string").alias("value"))
 
 
-def results_row(metrics: DataFrame) -> DataFrame:
-    """One wide row of (key, value), keys in order, without zonemap/ and analysis/ keys. The keys are few and named by the job."""
+def results_row(metrics: DataFrame, *, most_keys: int = 5000) -> DataFrame:
+    """One wide row of (key, value), keys in order, without zonemap/ and analysis/ keys. More than most_keys, which a feature with a value for
+    each document would give, raise ValueError: name the features that are to be scored."""
     rows = metrics.filter(~F.col("key").startswith("zonemap/") & ~F.col("key").startswith("analysis/"))
-    keys = sorted(r.key for r in rows.select("key").distinct().collect())
+    keys = sorted(r.key for r in rows.select("key").distinct().limit(most_keys + 1).collect())
+    if len(keys) > most_keys:
+        raise ValueError(f"over {most_keys} keys of metrics; name the features to score by")
     return rows.groupBy().pivot("key", keys).agg(F.first("value", ignorenulls=True)) if keys else rows.select()
 
 
@@ -70,20 +73,44 @@ def shown(metrics: DataFrame) -> DataFrame:
     return metrics.filter(~F.col("key").startswith("analysis/")).select("key", value.alias("value")).orderBy("key")
 
 
-def zone_report(scores: DataFrame) -> DataFrame:
-    """(metric, value, description) of one row of zone_map_scores(), section by section; without recognition scores no such
-    section."""
-    spark, rows = scores.sparkSession, []
-    for title, lines in ZONE_REPORT:
-        present = {k: d for k, d in lines.items() if k in scores.columns or f"share_{k}" in scores.columns}
-        if present:
-            rows += [(title, "", "")] + [(f"zonemap/{k}", k, d) for k, d in present.items()]
-    spine = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n int, metric string, k string, description string")
-    values = keyed(scores.withColumnsRenamed({c: c.removeprefix("share_") for c in scores.columns}))
-    found = spine.join(F.broadcast(values.withColumnRenamed("key", "k")), "k", "left")  # one row's columns
+def zone_report(metrics: DataFrame, *, recognition: bool = True) -> DataFrame:
+    """(metric, value, description) of the zonemap/ keys of metrics (key, value), section by section; the last section only with
+    recognition."""
+    rows = []
+    for title, lines in ZONE_REPORT if recognition else ZONE_REPORT[:-1]:
+        rows += [(title, "")] + [(f"zonemap/{k}", d) for k, d in lines.items()]
+    spine = metrics.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n int, metric string, description string")
+    found = spine.join(metrics.filter(F.col("key").startswith("zonemap/")), spine["metric"] == metrics["key"], "left")
     return found.orderBy("n").select("metric", F.coalesce("value", F.lit("")).alias("value"), "description")
 
 
+def by_document(each: DataFrame, pages: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """scores_per_document: document, pages and a column for each of keys, from each (document, key, value) and pages (document, ...)."""
+    wide = each.groupBy("document").pivot("key", list(keys)).agg(F.first("value", ignorenulls=True))
+    return pages.groupBy("document").agg(F.count("*").alias("pages")).join(wide, "document", "left")
+
+
+def over_all(each: DataFrame) -> DataFrame:
+    """(key, value: text) over documents: see rollup.over_documents()."""
+    return rollup.over_documents(each).select("key", F.col("value").cast("string").alias("value"))
+
+
+def zone_keys(stats: DataFrame) -> DataFrame:
+    """(document, key, value) of the zone scores of each document, from page statistics."""
+    zones = detection.zone_map_scores(stats, ["document"])
+    zones = zones.withColumnsRenamed({c: c.removeprefix("share_") for c in zones.columns})
+    names = [c for c in zones.columns if c != "document"]
+    return rollup.long_form(zones.select("document", *[F.col(c).cast("double").alias(c) for c in names]), ["document"], names, "zonemap/")
+
+
+def feature_tables(metrics: DataFrame) -> DataFrame:
+    """(feature, value, cer, wer) of the by_<feature>/<value>/ keys, in order: what a reader sees of scores by feature."""
+    rows = metrics.filter(F.col("key").startswith("by_")).select(T.metric_parts(F.col("key")).alias("p"), F.col("value").try_cast("double").alias("score"))
+    rows = rows.select(F.col("p").getField("feature").alias("feature"), F.col("p").getField("value").alias("value"), F.col("p").getField("metric").alias("metric"), "score")
+    wide = rows.groupBy("feature", "value").pivot("metric", ["cer", "wer"]).agg(F.first("score"))
+    return wide.select("feature", "value", F.round("cer", 4).alias("cer"), F.round("wer", 4).alias("wer")).orderBy("feature", "value")
+
+
 def histograms(operations: DataFrame, name: str) -> dict[str, DataFrame]:
     """<name>_substitutions, _insertions and _deletions: (symbol, count), the most frequent first."""
     symbol = F.when(F.col("operation") == "substitution", F.concat("truth", F.lit(" -> "), "found")).otherwise(F.concat("truth", "found"))
@@ -100,43 +127,70 @@ def with_metadata(documents: DataFrame, metadata: DataFrame | None) -> DataFrame
     return documents.join(own, "document", "left")
 
 
-def features(documents: DataFrame) -> list[str]:
-    """Names in the metadata of documents: those of the corpus's own description, a few."""
-    return sorted(r.k for r in documents.select(F.explode(F.map_keys("metadata")).alias("k")).distinct().collect())
+def features(documents: DataFrame, *, most: int = 100) -> list[str]:
+    """Names in the metadata of documents: those of the corpus's own description. More than most raise ValueError."""
+    found = sorted(r.k for r in documents.select(F.explode(F.map_keys("metadata")).alias("k")).distinct().limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"over {most} names in metadata; name the features to score by")
+    return found
+
+
+KINDS = ("insertion", "deletion", "substitution")
+#: Keys of a document's scores, besides those of zones.
+TEXT_KEYS = (
+    "score/cer", "score/wer", "accuracy/char_accuracy", "accuracy/word_accuracy", "total/total_chars", "total/total_words",
+    *(f"detailed/{level}_{k}s" for level in ("char", "word") for k in KINDS), "competition/cer", "competition/wer", "competition/matched_lines",
+)
+ZONE_KEYS = tuple(f"zonemap/{k}" for _, lines in ZONE_REPORT for k in lines)
+BOX_KEYS = tuple(f"dataset_test/{k}" for k in ("map50-95", "map50", "map75", "precision", "recall"))
 
 
-def text_report(truth: DataFrame, found: DataFrame, metadata: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Transcription scores of pages read by read_pages(): scores_all_pages, scores_per_document (with metadata), scores_by_<feature>,
+def text_report(truth: DataFrame, found: DataFrame, metadata: DataFrame | None = None, *, by: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Transcription scores of pages read by read_pages(): scores_all_pages, scores_per_document (all keys, with metadata), scores_by_<feature>,
     metrics (key, value), results (one wide row), results_zonemap, and histograms of errors in words and characters.
 
-    Pages that one side lacks are left out. A document is scored over its pages together; score/ keys are means of documents.
+    Pages that one side lacks are left out. A document is scored over its pages together; metrics are means of documents, each
+    counting once, but for total/ keys, which are sums, and worst/ keys, which are of all pages. by: names of the metadata that
+    documents are grouped by, else all. What several tables are made of (pairs with their distances, operations, areas) is
+    written once.
     """
     both = truth.select(*PAGE).distinct().join(found.select(*PAGE).distinct(), PAGE)
     a, b = (alto.lines(side, ignored=()).join(both, PAGE, "left_semi") for side in (truth, found))
-    edited = errors.with_edits(errors.pairing_modes(a, b, PAGE))
+    edited = paths.written(errors.with_edits(errors.pairing_modes(a, b, PAGE)), "edited-pairs")
     pages = errors.page_scores(edited, PAGE)
-    rates = errors.rates(edited, ["document"]).drop("pairs").join(pages.groupBy("document").agg(F.count("*").alias("pages")), "document")
-    scores = rollup.long_form(rates, ["document"], RATES, "score/")
-    totals = rates.select("document", *[F.col(c).cast("double").alias(c) for c in ("total_chars", "total_words")])
-    totals = rollup.long_form(totals, ["document"], ["total_chars", "total_words"], "total/")
-    metrics = [rollup.over_documents(scores.unionByName(totals)).select("key", F.col("value").cast("string").alias("value"))]
-    name = F.when(F.col("document") == "", F.col("page")).otherwise(T.display_name(F.col("document"), F.col("page")))
-    metrics.append(worst_keys(errors.worst(pages, name=name)))
+    operations = {name: paths.written(errors.operations(edited, level=level, by="document"), "operations") for name, level in (("wer", "word"), ("cer", "character"))}
+
+    rates = errors.rates(edited, ["document"])
+    wide = rates.select(
+        "document", F.col("cer").alias("score/cer"), F.col("wer").alias("score/wer"), F.col("char_accuracy").alias("accuracy/char_accuracy"),
+        F.col("word_accuracy").alias("accuracy/word_accuracy"), *[F.col(f"total_{x}").cast("double").alias(f"total/total_{x}") for x in ("chars", "words")],
+    )
+    for level, name in (("char", "cer"), ("word", "wer")):
+        counts = operations[name].groupBy("document").pivot("operation", list(KINDS)).agg(F.sum("n").cast("double"))
+        wide = wide.join(counts.withColumnsRenamed({k: f"detailed/{level}_{k}s" for k in KINDS}), "document", "left")
     ranked = lambda x: x.filter(~T.blank(F.col("text"))).withColumn("at", boxes.position(boxes.in_rows(), PAGE))
-    metrics.append(keyed(errors.matched_lines(ranked(a), ranked(b), [*PAGE, "at"]), "competition/"))
+    matched = errors.matched_lines(ranked(a), ranked(b), [*PAGE, "at"], by=["document"])
+    wide = wide.join(matched.select("document", *[F.col(c).cast("double").alias(f"competition/{c}") for c in ("cer", "wer", "matched_lines")]), "document", "left")
+    wide = wide.fillna(0.0, [*[k for k in TEXT_KEYS if k.startswith("detailed/")], "competition/matched_lines"])
+    each = rollup.long_form(wide, ["document"], TEXT_KEYS)
     place = lambda x: alto.with_geometry(x.filter(F.coalesce(~F.col("region").isin(*alto.IGNORED_ZONES), F.lit(True))))
-    zones = detection.zone_map_scores(detection.zone_map(place(a), place(b), PAGE))
-    metrics.append(keyed(zones.withColumnsRenamed({c: c.removeprefix("share_") for c in zones.columns}), "zonemap/"))
-    documents = with_metadata(rates, metadata)
-    out = {"scores_all_pages": pages, "scores_per_document": documents, "results_zonemap": zone_report(zones)}
-    if metadata is not None and (names := features(documents)):
-        wide = documents.select("pages", "cer", "wer", *[F.element_at("metadata", n).alias(n) for n in names])
-        stats = rollup.by_feature(wide, names, ["cer", "wer"])
+    each = paths.written(each.unionByName(zone_keys(detection.zone_map(place(a), place(b), PAGE))), "document-scores")
+
+    name = F.when(F.col("document") == "", F.col("page")).otherwise(T.display_name(F.col("document"), F.col("page")))
+    metrics = [over_all(each), worst_keys(errors.worst(pages, name=name))]
+    documents = with_metadata(by_document(each, pages, [*TEXT_KEYS, *ZONE_KEYS]), metadata)
+    out = {"scores_all_pages": pages, "scores_per_document": documents}
+    if metadata is not None and (names := list(by) if by is not None else features(documents)):
+        value = {n: F.element_at("metadata", n) for n in names}
+        stats = rollup.by_feature(documents.select("pages", F.col("`score/cer`").alias("cer"), F.col("`score/wer`").alias("wer"), *[v.alias(n) for n, v in value.items()]), names, ["cer", "wer"])
+        stats = paths.written(stats, "feature-scores")
         metrics.append(metadata_keys(stats))
         out |= {f"scores_by_{n}": stats.filter(F.col("feature") == n).drop("feature").orderBy("value", "metric") for n in names}
-        out["scores_per_document"] = documents.drop("metadata").join(documents.select("document", *[F.element_at("metadata", n).alias(f"metadata/{n}") for n in names]), "document")
-    out |= histograms(errors.operations(edited), "wer") | histograms(errors.operations(edited, level="character"), "cer")
-    out["metrics"] = reduce(DataFrame.unionByName, metrics)
+        out["scores_per_document"] = documents.select(*[F.col(f"`{c}`") for c in documents.columns if c != "metadata"], *[v.alias(f"metadata/{n}") for n, v in value.items()])
+    total = {n: x.groupBy("operation", "truth", "found").agg(F.sum("n").alias("n")) for n, x in operations.items()}
+    out |= histograms(total["wer"], "wer") | histograms(total["cer"], "cer")
+    out["metrics"] = paths.written(reduce(DataFrame.unionByName, metrics), "metrics")
+    out["results_zonemap"] = zone_report(out["metrics"])
     out["results"] = results_row(out["metrics"])
     return out
 

@@ -131,18 +131,46 @@ def _placed(lines: DataFrame) -> DataFrame:
     return alto.with_geometry(lines.filter(F.coalesce(~F.col("region").isin(*alto.IGNORED_ZONES), F.lit(True))))
 
 
+def box_report(true_boxes: DataFrame, found_boxes: DataFrame, pages: DataFrame, stats: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Scores of boxes on pages where both sides have some: scores_all_pages (pages), scores_per_document, metrics (key, value: means of
+    documents), results (one wide row), precision (by threshold, over all pages), and of stats, areas by page, results_zonemap."""
+    hits = paths.written(detection.hits(true_boxes, found_boxes, PAGE), "box-hits")
+    on_both = true_boxes.join(found_boxes.select(*PAGE).distinct(), PAGE, "left_semi")
+    each, keys = detection.dataset_scores(hits, on_both, PAGE, ["document"]), list(reports.BOX_KEYS)
+    if stats is not None:
+        each, keys = each.unionByName(reports.zone_keys(stats)), [*keys, *(k for k in reports.ZONE_KEYS if "char_" not in k and "word_" not in k)]
+    each = paths.written(each.filter(F.col("key").isin(*keys)), "document-scores")
+    metrics = reports.over_all(each)
+    out = {"scores_all_pages": pages, "scores_per_document": reports.by_document(each, pages, keys), "metrics": metrics, "results": reports.results_row(metrics)}
+    out["precision"] = detection.average_precision(hits, on_both)
+    if stats is not None:
+        out["results_zonemap"] = reports.zone_report(metrics, recognition=False)
+    return out
+
+
+def _counted(truth: DataFrame, found: DataFrame, boxes: tuple[DataFrame, DataFrame], what: str) -> DataFrame:
+    """(document, page, gt_<what>, pred_<what>) of pages where both sides have boxes."""
+    count = lambda rows, side: rows.groupBy(*PAGE).agg(F.count("*").alias(f"{side}_{what}"))
+    rows = count(truth, "gt").join(count(found, "pred"), PAGE)
+    for side in boxes:
+        rows = rows.join(side.select(*PAGE).distinct(), PAGE, "left_semi")
+    return rows
+
+
 def score_lines(truth: DataFrame, found: DataFrame) -> dict[str, DataFrame]:
-    """Segmentation scores: average precision over thresholds, and areas by configuration. True lines need a baseline."""
+    """Segmentation scores by document: average precision over thresholds, and areas by configuration. True lines need a baseline for the
+    first. Pages on which a side has no lines are left out of both."""
     a, b = _pairs(truth, found)
-    true_boxes, found_boxes = alto.score_boxes(alto.with_baseline(_placed(a)), truth), alto.score_boxes(_placed(b), found)
-    hits = detection.hits(true_boxes, found_boxes, PAGE)
-    on_both = true_boxes.join(found_boxes.select(*PAGE).distinct(), PAGE, "left_semi")
-    stats = detection.zone_map(_placed(a), _placed(b), PAGE, with_text=False)
-    return {"precision": detection.average_precision(hits, on_both), "zone_map": detection.zone_map_scores(stats)}
+    a, b = _placed(a), _placed(b)
+    lines = alto.with_baseline(a)
+    true_boxes, found_boxes = alto.score_boxes(lines, truth), alto.score_boxes(b, found)
+    on = lambda side, other: side.join(other.select(*PAGE).distinct(), PAGE, "left_semi")
+    stats = detection.zone_map(on(a, b), on(b, a), PAGE, with_text=False)
+    return box_report(true_boxes, found_boxes, _counted(lines, b, (true_boxes, found_boxes), "lines"), stats)
 
 
 def score_layout(truth: DataFrame, found: DataFrame) -> dict[str, DataFrame]:
-    """Layout scores: average precision of blocks, whatever their labels."""
+    """Layout scores by document: average precision of blocks, whatever their labels. Pages on which a side has no blocks are left out."""
 
     def grid(pages):
         sized = alto.zones(pages).join(pages.select(*PAGE, "width", "height"), PAGE)
@@ -150,7 +178,7 @@ def score_layout(truth: DataFrame, found: DataFrame) -> dict[str, DataFrame]:
         return sized.select(*PAGE, F.col("idx").cast("long").alias("idx"), alto.G.on_grid(box, F.col("width"), F.col("height")).alias("box"), F.lit(1.0).alias("confidence"))
 
     a, b = grid(truth), grid(found)
-    return {"precision": detection.average_precision(detection.hits(a, b, PAGE), a.join(b.select(*PAGE).distinct(), PAGE, "left_semi"))}
+    return box_report(a, b, _counted(a, b, (a, b), "zones"))
 
 
 SCORERS = {"layout": score_layout, "line": score_lines, "htr": reports.text_report}

@@ -123,7 +123,7 @@ def test_scores(spark, folders):
     truth, found = (alto.read_pages(spark, f"{folders}/{x}").filter("width is not null") for x in ("truth", "found"))
     keys = lambda report: {r.key: r.value for r in report["metrics"].collect()}
     same = tasks.SCORERS["htr"](truth, truth)
-    assert all(r.cer == 0 for r in same["scores_all_pages"].collect()) and keys(same)["competition/matched_lines"] == "6"
+    assert all(r.cer == 0 for r in same["scores_all_pages"].collect()) and keys(same)["competition/matched_lines"] == "3.0"
     meta = spark.createDataFrame([("d1", {"language": "French", "conventions": "x"}), ("d2", {"language": "Old English"})], "document string, metadata map<string, string>")
     got = reports.text_report(truth, found, meta)
     k = keys(got)
@@ -136,9 +136,12 @@ def test_scores(spark, folders):
     assert got["wer_deletions"].count() == got["cer_insertions"].count() == 0
     zones = got["results_zonemap"].collect()
     assert [r.metric for r in zones if r.metric.startswith("---")] == [t for t, _ in reports.ZONE_REPORT] and len(zones) == 3 + 7 + 6 + 6
-    assert {r.metric: r.value for r in zones}["zonemap/n_match"] == "4" and zones[1].description == "Error % (lower=better)"
+    assert {r.metric: r.value for r in zones}["zonemap/n_match"] == "2.0" and zones[1].description == "Error % (lower=better)"
     documents = {r.document: r for r in got["scores_per_document"].collect()}
-    assert documents["d1"]["metadata/language"] == "French" and documents["d1"].pages == 1
+    assert documents["d1"]["metadata/language"] == "French" and documents["d1"].pages == 1 and documents["d1"]["zonemap/n_match"] == 2
+    assert documents["d1"]["detailed/word_substitutions"] == documents["d1"]["detailed/char_substitutions"] == 1 and documents["d2"]["detailed/word_deletions"] == 0
+    assert k["detailed/word_substitutions"] == "1.0" and float(k["accuracy/char_accuracy"]) == pytest.approx(11 / 12)
+    assert [tuple(r) for r in reports.feature_tables(got["metrics"]).collect()] == [("language", "French", 0.0833, 0.1667), ("language", "Old_English", 0.0833, 0.1667)]
     assert got["scores_by_language"].count() == 4
     shown = {r.key: r.value for r in reports.shown(got["metrics"]).collect()}
     assert shown["score/cer"] == "0.0833" and shown["total/total_chars"] == "24.0"
