@@ -17,7 +17,8 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("-p", "--found", required=True)
     score.add_argument("-o", "--output", required=True)
     score.add_argument("--metadata", action="store_true", help="score by what metadata.json says of documents")
-    predict = commands.add_parser("predict", help="recognise the texts of pages that have none yet")
+    predict = commands.add_parser("predict", help="find blocks and lines and recognise texts, of pages that are not done yet")
+    predict.add_argument("-t", "--task", choices=("layout", "line", "htr", "all"), default="all")
     predict.add_argument("-c", "--config", required=True)
     predict.add_argument("-d", "--data", required=True)
     predict.add_argument("-o", "--output", required=True)
@@ -41,7 +42,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> int:
     a = parser().parse_args(arguments)
-    from foliomill.plans import config, reports, tasks
+    from foliomill.plans import chain, config, reports, tasks
     from foliomill.sinks import alto as out_alto
     from foliomill.sinks import exports
     from foliomill.sources import alto, files
@@ -61,12 +62,10 @@ def main(arguments: list[str] | None = None) -> int:
             reports.write(report, f"{a.output}/{name}", flat=listed.kind == "flat")
     elif a.command == "predict":
         own = config.Config.read(a.config)
-        if "htr" not in own.tasks:
-            raise SystemExit("the configuration has no htr task")
-        pages = alto.read_pages(spark, a.data)
-        done = alto.read_pages(spark, a.output) if files._present(spark, a.output) else pages.limit(0)
-        rows = tasks.predict_pages(pages, done.select(*tasks.PAGE), own.tasks["htr"]["type"], own.tasks["htr"].get("config"))
-        out_alto.write_pages(rows, a.output, files=True)
+        try:
+            chain.predict(spark, own, a.data, a.output, config.ORDER if a.task == "all" else (a.task,))
+        except ValueError as e:
+            raise SystemExit(str(e)) from e
     elif a.command == "print":
         lines = alto.lines(alto.read_pages(spark, a.pages), ignored=())
         if a.json:

@@ -33,7 +33,26 @@ class Recogniser(Protocol):
     def process(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]: ...
 
 
-TASKS: dict[str, Callable[[dict], Recogniser]] = {}
+class Detector(Protocol):
+    """A model of layouts. process() gets (document, page, image) and gives DETECTED rows: a box each. A page's size comes with
+    each of its rows; a page without boxes has one row, of a null idx."""
+
+    def process(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]: ...
+
+
+class Segmenter(Protocol):
+    """A model of lines. process() gets (document, page, image, width, height, regions: array of label and boundary) and gives
+    SEGMENTED rows: a line each."""
+
+    def process(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]: ...
+
+
+DETECTED = "document string, page string, width int, height int, idx int, label string, x1 int, y1 int, x2 int, y2 int, confidence double"
+_POINTS = "array<struct<x: int, y: int>>"
+SEGMENTED = f"document string, page string, idx int, id string, baseline {_POINTS}, boundary {_POINTS}"
+_REGIONS = pa.list_(pa.struct([("x", pa.int32()), ("y", pa.int32())]))
+
+TASKS: dict[str, Callable[[dict], Recogniser | Detector | Segmenter]] = {}
 
 
 def task(name: str, *aliases: str):
@@ -47,7 +66,7 @@ def task(name: str, *aliases: str):
     return add
 
 
-def created(name: str, config: dict | None = None) -> Recogniser:
+def created(name: str, config: dict | None = None) -> Recogniser | Detector | Segmenter:
     if name.upper() not in TASKS:
         raise UnknownTask(name)
     return TASKS[name.upper()](config or {})
@@ -68,6 +87,101 @@ class Stub:
             yield pa.RecordBatch.from_arrays([*columns, texts, pa.array([1.0] * len(ids))], ["document", "page", "id", "text", "confidence"])
 
 
+def _record(rows: list[tuple], kinds: str) -> pa.RecordBatch:
+    """Rows as a batch of a schema given as text."""
+    types = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), _POINTS: _REGIONS}
+    fields = [f.split(" ", 1) for f in kinds.replace(_POINTS, "points").split(", ")]
+    columns = zip(*rows, strict=True) if rows else [[] for _ in fields]
+    arrays = [pa.array(x, types.get(kind, _REGIONS)) for x, (_, kind) in zip(columns, fields, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, [name for name, _ in fields])
+
+
+@task("StubLayout")
+class StubLayout:
+    """A detector without a model: the same boxes (label, x1, y1, x2, y2) on every page."""
+
+    def __init__(self, config: dict):
+        self.size = (config.get("width", 600), config.get("height", 800))
+        self.boxes = config.get("boxes", [["MainZone", 50, 50, 550, 750]])
+
+    def process(self, batches):
+        for b in batches:
+            rows = []
+            for document, page in zip(b["document"].to_pylist(), b["page"].to_pylist(), strict=True):
+                own = [(document, page, *self.size, i, label, *box, 1.0) for i, (label, *box) in enumerate(self.boxes)]
+                rows += own or [(document, page, *self.size, *[None] * 7)]
+            yield _record(rows, DETECTED)
+
+
+@task("StubLine")
+class StubLine:
+    """A segmenter without a model: lines of even height from top to bottom of each region, or of a page without regions."""
+
+    def __init__(self, config: dict):
+        self.lines = config.get("lines", 3)
+
+    def process(self, batches):
+        for b in batches:
+            rows = []
+            for r in b.to_pylist():
+                regions = [x["boundary"] for x in r["regions"] or ()] or [[{"x": 0, "y": 0}, {"x": r["width"] or 0, "y": r["height"] or 0}]]
+                n = 0
+                for points in regions:
+                    xs, ys = [p["x"] for p in points], [p["y"] for p in points]
+                    step = (max(ys) - min(ys)) // self.lines
+                    for k in range(self.lines):
+                        left, right, top = min(xs), max(xs), min(ys) + k * step
+                        corners = [(left, top), (right, top), (right, top + step), (left, top + step)]
+                        at = lambda own: [{"x": x, "y": y} for x, y in own]
+                        rows.append((r["document"], r["page"], n, f"line_{n}", at([(left, top + step // 2), (right, top + step // 2)]), at(corners)))
+                        n += 1
+            yield _record(rows, SEGMENTED)
+
+
+def detect(images: DataFrame, name: str, config: dict | None = None) -> DataFrame:
+    """DETECTED rows of images (document, page, image)."""
+    created(name, config)  # unknown names fail before any task
+    n = images.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    rows = images.select(*PAGE, "image").repartition(int(n), *PAGE)  # a task's images are few and its model costs more than they do
+    return rows.mapInArrow(lambda batches: created(name, config).process(batches), DETECTED)
+
+
+def segment(pages: DataFrame, zones: DataFrame, images: DataFrame, name: str, config: dict | None = None) -> DataFrame:
+    """SEGMENTED rows of pages (document, page, width, height) with images, from the regions of their zones outside ignored ones."""
+    created(name, config)
+    shape = F.when(F.size("boundary") > 0, F.col("boundary")).otherwise(G.polygon(F.col("box")).cast(G.POINTS))
+    own = zones.filter(~F.col("label").isin(*alto.IGNORED_ZONES)).groupBy(*PAGE)
+    own = own.agg(F.array_sort(F.collect_list(F.struct("idx", "label", shape.alias("boundary")))).alias("_z"))
+    rows = pages.select(*PAGE, "width", "height").join(images, PAGE).join(own, PAGE, "left")
+    regions = F.transform("_z", lambda z: F.struct(z["label"].alias("label"), z["boundary"].alias("boundary")))
+    rows = rows.select(*PAGE, "image", "width", "height", regions.alias("regions"))
+    return rows.mapInArrow(lambda batches: created(name, config).process(batches), SEGMENTED)
+
+
+def predict_layout(images: DataFrame, name: str, config: dict | None = None, *, reading_order: str = "dbscan") -> DataFrame:
+    """(document, page, xml): pages of images (document, page, image) with blocks: detections without doubles, in reading order."""
+    found = paths.written(detect(images, name, config), "detections")
+    sizes = found.groupBy(*PAGE).agg(F.max("width").alias("width"), F.max("height").alias("height"))
+    box = F.struct(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]).alias("box")
+    blocks = out.from_detections(found.filter("idx is not null").select(*PAGE, "idx", "label", box), PAGE, reading_order=reading_order)
+    pages = images.select(*PAGE, F.regexp_extract("image", r"([^/]+)$", 1).alias("image")).join(sizes, PAGE)
+    return out.rendered(pages, blocks, _no_lines(blocks))
+
+
+def _no_lines(like: DataFrame) -> DataFrame:
+    kinds = f"document string, page string, zone int, id string, box struct<x1: int, y1: int, x2: int, y2: int>, baseline {_POINTS}, boundary {_POINTS}, text string, confidence double, position int"
+    return like.sparkSession.createDataFrame([], kinds)
+
+
+def predict_lines(pages: DataFrame, images: DataFrame, name: str, config: dict | None = None, *, reading_order: str = "dbscan") -> DataFrame:
+    """(document, page, xml): pages with newly found lines in their blocks (see inserted()). Pages without an image are left out."""
+    zones = alto.zones(pages)
+    found = paths.written(segment(pages, zones, images, name, config), "segments")
+    blocks, lines = out.inserted(zones, found.withColumn("idx", F.col("idx").cast("long")), PAGE, reading_order=reading_order)
+    lines = lines.withColumn("text", F.lit("")).withColumn("confidence", F.lit(0.0))
+    return out.rendered(pages.join(images.select(*PAGE), PAGE, "left_semi"), blocks, lines)
+
+
 def recognise(lines: DataFrame, name: str, config: dict | None = None, *, batch: int | None = None, images: DataFrame | None = None) -> DataFrame:
     """(document, page, id, text, confidence) of lines (with geometry). Lines of a page stay together, so its image is read once.
 

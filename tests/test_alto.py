@@ -2,11 +2,12 @@
 
 import json
 
+import numpy as np
 import pytest
 from foliomill import cli
 from foliomill.functions import geometry as G
 from foliomill.functions import text as T
-from foliomill.operators import boxes
+from foliomill.operators import boxes, detection
 from foliomill.plans import config, reports, tasks
 from foliomill.sinks import alto as out
 from foliomill.sinks import exports
@@ -272,6 +273,86 @@ def test_predict_writes_pages_and_goes_on(spark, folders):
     assert (folders / "pred" / "d1" / "p1.xml").stat().st_mtime_ns == kept and (folders / "pred" / "d2" / "p1.xml").exists()
 
 
+CHAIN = """
+reading_order: dbscan
+tasks:
+  layout: {type: StubLayout, config: {width: 400, height: 300, boxes: [[MainZone, 10, 160, 390, 290], [MainZone, 10, 10, 390, 150], [MainZone, 12, 12, 390, 150], [NumberingZone, 0, 0, 9, 9]]}}
+  line: {type: StubLine, config: {lines: 2}}
+  htr: {type: StubHTR, config: {text: "w {id}"}}
+"""
+
+
+def test_chained_prediction(spark, folders):
+    """Three stubs over a folder of images: blocks, lines and texts as a plain run gives them; a run that was cut off goes on."""
+    (folders / "run.yml").write_text(CHAIN)
+    for d in ("d1", "d2"):
+        (folders / "img" / d).mkdir(parents=True)
+        for p in ("p1", "p2"):
+            (folders / "img" / d / f"{p}.jpg").write_text("image")
+    (folders / "img" / "d1" / "p1.png").write_text("a second image")
+    command = ["predict", "-c", f"{folders}/run.yml", "-d", f"{folders}/img", "-o", f"{folders}/chain"]
+    assert cli.main(command) == 0
+    names = [f"{d}/{p}.xml" for d in ("d1", "d2") for p in ("p1", "p2")]
+    made = lambda: sorted(str(p.relative_to(folders / "chain")) for p in (folders / "chain").rglob("*.xml"))
+    assert made() == sorted(f"{t}/{n}" for t in ("layout", "line", "htr") for n in names)
+    # plain: the smaller of two boxes that cover each other goes, ignored labels go, blocks go from the top; two even lines in each
+    blocks = [(10, 10, 390, 150), (10, 160, 390, 290)]
+    plain = []
+    for d in ("d1", "d2"):
+        for p in ("p1", "p2"):
+            for k, (x1, y1, x2, y2) in enumerate(blocks):
+                step = (y2 - y1) // 2
+                plain += [(d, p, f"block_{k}", "MainZone", (x1, y1 + i * step, x2, y1 + (i + 1) * step), f"w line_{2 * k + i}") for i in (0, 1)]
+    pages = alto.read_pages(spark, f"{folders}/chain/htr")
+    got = [(r.document, r.page, r.zone_id, r.region, tuple(r.box), r.text) for r in alto.lines(pages).collect()]
+    assert sorted(got) == sorted(plain)
+    assert {(r.image, r.width, r.height) for r in pages.collect()} == {("p1.jpg", 400, 300), ("p2.jpg", 400, 300)}
+    stamp = {n: (folders / "chain" / n).stat().st_mtime_ns for n in made()}
+    for n in ("line/d2/p1.xml", "htr/d2/p1.xml", "htr/d1/p2.xml"):
+        (folders / "chain" / n).unlink()
+    (folders / "chain" / "htr" / "d1" / "p2.xml.17.part").write_text("<alto>cut off")
+    assert cli.main(command) == 0
+    again = {n: (folders / "chain" / n).stat().st_mtime_ns for n in made()}
+    assert set(again) == set(stamp) and {n for n in stamp if again[n] != stamp[n]} == {"line/d2/p1.xml", "htr/d2/p1.xml", "htr/d1/p2.xml"}
+    # one task alone, from a folder without sub-folders
+    assert cli.main(["predict", "-t", "layout", "-c", f"{folders}/run.yml", "-d", f"{folders}/img/d2", "-o", f"{folders}/flat"]) == 0
+    assert sorted(p.name for p in (folders / "flat").glob("*.xml")) == ["p1.xml", "p2.xml"]
+    assert cli.main(["predict", "-t", "line", "-c", f"{folders}/run.yml", "-d", f"{folders}/flat", "-o", f"{folders}/none"]) == 0  # no images there
+    (folders / "bad.yml").write_text("tasks: {layout: {type: nothing}}")
+    with pytest.raises(SystemExit, match="nothing"):
+        cli.main(["predict", "-c", f"{folders}/bad.yml", "-d", f"{folders}/img", "-o", f"{folders}/x"])
+    with pytest.raises(SystemExit, match="no task"):
+        cli.main(["predict", "-t", "line", "-c", f"{folders}/bad.yml", "-d", f"{folders}/img", "-o", f"{folders}/x"])
+
+
+def test_boxes_of_null_confidence_count_as_zero(spark):
+    kinds = "page string, idx long, box struct<x1: int, y1: int, x2: int, y2: int>, confidence double"
+    truth = spark.createDataFrame([("p", 0, (0, 0, 10, 10), 1.0)], kinds)
+    found = spark.createDataFrame([("p", 0, (0, 0, 10, 10), None), ("p", 1, (0, 0, 10, 10), 0.5)], kinds)
+    rows = {r.idx: (r.confidence, r.hit) for r in detection.hits(truth, found, ["page"], [0.5]).collect()}
+    assert rows == {0: (0.0, False), 1: (0.5, True)}
+
+
+def test_dataset_scores_by_document(spark):
+    """Means over the curve against a plain loop, in documents with shared and null confidences."""
+    draw = np.random.default_rng(4)
+    rows = [(d, f"p{draw.integers(4)}", i, float(draw.choice([0.2, 0.9, 0.9001, draw.random()])), t, bool(draw.random() < 0.6)) for d in ("a", "b") for i in range(60) for t in (0.5, 0.75)]
+    hit = spark.createDataFrame(rows, "document string, page string, idx long, confidence double, threshold double, hit boolean").repartition(5)
+    truth = spark.createDataFrame([(d,) for d in "aab" for _ in range(40)], "document string")
+    got = {(r.document, r.threshold): (r.precision, r.recall) for r in detection.curve_means(hit, truth, ["document", "page"], by=["document"]).collect()}
+    for (d, t), found in got.items():
+        own = sorted((-c, p, i, h) for doc, p, i, c, at, h in rows if (doc, at) == (d, t))
+        tp, ps, rs = 0, [], []
+        for k, (_, _, _, h) in enumerate(own, 1):
+            tp += h
+            ps.append(tp / k)
+            rs.append(tp / (80 if d == "a" else 40))
+        assert found == pytest.approx((np.mean(ps), np.mean(rs)))
+    assert len(got) == 4
+    keys = {(r.document, r.key) for r in detection.dataset_scores(hit, truth, ["document", "page"], ["document"]).collect()}
+    assert keys == {(d, f"dataset_test/{k}") for d in "ab" for k in ("map50-95", "map50", "map75", "precision", "recall")}
+
+
 def test_detector_set(spark, folders):
     for split in ("train", "valid"):
         (folders / "set" / split).mkdir(parents=True)
