@@ -85,7 +85,8 @@ def main(arguments: list[str] | None = None) -> int:
         exports.write_csv(reports.density_study(rows), f"{a.output}/correlation.csv")
     elif a.command == "lines-to-alto":
         rows = files.line_images(spark, a.input)
-        out_alto.write_pages(out_alto.from_line_images(rows, ["text"]), a.output, files=True)
+        out_alto.write_pages(out_alto.from_line_images(rows), a.output, files=True)
+        out_alto.write_files(out_alto.line_image_files(rows), a.output)
     else:
         pages = alto.read_pages(spark, a.input)
         listed = files.listed(spark, a.input)

@@ -53,7 +53,11 @@ def whitelist() -> str:
 
 
 def only_allowed(text: Column) -> Column:
-    return F.regexp_replace(text, f"[^{whitelist()[1:-1]}]", "")
+    """Without characters off the whitelist. ASCII, most of all texts, is told by a small class of what is not allowed there; the large
+    class is tried on other characters only."""
+    kept = lambda c: unicodedata.category(c)[0] in "LNPZ" or c in "\t\n\r" or c in "".join([*charsets.COMBINING, *charsets.MEDIEVAL, *charsets.SUPERSCRIPT])
+    ascii_ = _class(c for c in map(chr, range(0x80)) if not kept(c))
+    return F.regexp_replace(text, rf"[{ascii_}]|(?=[^\x00-\x7F])[^{whitelist()[1:-1]}]", "")
 
 
 def normalised(text: Column, extended: bool = False) -> Column:

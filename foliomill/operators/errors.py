@@ -13,8 +13,15 @@ from pyspark.sql.window import Window
 from foliomill.functions import text as T
 
 
+def spread(pairs: DataFrame, times: int = 4) -> DataFrame:
+    """pairs dealt one by one to several partitions for each shuffle partition. A distance costs the product of two lengths, so tables of few
+    bytes are much work; dealt by size, or merged as small ones, they would be a few tasks."""
+    return pairs.repartition(times * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def with_edits(pairs: DataFrame, truth: str = "truth", found: str = "found") -> DataFrame:
     """pairs with edits and lengths of characters and words. Null texts are empty."""
+    pairs = spread(pairs)
     a, b = (F.coalesce(F.col(c), F.lit("")) for c in (truth, found))
     return pairs.withColumns(
         {

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from foliomill.sinks.paths import written
+
 # Languages counted as Romance.
 ROMANCE = ("Catalan", "French", "Italian", "Latin", "Occitan", "Venitian", "Aragonese", "Galician", "Portuguese", "Castillan")
 
@@ -87,23 +89,58 @@ def weight_summary(weighted: DataFrame, density: str = "density") -> DataFrame:
     )
 
 
-def resampled(weighted: DataFrame, key: str, n: int, *, seed: int = 42, parts: int = 64) -> DataFrame:
+def dealt(rows: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """rows with _part, as a written table: ranges of order, numbered along it."""
+    n = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "ranges")
+
+
+def cumulated(rows: DataFrame, order: Sequence[str], value: str, name: str, *, parts: int | None = None) -> DataFrame:
+    """rows with name: the sum of value over the rows before, by order. Each range of rows is summed by itself; what the
+    ranges before have is one number for each."""
+    placed = dealt(rows, order, parts)
+    along = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # ranges, not rows
+    before = placed.groupBy("_part").agg(F.sum(value).alias("_sum")).select("_part", F.coalesce(F.sum("_sum").over(along), F.lit(0.0)).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.coalesce(F.sum(value).over(inside), F.lit(0.0)))
+    return out.drop("_part", "_before")
+
+
+def last_before(points: DataFrame, marks: DataFrame, at: str, key: str, *, parts: int | None = None) -> DataFrame:
+    """points (at, ...) with key: that of the last of marks (at, key) at or before each; of marks at one place, the greatest key.
+
+    An as-of merge: both are sorted together by ranges of at, the last mark is carried along each range, and from the
+    ranges before as one key for each. No point meets more than its own mark. Points before all marks have a null key.
+    """
+    columns = [c for c in points.columns if c != at]
+    own = points.select(at, F.lit(1).alias("_side"), F.lit(None).cast(dict(marks.dtypes)[key]).alias(key), F.struct(*columns).alias("_row"))
+    rest = marks.select(at, F.lit(0).alias("_side"), key, F.lit(None).cast(dict(own.dtypes)["_row"]).alias("_row"))
+    rows = dealt(own.unionByName(rest), [at], parts)
+    ends = rows.filter("_side = 0").groupBy("_part").agg(F.max(F.struct(at, key)).alias("_end"))
+    spine = rows.select("_part").distinct().join(ends, "_part", "left")
+    along = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # ranges, not rows
+    before = spine.select("_part", F.last(F.col(f"_end.{key}"), ignorenulls=True).over(along).alias("_carried"))
+    inside = Window.partitionBy("_part").orderBy(at, "_side", key).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.join(F.broadcast(before), "_part").withColumn(key, F.coalesce(F.last(key, ignorenulls=True).over(inside), "_carried"))
+    return rows.filter("_side = 1").select(at, key, "_row.*")
+
+
+def draws(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
+    """(draw, u): n points from 0 to below 1, the first 52 bits of the MD5 of seed and number."""
+    bits = F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("id").cast("string"))), 1, 13), 16, 10).cast("long")
+    return spark.range(n).select(F.col("id").alias("draw"), (bits / F.lit(2.0**52)).alias("u"))
+
+
+def resampled(weighted: DataFrame, key: str, n: int, *, seed: int = 42, parts: int | None = None) -> DataFrame:
     """weighted with copies: how many of n draws with replacement, by weight, fall on each row.
 
-    Draws are seeded points on the line of cumulated weights; each part of rows, by a hash of key, holds a stretch of
-    it, and draws are joined with the rows of their part only.
+    Draws are seeded points on the line of cumulated weights, in the order of key, which has to be unique; each falls on the
+    last row that begins at or before it (see last_before()), so work is that of sorting rows and draws. Rows of null, zero or negative
+    weight are never drawn. parts: ranges that rows and draws are sorted by, else as many as there are shuffle partitions.
     """
-    spark = weighted.sparkSession
-    rows = weighted.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
-    ends = rows.groupBy("_part").agg(F.sum("weight").alias("_total"))
-    along = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)  # parts, not rows
-    ends = ends.withColumn("_end", F.sum("_total").over(along)).withColumn("_begin", F.col("_end") - F.col("_total"))
-    total = ends.agg(F.max("_end")).first()[0] or 0.0
-    draws = spark.range(n).select(((F.xxhash64("id", F.lit(seed)) / 2.0**64 + 0.5) * total).alias("_at"))
-    draws = draws.join(F.broadcast(ends), (F.col("_at") >= F.col("_begin")) & (F.col("_at") < F.col("_end")))  # one row a part
-    draws = draws.select("_part", (F.col("_at") - F.col("_begin")).alias("_at"))
-    inside = Window.partitionBy("_part").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_high", F.sum("weight").over(inside)).withColumn("_low", F.col("_high") - F.col("weight"))
-    hits = rows.select("_part", key, "_low", "_high").join(draws, "_part").filter("_at >= _low and _at < _high")
-    hits = hits.groupBy(key).agg(F.count("*").alias("copies"))
+    rows = cumulated(weighted.filter("weight > 0").select(key, F.col("weight").cast("double").alias("weight")), [key], "weight", "_at", parts=parts)
+    rows = written(rows.select(key, "_at", "weight"), "weight-line")
+    total = rows.agg(F.max(F.col("_at") + F.col("weight"))).first()[0] or 0.0
+    points = draws(weighted.sparkSession, n, seed).select((F.col("u") * total).alias("_at"), "draw")
+    hits = last_before(points, rows.select("_at", key), "_at", key, parts=parts).groupBy(key).agg(F.count("*").alias("copies"))
     return weighted.join(hits, key)

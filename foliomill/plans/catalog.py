@@ -262,9 +262,9 @@ def nms(spark, sf_dir):
     SELECT page, i, j, iou FROM p WHERE iou > 0
 """)
 def iou_pairs(spark, sf_dir):
-    rows = boxes._meetings(page_boxes(spark, sf_dir), page_boxes(spark, sf_dir), ["page"], None).filter("a.idx < b.idx")
-    iou = F.round(G.iou(F.col("a.box"), F.col("b.box")), 9)
-    return rows.select("page", F.col("a.idx").alias("i"), F.col("b.idx").alias("j"), iou.alias("iou")).filter("iou > 0")
+    rows = page_boxes(spark, sf_dir)
+    rows = boxes.overlaps(rows, rows, ["page"], F.col("a_idx") < F.col("b_idx"))
+    return rows.select("page", F.col("a_idx").alias("i"), F.col("b_idx").alias("j"), F.round("iou", 9).alias("iou")).filter("iou > 0")
 
 
 @query(f"""
@@ -487,7 +487,13 @@ def weights_summary(spark, sf_dir):
     return rollup.weight_summary(rollup.sample_weights(rows, alpha=2)).withColumn("mean", F.round("mean", 9))
 
 
-@query()
+# Each draw falls on the last row that begins at or before it, on the line of weights in the order of doc_id.
+@query(f"""
+    WITH w AS (SELECT doc_id, 1 + density AS weight FROM ({_DENSITY})),
+      l AS (SELECT doc_id, weight, coalesce(sum(weight) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low FROM w),
+      d AS (SELECT ('0x' || substr(md5('42-' || i), 1, 13))::BIGINT / 4503599627370496.0 * (SELECT max(low + weight) FROM l) AS point FROM range(5000) t(i))
+    SELECT doc_id, count(*) AS copies FROM d ASOF JOIN l ON d.point >= l.low GROUP BY doc_id
+""")
 def weighted_resample(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", T.density(F.col("text"), "éèàùç").alias("density"))
     return rollup.resampled(rollup.sample_weights(rows), "doc_id", 5000).select("doc_id", "copies")

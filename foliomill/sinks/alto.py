@@ -44,9 +44,11 @@ def flat(points: Column) -> Column:
 def recognised(lines: DataFrame, results: DataFrame, page: Sequence[str] = PAGE) -> DataFrame:
     """lines with the text and confidence of results (page columns, id, text, confidence); old texts never stay.
 
-    Lines without a result, or with an empty one, have an empty text and confidence 0.
+    Lines without a result, or with an empty one, have an empty text and confidence 0. Of several results for an id the one of most
+    confidence counts, of equal ones the last text.
     """
-    new = results.select(*page, "id", F.col("text").alias("_text"), F.col("confidence").alias("_confidence")).dropDuplicates([*page, "id"])
+    best = F.max(F.struct(F.col("confidence").alias("_confidence"), F.col("text").alias("_text"))).alias("_best")
+    new = results.groupBy(*page, "id").agg(best).select(*page, "id", "_best.*")
     rows = lines.drop("confidence").join(new, [*page, "id"], "left")
     filled = F.coalesce(F.col("_text"), F.lit("")) != ""
     return rows.withColumn("text", F.when(filled, F.col("_text")).otherwise("")).withColumn(
@@ -156,12 +158,25 @@ def minimal(images: DataFrame, page: Sequence[str] = PAGE, *, margin: int = 5) -
     return blocks, lines
 
 
-def from_line_images(rows: DataFrame, order: Sequence[str], *, margin: int = 2) -> DataFrame:
-    """(document, page, xml) of line images (shelfmark, region, text, width, height): a page for each, in the folder of its shelfmark and named by it and its
-    number there in the given order. A row's image is <page>.jpg; its pixels are not touched."""
-    named = exports.numbered_names(rows, F.col("shelfmark"), order)
-    images = named.select(T.file_name(F.col("shelfmark")).alias("document"), F.col("file").alias("page"), F.concat("file", F.lit(".jpg")).alias("image"), "width", "height", "text", "region")
-    return rendered(images, *minimal(images, margin=margin))
+def named_line_images(rows: DataFrame) -> DataFrame:
+    """rows (shelfmark, region, text, width, height, ...) with document and page: the folder of the shelfmark, and a name of it and the
+    row's number there, in the order of text and then of all columns, so that every run gives the same names."""
+    tied = rows.withColumn("_tie", F.xxhash64(*rows.columns))
+    named = exports.numbered_names(tied, F.col("shelfmark"), ["text", "_tie"])
+    return named.withColumn("document", T.file_name(F.col("shelfmark"))).withColumnRenamed("file", "page").drop("_tie")
+
+
+def from_line_images(rows: DataFrame, *, margin: int = 2) -> DataFrame:
+    """(document, page, xml) of line images: a page for each row, see named_line_images(). A row's image is <page>.jpg."""
+    images = named_line_images(rows).withColumn("image", F.concat("page", F.lit(".jpg")))
+    return rendered(images.select(*PAGE, "image", "width", "height"), *minimal(images, margin=margin))
+
+
+def line_image_files(rows: DataFrame) -> DataFrame:
+    """(document, name, data) of rows whose image is binary, or a struct with bytes: the file of each, as its row has it."""
+    kind = dict(rows.dtypes).get("image", "")
+    data = F.col("image") if kind == "binary" else F.col("image.bytes") if "bytes:binary" in kind else F.lit(None).cast("binary")
+    return named_line_images(rows).select("document", F.concat("page", F.lit(".jpg")).alias("name"), data.alias("data")).filter("data is not null")
 
 
 def from_detections(found: DataFrame, page: Sequence[str] = PAGE, *, reading_order: str = "dbscan", **options) -> DataFrame:
@@ -173,16 +188,12 @@ def from_detections(found: DataFrame, page: Sequence[str] = PAGE, *, reading_ord
     return kept.withColumn("id", F.concat(F.lit("block_"), (F.col("position") - 1).cast("string")))
 
 
-def write_pages(rows: DataFrame, folder: str, *, files: bool = False) -> None:
-    """(document, page, xml) as text, a folder for each document.
+def write_files(rows: DataFrame, folder: str) -> None:
+    """(document, name, data: binary) as files, written by the tasks through pyarrow's file systems, in a folder for each document.
 
-    files: a file for each page, written by the tasks through pyarrow's file systems, instead of Spark's part files. Each
-    attempt writes under a name of its own and renames the whole file, so attempts that overlap leave one whole file. folder is
+    Each attempt writes under a name of its own and renames the whole file, so attempts that overlap leave one whole file. folder is
     named as Spark names it.
     """
-    if not files:
-        rows.select("document", F.col("xml").alias("value")).write.partitionBy("document").text(folder)
-        return
     folder = paths.qualified(rows.sparkSession, folder)
 
     def run(batch):
@@ -191,9 +202,20 @@ def write_pages(rows: DataFrame, folder: str, *, files: bool = False) -> None:
         for r in batch:
             where = f"{base}/{r.document}" if r.document else base
             system.create_dir(where, recursive=True)
-            path = f"{where}/{r.page}.xml"
+            path = f"{where}/{r.name}"
             with system.open_output_stream(f"{path}.{attempt}.part", compression=None) as out:
-                out.write(r.xml.encode())
+                out.write(r.data)
             system.move(f"{path}.{attempt}.part", path)
 
-    rows.select("document", "page", "xml").foreachPartition(run)
+    rows.select("document", "name", "data").foreachPartition(run)
+
+
+def write_pages(rows: DataFrame, folder: str, *, files: bool = False) -> None:
+    """(document, page, xml) as text, a folder for each document.
+
+    files: a file for each page instead of Spark's part files; see write_files().
+    """
+    if files:
+        write_files(rows.select("document", F.concat("page", F.lit(".xml")).alias("name"), F.col("xml").cast("binary").alias("data")), folder)
+    else:
+        rows.select("document", F.col("xml").alias("value")).write.partitionBy("document").text(folder)

@@ -39,10 +39,20 @@ def read_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return _pages(rows, place(F.col("_metadata.file_path")))
 
 
-def parsed_pages(rows: DataFrame) -> DataFrame:
-    """The same for rows (document, page, xml: text). What is no XML has nulls only."""
-    fields = rows.select("document", "page", F.from_xml("xml", SCHEMA, {"ignoreNamespace": "true"}).alias("x"))
-    return _pages(fields.select("document", "page", "x.*"), {"document": F.col("document"), "page": F.col("page")})
+def parsed_pages(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The same for rows (document, page, xml: text), with the columns in keep. What is no XML has nulls only."""
+    names = ("document", "page", *keep)
+    fields = rows.select(*names, F.from_xml("xml", SCHEMA, {"ignoreNamespace": "true"}).alias("x"))
+    return _pages(fields.select(*names, "x.*"), {n: F.col(n) for n in names})
+
+
+def whole_text(blocks: Column) -> Column:
+    """All texts of a page's lines, ignored zones too, in the order of the document, joined by spaces: page_texts() of one row, so that a
+    stream has it without state."""
+    contents = lambda line: F.filter(F.transform(line["String"], lambda s: s["_CONTENT"]), lambda c: c.isNotNull() & (c != ""))
+    lines = F.flatten(F.transform(F.coalesce(blocks, F.array()), lambda b: F.coalesce(b["TextLine"], F.array())))
+    texts = F.filter(F.transform(lines, lambda x: F.coalesce(contents(x), F.array())), lambda c: F.size(c) > 0)
+    return F.array_join(F.transform(texts, lambda c: F.array_join(c, " ")), " ")
 
 
 def _pages(rows: DataFrame, names: dict[str, Column]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from foliomill.functions import text as T
-from foliomill.sources.alto import place
+from foliomill.sources.alto import parsed_pages, place, whole_text
 
 
 def arriving(spark: SparkSession, folder: str, *, files_at_once: int = 1000) -> DataFrame:
@@ -19,12 +19,9 @@ def arriving(spark: SparkSession, folder: str, *, files_at_once: int = 1000) ->
 
 
 def texts(pages: DataFrame) -> DataFrame:
-    """pages with text: all contents of a page, cleaned; prefixes of names do not matter, and a broken file has none."""
-    contents = F.regexp_extract_all("xml", F.lit(r'<(?:\w+:)?String\b[^>]*?\bCONTENT="([^"]*)"'), F.lit(1))
-    text = F.array_join(F.filter(contents, lambda c: c != ""), " ")
-    for name, sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(sign))
-    return pages.select("document", "page", "arrived", T.cleaned(text).alias("text"))
+    """pages with text: all texts of a page's lines, cleaned, as the batch reader has them; a broken file has none."""
+    rows = parsed_pages(pages, ("arrived",))
+    return rows.select("document", "page", "arrived", T.cleaned(whole_text(F.col("blocks"))).alias("text"))
 
 
 def counts(page_texts: DataFrame, *, window: str = "10 minutes", late: str = "1 hour") -> DataFrame:

@@ -241,6 +241,13 @@ def test_stream(spark, folders):
     (folders / "truth" / "d2" / "p2.xml").write_text(page(["late"]))
     stream.write(rows, f"{folders}/out", f"{folders}/check").awaitTermination()
     assert spark.read.parquet(f"{folders}/out").count() == len(first) + 1
+    odd = page(["x"]).replace('CONTENT="x"', "CONTENT='one' WC=\"0.5\" STYLE=\"a>b\"/><String CONTENT=\"two&#10;x\"/><String CONTENT=\"\"").replace("CONTENT=\"12\"", 'CONTENT="three &lt; café"')
+    (folders / "truth" / "d2" / "p3.xml").write_text(odd)
+    stream.write(rows, f"{folders}/out", f"{folders}/check").awaitTermination()
+    batch = alto.page_texts(alto.lines(alto.read_pages(spark, f"{folders}/truth"), ignored=()))
+    want = {(r.document, r.page): r.text for r in batch.select("document", "page", T.cleaned(F.col("text")).alias("text")).collect()}
+    got = {(r.document, r.page): r.text for r in spark.read.parquet(f"{folders}/out").filter("text <> ''").collect()}
+    assert got == want and got["d2", "p3"] == "one two\nx three  café"
 
 
 def test_command_line(spark, folders):
@@ -371,8 +378,8 @@ def test_detector_set(spark, folders):
 
 
 def test_line_images(spark, folders):
-    rows = [("MS 1/a", "one", 300, 40), ("MS 1/a", "two", 200, 50), (None, None, 100, 30)]
-    spark.createDataFrame(rows, "shelfmark string, text string, width int, height int").write.parquet(f"{folders}/lines")
+    rows = [("MS 1/a", "one", 300, 40, b"1"), ("MS 1/a", "two", 200, 50, b"2"), (None, None, 100, 30, None)]
+    spark.createDataFrame(rows, "shelfmark string, text string, width int, height int, image binary").write.parquet(f"{folders}/lines")
     assert cli.main(["lines-to-alto", "-i", f"{folders}/lines", "-o", f"{folders}/single"]) == 0
     pages = alto.read_pages(spark, f"{folders}/single")
     lines = {r.page: r for r in alto.lines(pages).collect()}
@@ -380,6 +387,11 @@ def test_line_images(spark, folders):
     two = lines["MS_1_a_line_00002"]
     assert two.text == "two" and tuple(two.box) == (2, 2, 198, 48) and lines["unknown_line_00001"].text is None
     assert {r.image for r in pages.collect()} == {f"{p}.jpg" for p in lines}
+    assert {p.name: p.read_bytes() for p in (folders / "single").rglob("*.jpg")} == {"MS_1_a_line_00001.jpg": b"1", "MS_1_a_line_00002.jpg": b"2"}
+    same = [("s", "same", w, h, bytes([w])) for w, h in ((1, 2), (3, 4), (2, 2), (1, 2))]
+    same = spark.createDataFrame(same, "shelfmark string, text string, width int, height int, image binary")
+    names = lambda x: sorted((r.page, r.width) for r in out.named_line_images(x).collect())
+    assert names(same.repartition(3)) == names(same.orderBy(F.desc("width")).coalesce(1))
 
 
 def test_config():

@@ -58,8 +58,8 @@ def test_tags_types_and_rows(spark):
     assert tuple(row) == (43014, "HeadingLine", "DefaultLine", "1 0.250000 1.000000 0.500000 1.000000", "2 0.100000 1.000000", True)
 
 
-@pytest.mark.parametrize("band", [None, 50])
-def test_suppression_and_assignment(spark, band):
+@pytest.mark.parametrize("crowd", [None, 4096, 30, 3])
+def test_suppression_and_assignment(spark, crowd):
     rows = some_boxes(160, 2)
     gone = set()
     for p, i, a in rows:
@@ -67,17 +67,38 @@ def test_suppression_and_assignment(spark, band):
             if p == q and i < j and plain_iou(a, b) > 0.5:
                 small = (a[2] - a[0]) * (a[3] - a[1]) < (b[2] - b[0]) * (b[3] - b[1])
                 gone.add(i if small else j)
-    got = boxes.suppressed(frame(spark, rows), ["page"], band=band)
+    got = boxes.suppressed(frame(spark, rows), ["page"], crowd=crowd)
     assert {r.idx for r in got.collect()} == {i for _, i, _ in rows} - gone and gone
     zones, lines = rows[:40], rows[40:]
     want = {}
     for p, i, a in lines:
         best = [(plain_iou(a, b), -j) for q, j, b in zones if q == p and plain_iou(a, b) >= 0.001]
         want[i] = -max(best)[1] if best else None
-    found = boxes.assigned(frame(spark, lines), frame(spark, zones), ["page"], band=band).collect()
+    found = boxes.assigned(frame(spark, lines), frame(spark, zones), ["page"], crowd=crowd).collect()
     assert {r.idx: r.zone for r in found} == want
 
 
+def test_a_crowded_page_is_cut_into_cells(spark):
+    """One page of 20,000 boxes: the same links as by a plain sweep, and no task that meets all of it."""
+    draw = np.random.default_rng(2)
+    low = draw.integers(0, 20_000, size=(20_000, 2))
+    size = draw.integers(5, 60, size=(20_000, 2))
+    x = np.concatenate([low, low + size], 1)
+    rows = [(1, i, tuple(map(int, b))) for i, b in enumerate(x)] + [(1, 20_000, (0, 0, 20_100, 20_100)), (2, 0, (0, 0, 5, 5)), (2, 1, (4, 4, 9, 9))]
+    x = np.concatenate([x, [(0, 0, 20_100, 20_100)]])
+    want = set()
+    order_ = np.argsort(x[:, 0], kind="stable")
+    starts = x[order_, 0]
+    for k in order_.tolist():
+        near = order_[: np.searchsorted(starts, x[k, 2])]
+        hit = near[(x[near, 2] > x[k, 0]) & (x[near, 1] < x[k, 3]) & (x[near, 3] > x[k, 1]) & (near > k)]
+        want |= {(1, k, j) for j in hit.tolist()}
+    got = boxes.overlaps(frame(spark, rows), frame(spark, rows), ["page"], F.col("a_idx") < F.col("b_idx"), crowd=500)
+    assert {(r.page, r.a_idx, r.b_idx) for r in got.collect()} == want | {(2, 0, 1)}
+    grid = boxes.crowded([boxes._flat(frame(spark, rows), ["page"], "a")], ["page"], 500).collect()
+    assert len(grid) == 1 and 20_100 / grid[0].wide == pytest.approx(7)
+
+
 def test_chain_of_doubles(spark):
     rows = [(1, 0, (0, 0, 100, 100)), (1, 1, (0, 0, 100, 60)), (1, 2, (0, 0, 100, 33))]
     assert [r.idx for r in boxes.suppressed(frame(spark, rows), ["page"]).collect()] == [0]

@@ -266,3 +266,25 @@ def test_resampling(spark):
     got = {r.id: r.copies for r in rollup.resampled(weighted, "id", 19000, parts=4).collect()}
     assert sum(got.values()) == 19000 and abs(got[3] - 10000) < 500 and all(abs(got[i] - 1000) < 200 for i in got if i != 3)
     assert rollup.resampled(weighted.limit(0), "id", 10).count() == 0
+
+
+def test_resampling_equals_a_walk_along_the_line(spark):
+    """Draws by draws against a plain search, whatever the ranges; weights of zero and null are never drawn; no join on a range."""
+    draw = np.random.default_rng(7)
+    weights = [(i, float(w)) for i, w in enumerate(draw.choice([0.0, 0.5, 1.0, 30.0], size=300))] + [(300, None), (301, -1.0)]
+    frame = spark.createDataFrame(weights, "id long, weight double").repartition(7)
+    points = {r.draw: r.u for r in rollup.draws(spark, 5000, 3).collect()}
+    ends = np.cumsum([max(0.0, w or 0.0) for _, w in weights])
+    want = np.bincount(np.searchsorted(ends, [u * ends[-1] for u in points.values()], side="right"), minlength=302)
+    for parts in (1, 3, 16):
+        rows = rollup.resampled(frame, "id", 5000, seed=3, parts=parts)
+        assert {r.id: r.copies for r in rows.collect()} == {i: n for i, n in enumerate(want.tolist()) if n}
+    assert "CartesianProduct" not in rows._jdf.queryExecution().toString() and "NestedLoop" not in rows._jdf.queryExecution().toString()
+
+
+def test_last_before(spark):
+    marks = spark.createDataFrame([(1.0, 5), (1.0, 7), (4.0, 2)], "at double, k int")
+    points = spark.createDataFrame([(0.5, "a"), (1.0, "b"), (3.9, "c"), (4.0, "d"), (9.0, "e")], "at double, name string")
+    for parts in (1, 5):
+        got = {r.name: r.k for r in rollup.last_before(points, marks, "at", "k", parts=parts).collect()}
+        assert got == {"a": None, "b": 7, "c": 7, "d": 2, "e": 2}
\ No newline at end of file
