@@ -18,13 +18,21 @@ def _nearest_words(x: np.ndarray, words: np.ndarray) -> np.ndarray:
     return (x * x).sum(1)[:, None] - 2 * x @ words.T + (words * words).sum(1)[None]
 
 
+def _sums(x: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sums of the rows of x by their number in at, counts) for numbers below k."""
+    order = np.argsort(at, kind="stable")
+    counts = np.bincount(at, minlength=k)
+    out = np.zeros((k, x.shape[1]), x.dtype)
+    filled = np.flatnonzero(counts)
+    out[filled] = np.add.reduceat(x[order], (np.cumsum(counts) - counts)[filled], axis=0)
+    return out, counts
+
+
 def _kmeans(x: np.ndarray, k: int, rounds: int, draw: np.random.Generator) -> np.ndarray:
     words = x[draw.choice(len(x), k, replace=False)].copy()
     for _ in range(rounds):
         nearest = _nearest_words(x, words).argmin(1)
-        counts = np.bincount(nearest, minlength=k)
-        sums = np.zeros_like(words)
-        np.add.at(sums, nearest, x)
+        sums, counts = _sums(x, nearest, k)
         words = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], words)
     return words
 
@@ -73,9 +81,7 @@ def train(x: np.ndarray, n_books: int = 32, n_words: int = 128, *, rounds: int =
         for _ in range(3):
             for m, own in enumerate(codes.T):
                 rest += out[m][own]
-                counts = np.bincount(own, minlength=n_words)
-                sums = np.zeros_like(out[m])
-                np.add.at(sums, own, rest)
+                sums, counts = _sums(rest, own, n_words)
                 out[m] = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], out[m])
                 rest -= out[m][own]
     return out

@@ -132,12 +132,13 @@ def _plan(spark, steps: list[tuple[Blocks, int]], cycle: int) -> DataFrame:
 
 def mix(
     docs: DataFrame, weights: Mapping[str | None, float] | None = None, *, temperature: float = 0.7, block_bytes: int = 1 << 18,
-    cycle: int = 1024, most_sources: int = 100_000, part_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    most_slots: int = 4_000_000, cycle: int = 1024, most_sources: int = 100_000, part_bytes: int = 64 << 20, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
     """All rows of docs, in partitions and rows ordered by an interleaving of their sources.
 
     A source's rows, in the order of a hash and then the id, are cut into blocks of block_bytes (UTF-8
-    bytes of the text plus 1; a row belongs where it begins). Blocks are laid out by Pfair windows and
+    bytes of the text plus 1; a row belongs where it begins), or of as many more as keep the blocks of all at most_slots, so that
+    dealing them stays a matter of seconds however large the corpus is. Blocks are laid out by Pfair windows and
     earliest deadlines, so at any point a source's blocks differ from what its weight asks for by less than
     one. A source that ends leaves the others their weights among themselves: every row comes once, none is
     repeated or dropped. Weights are taken as they are, not rounded.
@@ -162,6 +163,7 @@ def mix(
     by_source = {r["_source"]: r["n"] for r in rows.groupBy("_source").agg(F.sum("size_").alias("n")).limit(most_sources + 1).collect()}
     if len(by_source) > most_sources:
         raise ValueError(f"over {most_sources} sources")
+    block_bytes = max(block_bytes, -(-sum(by_source.values()) // most_slots))
     parts = common.parts_for(spark, sum(by_source.values()), part_bytes)
     rows = rows.withColumn("_hash", F.xxhash64(id_col, text_col, "_place")).withColumn("_part", F.pmod("_hash", F.lit(parts)).cast("int")).drop("_place")
 

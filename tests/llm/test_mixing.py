@@ -183,3 +183,19 @@ def test_many_sources_are_dealt_in_good_time():
     blocks = {f"s{i}": draw.choice([1, 2, 3]) for i in range(20000)}
     order = whole_order(blocks, {s: n**0.7 for s, n in blocks.items()})
     assert Counter(order) == Counter(blocks)
+
+
+def test_blocks_grow_so_that_slots_stay_few(spark):
+    """With most_slots below the blocks of block_bytes, blocks are larger, and no source is off its target by more than one."""
+    docs = spark.createDataFrame([(i, "x" * (i % 50), "ab"[i % 3 == 0]) for i in range(3000)], "doc_id long, text string, source string")
+    rows = mixing.mix(docs, {"a": 1.0, "b": 3.0}, block_bytes=100, most_slots=40).collect()
+    total = sum(r.size_ for r in rows)
+    assert len(rows) == 3000 and max(r.slot_ for r in rows) <= 41 and len({(r.source, r.block_) for r in rows}) <= 42
+    size, had = -(-total // 40), {"a": set(), "b": set()}
+    assert all(sum(r.size_ for r in rows if (r.source, r.block_) == k) < 2 * size for k in {(r.source, r.block_) for r in rows})
+    last = min(max(r.slot_ for r in rows if r.source == s) for s in "ab")
+    for r in sorted(rows, key=lambda r: r.slot_):
+        had[r.source].add(r.block_)
+        if r.slot_ <= last:
+            n = r.slot_ + 1
+            assert abs(len(had["a"]) - n / 4) <= 1 + 1e-9
