@@ -1,4 +1,4 @@
-"""Command line: python -m foliomill.cli score|predict|print|study|lines-to-alto|prepare-yolo-lines ..."""
+"""Command line: python -m foliomill.cli score|predict|print|study|clean|lines-to-alto|prepare-yolo-lines ..."""
 
 from __future__ import annotations
 
@@ -17,6 +17,7 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("-p", "--found", required=True)
     score.add_argument("-o", "--output", required=True)
     score.add_argument("--metadata", action="store_true", help="score by what metadata.json says of documents")
+    score.add_argument("--tables", help="a folder that keeps parsed pages, so that only new and changed files are opened")
     predict = commands.add_parser("predict", help="find blocks and lines and recognise texts, of pages that are not done yet")
     predict.add_argument("-t", "--task", choices=("layout", "line", "htr", "all"), default="all")
     predict.add_argument("-c", "--config", required=True)
@@ -33,6 +34,10 @@ def parser() -> argparse.ArgumentParser:
     images = commands.add_parser("lines-to-alto", help="pages of one line from Parquet rows of line images")
     images.add_argument("-i", "--input", required=True)
     images.add_argument("-o", "--output", required=True)
+    clean = commands.add_parser("clean", help="clean the texts of all pages; all else in the files stays")
+    clean.add_argument("-i", "--input", required=True)
+    clean.add_argument("-o", "--output", help="a folder for the pages; without it they are changed where they are")
+    clean.add_argument("--extended", action="store_true", help="replace the extended set of signs too")
     yolo = commands.add_parser("prepare-yolo-lines", help="labels, images and data.yaml for a detector of lines")
     yolo.add_argument("-i", "--input", required=True)
     yolo.add_argument("-o", "--output", required=True)
@@ -44,12 +49,13 @@ def main(arguments: list[str] | None = None) -> int:
     a = parser().parse_args(arguments)
     from foliomill.plans import chain, config, reports, tasks
     from foliomill.sinks import alto as out_alto
-    from foliomill.sinks import exports
-    from foliomill.sources import alto, files
+    from foliomill.sinks import exports, paths
+    from foliomill.sources import alto, files, page_table
 
     spark = SparkSession.builder.appName("foliomill").getOrCreate()
     if a.command == "score":
-        truth, found = alto.read_pages(spark, a.truth), alto.read_pages(spark, a.found)
+        kept = lambda root, name: page_table.PageTable(spark, root, f"{a.tables}/{name}").refresh() if a.tables else alto.read_pages(spark, root)
+        truth, found = kept(a.truth, "truth"), kept(a.found, "found")
         listed = files.structure(files.listed(spark, a.truth, "*.xml")).first()
         if not listed.ok:
             raise SystemExit(f"no pages in {a.truth}")
@@ -83,6 +89,13 @@ def main(arguments: list[str] | None = None) -> int:
         rows = reports.with_densities(reports.scored_texts(scores, texts))
         exports.write_csv(rows, f"{a.output}/scores_with_density.csv")
         exports.write_csv(reports.density_study(rows), f"{a.output}/correlation.csv")
+    elif a.command == "clean":
+        texts = out_alto.with_clean_texts(page_table.opened(page_table.listed(spark, a.input)).filter("xml is not null"), a.extended)
+        below = F.substring_index(files.decoded(F.col("path")), a.input.rstrip("/") + "/", -1)
+        rows = texts.select(F.regexp_extract(below, r"^(.*)/[^/]*$", 1).alias("document"), F.regexp_extract(below, r"([^/]*)$", 1).alias("name"), F.encode("xml", "UTF-8").alias("data"), "modified")
+        rows = paths.written(rows, "clean-pages")  # before the files it was read from are replaced
+        out_alto.write_files(rows if a.output else rows.filter("modified > 0"), a.output or a.input)
+        rows.agg(F.count("*").alias("pages"), F.sum("modified").alias("modified")).show()
     elif a.command == "lines-to-alto":
         rows = files.line_images(spark, a.input)
         out_alto.write_pages(out_alto.from_line_images(rows), a.output, files=True)

@@ -40,12 +40,14 @@ def _cell(value: Column, low: str, step: str) -> Column:
 
 def _meetings(a: DataFrame, b: DataFrame, page: list[str], also: Column | None = None, *, crowd: int | None = 4096) -> DataFrame:
     """Pairs of rows of one page (page columns, a_idx, a_x1, ..., b_idx, ...) that share some area and for which also holds. A null page
-    meets none. crowd: boxes that a page may have before it is cut into cells (None: pages are never cut)."""
+    meets none. crowd: boxes that a page may have before it is cut into cells (None: pages are never cut). Whether any page has more is
+    counted first, over the page columns alone; where none has, there are no cells."""
     left, right = _flat(a, page, "a"), _flat(b, page, "b")
     low = {s: F.greatest(f"a_{s}", f"b_{s}") for s in ("x1", "y1")}
     fits = (low["x1"] < F.least("a_x2", "b_x2")) & (low["y1"] < F.least("a_y2", "b_y2"))
     fits = fits if also is None else fits & also
-    if crowd is None:
+    names = a.select(*page) if a is b else a.select(*page).unionByName(b.select(*page))
+    if crowd is None or names.groupBy(*page).count().filter(F.col("count") > crowd).isEmpty():
         return _joined(left, right, page, fits)
     grid = crowded([left] if a is b else [left, right], page, crowd)
     reach = lambda n, s, step: F.sequence(_cell(F.col(f"{n}_{s}1"), f"low_{s}", step), _cell(F.col(f"{n}_{s}2"), f"low_{s}", step))

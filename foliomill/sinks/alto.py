@@ -25,6 +25,35 @@ def escaped(value: Column) -> Column:
     return value
 
 
+def unescaped(value: Column) -> Column:
+    """The value of an attribute as it stands in a file: named and numbered signs replaced."""
+    parts = F.regexp_extract_all(value, F.lit(r"(&#x?[0-9A-Fa-f]+;|[^&]+|&)"), F.lit(1))
+
+    def sign(p: Column) -> Column:
+        code = F.when(p.startswith("&#x"), F.conv(F.regexp_extract(p, "&#x([0-9A-Fa-f]+);", 1), 16, 10)).otherwise(F.regexp_extract(p, "&#([0-9]+);", 1))
+        utf32 = F.lpad(F.hex(code.try_cast("int")), 8, "0")
+        return F.when(p.startswith("&#") & p.endswith(";"), F.coalesce(F.decode(F.unhex(utf32), "UTF-32"), p)).otherwise(p)
+
+    out = F.array_join(F.transform(parts, sign), "")
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
+def with_clean_texts(pages: DataFrame, extended: bool = False) -> DataFrame:
+    """pages (xml, ...) with xml, whose texts are cleaned and all else is as it was, and modified: how many texts that changed."""
+    before, value = (F.regexp_extract_all("xml", F.lit(r"""(?s)(.*?\sCONTENT\s*=\s*)("[^"]*"|'[^']*')"""), F.lit(i)) for i in (1, 2))
+    rows = pages.withColumns({"_before": before, "_value": value})
+    old = F.transform("_value", lambda v: unescaped(F.substring(v, F.lit(2), F.length(v) - 2)))
+    rows = rows.withColumn("_old", old).withColumn("_new", F.transform("_old", lambda v: T.cleaned(v, extended)))
+    rows = rows.withColumn("_same", F.zip_with("_old", "_new", lambda a, b: a == b))
+    kept = F.transform("_value", lambda v, i: F.when(F.get("_same", i), v).otherwise(F.concat(F.lit('"'), escaped(F.get("_new", i)), F.lit('"'))))
+    whole = F.array_join(F.zip_with("_before", kept, lambda a, b: F.concat(a, b)), "")
+    size = F.length(F.array_join(F.zip_with("_before", "_value", lambda a, b: F.concat(a, b)), ""))
+    rows = rows.withColumn("modified", F.size(F.filter("_same", lambda s: ~s)))
+    return rows.withColumn("xml", F.concat(whole, F.substring("xml", size + 1, F.length("xml")))).drop("_before", "_value", "_old", "_new", "_same")
+
+
 def element(name: str, attributes: dict[str, Column], inner: Column | None = None) -> Column:
     """An element; attributes that are null are left out."""
     parts = [F.coalesce(F.concat(F.lit(f' {k}="'), escaped(v.cast("string")), F.lit('"')), F.lit("")) for k, v in attributes.items()]

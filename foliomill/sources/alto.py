@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from foliomill.functions import geometry as G
 from foliomill.functions import text as T
+from foliomill.sources import files
 
 # Zones that hold no running text.
 IGNORED_ZONES = ("DigitizationArtefactZone", "MarginTextZone", "NumberingZone", "DropCapitalZone")
@@ -29,7 +30,7 @@ SCHEMA = (
 
 def place(path: Column) -> dict[str, Column]:
     """Document (the folder) and page (the name without its ending) of a file."""
-    return {"document": F.url_decode(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)), "page": F.url_decode(F.regexp_extract(path, r"([^/]+?)(\.[^./]+)?$", 1))}
+    return {"document": files.decoded(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)), "page": files.decoded(F.regexp_extract(path, r"([^/]+?)(\.[^./]+)?$", 1))}
 
 
 def read_pages(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -15,10 +15,15 @@ IMAGES = (".jpg", ".jpeg", ".png", ".tif", ".tiff")
 SPLITS = {"train": ("train", "training"), "val": ("val", "valid", "validation", "dev"), "test": ("test", "testing")}
 
 
+def decoded(path: Column) -> Column:
+    """A path as it is, of one that is encoded as in a URI, where a plus sign stands for itself."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def listed(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """(path, folder, stem, ending, depth) of files in root (depth 0) and its folders that are not hidden (depth 1). Spark lists no empty files."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    path = F.url_decode(F.col("_metadata.file_path"))
+    path = decoded(F.col("_metadata.file_path"))
     rows = files.select(path.alias("path"))
     base = root.rstrip("/").removeprefix("file://").rstrip("/") + "/"
     below = F.substring_index("path", base, -1)
@@ -107,7 +112,7 @@ def parsed(json: Column) -> Column:
 def metadata(spark: SparkSession, root: str) -> DataFrame:
     """(document, metadata: map<string, string>) of metadata.json files; what is no JSON object gives no row."""
     files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "metadata.json").text(root)
-    document = F.url_decode(F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1))
+    document = decoded(F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1))
     return files.select(document.alias("document"), parsed(F.col("value")).alias("metadata")).filter("metadata is not null")
 
 
