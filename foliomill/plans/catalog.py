@@ -763,3 +763,94 @@ def recognised_in_order(spark, sf_dir):
 def training_blocks(spark, sf_dir):
     lines = document_lines(spark, sf_dir).select(F.lit("d").alias("document"), F.col("doc_id").alias("page"), "idx", "text")
     return tasks.training_blocks(lines).select(F.col("page").alias("doc_id"), "chunk", F.md5("text").alias("digest"))
+
+
+# Boxes with several confidences, found in their order: a curve of several points.
+_FOUND = f"""
+    b AS ({BOXES}), f AS (SELECT *, (x1 % 4) / 4.0 AS confidence, row_number() OVER (PARTITION BY page ORDER BY (x1 % 4) DESC, idx) AS k FROM b WHERE idx % 2 = 1),
+      m AS (SELECT a.page, a.k, a.idx, a.confidence, list({{'iou': {IOU}, 'idx': b.idx}} ORDER BY {IOU} DESC, b.idx) AS near FROM f a JOIN b ON a.page = b.page AND b.idx % 2 = 0 GROUP BY ALL),
+      th AS (SELECT round(0.5 + 0.05 * i, 2)::DOUBLE AS threshold FROM range(10) t(i)),
+      s AS (SELECT DISTINCT m.page, th.threshold, 0 AS k, CAST([] AS INT[]) AS used, 0 AS hit, 0 AS idx, 0.0::DOUBLE AS confidence FROM m, th UNION ALL
+        SELECT page, threshold, k, CASE WHEN best.iou >= threshold THEN list_append(used, best.idx) ELSE used END, CASE WHEN best.iou >= threshold THEN 1 ELSE 0 END, idx, confidence FROM (
+          SELECT s.page, s.threshold, m.k, m.idx, m.confidence::DOUBLE AS confidence, s.used, list_filter(m.near, lambda x: NOT list_contains(s.used, x.idx))[1] AS best FROM s JOIN m ON m.page = s.page AND m.k = s.k + 1)),
+      h AS (SELECT page % 20 AS document, page, threshold, idx, confidence, hit FROM s WHERE k > 0)
+"""
+
+
+def _found_boxes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(hits of boxes with odd numbers on those with even ones, true boxes), with a document for each twenty pages."""
+    rows = page_boxes(spark, sf_dir).withColumn("document", F.col("page") % 20)
+    truth = rows.filter("idx % 2 = 0").select("document", "page", "idx", "box")
+    found = rows.filter("idx % 2 = 1").select("document", "page", F.col("idx").cast("long").alias("idx"), "box", (F.col("box.x1") % 4 / 4.0).alias("confidence"))
+    return detection.hits(truth, found, ["document", "page"]), truth
+
+
+@query(f"""
+    WITH RECURSIVE {_FOUND}, l AS (SELECT threshold, confidence, sum(hit) AS tp, count(*) AS n FROM h GROUP BY ALL), t AS (SELECT count(*) AS total FROM b WHERE idx % 2 = 0),
+      c AS (SELECT threshold, confidence, sum(tp) OVER w / sum(n) OVER w AS p, sum(tp) OVER w / total AS r FROM l, t WINDOW w AS (PARTITION BY threshold ORDER BY confidence DESC)),
+      e AS (SELECT threshold, confidence, p, r, max(p) OVER (PARTITION BY threshold ORDER BY confidence ROWS UNBOUNDED PRECEDING) AS best, r - coalesce(lag(r) OVER (PARTITION BY threshold ORDER BY confidence DESC), 0) AS step FROM c)
+    SELECT threshold, round(sum(best * step), 9) AS ap, round(min_by(p, confidence), 9) AS precision, round(max(r), 9) AS recall FROM e GROUP BY threshold
+""")
+def map_curve(spark, sf_dir):
+    curve = detection.average_precision(*_found_boxes(spark, sf_dir))
+    return curve.select("threshold", *[F.round(c, 9).alias(c) for c in ("ap", "precision", "recall")])
+
+
+# The same by document, and means of the curve that has a point for each box; the mean of documents counts each once.
+@query(f"""
+    WITH RECURSIVE {_FOUND}, t AS (SELECT page % 20 AS document, count(*) AS total FROM b WHERE idx % 2 = 0 GROUP BY 1),
+      l AS (SELECT document, threshold, confidence, sum(hit) AS tp, count(*) AS n FROM h GROUP BY ALL),
+      c AS (SELECT document, threshold, confidence, sum(tp) OVER w / sum(n) OVER w AS p, sum(tp) OVER w / total AS r FROM l JOIN t USING (document) WINDOW w AS (PARTITION BY document, threshold ORDER BY confidence DESC)),
+      e AS (SELECT document, threshold, max(p) OVER (PARTITION BY document, threshold ORDER BY confidence ROWS UNBOUNDED PRECEDING) * (r - coalesce(lag(r) OVER (PARTITION BY document, threshold ORDER BY confidence DESC), 0)) AS area FROM c),
+      a AS (SELECT document, threshold, sum(area) AS ap FROM e GROUP BY ALL),
+      q AS (SELECT document, sum(hit) OVER w / count(*) OVER w AS p, sum(hit) OVER w / total AS r FROM h JOIN t USING (document) WHERE threshold = 0.75 WINDOW w AS (PARTITION BY document ORDER BY confidence DESC, page, idx ROWS UNBOUNDED PRECEDING)),
+      k AS (SELECT document, 'dataset_test/map50-95' AS key, avg(ap) AS value FROM a GROUP BY document UNION ALL SELECT document, 'dataset_test/map50', ap FROM a WHERE threshold = 0.5 UNION ALL
+        SELECT document, 'dataset_test/map75', ap FROM a WHERE threshold = 0.75 UNION ALL SELECT document, 'dataset_test/precision', avg(p) FROM q GROUP BY document UNION ALL SELECT document, 'dataset_test/recall', avg(r) FROM q GROUP BY document)
+    SELECT key, round(avg(value), 9) AS value, count(*) AS documents FROM k GROUP BY key
+""")
+def dataset_scores(spark, sf_dir):
+    hits, truth = _found_boxes(spark, sf_dir)
+    each = detection.dataset_scores(hits, truth, ["document", "page"], ["document"])
+    counts = each.groupBy("key").agg(F.count("*").alias("documents"))
+    return rollup.over_documents(each).join(counts, "key").select("key", F.round("value", 9).alias("value"), "documents")
+
+
+# A conversation is a document, its turns pages: rates of each, and their mean, in which each counts once.
+@query(f"""
+    WITH r AS (SELECT conv_id, sum(levenshtein(truth_code, found_code)) / sum(length(truth)) AS cer, sum(length(found)) AS chars FROM ({_PAIRS}) GROUP BY conv_id HAVING sum(length(truth)) > 0)
+    SELECT 'score/cer' AS key, round(avg(cer), 9) AS value FROM r UNION ALL SELECT 'total/total_chars', CAST(sum(chars) AS DOUBLE) FROM r
+""")
+def document_means(spark, sf_dir):
+    rates = errors.rates(errors.with_edits(turn_pairs(spark, sf_dir)), ["conv_id"]).filter("cer is not null")
+    each = rollup.long_form(rates.select("conv_id", F.col("cer").alias("score/cer"), F.col("total_chars").cast("double").alias("total/total_chars")), ["conv_id"], ["score/cer", "total/total_chars"])
+    return rollup.over_documents(each).select("key", F.round("value", 9).alias("value"))
+
+
+# A source is a folder of images, a document one of them. Three stubs: two blocks, the lower found first and one twice; two lines in each; texts.
+@query("""
+    SELECT coalesce(source, '') AS document, 'p' || doc_id AS page, CAST(k // 2 AS INT) AS zone, 'block_' || (k // 2) AS zone_id, 'MainZone' AS region, 'line_' || k AS id,
+      10 AS x1, CAST(CASE WHEN k < 2 THEN 10 + 70 * k ELSE 160 + 65 * (k - 2) END AS INT) AS y1, 390 AS x2, CAST(CASE WHEN k < 2 THEN 80 + 70 * k ELSE 225 + 65 * (k - 2) END AS INT) AS y2, 'w line_' || k AS text
+    FROM documents, range(4) t(k)
+""")
+def chained_prediction(spark, sf_dir):
+    names = table(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("")).alias("document"), F.concat(F.lit("p"), "doc_id").alias("page"))
+    images = names.withColumn("image", F.concat(F.lit("/images/"), "page", F.lit(".jpg")))
+    boxes_ = [["MainZone", 10, 160, 390, 290], ["MainZone", 10, 10, 390, 150], ["MainZone", 12, 12, 390, 150], ["NumberingZone", 0, 0, 9, 9]]
+    layout = alto.parsed_pages(tasks.predict_layout(images, "StubLayout", {"width": 400, "height": 300, "boxes": boxes_}))
+    lines = alto.parsed_pages(tasks.predict_lines(layout, images, "StubLine", {"lines": 2}))
+    pages = alto.parsed_pages(tasks.predict_pages(lines, names.limit(0), "StubHTR", {"text": "w {id}"}))
+    return alto.lines(pages).select("document", "page", "zone", "zone_id", "region", "id", "box.*", "text")
+
+
+# Texts of files, cleaned where they stand.
+@query(f"""
+    SELECT 'd' || page % 7 AS document, 'p' || page AS page, CAST(idx - 1 AS BIGINT) AS idx, nullif({_CLEANED.replace("html", "t")}, '') AS text
+    FROM (SELECT page, idx, CASE WHEN flag <> 'N' THEN 'é & "' || idx || '" <b> [v]' ELSE '' END AS t FROM ({BOXES}))
+""")
+def cleaned_files(spark, sf_dir):
+    rows = page_boxes(spark, sf_dir).select(F.concat(F.lit("d"), F.col("page") % 7).alias("document"), F.concat(F.lit("p"), "page").alias("page"), "idx", "box", "flag")
+    text = F.when(F.col("flag") != "N", F.concat(F.lit('é & "'), "idx", F.lit('" <b> [v]'))).otherwise("")
+    line = out_alto.element("TextLine", {"ID": F.col("idx")}, out_alto.element("String", {"CONTENT": text}))
+    pages = rows.groupBy("document", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", line.alias("l")))), lambda x: x["l"]), "").alias("l"))
+    xml = F.concat(F.lit('<alto><Layout><Page WIDTH="9" HEIGHT="9"><PrintSpace><TextBlock ID="b">'), "l", F.lit("</TextBlock></PrintSpace></Page></Layout></alto>"))
+    return alto.lines(alto.parsed_pages(out_alto.with_clean_texts(pages.select("document", "page", xml.alias("xml"))))).select("document", "page", "idx", "text")
