@@ -47,12 +47,19 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> int:
     a = parser().parse_args(arguments)
+    from foliomill.sinks import paths
+
+    spark = SparkSession.builder.appName("foliomill").getOrCreate()
+    with paths.run(spark, a.command):  # what commands write by the way goes when they end
+        return ran(spark, a)
+
+
+def ran(spark: SparkSession, a: argparse.Namespace) -> int:
     from foliomill.plans import chain, config, reports, tasks
     from foliomill.sinks import alto as out_alto
     from foliomill.sinks import exports, paths
     from foliomill.sources import alto, files, page_table
 
-    spark = SparkSession.builder.appName("foliomill").getOrCreate()
     if a.command == "score":
         kept = lambda root, name: page_table.PageTable(spark, root, f"{a.tables}/{name}").refresh() if a.tables else alto.read_pages(spark, root)
         truth, found = kept(a.truth, "truth"), kept(a.found, "found")

@@ -106,6 +106,20 @@ def cumulated(rows: DataFrame, order: Sequence[str], value: str, name: str, *, p
     return out.drop("_part", "_before")
 
 
+def numbered(rows: DataFrame, key: str, order: Sequence[str], name: str, *, parts: int | None = None) -> DataFrame:
+    """rows with name: a row's number among those of its key, from 1, by order. A key's rows are numbered range by range, and go on from what
+    the ranges before have, so a key may have most rows."""
+    placed = dealt(rows, [key, *order], parts)
+    counts = placed.groupBy(key, "_part").agg(F.count("*").alias("_n"))
+    along = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # ranges of a key
+    # only a key that goes on from an earlier range has some before, one at most in each range
+    before = counts.select(key, "_part", F.sum("_n").over(along).alias("_before")).filter("_before is not null")
+    on = placed[key].eqNullSafe(F.col("_key")) & (placed["_part"] == F.col("_at"))
+    out = placed.join(F.broadcast(before.withColumnsRenamed({key: "_key", "_part": "_at"})), on, "left")
+    n = F.row_number().over(Window.partitionBy(key, "_part").orderBy(*order)) + F.coalesce("_before", F.lit(0))
+    return out.withColumn(name, n).drop("_part", "_key", "_at", "_before")
+
+
 def last_before(points: DataFrame, marks: DataFrame, at: str, key: str, *, parts: int | None = None) -> DataFrame:
     """points (at, ...) with key: that of the last of marks (at, key) at or before each; of marks at one place, the greatest key.
 

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from foliomill.functions import geometry as G
+from foliomill.operators import rollup
 from foliomill.sinks import paths
 
 
@@ -62,9 +62,9 @@ def conversation(prompt: Column, image: Column, answer: Column) -> Column:
 
 
 def numbered_names(rows: DataFrame, name: Column, order: Sequence[str]) -> DataFrame:
-    """rows with file: a safe name and the row's number among those of its name."""
-    n = F.row_number().over(Window.partitionBy("_name").orderBy(*order))
-    return rows.withColumn("_name", F.regexp_replace(name, r"[^\p{L}\p{N}_-]", "_")).withColumn("file", F.format_string("%s_line_%05d", "_name", n)).drop("_name")
+    """rows with file: a safe name and the row's number among those of its name, which may be the name of most rows."""
+    rows = rollup.numbered(rows.withColumn("_name", F.regexp_replace(name, r"[^\p{L}\p{N}_-]", "_")), "_name", order, "_number")
+    return rows.withColumn("file", F.format_string("%s_line_%05d", "_name", "_number")).drop("_name", "_number")
 
 
 def detector_set(rows: DataFrame, pages: DataFrame) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,11 +36,37 @@ def opened(uri: str):
 LOCAL_FOLDER = "/tmp/checkpoints"
 
 
+#: The folder, under the shared one, of the run that goes on in this thread; see run().
+_run: ContextVar[str] = ContextVar("_run", default="")
+
+
+@contextmanager
+def run(spark: SparkSession, name: str = "run", *, keep: bool = False) -> Iterator[str]:
+    """Within it, intermediate tables go to a folder of their own, whose path it gives; at the end, also after an error, the folder
+    is removed with all they hold, unless keep. Results that are read from such tables have to be written before it ends."""
+    folder = shared_folder(spark, name)
+    before = _run.set(folder)
+    try:
+        yield folder
+    finally:
+        _run.reset(before)
+        if not keep:
+            removed(spark, folder)
+
+
+def removed(spark: SparkSession, folder: str) -> bool:
+    """Removes a folder through Hadoop's file system, so wherever Spark writes; whether it was there."""
+    own = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(own, True)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir, the folder that the driver and all executors share.
+    """A new path under spark.checkpoint.dir, the folder that the driver and all executors share; within run(), under that run's.
 
     Where it is unset, a folder of this machine serves a local master; a cluster has none, which is an error.
     """
+    if own := _run.get():
+        return f"{own}/{name}-{uuid.uuid4().hex}"
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base and not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")

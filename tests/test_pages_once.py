@@ -3,7 +3,9 @@
 import os
 
 from foliomill import cli
+from foliomill.operators import rollup
 from foliomill.sinks import alto as out
+from foliomill.sinks import paths
 from foliomill.sources import alto, alto_source, page_table
 from pyspark.sql import functions as F
 
@@ -89,3 +91,35 @@ def test_clean_texts_in_place(spark, tmp_path):
     assert 'CONTENT="ivvo"' in (tmp_path / "in" / "d1" / "a.xml").read_text() and 'CONTENT="iuuo"' in (tmp_path / "copy" / "d1" / "a.xml").read_text()
     assert cli.main(["clean", "-i", f"{tmp_path}/in"]) == 0
     assert 'CONTENT="iuuo"' in (tmp_path / "in" / "d1" / "a.xml").read_text() and (tmp_path / "in" / "b.xml").stat().st_mtime_ns == before
+
+
+def test_a_run_leaves_no_tables(spark, tmp_path):
+    """Tables of a run are under its folder and go with it, also after an error; runs may stand in one another."""
+    rows = spark.range(5)
+    with paths.run(spark, "outer") as outer:
+        kept = paths.written(rows, "a")
+        with paths.run(spark, "inner") as inner:
+            assert inner.startswith(outer) and paths.written(rows, "b").count() == 5 and os.listdir(inner)
+        assert not os.path.exists(inner) and kept.count() == 5 and kept.inputFiles()[0].startswith("file:" + "//" * ("//" in kept.inputFiles()[0]) + outer)
+    assert not os.path.exists(outer)
+    try:
+        with paths.run(spark) as failed:
+            paths.written(rows, "a")
+            raise RuntimeError
+    except RuntimeError:
+        assert not os.path.exists(failed)
+    with paths.run(spark, keep=True) as left:
+        paths.written(rows, "a")
+    assert os.path.exists(left) and paths.removed(spark, left) and not os.path.exists(left)
+    assert not paths.shared_folder(spark, "x").startswith(outer)
+
+
+def test_numbers_within_a_key_that_has_most_rows(spark):
+    rows = [(k, i % 7, i) for i in range(400) for k in ([None] if i % 3 else ["a", "b"])]
+    frame = spark.createDataFrame(rows, "k string, o int, i int").repartition(6)
+    want = {}
+    for k in (None, "a", "b"):
+        want |= {(k, i): n for n, (_, i) in enumerate(sorted((o, i) for q, o, i in rows if q == k), 1)}
+    for parts in (1, 5, 20):
+        got = {(r.k, r.i): r.n for r in rollup.numbered(frame, "k", ["o", "i"], "n", parts=parts).collect()}
+        assert got == want
