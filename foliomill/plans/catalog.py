@@ -15,7 +15,7 @@ from foliomill.functions import text as T
 from foliomill.operators import boxes, detection, errors, order, rollup
 from foliomill.plans import reports, tasks
 from foliomill.sinks import alto as out_alto
-from foliomill.sinks import exports
+from foliomill.sinks import exports, paths
 from foliomill.sources import alto, files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -782,7 +782,7 @@ def _found_boxes(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     rows = page_boxes(spark, sf_dir).withColumn("document", F.col("page") % 20)
     truth = rows.filter("idx % 2 = 0").select("document", "page", "idx", "box")
     found = rows.filter("idx % 2 = 1").select("document", "page", F.col("idx").cast("long").alias("idx"), "box", (F.col("box.x1") % 4 / 4.0).alias("confidence"))
-    return detection.hits(truth, found, ["document", "page"]), truth
+    return paths.written(detection.hits(truth, found, ["document", "page"]), "hits"), truth
 
 
 @query(f"""
@@ -836,8 +836,9 @@ def chained_prediction(spark, sf_dir):
     names = table(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("")).alias("document"), F.concat(F.lit("p"), "doc_id").alias("page"))
     images = names.withColumn("image", F.concat(F.lit("/images/"), "page", F.lit(".jpg")))
     boxes_ = [["MainZone", 10, 160, 390, 290], ["MainZone", 10, 10, 390, 150], ["MainZone", 12, 12, 390, 150], ["NumberingZone", 0, 0, 9, 9]]
-    layout = alto.parsed_pages(tasks.predict_layout(images, "StubLayout", {"width": 400, "height": 300, "boxes": boxes_}))
-    lines = alto.parsed_pages(tasks.predict_lines(layout, images, "StubLine", {"lines": 2}))
+    parsed = lambda rows: paths.written(alto.parsed_pages(rows), "pages")
+    layout = parsed(tasks.predict_layout(images, "StubLayout", {"width": 400, "height": 300, "boxes": boxes_}))
+    lines = parsed(tasks.predict_lines(layout, images, "StubLine", {"lines": 2}))
     pages = alto.parsed_pages(tasks.predict_pages(lines, names.limit(0), "StubHTR", {"text": "w {id}"}))
     return alto.lines(pages).select("document", "page", "zone", "zone_id", "region", "id", "box.*", "text")
 

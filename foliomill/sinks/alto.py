@@ -27,7 +27,7 @@ def escaped(value: Column) -> Column:
 
 def unescaped(value: Column) -> Column:
     """The value of an attribute as it stands in a file: named and numbered signs replaced."""
-    parts = F.regexp_extract_all(value, F.lit(r"(&#x?[0-9A-Fa-f]+;|[^&]+|&)"), F.lit(1))
+    parts = F.when(value.contains("&#"), F.regexp_extract_all(value, F.lit(r"(&#x?[0-9A-Fa-f]+;|[^&]+|&)"), F.lit(1))).otherwise(F.array(value))
 
     def sign(p: Column) -> Column:
         code = F.when(p.startswith("&#x"), F.conv(F.regexp_extract(p, "&#x([0-9A-Fa-f]+);", 1), 16, 10)).otherwise(F.regexp_extract(p, "&#([0-9]+);", 1))
@@ -43,15 +43,18 @@ def unescaped(value: Column) -> Column:
 def with_clean_texts(pages: DataFrame, extended: bool = False) -> DataFrame:
     """pages (xml, ...) with xml, whose texts are cleaned and all else is as it was, and modified: how many texts that changed."""
     before, value = (F.regexp_extract_all("xml", F.lit(r"""(?s)(.*?\sCONTENT\s*=\s*)("[^"]*"|'[^']*')"""), F.lit(i)) for i in (1, 2))
-    rows = pages.withColumns({"_before": before, "_value": value})
-    old = F.transform("_value", lambda v: unescaped(F.substring(v, F.lit(2), F.length(v) - 2)))
-    rows = rows.withColumn("_old", old).withColumn("_new", F.transform("_old", lambda v: T.cleaned(v, extended)))
-    rows = rows.withColumn("_same", F.zip_with("_old", "_new", lambda a, b: a == b))
-    kept = F.transform("_value", lambda v, i: F.when(F.get("_same", i), v).otherwise(F.concat(F.lit('"'), escaped(F.get("_new", i)), F.lit('"'))))
-    whole = F.array_join(F.zip_with("_before", kept, lambda a, b: F.concat(a, b)), "")
-    size = F.length(F.array_join(F.zip_with("_before", "_value", lambda a, b: F.concat(a, b)), ""))
-    rows = rows.withColumn("modified", F.size(F.filter("_same", lambda s: ~s)))
-    return rows.withColumn("xml", F.concat(whole, F.substring("xml", size + 1, F.length("xml")))).drop("_before", "_value", "_old", "_new", "_same")
+    inside = lambda v: F.substring(v, F.lit(2), F.length(v) - 2)
+    pieces = F.zip_with(before, value, lambda b, v: F.struct(b.alias("before"), v.alias("value"), unescaped(inside(v)).alias("old")))
+    pieces = F.transform(pieces, lambda x: F.struct(x["before"].alias("before"), x["value"].alias("value"), x["old"].alias("old"), T.cleaned(x["old"], extended).alias("new")))
+    new = lambda x: F.when(x["old"] == x["new"], x["value"]).otherwise(F.concat(F.lit('"'), escaped(x["new"]), F.lit('"')))
+    made = F.struct(
+        F.array_join(F.transform("_pieces", lambda x: F.concat(x["before"], new(x))), "").alias("text"),
+        F.aggregate("_pieces", F.lit(0), lambda n, x: n + F.length(x["before"]) + F.length(x["value"])).alias("size"),
+        F.size(F.filter("_pieces", lambda x: x["old"] != x["new"])).alias("modified"),
+    )
+    rows = pages.withColumn("_pieces", pieces).withColumn("_made", made)
+    tail = F.substring("xml", F.col("_made.size") + 1, F.length("xml"))
+    return rows.withColumns({"xml": F.concat("_made.text", tail), "modified": F.col("_made.modified")}).drop("_pieces", "_made")
 
 
 def element(name: str, attributes: dict[str, Column], inner: Column | None = None) -> Column:
