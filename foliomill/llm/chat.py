@@ -144,6 +144,9 @@ def format_chats(
     Null texts and roles are empty. A null turn comes first; rows of one turn are ordered by role and
     text. Rows that are alike are turns each. A row without conv_id is a conversation by itself, so such rows do
     not gather in one task. An empty table gives no rows. Other columns are not read.
+
+    A very long text is rendered and encoded whole, like any other: a conversation, its ids and its offsets have to fit into a
+    worker. Offsets are of 32 bits, so a conversation of 2**31 code points and more raises an error instead of wrapping.
     """
     template = template or Template()
 
@@ -151,7 +154,9 @@ def format_chats(
         rendered = [template.render(own) for _, own in group]
         found = _tokenizer(tokenizer, template).encode_batch([text for text, _ in rendered], add_special_tokens=False)
         offsets, masks = [], []
-        for x, (_, spans), (_, own) in zip(found, rendered, group, strict=True):
+        for x, (text, spans), (_, own) in zip(found, rendered, group, strict=True):
+            if len(text) >= 1 << 31:
+                raise ValueError("a conversation of 2**31 code points or more")
             offsets.append(np.fromiter(chain.from_iterable(x.offsets), np.int32, 2 * len(x)).reshape(-1, 2))
             wanted = [span for span, (role, _) in zip(spans, own, strict=True) if role in loss_roles and span[0] < span[1]]
             masks.append(loss_mask(offsets[-1][:, 0], offsets[-1][:, 1], wanted))
