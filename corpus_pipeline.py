@@ -35,7 +35,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences, with their ids. Sequences are numbered along the order in which docs were written."""
+    """Pieces of training sequences, with their ids. Sequences are numbered along the order in which docs were written;
+    docs that are not read from files have no such order and are packed as they come."""
     return packing.pack(common.in_written_order(docs.select("doc_id", "text")), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
