@@ -20,6 +20,8 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("--tables", help="a folder that keeps parsed pages, so that only new and changed files are opened")
     predict = commands.add_parser("predict", help="find blocks and lines and recognise texts, of pages that are not done yet")
     predict.add_argument("-t", "--task", choices=("layout", "line", "htr", "all"), default="all")
+    predict.add_argument("--save-images", action="store_true", help="copy images beside the last task's pages")
+    predict.add_argument("--cleanup-intermediate", action="store_true", help="remove the pages of all tasks but the last")
     predict.add_argument("-c", "--config", required=True)
     predict.add_argument("-d", "--data", required=True)
     predict.add_argument("-o", "--output", required=True)
@@ -76,7 +78,7 @@ def ran(spark: SparkSession, a: argparse.Namespace) -> int:
     elif a.command == "predict":
         own = config.Config.read(a.config)
         try:
-            chain.predict(spark, own, a.data, a.output, config.ORDER if a.task == "all" else (a.task,))
+            chain.predict(spark, own, a.data, a.output, config.ORDER if a.task == "all" else (a.task,), save_images=a.save_images, cleanup=a.cleanup_intermediate)
         except ValueError as e:
             raise SystemExit(str(e)) from e
     elif a.command == "print":

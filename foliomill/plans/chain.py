@@ -58,11 +58,22 @@ def predicted(spark: SparkSession, name: str, settings: dict, data: str, before:
     return tasks.predict_pages(left, finished, model, config)
 
 
-def predict(spark: SparkSession, own: Config, data: str, output: str, wanted: Sequence[str] = ORDER) -> list[str]:
+def copied(spark: SparkSession, data: str, folder: str) -> None:
+    """The images of data's pages that folder has, beside them; those that are there already are left alone."""
+    rows = images(spark, data).join(done(spark, folder), PAGE, "left_semi").select("document", F.regexp_extract("image", r"([^/]+)$", 1).alias("name"), F.col("image").alias("source"))
+    there = files.listed(spark, folder).select(F.coalesce("folder", F.lit("")).alias("document"), F.regexp_extract("path", r"([^/]+)$", 1).alias("name"))
+    out.copy_files(rows.join(there, ["document", "name"], "left_anti"), folder)
+
+
+def predict(
+    spark: SparkSession, own: Config, data: str, output: str, wanted: Sequence[str] = ORDER, *, save_images: bool = False, cleanup: bool = False
+) -> list[str]:
     """Runs the configured tasks among wanted, in their order, and returns the folders of their pages.
 
     One task writes to output; several write to a folder of output each, named by the task, and each starts from the pages of the one
     before, the first from data. Unknown models fail before anything runs. No task configured raises ValueError.
+    save_images: the pages' images go beside the last task's pages. cleanup: a task's folder is removed once the next has all its
+    pages; a later run would begin anew there.
     """
     run = [t for t in ORDER if t in wanted and t in own.tasks]
     if not run:
@@ -73,6 +84,10 @@ def predict(spark: SparkSession, own: Config, data: str, output: str, wanted: Se
     for t in run:
         folder = output if len(run) == 1 else f"{output.rstrip('/')}/{t}"
         out.write_pages(predicted(spark, t, own.tasks[t], data, before, folder, reading_order=own.reading_order), folder, files=True)
+        if cleanup and folders:
+            paths.removed(spark, folders.pop())
         before = folder
         folders.append(folder)
+    if save_images:
+        copied(spark, data, folders[-1])
     return folders

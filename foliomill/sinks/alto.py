@@ -242,6 +242,26 @@ def write_files(rows: DataFrame, folder: str) -> None:
     rows.select("document", "name", "data").foreachPartition(run)
 
 
+def copy_files(rows: DataFrame, folder: str) -> None:
+    """(document, name, source): copies of the files at source, piece by piece, as write_files() writes its own."""
+    folder = paths.qualified(rows.sparkSession, folder)
+
+    def run(batch):
+        system, base = paths.opened(folder)
+        attempt = TaskContext.get().taskAttemptId()
+        for r in batch:
+            where = f"{base}/{r.document}" if r.document else base
+            system.create_dir(where, recursive=True)
+            path = f"{where}/{r.name}"
+            own, at = paths.opened(r.source)
+            with own.open_input_stream(at) as source, system.open_output_stream(f"{path}.{attempt}.part", compression=None) as out:
+                while piece := source.read(1 << 20):
+                    out.write(piece)
+            system.move(f"{path}.{attempt}.part", path)
+
+    rows.select("document", "name", "source").foreachPartition(run)
+
+
 def write_pages(rows: DataFrame, folder: str, *, files: bool = False) -> None:
     """(document, page, xml) as text, a folder for each document.
 

@@ -325,6 +325,10 @@ def test_chained_prediction(spark, folders):
     assert cli.main(["predict", "-t", "layout", "-c", f"{folders}/run.yml", "-d", f"{folders}/img/d2", "-o", f"{folders}/flat"]) == 0
     assert sorted(p.name for p in (folders / "flat").glob("*.xml")) == ["p1.xml", "p2.xml"]
     assert cli.main(["predict", "-t", "line", "-c", f"{folders}/run.yml", "-d", f"{folders}/flat", "-o", f"{folders}/none"]) == 0  # no images there
+    assert cli.main([*command[:-1], f"{folders}/last", "--save-images", "--cleanup-intermediate"]) == 0
+    kept = sorted(str(p.relative_to(folders / "last")) for p in (folders / "last").rglob("*") if p.is_file() and not p.name.startswith("."))
+    assert kept == sorted([f"htr/{n}" for n in names] + [f"htr/{n[:-4]}.jpg" for n in names])
+    assert (folders / "last" / "htr" / "d1" / "p1.jpg").read_text() == "image"
     (folders / "bad.yml").write_text("tasks: {layout: {type: nothing}}")
     with pytest.raises(SystemExit, match="nothing"):
         cli.main(["predict", "-c", f"{folders}/bad.yml", "-d", f"{folders}/img", "-o", f"{folders}/x"])
