@@ -284,8 +284,13 @@ def _asked(queries: DataFrame) -> DataFrame:
     return queries.select("q", "text").mapInArrow(run, "q long, term string, times long")
 
 
-def search(index: Index, items: DataFrame, *, k: int = 10, at_once: int = 256, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """A row for each of the k best documents of each row of items: its item_id, rank, doc_id, score; see ranked()."""
+def search(
+    index: Index, items: DataFrame, *, k: int = 10, at_once: int = 256, most_small: int = 200_000, id_col: str = "item_id", text_col: str = "text"
+) -> DataFrame:
+    """A row for each of the k best documents of each row of items: its item_id, rank, doc_id, score; see ranked().
+
+    Up to most_small terms of items, counted once an item, are broadcast, and the index stays where it is; more meet it by term.
+    """
     if k < 1 or at_once < 1:
         raise ValueError("k and at_once are 1 at least")
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
@@ -293,9 +298,12 @@ def search(index: Index, items: DataFrame, *, k: int = 10, at_once: int = 256, i
     groups = -(-rows.count() // at_once)
     if not groups:
         return items.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")
-    asked = _asked(rows).withColumn("queries", F.pmod(F.xxhash64("q"), F.lit(groups)).cast("int"))
+    asked = common.written(_asked(rows), "impact-asked")
+    few = asked.count() <= most_small
+    asked = asked.withColumn("queries", F.pmod(F.xxhash64("q"), F.lit(groups)).cast("int"))
     asked = asked.groupBy("queries", "term").agg(F.collect_list(F.struct("q", "times")).alias("asked"))  # a group's queries, one row each at most
-    met = index.impacts.hint("merge").join(asked, "term").select("queries", "block", "term", "slices", "places", "bits", "asked", F.lit(None).cast("array<long>").alias("ids"))
+    impacts = index.impacts.join(F.broadcast(asked), "term") if few else index.impacts.hint("merge").join(asked, "term")
+    met = impacts.select("queries", "block", "term", "slices", "places", "bits", "asked", F.lit(None).cast("array<long>").alias("ids"))
     own = index.blocks.withColumn("queries", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     own = own.select("queries", "block", *[F.lit(None).cast(t).alias(c) for c, t in met.dtypes if c not in ("queries", "block", "ids")], "ids")
     dealt = met.select(own.columns).unionByName(own).repartition("queries", "block").sortWithinPartitions("queries", "block", F.col("term").asc_nulls_first())
@@ -306,7 +314,7 @@ def search(index: Index, items: DataFrame, *, k: int = 10, at_once: int = 256, i
 
 
 def ranked(
-    docs: DataFrame, items: DataFrame, *, k: int = 10, block_docs: int = 16384, block_bytes: int = 32 << 20, at_once: int = 256,
+    docs: DataFrame, items: DataFrame, *, k: int = 10, block_docs: int = 16384, block_bytes: int = 32 << 20, at_once: int = 256, most_small: int = 200_000,
     id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """The k documents of the highest score for each item, over an index of all documents: item_id, rank, doc_id, score.
@@ -320,4 +328,4 @@ def ranked(
     documents or no items give no rows. Other columns are not read.
     """
     index = build(docs, block_docs=block_docs, block_bytes=block_bytes, id_col=id_col, text_col=text_col)
-    return search(index, items, k=k, at_once=at_once, id_col=item_col, text_col=item_text_col)
+    return search(index, items, k=k, at_once=at_once, most_small=most_small, id_col=item_col, text_col=item_text_col)

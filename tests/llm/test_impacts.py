@@ -57,7 +57,7 @@ def test_equals_sums_over_all_documents(spark):
     items = [(i, t) for i, t in made(30, 1)] + [(50, docs[3][1].upper() + docs[3][1]), (51, "w1 " * 700 + "w2")]
     want = brute(docs, items)
     assert run(spark, docs, items) == want
-    assert run(spark, docs, items, block_docs=64, block_bytes=1500, at_once=4) == want
+    assert run(spark, docs, items, block_docs=64, block_bytes=1500, at_once=4) == want == run(spark, docs, items, most_small=0)
     assert run(spark, docs, items, k=1) == brute(docs, items, 1)
 
 
