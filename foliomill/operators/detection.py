@@ -12,56 +12,54 @@ from pyspark.sql.window import Window
 
 from foliomill.functions import geometry as G
 from foliomill.functions import text as T
-from foliomill.operators import errors
+from foliomill.operators import boxes, errors
 from foliomill.sinks.paths import written
 
 THRESHOLDS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
 CONFIGS = ("match", "miss", "false_alarm", "split", "merge", "multiple")
-SIDES = ("x1", "y1", "x2", "y2")
-
-
-def _array(boxes) -> np.ndarray:
-    return np.array([[b[k] for k in SIDES] for b in boxes], float).reshape(-1, 4)
-
-
-def ious(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    wide = np.minimum(a[:, None, 2], b[None, :, 2]) - np.maximum(a[:, None, 0], b[None, :, 0])
-    high = np.minimum(a[:, None, 3], b[None, :, 3]) - np.maximum(a[:, None, 1], b[None, :, 1])
-    shared = np.maximum(wide, 0) * np.maximum(high, 0)
-    size = lambda x: (x[:, 2] - x[:, 0]) * (x[:, 3] - x[:, 1])
-    both = size(a)[:, None] + size(b)[None] - shared
-    return np.divide(shared, both, out=np.zeros_like(shared), where=both > 0)
 
 
 def hits(truth: DataFrame, found: DataFrame, page: Sequence[str], thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:
     """(page columns, idx, confidence, threshold, hit) of every found box on pages where both sides have boxes.
 
     On a page boxes are taken by falling confidence, then idx; each takes the free true box of most IoU, if that is
-    threshold or more. A null confidence is 0. A page is one group: matching goes one by one.
+    threshold (over 0) or more. A null confidence is 0. A null page meets none. Pairs below the least threshold decide nothing, so
+    Spark joins the others; only boxes that have such a pair are matched one by one, those of a page together.
     """
+    page = list(page)
+    exact = F.col("box").cast("struct<x1: double, y1: double, x2: double, y2: double>")
+    sides = [exact[s] for s in boxes.SIDES]
+    along = Window.partitionBy(*page)
+    number = lambda *by: F.row_number().over(along.orderBy(*by)).alias("idx")
+    truth = truth.select(*page, number("idx", *sides), exact.alias("box"))
+    confidence = F.coalesce("confidence", F.lit(0.0)).cast("double")
+    found = found.select(*page, F.col("idx").cast("long").alias("_idx"), confidence.alias("confidence"), number(F.desc(confidence), "idx", *sides), exact.alias("box"))
+    pairs = boxes.overlaps(found, truth, page).filter(F.col("iou") >= min(thresholds))
+    near = pairs.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("a_idx", (-F.col("iou")).alias("far"), "b_idx"))).alias("near"))
+
+    def run(batches):
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            rows = []
+            for i, own in enumerate(t["near"].to_pylist()):
+                taken = [set() for _ in thresholds]
+                got = {p["a_idx"]: [False] * len(thresholds) for p in own}
+                for p in own:
+                    for k, at in enumerate(thresholds):
+                        if -p["far"] >= at and not got[p["a_idx"]][k] and p["b_idx"] not in taken[k]:
+                            got[p["a_idx"]][k] = True
+                            taken[k].add(p["b_idx"])
+                rows += [(i, *x) for x in got.items()]
+            at, idx, hit = zip(*rows, strict=True) if rows else ((), (), ())
+            out = t.select(page).take(pa.array(at, pa.int64())).append_column("idx", pa.array(idx, pa.int32()))
+            yield from out.append_column("hits", pa.array(hit, pa.list_(pa.bool_()))).to_batches()
+
     kind = ", ".join(f"{c} {dict(found.dtypes)[c]}" for c in page)
-    kinds = f"{kind}, idx long, confidence double, threshold double, hit boolean"
-    made = _arrow(found.select(*page), kinds)
-
-    def run(t: pa.Table, f: pa.Table) -> pa.Table:
-        if not t.num_rows or not f.num_rows:
-            return made([])
-        key = [f[c][0].as_py() for c in page]
-        f = sorted(f.to_pylist(), key=lambda r: (-r["confidence"], r["found_idx"]))
-        t = sorted(t.to_pylist(), key=lambda r: r["idx"])
-        shared, rows = ious(_array(r["found_box"] for r in f), _array(r["box"] for r in t)), []
-        for at in thresholds:
-            free = np.ones(shared.shape[1], bool)
-            for i, r in enumerate(f):
-                best = int(np.where(free, shared[i], -1.0).argmax())
-                hit = bool(free[best] and shared[i, best] >= at)
-                free[best] &= not hit
-                rows.append((*key, r["found_idx"], r["confidence"], at, hit))
-        return made(rows)
-
-    truth = truth.select(*page, "idx", "box")
-    found = found.select(*[F.col(c).alias(c) for c in page], F.col("idx").alias("found_idx"), F.col("box").alias("found_box"), F.coalesce("confidence", F.lit(0.0)).cast("double").alias("confidence"))
-    return truth.groupBy(*page).cogroup(found.groupBy(*page)).applyInArrow(run, kinds)
+    matched = near.mapInArrow(run, f"{kind}, idx int, hits array<boolean>")
+    rows = found.drop("box").join(truth.select(*page), page, "left_semi").join(matched, [*page, "idx"], "left")
+    rows = rows.withColumn("hits", F.coalesce("hits", F.array(*[F.lit(False)] * len(thresholds))))
+    each = F.inline(F.arrays_zip(F.array(*[F.lit(float(x)) for x in thresholds]).alias("threshold"), F.col("hits").alias("hit")))
+    return rows.select(*page, F.col("_idx").alias("idx"), "confidence", each.alias("threshold", "hit"))
 
 
 def _arrow(key: DataFrame, kinds: str):
@@ -121,8 +119,8 @@ def curve_means(hit: DataFrame, truth_boxes: DataFrame | int, page: Sequence[str
     """
     key = [*by, "threshold"]
     rows = hit.withColumns({"part": F.floor(F.col("confidence") * stretches), "tp": F.col("hit").cast("long"), "n": F.lit(1).cast("long")})
-    levels = [["part"], ["confidence"], [c for c in page if c not in by] or list(page), ["idx"]]
-    order = [[F.desc("part")], [F.desc("confidence")], [F.asc(c) for c in levels[2]], [F.asc("idx")]]
+    levels = [["part"], ["confidence"], [c for c in page if c not in by] or list(page)]
+    order = [[F.desc("part")], [F.desc("confidence")], [F.asc(c) for c in levels[2]]]
     sums = {"tp": F.col("tp"), "n": F.col("n")}
     for i, (own, by_order) in enumerate(zip(levels, order, strict=True)):
         outer = [*key, *[c for x in levels[:i] for c in x]]
@@ -131,6 +129,9 @@ def curve_means(hit: DataFrame, truth_boxes: DataFrame | int, page: Sequence[str
         counts = counts.select(*outer, *own, *[F.coalesce(F.sum(f"_{c}").over(before), F.lit(0)).alias(f"{c}_{i}") for c in sums])
         rows = rows.join(counts, [*outer, *own])
         sums = {c: v + F.col(f"{c}_{i}") for c, v in sums.items()}
+    inside = Window.partitionBy(*key, *[c for x in levels for c in x]).orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumns({f"{c}_own": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})  # boxes of a page are already together
+    sums = {c: v + F.col(f"{c}_own") for c, v in sums.items()}
     rows = _with_total(rows, truth_boxes, by)
     recall = F.coalesce(F.try_divide(sums["tp"], F.col("total")), F.lit(0.0))
     return rows.groupBy(*key).agg(F.avg(sums["tp"] / sums["n"]).alias("precision"), F.avg(recall).alias("recall"))
