@@ -43,3 +43,25 @@ def test_hits_equal_brute_force_without_a_group_for_each_page(spark):
     assert "CoGroup" not in plan(got) and "FlatMapGroups" not in plan(got)
     far = found.withColumn("box", F.struct(*[(F.col(f"box.{s}") + 1000).alias(s) for s in ("x1", "y1", "x2", "y2")]))
     assert not detection.hits(truth, far, ["page"]).filter("hit").count()
+
+
+@pytest.mark.parametrize("name", ["heatmap", "hybrid"])
+def test_raster_orders_stream_pages(spark, name):
+    """Pages that are cut by small batches, of one zone and more, in one stream: each as if it were alone."""
+    draw = np.random.default_rng(3)
+    rows = []
+    for p in range(30):
+        for i in range(int(draw.integers(1, 9))):
+            x, y, w, h = map(int, (draw.integers(0, 500), draw.integers(0, 400), draw.integers(1, 200), draw.integers(1, 60)))
+            rows.append((p, i, (x, y, x + w, y + h), None if i % 3 else y))
+    rows += [(99, 0, (-9, -90, -5, 12), None), (99, 1, (3, -80, 9, 14), None)]  # higher than the part of the page that is seen
+    zones = spark.createDataFrame(rows, f"page int, idx int, {BOX}, first_y int")
+    whole = order.reading_order(zones, ["page"], name, multiplier=2)
+    assert "FlatMapGroups" not in plan(whole)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = sorted((r.page, r.idx, r.position) for r in whole.collect())
+        alone = sorted((r.page, r.idx, r.position) for p in (0, 1, 2, 99) for r in order.reading_order(zones.filter(F.col("page") == p), ["page"], name, multiplier=2).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r for r in got if r[0] in (0, 1, 2, 99)] == alone and len({r[0] for r in got}) >= 30
