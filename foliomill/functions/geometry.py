@@ -16,13 +16,25 @@ def whole(text: Column) -> Column:
 FLOAT_POINTS = "array<struct<x: double, y: double>>"
 
 
+def let(value: Column, of) -> Column:
+    """of(value), with value worked out once however often of() names it: Spark shares no work inside lambdas."""
+    return F.get(F.transform(F.array(value), of), 0)
+
+
+def _evens(tokens: Column) -> Column:
+    """0, 2, 4 and so on: where pairs of tokens begin; an odd tail begins none."""
+    return F.when(F.size(tokens) >= 2, F.sequence(F.lit(0), F.size(tokens) - 2, F.lit(2))).otherwise(F.array().cast("array<int>"))
+
+
+def _good(found: Column) -> Column:
+    return F.filter(found, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
+
+
 def float_points(text: Column) -> Column:
     """Points with fractions, of "x,y x,y", "x y x y" or a mixture; an odd tail is dropped, and a pair with what is not a number."""
     tokens = F.filter(F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\s,]+", " "), " "), lambda t: t != "")
-    at = F.filter(F.sequence(F.lit(0), F.greatest(F.size(tokens) - 2, F.lit(0))), lambda i: (i % 2 == 0) & (i + 1 < F.size(tokens)))
-    pair = lambda i: F.struct(F.get(tokens, i).try_cast("double").alias("x"), F.get(tokens, i + 1).try_cast("double").alias("y"))
-    found = F.filter(F.transform(at, pair), lambda p: p["x"].isNotNull() & p["y"].isNotNull())
-    return F.when(F.size(tokens) >= 2, found).otherwise(F.array().cast(FLOAT_POINTS))
+    pair = lambda t, i: F.struct(F.get(t, i).try_cast("double").alias("x"), F.get(t, i + 1).try_cast("double").alias("y"))
+    return let(tokens, lambda t: _good(F.transform(_evens(t), lambda i: pair(t, i))))
 
 
 def points(text: Column, *, strict: bool = False) -> Column:
@@ -30,18 +42,17 @@ def points(text: Column, *, strict: bool = False) -> Column:
 
     strict: any such pair gives null for the whole.
     """
-    text = F.trim(F.regexp_replace(text, r"\s+", " "))
-    comma = F.transform(
-        F.filter(F.split(text, " "), lambda t: t.contains(",")), lambda t: _pair(F.split(t, ",")[0], F.split(t, ",")[1])
-    )
-    tokens = F.split(text, " ")
-    pairs = F.transform(
-        F.filter(F.sequence(F.lit(0), F.greatest(F.size(tokens) - 2, F.lit(0))), lambda i: (i % 2 == 0) & (i + 1 < F.size(tokens))),
-        lambda i: _pair(F.get(tokens, i), F.get(tokens, i + 1)),
-    )
-    found = F.when(text.isNull() | (text == ""), F.array().cast(POINTS)).when(text.contains(","), comma).otherwise(pairs)
-    good = F.filter(found, lambda p: p["x"].isNotNull() & p["y"].isNotNull())
-    return F.when(F.size(good) == F.size(found), good) if strict else good
+
+    def found(text: Column) -> Column:
+        first, second = (lambda t: F.substring_index(t, ",", 1)), (lambda t: F.substring_index(F.substring_index(t, ",", 2), ",", -1))
+        comma = F.transform(F.filter(F.split(text, " "), lambda t: t.contains(",")), lambda t: _pair(first(t), second(t)))
+        pairs = let(F.split(text, " "), lambda tokens: F.transform(_evens(tokens), lambda i: _pair(F.get(tokens, i), F.get(tokens, i + 1))))
+        return F.when(text.isNull() | (text == ""), F.array().cast(POINTS)).when(text.contains(","), comma).otherwise(pairs)
+
+    every = let(F.trim(F.regexp_replace(text, r"\s+", " ")), found)
+    if not strict:
+        return _good(every)
+    return let(every, lambda f: let(_good(f), lambda g: F.when(F.size(g) == F.size(f), g)))
 
 
 def _pair(x: Column, y: Column) -> Column:
