@@ -575,23 +575,22 @@ def alto_texts_in_order(spark, sf_dir):
 
 @query(f"SELECT document, page, CAST(idx - 1 AS BIGINT) AS idx, CAST(trunc(100 * x1 / 2500.0) AS INT) AS x1, CAST(trunc(100 * y1 / 2100.0) AS INT) AS y1, CAST(trunc(100 * x2 / 2500.0) AS INT) AS x2, CAST(trunc(100 * y2 / 2100.0) AS INT) AS y2 FROM ({_ALTO})")
 def alto_score_boxes(spark, sf_dir):
-    pages = alto_pages(spark, sf_dir)
-    return flat(alto.score_boxes(alto.lines(pages, ignored=()), pages).select("document", "page", "idx", "box"))
+    lines = alto.lines(alto_pages(spark, sf_dir), ignored=(), keep=("width", "height"))
+    return flat(alto.score_boxes(lines).select("document", "page", "idx", "box"))
 
 
 @query(f"SELECT document, page, '1 ' || string_agg(printf('%.6f %.6f', least(1.0, x / 2500.0), least(1.0, y / 2100.0)), ' ' ORDER BY k) AS value, idx - 1 AS idx FROM (SELECT document, page, idx, unnest([x1, x2, x2, x1]) AS x, unnest([y1, y1, y2, y2]) AS y, unnest([1, 2, 3, 4]) AS k FROM ({_ALTO})) GROUP BY document, page, idx")
 def detector_polygons(spark, sf_dir):
-    pages = alto_pages(spark, sf_dir)
-    return exports.yolo_rows(alto.lines(pages, ignored=()), pages, polygons=True).withColumn("idx", F.col("idx").cast("int"))
+    lines = alto.lines(alto_pages(spark, sf_dir), ignored=(), keep=("width", "height"))
+    return exports.yolo_rows(lines, polygons=True).withColumn("idx", F.col("idx").cast("int"))
 
 
 @query(f"SELECT CASE hash WHEN 0 THEN 'val' ELSE 'train' END AS split, count(DISTINCT page) AS images, CAST(count(*) AS BIGINT) AS lines FROM (SELECT *, CASE WHEN document = 'd3' THEN 0 ELSE 1 END AS hash FROM ({_ALTO})) WHERE document <> 'd5' GROUP BY split")
 def detector_split_counts(spark, sf_dir):
-    pages = alto_pages(spark, sf_dir)
     split = F.when(F.col("document") == "d3", "val").otherwise("train")
-    named = pages.select("document", "page", split.alias("split"), F.when(F.col("document") != "d5", F.col("image")).alias("image"))
-    rows = exports.yolo_rows(alto.lines(pages, ignored=()), pages)
-    return exports.detector_counts(exports.detector_set(rows, named))
+    named = {"split": split, "image": F.when(F.col("document") != "d5", F.col("image"))}
+    lines = alto.lines(alto_pages(spark, sf_dir).withColumns(named), ignored=(), keep=("width", "height", *named))
+    return exports.detector_counts(exports.detector_set(exports.yolo_rows(lines, keep=tuple(named))))
 
 
 @query(f"""

@@ -42,15 +42,18 @@ def as_json(texts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return texts.groupBy(*by).agg(F.to_json(F.map_from_entries(ordered)).alias("value"))
 
 
-def yolo_rows(lines: DataFrame, pages: DataFrame, page: Sequence[str] = ("document", "page"), *, polygons: bool = False, pad: int = 20) -> DataFrame:
-    """(page columns, value) of lines with a boundary, or with a baseline, whose bounds are padded."""
-    sized = lines.join(pages.select(*page, "width", "height"), list(page))
+def yolo_rows(
+    lines: DataFrame, pages: DataFrame | None = None, page: Sequence[str] = ("document", "page"), *, polygons: bool = False, pad: int = 20, keep: Sequence[str] = ()
+) -> DataFrame:
+    """(page columns, keep, idx, value) of lines with a boundary, or with a baseline, whose bounds are padded. Without pages the lines have
+    width and height; see alto.lines()."""
+    sized = lines if pages is None else lines.join(pages.select(*page, "width", "height"), list(page))
     kind = F.create_map(*[F.lit(x) for kv in G.LINE_TYPES.items() for x in kv])[G.line_type(F.col("tags"))]
     around = F.when(F.size("boundary") > 0, G.bounds(F.col("boundary"))).when(F.size("baseline") >= 2, G.padded(G.bounds(F.col("baseline")), pad))
     sized = sized.withColumn("_box", around).filter("_box is not null")
     shape = F.when(F.size("boundary") > 0, F.col("boundary")).otherwise(G.polygon(F.col("_box")).cast(G.POINTS))
     row = G.polygon_row(kind, shape, F.col("width"), F.col("height")) if polygons else G.detection_row(kind, F.col("_box"), F.col("width"), F.col("height"))
-    return sized.select(*page, "idx", row.alias("value"))
+    return sized.select(*page, *keep, "idx", row.alias("value"))
 
 
 def conversation(prompt: Column, image: Column, answer: Column) -> Column:
@@ -67,11 +70,14 @@ def numbered_names(rows: DataFrame, name: Column, order: Sequence[str]) -> DataF
     return rows.withColumn("file", F.format_string("%s_line_%05d", "_name", "_number")).drop("_name", "_number")
 
 
-def detector_set(rows: DataFrame, pages: DataFrame) -> DataFrame:
+def detector_set(rows: DataFrame, pages: DataFrame | None = None) -> DataFrame:
     """(split, page, image, label, n): the label file of each page that has an image and a line, from yolo_rows() and pages
-    (document, page, split, image)."""
+    (document, page, split, image). Without pages the rows have split and image."""
     ordered = F.array_sort(F.collect_list(F.struct("idx", "value")))
-    texts = rows.groupBy("document", "page").agg(F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("label"), F.count("*").alias("n"))
+    own = [F.first(c).alias(c) for c in ("split", "image")] if pages is None else []
+    texts = rows.groupBy("document", "page").agg(F.array_join(F.transform(ordered, lambda x: x["value"]), "\n").alias("label"), F.count("*").alias("n"), *own)
+    if pages is None:
+        return texts.filter("image is not null").select("split", "page", "image", "label", "n")
     return pages.filter("image is not null").join(texts, ["document", "page"]).select("split", "page", "image", "label", "n")
 
 

@@ -78,9 +78,15 @@ def _box(x: str) -> Column:
     return G.box(x1, y1, x1 + w, y1 + h)
 
 
+def _exploded(rows: DataFrame, keep: list, name: str, at: str, value: str) -> DataFrame:
+    """keep, and a row for each element of an array. An outer explode, filtered: for a plain one Spark infers a filter on the array,
+    pushes it below what makes the array, and so parses a page once more for each."""
+    return rows.select(*keep, F.posexplode_outer(name).alias(at, value)).filter(F.col(at).isNotNull())
+
+
 def zones(pages: DataFrame) -> DataFrame:
     """A row for each block: document, page, idx, id, label, tag_ref, box, boundary, n_lines."""
-    rows = pages.select("document", "page", "other_tags", F.posexplode("blocks").alias("idx", "b"))
+    rows = _exploded(pages, ["document", "page", "other_tags"], "blocks", "idx", "b")
     return rows.select(
         "document", "page", "idx", F.col("b._ID").alias("id"), F.coalesce(F.element_at("other_tags", F.coalesce(F.col("b._TAGREFS"), F.lit(""))), F.lit("unknown")).alias("label"),
         F.col("b._TAGREFS").alias("tag_ref"), _box("b").alias("box"), G.points(F.col("b.Shape.Polygon._POINTS"), strict=True).alias("boundary"),
@@ -88,23 +94,25 @@ def zones(pages: DataFrame) -> DataFrame:
     )
 
 
-def lines(pages: DataFrame, *, ignored: tuple[str, ...] = IGNORED_ZONES) -> DataFrame:
+def lines(pages: DataFrame, *, ignored: tuple[str, ...] = IGNORED_ZONES, keep: tuple[str, ...] = ()) -> DataFrame:
     """A row for each line outside ignored zones: document, page, zone, zone_id, region, idx, id, tags, hpos, vpos, box, baseline, boundary, text.
 
     idx numbers the lines of a page in the order of the document, ignored ones included. text: the contents of the line
-    joined by spaces; null without any. confidence: the mean of theirs; null without any.
+    joined by spaces; null without any. confidence: the mean of theirs; null without any. keep: columns of pages that lines have too, so
+    that they need no join with them.
     """
-    blocks = pages.select("document", "page", "tags", F.posexplode("blocks").alias("zone", "b"))
+    names = ["document", "page", *keep, "tags"]
+    blocks = _exploded(pages, names, "blocks", "zone", "b")
     region = F.get(labels(F.col("b._TAGREFS"), F.col("tags")), 0)
-    rows = blocks.select("document", "page", "tags", "zone", F.col("b._ID").alias("zone_id"), region.alias("region"), F.posexplode("b.TextLine").alias("_at", "l"))
+    rows = _exploded(blocks, [*names, "zone", F.col("b._ID").alias("zone_id"), region.alias("region")], "b.TextLine", "_at", "l")
     rows = rows.filter(F.coalesce(~F.col("region").isin(*ignored), F.lit(True)))
     scores = F.filter(F.transform("l.String", lambda s: s["_WC"].try_cast("double")), lambda c: c.isNotNull())
     contents = F.filter(F.transform("l.String", lambda s: s["_CONTENT"]), lambda c: c.isNotNull() & (c != ""))
     return rows.select(
-        "document", "page", "zone", "zone_id", "region", F.aggregate(scores, F.lit(0.0), lambda a, x: a + x, lambda a: F.try_divide(a, F.size(scores))).alias("confidence"), (F.col("zone").cast("long") * 100_000 + F.col("_at")).alias("idx"), F.col("l._ID").alias("id"),
+        "document", "page", *keep, "zone", "zone_id", "region", G.let(scores, lambda s: F.try_divide(F.aggregate(s, F.lit(0.0), lambda a, x: a + x), F.size(s))).alias("confidence"), (F.col("zone").cast("long") * 100_000 + F.col("_at")).alias("idx"), F.col("l._ID").alias("id"),
         F.array_distinct(labels(F.col("l._TAGREFS"), F.col("tags"))).alias("tags"), G.whole(F.col("l._HPOS")).alias("hpos"), G.whole(F.col("l._VPOS")).alias("vpos"),
         F.when(F.col("l._HPOS").isNotNull() & F.col("l._WIDTH").isNotNull(), _box("l")).alias("box"), G.points(F.col("l._BASELINE")).alias("baseline"),
-        G.points(F.col("l.Shape.Polygon._POINTS")).alias("boundary"), F.when(F.size(contents) > 0, F.array_join(contents, " ")).alias("text"),
+        G.points(F.col("l.Shape.Polygon._POINTS")).alias("boundary"), G.let(contents, lambda c: F.when(F.size(c) > 0, F.array_join(c, " "))).alias("text"),
     )
 
 
@@ -128,10 +136,12 @@ def page_texts(lines: DataFrame) -> DataFrame:
     return inside.agg(F.array_join(F.transform(ordered, lambda x: x["text"]), " ").alias("text"))
 
 
-def score_boxes(lines: DataFrame, pages: DataFrame, *, pad: int = 5, scale: int = 100) -> DataFrame:
-    """(document, page, idx, box, class_id, confidence) on a grid: a line's boundary, else its padded baseline."""
+def score_boxes(lines: DataFrame, pages: DataFrame | None = None, *, pad: int = 5, scale: int = 100) -> DataFrame:
+    """(document, page, idx, box, class_id, confidence) on a grid: a line's boundary, else its padded baseline. Without pages the lines
+    have width and height; see lines()."""
     box = F.coalesce(G.bounds(F.col("boundary")), G.padded(G.bounds(F.col("baseline")), pad))
-    sized = lines.join(pages.select("document", "page", "width", "height"), ["document", "page"]).withColumn("box", box).filter("box is not null")
+    sized = lines if pages is None else lines.join(pages.select("document", "page", "width", "height"), ["document", "page"])
+    sized = sized.withColumn("box", box).filter("box is not null")
     grid = G.on_grid(F.col("box"), F.col("width"), F.col("height"), scale)
     return sized.select("document", "page", "idx", grid.alias("box"), F.lit(0).alias("class_id"), F.lit(1.0).alias("confidence"))
 

@@ -65,3 +65,26 @@ def test_raster_orders_stream_pages(spark, name):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert [r for r in got if r[0] in (0, 1, 2, 99)] == alone and len({r[0] for r in got}) >= 30
+
+
+@pytest.mark.parametrize("name", ["alto_lines", "alto_zones", "alto_page_texts", "alto_texts_in_order", "alto_score_boxes", "detector_polygons", "detector_split_counts"])
+def test_pages_are_parsed_once(spark, name):
+    from foliomill.plans import catalog
+
+    rows = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
+
+
+def test_points_split_a_text_once(spark):
+    from foliomill.functions import geometry as G
+
+    texts = ["1,2 3,4", "1 2 3 4 5", " 1.9,-2.9\n\t3,x 5,6,7 8 ,9", "7", "", None, "a b 1 2", "1,", "  "]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = rows.select("i", G.points(F.col("t")).alias("p"), G.points(F.col("t"), strict=True).alias("s"), G.float_points(F.col("t")).alias("f"))
+    made = got._jdf.queryExecution().optimizedPlan().toString()
+    assert made.count("split(") <= 10, made.count("split(")
+    flat = lambda p: None if p is None else [tuple(x) for x in p]
+    got = {r.i: (flat(r.p), flat(r.s), flat(r.f)) for r in got.collect()}
+    assert got[0] == ([(1, 2), (3, 4)], [(1, 2), (3, 4)], [(1.0, 2.0), (3.0, 4.0)])
+    assert got[1][0] == got[1][1] == [(1, 2), (3, 4)] and got[2][0] == [(1, -2), (5, 6)] and got[2][1] is None
+    assert got[3] == got[4] == got[5] == got[8] == ([], [], []) and got[6][0] == [(1, 2)] and got[6][1] is None and got[7][0] == []
