@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql.window import Window
 
 from foliomill.functions import geometry as G
 from foliomill.functions import text as T
-from foliomill.operators import boxes, errors
+from foliomill.operators import boxes, errors, stream
 from foliomill.sinks.paths import written
 
 THRESHOLDS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
@@ -211,40 +212,53 @@ def _zones(truth: DataFrame, found: DataFrame, page: Sequence[str]) -> DataFrame
     return rows.select(*page, "side", number("idx").alias("z"), number(*top, "idx").alias("corner"), "points", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _by_page(rows: DataFrame, page: Sequence[str], kinds: str, each, other: DataFrame | None = None) -> DataFrame:
-    """each(rows of a page[, those of other]) -> tuples, with the page's columns before them. A page is small, and one group."""
+def _by_page(rows: DataFrame, page: Sequence[str], kinds: str, each) -> DataFrame:
+    """each(rows of a page) -> tuples, with the page's columns before them. A page is small; many go through Python in one stream."""
     head = ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in page)
-    made = _arrow(rows.select(*page), f"{head}, {kinds}")
+    fields = _arrow(rows.select(*page), kinds)
 
-    def rows_of(*tables: pa.Table) -> pa.Table:
-        key = next(t for t in tables if t.num_rows).select(list(page)).slice(0, 1).to_pylist()[0]
-        return made([(*(key[c] for c in page), *x) for x in each(*tables)])
+    def some(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        made = [(i, *x) for i, (a, b) in enumerate(zip(starts, starts[1:])) for x in each(table.slice(a, b - a))]  # noqa: B905
+        own = table.select(list(page)).take(pa.array([starts[r[0]] for r in made], pa.int64()))
+        found = fields([r[1:] for r in made])
+        for name in found.column_names:
+            own = own.append_column(name, found[name])
+        return own
 
-    def one(table: pa.Table) -> pa.Table:
-        return rows_of(table)
-
-    def two(table: pa.Table, more: pa.Table) -> pa.Table:
-        return rows_of(table, more)
-
-    own, kinds = rows.groupBy(*page), f"{head}, {kinds}"
-    if other is None:
-        return own.applyInArrow(one, kinds)
-    return own.cogroup(other.select([F.col(c).alias(c) for c in other.columns]).groupBy(*page)).applyInArrow(two, kinds)
+    return stream.by_pages(rows, page, [], f"{head}, {kinds}", some)
 
 
 def page_cells(zones: DataFrame, page: Sequence[str]) -> DataFrame:
-    """(page columns, area, truth, found): the areas that zones cut each other into, and the zones z that hold each."""
+    """(page columns, area, truth, found): the areas that zones cut each other into, and the zones z that hold each.
+
+    A level rectangle whose bounds meet no other zone's is one such area; only other zones go to Python.
+    """
+    page = list(page)
+    corner = lambda i, a: F.get(F.col("points"), i)[a]
+    b = G.bounds(F.col("points"))
+    around = ((0, "x", "x1"), (0, "y", "y1"), (1, "x", "x2"), (1, "y", "y1"), (2, "x", "x2"), (2, "y", "y2"), (3, "x", "x1"), (3, "y", "y2"))
+    level = (F.size("points") == 4) & reduce(lambda x, y: x & y, [corner(i, a) == F.col(f"box.{k}") for i, a, k in around])
+    key = F.struct("side", "z").alias("idx")
+    placed = zones.select(*page, "side", "z", "points", key, b.alias("box")).withColumn("level", F.coalesce(level, F.lit(False)))
+    boxed = placed.select(*page, "idx", F.col("box").cast("struct<x1: double, y1: double, x2: double, y2: double>").alias("box"))
+    met = boxes.overlaps(boxed, boxed, page, F.col("a_idx") < F.col("b_idx"))
+    met = met.select(*page, F.explode(F.array("a_idx", "b_idx")).alias("idx")).distinct().withColumn("_met", F.lit(True))
+    placed = written(placed.join(met, [*page, "idx"], "left"), "zone-places")
+    alone = F.col("level") & F.col("_met").isNull()
+    wide, high = ((F.col(f"box.{a}2") - F.col(f"box.{a}1")).cast("double") for a in "xy")
+    own = lambda side: F.when(F.col("side") == side, F.array("z")).otherwise(F.array().cast("array<int>"))
+    single = placed.filter(alone).select(*page, (wide * high).alias("area"), own(0).alias("truth"), own(1).alias("found")).filter("area > 0")
 
     def each(table: pa.Table):
-        rows = table.sort_by([("side", "ascending"), ("z", "ascending")]).select(["side", "points"]).to_pylist()
-        n = sum(r["side"] == 0 for r in rows)
+        rows = table.sort_by([("side", "ascending"), ("z", "ascending")]).select(["side", "z", "points"]).to_pylist()
+        n, z = sum(r["side"] == 0 for r in rows), np.array([r["z"] for r in rows])
         areas, inside = cells([np.array([(p["x"], p["y"]) for p in r["points"]], float) for r in rows])
         for area, row in zip(areas.tolist(), inside, strict=True):
             at = np.flatnonzero(row)
             if len(at):
-                yield area, at[at < n].tolist(), (at[at >= n] - n).tolist()
+                yield area, z[at[at < n]].tolist(), z[at[at >= n]].tolist()
 
-    return _by_page(zones, page, "area double, truth array<int>, found array<int>", each)
+    return single.unionByName(_by_page(placed.filter(~alone).select(*page, "side", "z", "points"), page, "area double, truth array<int>, found array<int>", each))
 
 
 def _groups(links: DataFrame, cut: DataFrame, page: Sequence[str], beta: float) -> DataFrame:
@@ -254,11 +268,12 @@ def _groups(links: DataFrame, cut: DataFrame, page: Sequence[str], beta: float)
     beta of what is so left of the true zone. n_gt and n_dt: links of the found and of the true zone so far.
     """
 
-    def each(links: pa.Table, cut: pa.Table):
-        areas = np.array(cut["area"].to_pylist(), float)
-        holds = [[set(x) for x in cut[side].to_pylist()] for side in ("truth", "found")]
+    def each(table: pa.Table):
+        cut = [r for r in table.to_pylist() if r["g"] is None]
+        areas = np.array([r["area"] for r in cut], float)
+        holds = [[set(r[side]) for r in cut] for side in ("truth", "found")]
         of: tuple[dict, dict] = ({}, {})
-        order = sorted(links.select(["strength", "g", "d"]).to_pylist(), key=lambda r: (-r["strength"], r["g"], r["d"]))
+        order = sorted((r for r in table.select(["strength", "g", "d"]).to_pylist() if r["g"] is not None), key=lambda r: (-r["strength"], r["g"], r["d"]))
         n = 0
         for r in order:
             g, d = r["g"], r["d"]
@@ -271,7 +286,8 @@ def _groups(links: DataFrame, cut: DataFrame, page: Sequence[str], beta: float)
                 yield n, g, d, len(theirs), len(mine), float(shared)
                 n += 1
 
-    return _by_page(links, page, "n int, g int, d int, n_gt int, n_dt int, area double", each, cut)
+    own = cut.join(links.select(*page), list(page), "left_semi")  # other pages have nothing to take
+    return _by_page(links.unionByName(own, allowMissingColumns=True), page, "n int, g int, d int, n_gt int, n_dt int, area double", each)
 
 
 def _text_groups(groups: DataFrame, page: Sequence[str]) -> DataFrame:
@@ -302,7 +318,9 @@ def _text_groups(groups: DataFrame, page: Sequence[str]) -> DataFrame:
                 taken[k].update(got)
                 yield from ((t, k, z) for z in got)
 
-    return _by_page(groups, page, "t int, side int, z int", each)
+    # a zone without links is a group of its own, and no other takes it
+    single = groups.filter("alone").select(*page, F.col("n").alias("t"), F.col("g").isNull().cast("int").alias("side"), F.coalesce("g", "d").alias("z"))
+    return single.unionByName(_by_page(groups.filter("not alone").drop("alone"), page, "t long, side int, z int", each))
 
 
 STATS = [*(f"area_{c}" for c in CONFIGS), "gt_area", *(f"n_{c}" for c in CONFIGS), "edits", "gt_chars", "dt_chars", "gt_words", "dt_words", "word_hits"]
@@ -369,7 +387,7 @@ def zone_map(
 
 def _recognition(groups: DataFrame, zones: DataFrame, page: list[str]) -> DataFrame:
     """(page columns, edits, gt_chars, dt_chars, gt_words, dt_words, word_hits) over the texts of the groups."""
-    members = _text_groups(groups.select(*page, "n", "config", "g", "d"), page).join(zones.select(*page, "side", "z", "corner", "text"), [*page, "side", "z"])
+    members = _text_groups(groups.select(*page, "n", "config", "g", "d", (F.col("g").isNull() | F.col("d").isNull()) & (F.col("counts") == 1)).toDF(*page, "n", "config", "g", "d", "alone"), page).join(zones.select(*page, "side", "z", "corner", "text"), [*page, "side", "z"])
     texts = lambda side: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("corner", "text")))), lambda x: x["text"]), "")
     pairs = written(members.groupBy(*page, "t").agg(texts(0).alias("truth"), texts(1).alias("found")), "zone-texts")
     edited = errors.with_edits(pairs).join(errors.word_overlap(pairs, [*page, "t"]), [*page, "t"])

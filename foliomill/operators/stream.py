@@ -17,7 +17,7 @@ def by_pages(rows: DataFrame, page: Sequence[str], by: Sequence[str | Column], k
     rows are shuffled by page and sorted by page and by; the rows of the table's page i are those from starts[i] to starts[i + 1]. A page that
     goes on in the next batch is held until it ends.
     """
-    along = Window.partitionBy(*page).orderBy(*by)
+    along = Window.partitionBy(*page).orderBy(*(by or page))
     rows = rows.withColumn("_n", F.row_number().over(along)).sortWithinPartitions(*page, *by)
 
     def done(parts: list[pa.Table]):

@@ -88,3 +88,14 @@ def test_points_split_a_text_once(spark):
     assert got[0] == ([(1, 2), (3, 4)], [(1, 2), (3, 4)], [(1.0, 2.0), (3.0, 4.0)])
     assert got[1][0] == got[1][1] == [(1, 2), (3, 4)] and got[2][0] == [(1, -2), (5, 6)] and got[2][1] is None
     assert got[3] == got[4] == got[5] == got[8] == ([], [], []) and got[6][0] == [(1, 2)] and got[6][1] is None and got[7][0] == []
+
+
+def test_zone_map_has_no_group_for_each_page(spark):
+    """Zones that meet others and zones that do not, on one page: numbers stay those of the page, and level ones alone need no Python."""
+    kinds = "page int, side int, z int, points array<struct<x: int, y: int>>"
+    at = lambda x, y, w: [(x, y), (x + w, y), (x + w, y + 10), (x, y + 10)]
+    rows = [(1, 0, 0, at(500, 0, 10)), (1, 0, 1, at(0, 0, 10)), (1, 1, 0, at(900, 0, 20)), (1, 1, 1, at(5, 0, 10)), (2, 0, 0, [(0, 0), (10, 0), (0, 10)])]
+    cut = detection.page_cells(spark.createDataFrame(rows, kinds), ["page"])
+    assert "FlatMapGroups" not in plan(cut) and "CoGroup" not in plan(cut)
+    got = sorted((r.page, tuple(r.truth), tuple(r.found), r.area) for r in cut.collect())
+    assert got == [(1, (), (0,), 200.0), (1, (), (1,), 50.0), (1, (0,), (), 100.0), (1, (1,), (), 50.0), (1, (1,), (1,), 50.0), (2, (0,), (), 50.0)]
