@@ -49,7 +49,7 @@ def predicted(spark: SparkSession, name: str, settings: dict, data: str, before:
     """(document, page, xml) of what a task has not done in folder yet. before: the folder of the pages it starts from, data that of the
     images. Layout takes images; line takes pages that have an image; htr takes pages, with their images if there are any."""
     model, config = settings["type"], settings.get("config")
-    finished = paths.written(done(spark, folder), "done-pages")  # fixed, as the output goes to where it is listed
+    finished = paths.joined_small(paths.written(done(spark, folder), "done-pages"))  # fixed, as the output goes to where it is listed
     if name == "layout":
         return tasks.predict_layout(files.remaining(images(spark, data), finished, PAGE), model, config, reading_order=reading_order)
     left = paths.written(files.remaining(pages(spark, before), finished, PAGE), f"{name}-pages")

@@ -160,7 +160,7 @@ def segment(pages: DataFrame, zones: DataFrame, images: DataFrame, name: str, co
 
 def predict_layout(images: DataFrame, name: str, config: dict | None = None, *, reading_order: str = "dbscan") -> DataFrame:
     """(document, page, xml): pages of images (document, page, image) with blocks: detections without doubles, in reading order."""
-    found = paths.written(detect(images, name, config), "detections")
+    found = paths.shuffled(paths.written(detect(images, name, config), "detections"))
     sizes = found.groupBy(*PAGE).agg(F.max("width").alias("width"), F.max("height").alias("height"))
     box = F.struct(*[F.col(c) for c in ("x1", "y1", "x2", "y2")]).alias("box")
     blocks = out.from_detections(found.filter("idx is not null").select(*PAGE, "idx", "label", box), PAGE, reading_order=reading_order)
@@ -175,8 +175,9 @@ def _no_lines(like: DataFrame) -> DataFrame:
 
 def predict_lines(pages: DataFrame, images: DataFrame, name: str, config: dict | None = None, *, reading_order: str = "dbscan") -> DataFrame:
     """(document, page, xml): pages with newly found lines in their blocks (see inserted()). Pages without an image are left out."""
+    pages = paths.shuffled(pages)
     zones = alto.zones(pages)
-    found = paths.written(segment(pages, zones, images, name, config), "segments")
+    found = paths.shuffled(paths.written(segment(pages, zones, images, name, config), "segments"))
     blocks, lines = out.inserted(zones, found.withColumn("idx", F.col("idx").cast("long")), PAGE, reading_order=reading_order)
     lines = lines.withColumn("text", F.lit("")).withColumn("confidence", F.lit(0.0))
     return out.rendered(pages.join(images.select(*PAGE), PAGE, "left_semi"), blocks, lines)
@@ -208,7 +209,7 @@ def cleaned_output(lines: DataFrame, extended: bool = False) -> DataFrame:
 
 def predict_texts(pages: DataFrame, done: DataFrame, name: str, config: dict | None = None, **options) -> DataFrame:
     """Lines with recognised, cleaned texts of the pages that done (document, page) does not have."""
-    left = files.remaining(pages, done, PAGE)
+    left = paths.shuffled(files.remaining(pages, done, PAGE))
     lines = alto.with_baseline(alto.lines(left))
     results = recognise(lines, name, config, **options)
     return cleaned_output(out.recognised(out.without_text(lines), results))
@@ -217,8 +218,8 @@ def predict_texts(pages: DataFrame, done: DataFrame, name: str, config: dict | N
 def predict_pages(pages: DataFrame, done: DataFrame, name: str, config: dict | None = None, **options) -> DataFrame:
     """(document, page, xml): pages with recognised texts, of those that done does not have. Blocks and lines stay as they are;
     files that could not be read are left out. done is fixed first, as the output may go to where it was read from."""
-    done = paths.written(done.select(*PAGE), "done-pages")
-    left = files.remaining(pages.filter("width is not null or blocks is not null"), done, PAGE)
+    done = paths.joined_small(paths.written(done.select(*PAGE), "done-pages"))
+    left = paths.shuffled(files.remaining(pages.filter("width is not null or blocks is not null"), done, PAGE))
     lines = predict_texts(left, done, name, config, **options).withColumn("position", F.col("idx"))
     return out.rendered(left, alto.zones(left).withColumn("position", F.col("idx")), lines)
 

@@ -81,7 +81,7 @@ def recognised(lines: DataFrame, results: DataFrame, page: Sequence[str] = PAGE)
     """
     best = F.max(F.struct(F.col("confidence").alias("_confidence"), F.col("text").alias("_text"))).alias("_best")
     new = results.groupBy(*page, "id").agg(best).select(*page, "id", "_best.*")
-    rows = lines.drop("confidence").join(new, [*page, "id"], "left")
+    rows = lines.drop("confidence").join(paths.shuffled(new), [*page, "id"], "left")
     filled = F.coalesce(F.col("_text"), F.lit("")) != ""
     return rows.withColumn("text", F.when(filled, F.col("_text")).otherwise("")).withColumn(
         "confidence", F.when(filled, F.coalesce("_confidence", F.lit(0.0))).otherwise(F.lit(0.0))
@@ -145,7 +145,7 @@ def inserted(zones: DataFrame, lines: DataFrame, page: Sequence[str] = PAGE, *,
     blocks = zones.select(*page, "idx", "id", "label", "box").unionByName(own)
     filled = put.filter("zone is not null").select(*lines.columns, "zone").unionByName(orphan.select(*lines.columns, "zone"))
     tops = filled.select(*page, "zone", F.col("box.y1").alias("y"))
-    blocks = order.reading_order(order.with_first_y(blocks, tops, page), page, reading_order, eps=eps)
+    blocks = order.reading_order(order.with_first_y(blocks, paths.shuffled(tops), page), page, reading_order, eps=eps)
     middle = (F.col("box.y1") + F.col("box.y2")) / 2
     filled = filled.withColumn("position", boxes.position([middle, F.col("idx")], [*page, "zone"]))
     return blocks, filled
@@ -161,7 +161,7 @@ def rendered(pages: DataFrame, blocks: DataFrame, lines: DataFrame, page: Sequen
     line = element("TextLine", {"ID": F.col("id"), "BASELINE": flat(F.col("baseline")), **placed(F.col("box"))}, F.concat(has, content))
     inside = lines.select(*page, F.col("zone").alias("idx"), F.struct("position", line.alias("xml")).alias("l"))
     inside = inside.groupBy(*page, "idx").agg(F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["xml"]), "").alias("lines"))
-    rows = blocks.join(inside, [*page, "idx"], "left")
+    rows = blocks.join(paths.shuffled(inside), [*page, "idx"], "left")
     tag = F.when(F.col("label") != "", F.concat(F.lit("BT"), G.tag_id(F.col("label")).cast("string")))
     block = element("TextBlock", {"ID": F.col("id"), "TAGREFS": tag, **placed(F.col("box"))}, F.coalesce("lines", F.lit("")))
     entry = F.when(F.col("label") != "", element("OtherTag", {"ID": tag, "LABEL": F.col("label"), "DESCRIPTION": F.concat(F.lit("block type "), "label")}))
@@ -169,7 +169,7 @@ def rendered(pages: DataFrame, blocks: DataFrame, lines: DataFrame, page: Sequen
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", block.alias("xml")))), lambda x: x["xml"]), "").alias("blocks"),
         F.array_join(F.array_sort(F.collect_set(entry)), "").alias("entries"),
     )
-    rows = pages.select(*page, "image", "width", "height").join(rows, page, "left")
+    rows = pages.select(*page, "image", "width", "height").join(paths.shuffled(rows), page, "left")
     size = {"HEIGHT": F.col("height"), "WIDTH": F.col("width")}
     layout = element("Page", {"ID": F.lit("page1"), "PHYSICAL_IMG_NR": F.lit(1), **size}, element("PrintSpace", {**size, "VPOS": F.lit(0), "HPOS": F.lit(0)}, F.coalesce("blocks", F.lit(""))))
     head = F.concat(F.lit("<Description><MeasurementUnit>pixel</MeasurementUnit><sourceImageInformation><fileName>"), escaped(F.coalesce("image", F.lit(""))), F.lit("</fileName></sourceImageInformation></Description>"))

@@ -83,3 +83,14 @@ def written(df: DataFrame, name: str, *, by: str | None = None) -> DataFrame:
     out = df.write.option("compression", "zstd")
     (out.partitionBy(by) if by else out).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)  # a table without rows may have no file
+
+
+def shuffled(rows: DataFrame) -> DataFrame:
+    """rows whose next join is a shuffled one. Spark takes the size of a written table from its files; rows of pages are so alike that
+    these are a hundredth of the rows, and millions of them would be broadcast through the driver."""
+    return rows.hint("merge")
+
+
+def joined_small(table: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """A written table for joins: broadcast if it is seen to have most_rows or fewer, else shuffled()."""
+    return table.hint("broadcast") if table.count() <= most_rows else shuffled(table)
