@@ -133,6 +133,10 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
+#: Bytes of texts whose words stand in memory at once: as objects, with hashes, they take several times as much.
+AT_ONCE = 1 << 20
+
+
 def words(text: str | None) -> list[bytes]:
     """Words of a whole text; null gives none."""
     return text.encode().translate(_WORDS).split() if text else []
@@ -223,7 +227,7 @@ def candidate_spans(docs: DataFrame, templates, *, k: int = 3, least: float = 0.
     grams_used = sorted({gram_size(n, least, k) for n in sizes if n})
 
     def run(batches):
-        for batch in common.small_batches(batches):
+        for batch in common.small_batches(batches, AT_ONCE):
             own = [words(t) for t in batch.column(2).to_pylist()]
             for g in grams_used:
                 hashes = [rolling_hashes(w, g) for w in own]
@@ -364,7 +368,7 @@ def scan(
     span = pa.struct([("label", pa.string()), ("first", pa.int64()), ("last", pa.int64()), ("similarity", pa.float64())])
 
     def run(batches):
-        for batch in common.small_batches(batches):
+        for batch in common.small_batches(batches, AT_ONCE):
             n_words, places, spans, labels, scores = [], [], [], [], []
             for text, candidates in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 own = words(text)
