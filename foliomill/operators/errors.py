@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -114,12 +114,21 @@ def alignment(a: Sequence[str], b: Sequence[str]) -> list[tuple[str, str, str]]:
     return out[::-1]
 
 
+def pieces(batches, most_bytes: int = 1 << 20):
+    """Arrow batches cut so that the words of many pairs never stand in memory as objects at once: of a pair of average size, some hundred."""
+    for batch in batches:
+        step = max(1, int(batch.num_rows * most_bytes / max(1, batch.nbytes)))
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
+
+
 def operations(pairs: DataFrame, *, level: str = "word", truth: str = "truth", found: str = "found", by: str | None = None) -> DataFrame:
     """(operation, truth, found, n) over all pairs, of words or of user-perceived characters of decomposed texts. by: a column of text, whose
     values are counted apart.
 
     Only the number of all operations of a pair is canonical; which symbols they name depends on how ties are taken. Null
-    texts are empty. Time grows with the product of a pair's lengths, room with the longer text (see alignment()).
+    texts are empty. Time grows with the product of a pair's lengths, room with the longer text (see alignment()), not with the pairs of a
+    task.
     """
     if level == "word":
         split = T.words
@@ -130,14 +139,17 @@ def operations(pairs: DataFrame, *, level: str = "word", truth: str = "truth", f
     rows = pairs.filter(~F.col(truth).eqNullSafe(F.col(found))).select(split(F.col(truth)).alias("a"), split(F.col(found)).alias("b"), own.alias("by"))
 
     def run(batches):
-        for pdf in batches:
+        for batch in pieces(batches):
             counts: dict[tuple[str, str, str, str], int] = {}
-            for a, b, key in zip(pdf["a"], pdf["b"], pdf["by"], strict=True):
-                for x in alignment(list(a), list(b)):
+            for a, b, key in zip(*(batch[c].to_pylist() for c in ("a", "b", "by")), strict=True):
+                for x in alignment(a, b):
                     counts[key, *x] = counts.get((key, *x), 0) + 1
-            yield pd.DataFrame([(*x, n) for x, n in counts.items()], columns=["by", "operation", "truth", "found", "n"])
+            columns = [*zip(*counts), counts.values()] if counts else [[]] * 5
+            kinds = [pa.string()] * 4 + [pa.int64()]
+            arrays = [pa.array(list(x), kind) for x, kind in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, ["by", "operation", "truth", "found", "n"])
 
-    made = rows.mapInPandas(run, "by string, operation string, truth string, found string, n long")
+    made = rows.mapInArrow(run, "by string, operation string, truth string, found string, n long")
     made = made.withColumnRenamed("by", by) if by else made.drop("by")
     return made.groupBy(*([by] if by else []), "operation", "truth", "found").agg(F.sum("n").alias("n"))
 
