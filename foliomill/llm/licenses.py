@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from foliomill.llm import common
+from foliomill.sinks.paths import shuffled
 
 #: Base phrases (words) and their labels: fixed values.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -345,6 +346,23 @@ def base_places(joined: bytes, phrases: Mapping[bytes, str]) -> list[tuple[int,
     return sorted(out)
 
 
+#: Bits of marks(): a megabyte, whatever the corpus. A million candidates set an eighth of them.
+MARKS = 1 << 23
+
+
+def _block() -> Column:
+    return F.shiftright(F.pmod("_text_a", F.lit(MARKS)), 6)
+
+
+def _bit() -> Column:
+    return F.expr("shiftleft(1L, cast(_text_a & 63 as int))")
+
+
+def marks(candidates: DataFrame) -> DataFrame:
+    """(_block, _bits): a bit for each hash of a text with candidates, MARKS / 64 rows at most. A text whose bit is not set has none."""
+    return candidates.groupBy(_block().alias("_block")).agg(F.bit_or(_bit()).alias("_bits"))
+
+
 def scan(
     docs: DataFrame, *, templates=TEMPLATES, phrases: Mapping[str, str] = PHRASES, least: float = 0.8, k: int = 3, shift: int = 4,
     most_small: int = 100_000, id_col: str = "doc_id", text_col: str = "text",
@@ -359,8 +377,10 @@ def scan(
     whole. Repeated rows each give a row; null ids are kept. An empty table gives no rows. Columns other than the two are
     not read.
 
-    Texts are not moved: candidates (few texts have any) are broadcast up to most_small of them. Beyond, texts meet them by
-    a 128-bit hash, dealt to 16 salts, so that copies of one text do not gather.
+    Texts stay where they are while candidates have most_small spans or fewer in all, which then are broadcast. Beyond, a bitmap of fixed
+    size (see marks()) tells texts that can have candidates, few of all; these alone meet candidates by a 128-bit hash, dealt to 16 salts, so that
+    copies of one text do not gather. That join is always a shuffled one: Spark takes the size of candidates from their compressed files, before
+    each is dealt to all salts.
     """
     names, wanted = [label for label, _ in templates], [words(t) for _, t in templates]
     base = {b" ".join(words(p)): label for p, label in phrases.items()}
@@ -388,12 +408,17 @@ def scan(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     candidates = candidate_spans(rows, templates, k=k, least=least, shift=shift)
     on = ["_text_a", "_text_b"]
-    if candidates.count() <= most_small:
-        candidates = F.broadcast(candidates)
+    if (candidates.agg(F.sum(F.size("spans"))).first()[0] or 0) <= most_small:
+        rows = rows.withColumns(_keys(F.col("text"))).join(F.broadcast(candidates), on, "left").select("doc_id", "text", "spans")
     else:
-        rows = common.placed(docs, "_place").select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.pmod("_place", F.lit(16)).alias("_salt"))
-        candidates, on = candidates.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long")))), [*on, "_salt"]
-    rows = rows.withColumns(_keys(F.col("text"))).join(candidates, on, "left").select("doc_id", "text", "spans")
+        salt = F.pmod("_place", F.lit(16)).alias("_salt")
+        rows = common.placed(docs, "_place").select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), salt)
+        rows = rows.withColumns(_keys(F.col("text"))).withColumn("_block", _block()).join(F.broadcast(marks(candidates)), "_block", "left")
+        can = F.coalesce(F.col("_bits").bitwiseAND(_bit()) != 0, F.lit(False))
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long")))
+        met = rows.filter(can).join(shuffled(candidates.withColumn("_salt", every)), [*on, "_salt"], "left")
+        none = rows.filter(~can).withColumn("spans", F.lit(None).cast(candidates.schema["spans"].dataType))
+        rows = met.select("doc_id", "text", "spans").unionByName(none.select("doc_id", "text", "spans"))
     kinds = (
         "doc_id long, n_words long, places array<struct<word: long, label: string>>, "
         "spans array<struct<label: string, first: long, last: long, similarity: double>>, labels array<string>, score double"
