@@ -201,15 +201,26 @@ def zone_polygon(boundary: Column, baseline: Column, pad: int = 10) -> Column:
     return F.when(F.size(boundary) >= 3, boundary).when(F.size(baseline) >= 2, around)
 
 
-def _zones(truth: DataFrame, found: DataFrame, page: Sequence[str]) -> DataFrame:
-    """(page columns, side, z, corner, points, text) of zones with a place: side 0 is the truth; z numbers a side's zones of
+def sided(truth: DataFrame, found: DataFrame, page: Sequence[str]) -> DataFrame:
+    """(page columns, side, idx, boundary, baseline, text) of both: side 0 is the truth, 1 what is found."""
+    sides = [x.select(*page, F.lit(k).alias("side"), "idx", "boundary", "baseline", "text") for k, x in enumerate((truth, found))]
+    return sides[0].unionByName(sides[1])
+
+
+def _zones(rows: DataFrame, page: Sequence[str]) -> DataFrame:
+    """(page columns, side, z, corner, points, text) of zones (page columns, side, idx, points, text): z numbers a side's zones of
     a page by idx, corner by their tops and left edges."""
-    sides = [x.select(*page, "idx", "boundary", "baseline", "text", F.lit(k).alias("side")) for k, x in enumerate((truth, found))]
-    rows = sides[0].unionByName(sides[1]).withColumn("points", zone_polygon(F.col("boundary"), F.col("baseline"))).filter("points is not null")
     top = [G.corner(F.col("points"), a, True) for a in "yx"]
     along = Window.partitionBy(*page, "side")
     number = lambda *by: F.row_number().over(along.orderBy(*by)) - 1
-    return rows.select(*page, "side", number("idx").alias("z"), number(*top, "idx").alias("corner"), "points", F.coalesce("text", F.lit("")).alias("text"))
+    return rows.select(*page, "side", number("idx").alias("z"), number(*top, "idx").alias("corner"), "points", "text")
+
+
+def _level(points: Column, box: Column) -> Column:
+    """Whether points are the corners of their bounds, in the order of G.polygon()."""
+    around = ((0, "x", "x1"), (0, "y", "y1"), (1, "x", "x2"), (1, "y", "y1"), (2, "x", "x2"), (2, "y", "y2"), (3, "x", "x1"), (3, "y", "y2"))
+    level = (F.size(points) == 4) & reduce(lambda x, y: x & y, [F.get(points, i)[a] == box[k] for i, a, k in around])
+    return F.coalesce(level, F.lit(False))
 
 
 def _by_page(rows: DataFrame, page: Sequence[str], kinds: str, each) -> DataFrame:
@@ -234,12 +245,8 @@ def page_cells(zones: DataFrame, page: Sequence[str]) -> DataFrame:
     A level rectangle whose bounds meet no other zone's is one such area; only other zones go to Python.
     """
     page = list(page)
-    corner = lambda i, a: F.get(F.col("points"), i)[a]
-    b = G.bounds(F.col("points"))
-    around = ((0, "x", "x1"), (0, "y", "y1"), (1, "x", "x2"), (1, "y", "y1"), (2, "x", "x2"), (2, "y", "y2"), (3, "x", "x1"), (3, "y", "y2"))
-    level = (F.size("points") == 4) & reduce(lambda x, y: x & y, [corner(i, a) == F.col(f"box.{k}") for i, a, k in around])
     key = F.struct("side", "z").alias("idx")
-    placed = zones.select(*page, "side", "z", "points", key, b.alias("box")).withColumn("level", F.coalesce(level, F.lit(False)))
+    placed = zones.select(*page, "side", "z", "points", key, G.bounds(F.col("points")).alias("box")).withColumn("level", _level(F.col("points"), F.col("box")))
     boxed = placed.select(*page, "idx", F.col("box").cast("struct<x1: double, y1: double, x2: double, y2: double>").alias("box"))
     met = boxes.overlaps(boxed, boxed, page, F.col("a_idx") < F.col("b_idx"))
     met = met.select(*page, F.explode(F.array("a_idx", "b_idx")).alias("idx")).distinct().withColumn("_met", F.lit(True))
@@ -326,23 +333,77 @@ def _text_groups(groups: DataFrame, page: Sequence[str]) -> DataFrame:
 STATS = [*(f"area_{c}" for c in CONFIGS), "gt_area", *(f"n_{c}" for c in CONFIGS), "edits", "gt_chars", "dt_chars", "gt_words", "dt_words", "word_hits"]
 
 
-def zone_map(
-    truth: DataFrame, found: DataFrame, page: Sequence[str], *, with_text: bool = True, beta: float = 0.2, weight: float = 0.5, need_text: bool = True
+def zone_map(truth: DataFrame, found: DataFrame, page: Sequence[str], **options) -> DataFrame:
+    """zone_map_of() of truth and found (page columns, idx, boundary, baseline, text)."""
+    return zone_map_of(sided(truth, found, page), page, **options)
+
+
+def zone_map_of(
+    rows: DataFrame, page: Sequence[str], *, with_text: bool = True, beta: float = 0.2, weight: float = 0.5, need_text: bool = True, most: int = 64
 ) -> DataFrame:
-    """(page columns, STATS): areas and counts by configuration, and recognition counts, a row for each page of truth and
-    found (page columns, idx, boundary, baseline, text).
+    """(page columns, STATS): areas and counts by configuration, and recognition counts, a row for each page of rows
+    (see sided()).
 
     Zones that share some area are linked, by falling strength; a link's configuration is that of the links made so far.
     Links count their shared area; splits, merges and multiples count weight times the zones on the divided side. What a zone
     with text (or any, without need_text) keeps uncovered by the zones it is linked to is missed or a false alarm. On pages
     without found zones all true zones are missed. Pages without true zones count nothing.
 
+    Where level rectangles, most of them on a page, meet no other, a page's statistics are sums of its rows, and only these are kept. Zones of all other
+    pages (of more zones too) are written, then cut and linked; see _linked_map(). rows are read once more only for pages of over most zones.
+    """
+    page = list(page)
+    rows = rows.select(*page, "side", "idx", zone_polygon(F.col("boundary"), F.col("baseline")).alias("points"), F.coalesce("text", F.lit("")).alias("text"))
+    each = written(_page_sums(rows, page, with_text, need_text, most), "zone-pages")
+    quiet, other = each.filter("quiet").select(*page, *STATS), each.filter("not quiet")
+    if other.isEmpty():
+        return quiet
+    zones = other.select(*page, F.explode("zones").alias("_z")).select(*page, "_z.side", "_z.idx", "_z.points", "_z.text")
+    crowded = other.filter("crowded").select(*page)
+    if not crowded.isEmpty():
+        zones = zones.unionByName(rows.filter("points is not null").join(crowded, page, "left_semi"))
+    return quiet.unionByName(_linked_map(zones, other.select(*page), page, with_text, beta, weight, need_text))
+
+
+def _page_sums(rows: DataFrame, page: list[str], with_text: bool, need_text: bool, most: int) -> DataFrame:
+    """(page columns, quiet, crowded, zones, STATS) of zones (page columns, side, idx, points, text). quiet: STATS are the page's, as it has at most
+    so many zones, all level rectangles that share no area; else zones are the page's, but none of a crowded page, which has more. A null
+    page counts nothing, as it meets none."""
+    b, x, none = F.col("_box"), F.col("text"), F.lit(0)
+    rows = rows.withColumn("_n", F.count("*").over(Window.partitionBy(*page))).withColumn("_box", G.bounds(F.col("points")))
+    placed = reduce(lambda p, q: p & q, [F.col("points").isNotNull(), *[F.col(c).isNotNull() for c in page]])
+    area = ((b["x2"] - b["x1"]).cast("double") * (b["y2"] - b["y1"]).cast("double")).alias("area")
+    counts = (area > 0) & ((T.stripped(x) != "") | F.lit(not need_text))
+    zone = F.struct("side", "idx", "points", "text", b.alias("box"), _level(F.col("points"), b).alias("level"))
+    values = {"all_area": (placed, area), "all_n": (placed, F.lit(1)), "area": (placed & counts, area), "n": (placed & counts, F.lit(1)),
+              "chars": (placed & counts, F.length(x)), "words": (placed & counts, F.size(T.words(x)))}
+    sums = [F.coalesce(F.sum(F.when(on & (F.col("side") == k), v)), none).alias(f"_{name}{k}") for name, (on, v) in values.items() for k in (0, 1)]
+    each = rows.groupBy(*page).agg(F.max("_n").alias("_n"), F.collect_list(F.when(placed & (F.col("_n") <= most), zone)).alias("zones"), *sums)
+    meet = lambda p, q: reduce(lambda r, s: r & s, [F.greatest(p[f"{a}1"], q[f"{a}1"]) < F.least(p[f"{a}2"], q[f"{a}2"]) for a in "xy"])
+    # a zone of some area meets itself
+    own = F.size(F.filter("zones", lambda z: meet(z["box"], z["box"])))
+    met = F.aggregate("zones", none, lambda n, z: n + F.size(F.filter("zones", lambda o: meet(z["box"], o["box"]))))
+    each = each.withColumn("crowded", F.col("_n") > most).withColumn("quiet", ~F.col("crowded") & F.forall("zones", lambda z: z["level"]) & (met == own))
+    c = F.col
+    truth, found = c("_all_n0") > 0, c("_all_n1") > 0
+    missed = lambda name: F.when(truth & found, c(f"_{name}0")).when(truth, c(f"_all_{name}0")).otherwise(none)
+    alarm = lambda name: F.when(truth, c(f"_{name}1")).otherwise(none)
+    read = lambda v: F.when(truth & found & F.lit(with_text), v).otherwise(none)
+    stats = {
+        "area_miss": missed("area"), "n_miss": missed("n"), "area_false_alarm": alarm("area"), "n_false_alarm": alarm("n"), "gt_area": c("_all_area0"),
+        "edits": read(c("_chars0") + c("_chars1")), "gt_chars": read(c("_chars0")), "dt_chars": read(c("_chars1")), "gt_words": read(c("_words0")), "dt_words": read(c("_words1")),
+    }
+    kept = [F.when(c("quiet"), stats.get(name, none)).cast("double" if "area" in name else "long").alias(name) for name in STATS]
+    return each.select(*page, "quiet", "crowded", F.when(~c("quiet"), c("zones")).alias("zones"), *kept)
+
+
+def _linked_map(rows: DataFrame, pages: DataFrame, page: list[str], with_text: bool, beta: float, weight: float, need_text: bool) -> DataFrame:
+    """zone_map_of() of pages, whose zones are rows (page columns, side, idx, points, text).
+
     Areas, links, sums and texts are rows that Spark joins and adds up; Arrow functions cut a page's polygons and take its
     links one by one. What is used more than once is written to the shared folder.
     """
-    page = list(page)
-    pages = truth.select(*page).unionByName(found.select(*page)).distinct()
-    zones = written(_zones(truth, found, page), "zones")
+    zones = written(_zones(rows, page), "zones")
     cut = written(page_cells(zones, page), "zone-cells")
     inside = lambda side, name: cut.select(*page, "area", F.explode(side).alias(name), "truth", "found")
     sizes = [inside(side, name).groupBy(*page, name).agg(F.sum("area").alias(f"{name}_size")) for side, name in (("truth", "g"), ("found", "d"))]

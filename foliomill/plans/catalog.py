@@ -54,10 +54,13 @@ IOU = """
 
 
 def page_boxes(spark, sf_dir) -> DataFrame:
-    n = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    keys = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    # named page before its rows are gathered: else Spark does not see that they are, and shuffles them by page again
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), *keys, "l_quantity", F.col("l_returnflag").alias("flag"))
+    rows = rows.withColumn("idx", F.row_number().over(Window.partitionBy("page").orderBy(*keys)))
     x1, y1 = (F.col("l_partkey") % 2000).cast("int"), (F.col("l_suppkey") % 100 * 20).cast("int")
     box = G.box(x1, y1, x1 + F.col("l_quantity").cast("int") * 10, y1 + 40)
-    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), n.alias("idx"), box.alias("box"), F.col("l_returnflag").alias("flag"))
+    return rows.select("page", "idx", box.alias("box"), "flag")
 
 
 def flat(rows: DataFrame) -> DataFrame:
@@ -337,13 +340,19 @@ def yolo_format(spark, sf_dir):
 def _lines_of(rows: DataFrame) -> DataFrame:
     corners = G.polygon(F.col("box")).cast(G.POINTS)
     text = F.concat_ws(" ", F.lit("w"), F.col("idx").cast("string"))
-    return rows.select("page", F.col("idx").cast("long").alias("idx"), corners.alias("boundary"), F.lit(None).cast(G.POINTS).alias("baseline"), text.alias("text"))
+    others = [c for c in rows.columns if c not in ("page", "idx", "box", "flag")]
+    return rows.select("page", *others, F.col("idx").cast("long").alias("idx"), corners.alias("boundary"), F.lit(None).cast(G.POINTS).alias("baseline"), text.alias("text"))
+
+
+def _zones_of(spark, sf_dir) -> DataFrame:
+    """Boxes as zones: those of flag R are the truth, those of another are found."""
+    rows = page_boxes(spark, sf_dir).filter("flag is not null")
+    return _lines_of(rows.withColumn("side", F.when(F.col("flag") == "R", 0).otherwise(1)))
 
 
 @query()
 def zone_map_pages(spark, sf_dir):
-    rows = page_boxes(spark, sf_dir)
-    return detection.zone_map(_lines_of(rows.filter("flag = 'R'")), _lines_of(rows.filter("flag <> 'R'")), ["page"])
+    return detection.zone_map_of(_zones_of(spark, sf_dir), ["page"])
 
 
 @query(f"""
@@ -351,8 +360,7 @@ def zone_map_pages(spark, sf_dir):
     SELECT page, CAST(sum((x2 - x1) * (y2 - y1)) AS DOUBLE) AS gt_area FROM gt GROUP BY page
 """)
 def zone_map_truth_area(spark, sf_dir):
-    rows = page_boxes(spark, sf_dir)
-    stats = detection.zone_map(_lines_of(rows.filter("flag = 'R'")), _lines_of(rows.filter("flag <> 'R'")), ["page"])
+    stats = detection.zone_map_of(_zones_of(spark, sf_dir), ["page"])
     return stats.filter("gt_area > 0").select("page", F.round("gt_area", 6).alias("gt_area"))
 
 
