@@ -57,9 +57,10 @@ def with_clean_texts(pages: DataFrame, extended: bool = False) -> DataFrame:
     return rows.withColumns({"xml": F.concat("_made.text", tail), "modified": F.col("_made.modified")}).drop("_pieces", "_made")
 
 
-def element(name: str, attributes: dict[str, Column], inner: Column | None = None) -> Column:
-    """An element; attributes that are null are left out."""
-    parts = [F.coalesce(F.concat(F.lit(f' {k}="'), escaped(v.cast("string")), F.lit('"')), F.lit("")) for k, v in attributes.items()]
+def element(name: str, attributes: dict[str, Column], inner: Column | None = None, numbers: dict[str, Column] | None = None) -> Column:
+    """An element; attributes that are null are left out. numbers: attributes of digits, which need no escapes."""
+    values = {k: escaped(v.cast("string")) for k, v in attributes.items()} | {k: v.cast("string") for k, v in (numbers or {}).items()}
+    parts = [F.coalesce(F.concat(F.lit(f' {k}="'), v, F.lit('"')), F.lit("")) for k, v in values.items()]
     head = F.concat(F.lit(f"<{name}"), *parts)
     return F.concat(head, F.lit("/>")) if inner is None else F.concat(head, F.lit(">"), inner, F.lit(f"</{name}>"))
 
@@ -155,10 +156,11 @@ def rendered(pages: DataFrame, blocks: DataFrame, lines: DataFrame, page: Sequen
     """(page columns, xml) from pages (image, width, height), blocks (idx, id, label, box, position) and lines (zone, id, box,
     baseline, boundary, text, confidence, position)."""
     page = list(page)
-    content = element("String", {"CONTENT": F.coalesce(F.col("text"), F.lit("")), "WC": F.format_string("%.4f", F.coalesce("confidence", F.lit(0.0)))})
-    shape = lambda p: F.coalesce(element("Shape", {}, element("Polygon", {"POINTS": flat(p)})), F.lit(""))
+    confidence = F.format_string("%.4f", F.coalesce("confidence", F.lit(0.0)))
+    content = element("String", {"CONTENT": F.coalesce(F.col("text"), F.lit(""))}, numbers={"WC": confidence})
+    shape = lambda p: F.coalesce(element("Shape", {}, element("Polygon", {}, numbers={"POINTS": flat(p)})), F.lit(""))
     has = F.when(F.size("boundary") > 0, shape(F.col("boundary"))).otherwise("")
-    line = element("TextLine", {"ID": F.col("id"), "BASELINE": flat(F.col("baseline")), **placed(F.col("box"))}, F.concat(has, content))
+    line = element("TextLine", {"ID": F.col("id")}, F.concat(has, content), {"BASELINE": flat(F.col("baseline")), **placed(F.col("box"))})
     inside = lines.select(*page, F.col("zone").alias("idx"), F.struct("position", line.alias("xml")).alias("l"))
     inside = inside.groupBy(*page, "idx").agg(F.array_join(F.transform(F.array_sort(F.collect_list("l")), lambda x: x["xml"]), "").alias("lines"))
     rows = blocks.join(paths.shuffled(inside), [*page, "idx"], "left")

@@ -49,8 +49,9 @@ def yolo_rows(
     width and height; see alto.lines()."""
     sized = lines if pages is None else lines.join(pages.select(*page, "width", "height"), list(page))
     kind = F.create_map(*[F.lit(x) for kv in G.LINE_TYPES.items() for x in kv])[G.line_type(F.col("tags"))]
-    around = F.when(F.size("boundary") > 0, G.bounds(F.col("boundary"))).when(F.size("baseline") >= 2, G.padded(G.bounds(F.col("baseline")), pad))
-    sized = sized.withColumn("_box", around).filter("_box is not null")
+    sized = G.fixed(sized, "boundary", "baseline").filter((F.size("boundary") > 0) | (F.size("baseline") >= 2))
+    around = F.when(F.size("boundary") > 0, G.bounds(F.col("boundary"))).otherwise(G.padded(G.bounds(F.col("baseline")), pad))
+    sized = sized.withColumn("_box", around)
     shape = F.when(F.size("boundary") > 0, F.col("boundary")).otherwise(G.polygon(F.col("_box")).cast(G.POINTS))
     row = G.polygon_row(kind, shape, F.col("width"), F.col("height")) if polygons else G.detection_row(kind, F.col("_box"), F.col("width"), F.col("height"))
     return sized.select(*page, *keep, "idx", row.alias("value"))
